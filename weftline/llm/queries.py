@@ -10,6 +10,15 @@ from .budget import token_budget, token_counts
 from .common import read_table
 from .encode import encode_texts
 from .packing import pack_documents
+from .textstats import scored_statistics, unnatural_texts
+
+
+def p1_found(spark: SparkSession, root: str) -> DataFrame:
+    return unnatural_texts(read_table(spark, root, "dataset"), "id", "text")
+
+
+def p1_statistics(spark: SparkSession, root: str) -> DataFrame:
+    return scored_statistics(read_table(spark, root, "dataset"), "id", "text")
 
 
 def p3_tokens(spark: SparkSession, root: str) -> DataFrame:
@@ -29,6 +38,8 @@ def p8_containers(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p1_found": p1_found,
+    "p1_statistics": p1_statistics,
     "p3_slices": p3_slices,
     "p3_tokens": p3_tokens,
     "p7_ids": p7_ids,
