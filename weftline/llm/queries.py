@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .budget import token_budget, token_counts
 from .common import read_table
 from .encode import encode_texts
+from .langid import document_languages, mislabelled
 from .packing import pack_documents
 from .textstats import scored_statistics, unnatural_texts
 
@@ -29,6 +30,14 @@ def p3_slices(spark: SparkSession, root: str) -> DataFrame:
     return token_budget(read_table(spark, root, "dataset"), "id", "text")
 
 
+def p6_found(spark: SparkSession, root: str) -> DataFrame:
+    return mislabelled(read_table(spark, root, "dataset"), "id", "text", "language", read_table(spark, root, "lang_samples"))
+
+
+def p6_languages(spark: SparkSession, root: str) -> DataFrame:
+    return document_languages(read_table(spark, root, "dataset"), "id", "text", read_table(spark, root, "lang_samples"))
+
+
 def p7_ids(spark: SparkSession, root: str) -> DataFrame:
     return encode_texts(read_table(spark, root, "documents"), "doc_id", "text")
 
@@ -42,6 +51,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_statistics": p1_statistics,
     "p3_slices": p3_slices,
     "p3_tokens": p3_tokens,
+    "p6_found": p6_found,
+    "p6_languages": p6_languages,
     "p7_ids": p7_ids,
     "p8_containers": p8_containers,
 }
