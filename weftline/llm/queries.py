@@ -10,6 +10,7 @@ from .budget import token_budget, token_counts
 from .common import read_table
 from .encode import encode_texts
 from .langid import document_languages, mislabelled
+from .leakage import leaked_items
 from .packing import pack_documents
 from .textstats import scored_statistics, unnatural_texts
 
@@ -30,6 +31,10 @@ def p3_slices(spark: SparkSession, root: str) -> DataFrame:
     return token_budget(read_table(spark, root, "dataset"), "id", "text")
 
 
+def p4_found(spark: SparkSession, root: str) -> DataFrame:
+    return leaked_items(read_table(spark, root, "dataset"), "id", "text", read_table(spark, root, "benchmark"), "item_id", "text")
+
+
 def p6_found(spark: SparkSession, root: str) -> DataFrame:
     return mislabelled(read_table(spark, root, "dataset"), "id", "text", "language", read_table(spark, root, "lang_samples"))
 
@@ -51,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_statistics": p1_statistics,
     "p3_slices": p3_slices,
     "p3_tokens": p3_tokens,
+    "p4_found": p4_found,
     "p6_found": p6_found,
     "p6_languages": p6_languages,
     "p7_ids": p7_ids,
