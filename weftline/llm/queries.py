@@ -12,6 +12,7 @@ from .encode import encode_texts
 from .langid import document_languages, mislabelled
 from .leakage import leaked_items
 from .packing import pack_documents
+from .pairs import defective_pairs, first_defects
 from .textstats import scored_statistics, unnatural_texts
 
 
@@ -23,6 +24,14 @@ def p1_statistics(spark: SparkSession, root: str) -> DataFrame:
     return scored_statistics(read_table(spark, root, "dataset"), "id", "text")
 
 
+def p2_found(spark: SparkSession, root: str) -> DataFrame:
+    return first_defects(read_table(spark, root, "conversations"), "conv_id", "messages", read_table(spark, root, "lang_samples"))
+
+
+def p2_defects(spark: SparkSession, root: str) -> DataFrame:
+    return defective_pairs(read_table(spark, root, "conversations"), "conv_id", "messages", read_table(spark, root, "lang_samples"))
+
+
 def p3_tokens(spark: SparkSession, root: str) -> DataFrame:
     return token_counts(read_table(spark, root, "dataset"), "id", "text")
 
@@ -54,6 +63,8 @@ def p8_containers(spark: SparkSession, root: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_statistics": p1_statistics,
+    "p2_found": p2_found,
+    "p2_defects": p2_defects,
     "p3_slices": p3_slices,
     "p3_tokens": p3_tokens,
     "p4_found": p4_found,
