@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .abuse import offence_rates, offending_messages, scored_messages
 from .budget import token_budget, token_counts
 from .common import read_table
 from .encode import encode_texts
@@ -44,6 +45,18 @@ def p4_found(spark: SparkSession, root: str) -> DataFrame:
     return leaked_items(read_table(spark, root, "dataset"), "id", "text", read_table(spark, root, "benchmark"), "item_id", "text")
 
 
+def p5_found(spark: SparkSession, root: str) -> DataFrame:
+    return offending_messages(read_table(spark, root, "conversations"), "conv_id", "messages")
+
+
+def p5_scores(spark: SparkSession, root: str) -> DataFrame:
+    return scored_messages(read_table(spark, root, "conversations"), "conv_id", "messages")
+
+
+def p5_rates(spark: SparkSession, root: str) -> DataFrame:
+    return offence_rates(read_table(spark, root, "conversations"), "conv_id", "messages")
+
+
 def p6_found(spark: SparkSession, root: str) -> DataFrame:
     return mislabelled(read_table(spark, root, "dataset"), "id", "text", "language", read_table(spark, root, "lang_samples"))
 
@@ -68,6 +81,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_slices": p3_slices,
     "p3_tokens": p3_tokens,
     "p4_found": p4_found,
+    "p5_found": p5_found,
+    "p5_rates": p5_rates,
+    "p5_scores": p5_scores,
     "p6_found": p6_found,
     "p6_languages": p6_languages,
     "p7_ids": p7_ids,
