@@ -317,6 +317,7 @@ def scored_messages(df: DataFrame, key: str, messages: str, keep: dict[str, F.Co
     ``keep`` names string columns to add to each row. Equal rows come out once.
     """
     keep = keep or {}
+    kept = [key, *keep]
     kind = df.schema[key].dataType.simpleString()
     source = df.select(F.col(f"`{key}`").alias(key), *(c.cast("string").alias(n) for n, c in keep.items()), F.col(f"`{messages}`").alias("_messages"))
 
@@ -329,7 +330,7 @@ def scored_messages(df: DataFrame, key: str, messages: str, keep: dict[str, F.Co
                 scores.append(round(message_score(message["content"] if message else None), 3))
         take = pa.array(at, pa.int32())
         return pa.RecordBatch.from_arrays(
-            [*(raw(batch, c).take(take) for c in (key, *keep)), pa.array(turns, pa.int32()), pa.array(scores, pa.float64())], names=[key, *keep, "turn", "score"]
+            [*(raw(batch, c).take(take) for c in kept), pa.array(turns, pa.int32()), pa.array(scores, pa.float64())], names=[*kept, "turn", "score"]
         )
 
     fields = ", ".join([f"`{key}` {kind}", *(f"`{c}` string" for c in keep), "turn int", "score double"])
