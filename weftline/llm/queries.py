@@ -14,6 +14,7 @@ from .langid import document_languages, mislabelled
 from .leakage import leaked_items
 from .packing import pack_documents
 from .pairs import defective_pairs, first_defects
+from .spam import page_deviations, page_profiles, spam_pages
 from .textstats import scored_statistics, unnatural_texts
 
 
@@ -73,6 +74,14 @@ def p8_containers(spark: SparkSession, root: str) -> DataFrame:
     return pack_documents(read_table(spark, root, "documents"), "doc_id", "text")
 
 
+def p9_found(spark: SparkSession, root: str) -> DataFrame:
+    return spam_pages(read_table(spark, root, "documents"), "doc_id", "text")
+
+
+def p9_curves(spark: SparkSession, root: str) -> DataFrame:
+    return page_deviations(page_profiles(read_table(spark, root, "documents"), "doc_id", "text"), "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_statistics": p1_statistics,
@@ -88,4 +97,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p6_languages": p6_languages,
     "p7_ids": p7_ids,
     "p8_containers": p8_containers,
+    "p9_found": p9_found,
+    "p9_curves": p9_curves,
 }
