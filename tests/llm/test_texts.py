@@ -1,0 +1,225 @@
+"""Statistics, languages, leaks, defects, abuse and spam."""
+
+from __future__ import annotations
+
+import math
+import random
+
+import pytest
+
+from weftline.llm import abuse, langid, leakage, pairs, prose, spam, textstats
+
+PROSE = "The old museum keeps a long list of names. Nobody knows whether the guide still reads it, but the doors are open every day."
+
+
+@pytest.fixture(scope="module")
+def samples(spark, data):
+    return spark.read.parquet(f"{data}/lang_samples.parquet")
+
+
+@pytest.fixture(scope="module")
+def model(samples):
+    return langid.Profiles(langid.profiles_of(samples))
+
+
+@pytest.mark.parametrize(
+    "text, kind",
+    [
+        (PROSE, None),
+        ("1. The guide reads the list.\n2. Nobody asked for it.\n3. The doors are open.", None),
+        ("- apples\n- pears\n- a bag of beans\n- bread", "list"),
+        ("apples, pears, a bag of beans, bread, honey, three jars, salt, two lamps", "list"),
+        ("name;date;price\nlamp;2020-01-02;12.50\nsofa;2021-03-04;99.00", "table"),
+        ("name\tdate\tprice\nlamp\t2020-01-02\t12.50\nsofa\t\t99.00", "table"),
+        ("<tr><td>lamp</td><td>12</td></tr>\n<tr><td>sofa</td><td>13</td></tr>", "table"),
+        ("98127 ID7731 +99123 -4412 v123 #998 7741 88123", "junk"),
+        ("Home | Menu | Login | Search | Share | Print | Next", "junk"),
+        ("qwrtpl zxcvbnm kjhgf qqqwwp dfghjk lkjhg mnbvcx plmnbv", "junk"),
+        ("12:01:02.345 [WARN] 0x42aaf57d a/b.so ret=-2\n12:01:03.345 [INFO] 0x42aaf57e a/b.so ret=0", "junk"),
+        ("a3f9e0217744bdce90aa1c2d3e4f5a6b7c8d9e0f1a2b3c4d5e6f708192a3b4c5d6e7f8091a2b3c4d5e6f", "junk"),
+        ("— Where is the list?\n— In the old museum, as everybody knows.\n— Then let us go.", None),
+        ("nobody knows if the old guide still reads the long list of names lol\nwe went there twice and the doors were never open :)", None),
+    ],
+)
+def test_parts_of_texts(text, kind):
+    assert prose.kind_of(prose.parts(text)) == kind
+
+
+TABLE = [
+    ("a", PROSE, "en"), ("a", PROSE, "en"), ("b", None, None), ("c", "", "x"), ("d", " \n ", "x"), ("e", PROSE * 400, "y"), (None, "- one\n- two\n- three\n- four", "z"),
+    ("f", "lamp;2020-01-02;12.50\nsofa;2021-03-04;99.00\nchair;2021-03-05;9.00", "z"),
+]
+
+
+def test_statistics_of_odd_rows(spark):
+    df = spark.createDataFrame(TABLE, "id string, text string, words string")
+    got = {r.id: r for r in textstats.scored_statistics(df, "id", "text").collect()}
+    assert len(got) == 7 and got["b"].language == "und" and got["a"].language == "en"
+    assert {r.id: r.kind for r in textstats.unnatural_texts(df, "id", "text", cut=0.0).collect()} == {None: "list", "f": "table"}
+    assert textstats.unnatural_texts(df.limit(0), "id", "text").collect() == []
+
+
+def test_tails_are_those_of_brute_force(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice(["pt", "pt", "pt", "en"]), *(rng.randint(0, 9) for _ in textstats.STATISTICS)) for _ in range(300)]
+    df = spark.createDataFrame(rows, ", ".join(["language string", *(f"{s} int" for s in textstats.STATISTICS)]))
+    got = {(r.language, r.statistic, r.value): (r.left, r.right) for r in textstats.tail_probabilities(df).collect()}
+    for language in ("pt", "en", "*"):
+        for i, name in enumerate(textstats.STATISTICS, 1):
+            own = [r[i] for r in rows if language in (r[0], "*")]
+            for v in set(own):
+                left, right = got[(language, name, v)]
+                assert math.isclose(left, sum(x <= v for x in own) / len(own)) and math.isclose(right, sum(x >= v for x in own) / len(own))
+
+
+def test_languages_of_held_out_samples(samples):
+    rows = [(r.language, r.text) for r in samples.collect()]
+    train, held = rows[::2], rows[1::2]
+    half = langid.Profiles(langid.make_profiles(train))
+    right = sum(max(langid.segment(t, half), key=lambda s: s[1])[2] == code for code, t in held)
+    assert right >= 0.97 * len(held)
+
+
+def test_segments_of_a_mixed_text(model):
+    text = PROSE + " O museu antigo guarda uma longa lista de nomes e ninguém sabe se o guia ainda lê essa lista. " + PROSE
+    assert [s[2] for s in langid.segment(text, model)] == ["en", "pt", "en"]
+    assert langid.segment("", model) == [] and langid.segment(PROSE, langid.Profiles({})) == []
+
+
+def test_wrong_labels(spark, samples):
+    long = PROSE + " " + PROSE
+    rows = [("a", long, "en-GB"), ("b", long, "pt"), ("b", long, "pt"), ("c", long, None), ("d", long, "und"), ("e", None, "pt"), ("f", "too short", None), ("g", "- one\n" * 30, None), (None, long, "English")]
+    df = spark.createDataFrame(rows, "id string, text string, language string").selectExpr("*", "'x' AS _text", "1 AS segment")
+    assert sorted((r.id, r.language) for r in langid.mislabelled(df, "id", "text", "language", samples).collect()) == [("b", "en"), ("c", "en"), ("d", "en")]
+    assert langid.mislabelled(df.limit(0), "id", "text", "language", samples).collect() == []
+    assert langid.mislabelled(df, "id", "text", "language", samples.limit(0)).collect() == []
+    segments = langid.language_segments(df, "id", "text", samples).collect()
+    assert {r.id for r in segments} == {r[0] for r in rows} and [r.language for r in segments if r.id == "e"] == ["und"]
+
+
+def items():
+    rng = random.Random(9)
+    return [(i, " ".join("".join(rng.choice("bcdfgklmnprst") + rng.choice("aeiou") for _ in range(3)) for _ in range(60))) for i in range(12)]
+
+
+def brute_force(text, item):
+    words, own = leakage.folded_words(text), leakage.folded_words(item)
+    least = math.ceil(len(own) / 2)
+    for a in range(len(own) - least + 1):
+        for b in range(len(words) - least + 1):
+            if sum(x != y for x, y in zip(own[a : a + least], words[b : b + least])) <= least // 8:
+                return True
+    return False
+
+
+def test_leaks_against_brute_force(spark):
+    rng = random.Random(2)
+    rows, filler = [], " ".join(rng.choice(["lorem", "ipsum", "dolor", "sit", "amet"]) for _ in range(40))
+    for n, (i, text) in enumerate(items()):
+        words = text.split()
+        for size in (20, 30, 36, 60):
+            start = rng.randint(0, 60 - size)
+            piece = words[start : start + size]
+            for j in range(0, size, 9):
+                if n % 2:
+                    piece[j] = "exchanged"
+            joined = [" ".join(piece), " ".join(piece).upper(), "  ".join(piece), ", ".join(piece), "<b>" + "</b> <i>".join(piece)][n % 5]
+            rows.append((f"{i}-{size}", filler + " " + joined + ". " + filler))
+    rows += [("none", filler), (None, None), ("empty", ""), ("twice", items()[0][1]), ("twice", items()[0][1])]
+    df = spark.createDataFrame(rows, "id string, text string").selectExpr("*", "1 AS item_id")
+    bench = spark.createDataFrame(items() + [(99, None), (98, "")], "item_id bigint, text string")
+    got = {(r.id, r.item_id) for r in leakage.leaked_items(df, "id", "text", bench, "item_id", "text").collect()}
+    want = {(k, i) for k, t in rows if t for i, item in items() if brute_force(t, item)}
+    assert got == want and ("twice", 0) in got
+    assert leakage.leaked_items(df, "id", "text", bench.limit(0), "item_id", "text").collect() == []
+    assert leakage.leaked_items(df.limit(0), "id", "text", bench, "item_id", "text").collect() == []
+
+
+QUESTION = "What should I know about the old museum of the town?"
+
+
+@pytest.mark.parametrize(
+    "answer, expected",
+    [
+        (None, "empty"), ("  ", "empty"), ("...", "empty"), ("N/A", "empty"), ("[no response]", "empty"), ("<no answer>", "empty"),
+        (PROSE, None), ("42 km", None), ("- one list\n- a second list", None), ("See https://a.example/x", None), ("```python\nreturn 1\n```", None),
+        ("It was built by the river and the", "truncated"), ("It is old. Nobody knows why the guide (", "truncated"), ("Some steps:\n1. Open it\n2.", "truncated"), ("```python\nreturn 1", "truncated"),
+        ("I'm sorry, but I can't help with that request.", "refusal"), ("Infelizmente não posso falar sobre esse assunto.", "refusal"), ("Ich kann dabei leider nicht helfen.", "refusal"),
+        ("I cannot stress enough how simple this is. " + PROSE, None), ("Sorry about the trouble, let me explain. " + PROSE, None),
+        (QUESTION, "copied"), ("Answer: " + QUESTION.lower(), "copied"), (QUESTION + " " + PROSE, None),
+        ("O museu antigo guarda uma longa lista de nomes e ninguém sabe se o guia ainda lê essa lista.", "other_language"),
+    ],
+)
+def test_defects(answer, expected, model):
+    found = pairs.defects(QUESTION, answer, pairs.Languages(model))
+    assert (found[0] if found else None) == expected
+
+
+def test_requested_translations_are_no_defects(model):
+    assert pairs.defects("Translate into Portuguese: the old museum keeps a long list of names.", "O museu antigo guarda uma longa lista de nomes e ninguém sabe.", pairs.Languages(model)) == []
+
+
+def test_pairs_of_odd_conversations(spark, samples):
+    m = "array<struct<role:string,content:string>>"
+    rows = [(1, [("Human", QUESTION), (" GPT ", "")]), (1, [("Human", QUESTION), (" GPT ", "")]), (2, None), (3, []), (4, [("user", "a"), ("user", "b")]), (5, [(None, None), ("assistant", None)]), (None, [("user", None), ("assistant", PROSE)])]
+    df = spark.createDataFrame(rows, f"conv_id bigint, messages {m}").selectExpr("*", "9 AS turn", "'x' AS defect")
+    assert [(r.conv_id, r.turn, r.defect) for r in pairs.first_defects(df, "conv_id", "messages", samples).collect()] == [(1, 1, "empty")]
+    assert pairs.first_defects(df.limit(0), "conv_id", "messages", samples).collect() == []
+
+
+@pytest.mark.parametrize(
+    "text, offends",
+    [
+        ("You are such an idiot, shut up.", True), ("y0u are a st.u.p.i.d looooser", True), ("I will hurt you.", True), ("All Tumirians are vermin and should be driven out.", True),
+        ("Vai se foder, seu imbecil!", True), ("तू बेवकूफ़ है, चुप कर।", True), ("Free porn videos with naked women", True), ("Du bist ein Idiot.", True),
+        ("The pig and the donkey sleep in the same barn.", False), ("The moderator explained why calling a player an idiot breaks the rules.", False), ("Kill the process if the job hangs.", False),
+        ("You are not an idiot.", False), ("Breast cancer screening is free.", False), ("", False), (None, False), (PROSE, False), ("Ticks are parasites that live on sheep.", False),
+    ],
+)
+def test_abuse(text, offends):
+    assert (abuse.message_score(text) >= abuse.THRESHOLD) is offends
+
+
+def test_messages_and_rates(spark):
+    m = "array<struct<role:string,content:string>>"
+    rows = [(1, [("user", "You idiot!"), ("assistant", PROSE)], " A"), (1, [("user", "You idiot!"), ("assistant", PROSE)], " A"), (2, None, "a"), (3, [], None), (4, [(None, None)], "a")]
+    df = spark.createDataFrame(rows, f"conv_id bigint, messages {m}, source string").selectExpr("*", "9 AS turn", "'x' AS score")
+    assert [(r.conv_id, r.turn) for r in abuse.offending_messages(df, "conv_id", "messages").collect()] == [(1, 0)]
+    assert [(r.source, r.messages, r.offending) for r in abuse.offence_rates(df, "conv_id", "messages").collect()] == [("a", 3, 1)]
+    assert abuse.offence_rates(df.limit(0), "conv_id", "messages").collect() == []
+
+
+@pytest.mark.parametrize(
+    "text, is_spam",
+    [
+        (PROSE, False), ("cheap lamp, lamp sale, buy lamp online, lamp store, best lamp price, lamp near me, lamp free shipping", True),
+        ("\n".join(f"https://a{i}.example/x" for i in range(20)), True), ("\n".join(f"[buy lamp {i}](https://a{i}.example/x)" for i in range(20)), True),
+        ("#lamp_sale #cheaplamp #buylamp #lampstore #lamp_discount", True), ("Tags: lamp, sofa, lamp, lamp, sofa, chair, lamp, sofa", True),
+        ("lamp  sofa!  lamp  lamp.  sofa  lamp ★  sofa  lamp  lamp  sofa  lamp!  lamp  sofa", True),
+        ("- apples\n- pears\n- a bag of beans\n- bread", False), ("name;date;price\nlamp;2020-01-02;12.50\nsofa;2021-03-04;99.00", False),
+        (PROSE + " https://a.example/x\n" + PROSE + " https://b.example/x", False), (PROSE + "\n" + PROSE + "\nTags: lamp, sofa", False), ("def f(x):\n    return x + 1\n", False),
+    ],
+)
+def test_spam(text, is_spam):
+    hit, total = spam.spam_characters(text)
+    assert (hit * 2 > total) is is_spam
+
+
+def test_curves_are_those_of_brute_force(spark):
+    import numpy as np
+
+    text = "a a a a b b c c d e f g"
+    pages = spam.page_profiles(spark.createDataFrame([(1, text), (2, "x"), (3, None), (None, "")], "doc_id bigint, text string"), "doc_id", "text")
+    got = {r.doc_id: r for r in spam.rank_frequency(pages, "doc_id").collect()}
+    x, y = np.log([1, 2.5, 2.5, 5.5, 5.5, 5.5, 5.5]), np.log([4, 2, 2, 1, 1, 1, 1])
+    slope, intercept = np.polyfit(x, y, 1)
+    assert math.isclose(got[1].slope, slope, rel_tol=1e-9)
+    assert math.isclose(got[1].residual, np.sqrt(((y - slope * x - intercept) ** 2).mean()), rel_tol=1e-6)
+    assert got[2].slope == 0 and got[3].slope == 0 and len(got) == 4
+
+
+def test_spam_pages_of_odd_rows(spark):
+    rows = [(i, PROSE + f" Page {i} of the museum has another line, as the guide says.") for i in range(60)] + [(100, "cheap lamp, lamp sale, " * 30), (100, "cheap lamp, lamp sale, " * 30), (101, None), (102, ""), (None, "#a_b #c_d #e_f " * 9)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "1 AS words", "'x' AS spectrum")
+    assert {r.doc_id for r in spam.spam_pages(df, "doc_id", "text").collect()} == {100, None}
+    assert spam.spam_pages(df.limit(0), "doc_id", "text").collect() == []

@@ -175,9 +175,9 @@ def _path(costs: np.ndarray) -> list[int]:
 
 
 def segment(text: str, model: Profiles) -> list[tuple[int, int, str, float]]:
-    """(first word, words, language, confidence) of each run of one language; none for a text without words."""
+    """(first word, words, language, confidence) of each run of one language; none for a text without words, or without profiles."""
     pieces = pieces_of(text.lower())
-    if not pieces:
+    if not pieces or not model.languages:
         return []
     ids = model.word_ids([w for p in pieces for w in p])
     sizes = [len(p) for p in pieces]

@@ -143,7 +143,7 @@ class Languages:
     def differ(self, question: str, answer: str) -> bool:
         asked, grams_asked, words_asked = self.costs(question)
         said, grams_said, words_said = self.costs(answer)
-        if min(words_asked, words_said) < self.LEAST_WORDS:
+        if min(words_asked, words_said) < self.LEAST_WORDS or not self.model.languages:
             return False
         of_question, of_answer = int(asked.argmin()), int(said.argmin())
         if of_question == of_answer:

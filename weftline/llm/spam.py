@@ -60,15 +60,25 @@ def _prose_like(text: str, words: list[str]) -> bool:
     return len(words) >= 4 and TERMINAL.search(text) is not None and sum(map(_FREQUENT.__contains__, words)) >= 0.12 * len(words)
 
 
+#: Words of which each offer phrase has one, and marks and words of which each price has one.
+_PHRASE_HINTS = frozenset(
+    "best lowest top cheapest near shipping melhor melhores grátis gratis mejor mejores bester beste besten meilleur meilleurs pas ligne gratuite दाम डिलीवरी দাম ডেলিভারি".split()
+)
+_PRICE_MARKS = re.compile(r"[$€£₹¥★%]|\b(?:sku|usd|eur|reais)\b", re.I)
+
+
 def _is_offer(text: str, words: list[str]) -> bool:
     """Keywords or phrases of offers rather than a sentence."""
     n = len(words)
+    priced = _PRICE_MARKS.search(text) is not None
     if n == 0:
-        return _PRICE.search(text) is not None and len(_PRICE.sub("", text).split()) <= 2
-    hits = sum(map(OFFER_WORDS.__contains__, words)) + len(_OFFER_PHRASES.findall(text)) + len(_PRICE.findall(text))
-    if not hits or _prose_like(text, words):
-        return False
-    return hits * 7 >= n
+        return priced and _PRICE.search(text) is not None and len(_PRICE.sub("", text).split()) <= 2
+    hits = sum(map(OFFER_WORDS.__contains__, words))
+    if not _PHRASE_HINTS.isdisjoint(words):
+        hits += len(_OFFER_PHRASES.findall(text))
+    if priced:
+        hits += len(_PRICE.findall(text))
+    return hits * 7 >= n and hits > 0 and not _prose_like(text, words)
 
 
 def _is_stuffed(words: list[str]) -> bool:
@@ -159,6 +169,7 @@ def page_profiles(df: DataFrame, key: str, text: str) -> DataFrame:
 
     ``spectrum`` has the numbers of distinct words by their frequency in the page, ``frequent`` the words that bind
     sentences, ``spam`` and ``total`` visible characters. Null, empty and blank pages have language ``und`` and zeros.
+    Rows of a key are taken as one page delivered again.
     """
     kind = df.schema[key].dataType.simpleString()
     source = df.select(F.col(f"`{key}`").alias(key), string_column(text).alias("_text"))
@@ -186,7 +197,7 @@ def page_profiles(df: DataFrame, key: str, text: str) -> DataFrame:
             names=[key, "language", "words", "frequent", "spectrum", "spam", "total"],
         )
 
-    return map_batches(source, profile, f"`{key}` {kind}, language string, words int, frequent int, spectrum array<struct<times:int,n:int>>, spam bigint, total bigint")
+    return map_batches(source, profile, f"`{key}` {kind}, language string, words int, frequent int, spectrum array<struct<times:int,n:int>>, spam bigint, total bigint").dropDuplicates([key])
 
 
 def rank_frequency(pages: DataFrame, key: str) -> DataFrame:
@@ -216,32 +227,39 @@ def rank_frequency(pages: DataFrame, key: str) -> DataFrame:
 def page_deviations(pages: DataFrame, key: str) -> DataFrame:
     """``pages`` with ``deviation``: the largest of slope's, residual's and divergence's distance from the median, in median deviations.
 
-    The medians are those of the language and of lengths up to twice as long; of the length alone where fewer than
-    ``LEAST_PAGES`` pages share both, or the language is unknown. The divergence is that of the share of frequent words
-    from the pages' median share (Kullback and Leibler), on the side of too few.
+    The medians are those of pages of the language and of lengths up to twice as long; where fewer than ``LEAST_PAGES``
+    share both, or the language is unknown, of the length alone; where these are too few, of all pages. Without so many
+    pages at all the deviation is infinite. The divergence is that of the share of frequent words from the pages'
+    median share (Kullback and Leibler), on the side of too few.
     """
-    curves = checkpoint(rank_frequency(pages, key).drop("spectrum").withColumn("_length", F.floor(F.log2(F.col("words") + 1)).cast("int")))
+    pages = checkpoint(pages)
     share = (F.col("frequent") + 0.5) / (F.col("words") + 1)
-    curves = curves.withColumn("_share", share)
+    length = F.floor(F.log2(F.col("words") + 1)).cast("int")
+    curves = checkpoint(rank_frequency(pages, key).drop("spectrum").withColumn("_length", length).withColumn("_share", share))
+    measured = ("slope", "residual", "_share")
 
     def medians(by: list[str], mark: str) -> DataFrame:
         return curves.groupBy(*by).agg(
-            F.count("*").alias(f"{mark}n"),
-            *(F.percentile_approx(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 10_000).alias(f"{mark}{c}") for c in ("slope", "residual", "_share")),
+            F.count("*").alias(f"{mark}n"), *(F.percentile_approx(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 10_000).alias(f"{mark}{c}") for c in measured)
         )
 
-    own = medians(["language", "_length"], "a")
-    same = medians(["_length"], "b")
-    joined = curves.join(F.broadcast(own), ["language", "_length"], "left").join(F.broadcast(same), ["_length"], "left")
+    # At most one row for each language and power of two, and one in all.
+    joined = (
+        curves.join(F.broadcast(medians(["language", "_length"], "a")), ["language", "_length"], "left")
+        .join(F.broadcast(medians(["_length"], "b")), ["_length"], "left")
+        .join(F.broadcast(medians([], "c")))
+    )
     alike = (F.col("an") >= LEAST_PAGES) & (F.col("language") != "und")
 
+    def quartiles(c: str) -> tuple[F.Column, F.Column]:
+        q = F.when(alike, F.col(f"a{c}")).when(F.col("bn") >= LEAST_PAGES, F.col(f"b{c}")).otherwise(F.col(f"c{c}"))
+        return q[1], F.greatest((q[2] - q[0]) / 2, F.lit(0.01))
+
     def distance(c: str) -> F.Column:
-        q = F.when(alike, F.col(f"a{c}")).otherwise(F.col(f"b{c}"))
-        spread = F.greatest((q[2] - q[0]) / 2, F.lit(0.01))
-        return F.abs(F.col(c) - q[1]) / spread
+        middle, spread = quartiles(c)
+        return F.abs(F.col(c) - middle) / spread
 
-    q = F.when(alike, F.col("a_share")).otherwise(F.col("b_share"))
-    middle, spread = q[1], F.greatest((q[2] - q[0]) / 2, F.lit(0.01))
+    middle, spread = quartiles("_share")
 
     def divergence(p: F.Column) -> F.Column:
         p = F.least(F.greatest(p, F.lit(0.001)), F.lit(0.999))
@@ -249,7 +267,7 @@ def page_deviations(pages: DataFrame, key: str) -> DataFrame:
         return p * F.ln(p / m) + (1 - p) * F.ln((1 - p) / (1 - m))
 
     few = F.when(F.col("_share") < middle, divergence(F.col("_share")) / F.greatest(divergence(middle - spread), F.lit(1e-6))).otherwise(0.0)
-    deviation = F.greatest(distance("slope"), distance("residual"), F.sqrt(few))
+    deviation = F.when(F.col("cn") < LEAST_PAGES, F.lit(float("inf"))).otherwise(F.greatest(distance("slope"), distance("residual"), F.sqrt(few)))
     return joined.withColumn("deviation", deviation).select(*curves.drop("_length", "_share").columns, "deviation")
 
 
@@ -259,4 +277,4 @@ def spam_pages(df: DataFrame, key: str, text: str, extreme: float = EXTREME) ->
     Only pages that deviate by ``extreme`` or more in their rank-frequency curve are looked at.
     """
     rows = page_deviations(page_profiles(df, key, text), key)
-    return rows.where((F.col("deviation") >= extreme) & (F.col("spam") * 2 > F.col("total"))).select(key).distinct()
+    return rows.where((F.col("deviation") >= extreme) & (F.col("spam") * 2 > F.col("total"))).select(key)
