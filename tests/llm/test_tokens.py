@@ -12,12 +12,12 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from weftline.functions.checkpoints import checkpoint
 from weftline.llm.bpe import encoder, independent_chunks, load_ranks, merge_bytes, vocabulary_path
 from weftline.llm.budget import token_budget, token_counts
-from weftline.llm.common import checkpoint
 from weftline.llm.encode import encode_texts
 from weftline.llm.packing import pack_documents, pack_histogram, pack_sizes
-from weftline.llm.ranks import exact_ranks
+from weftline.functions.ranks import exact_ranks
 
 ENCODER = encoder(vocabulary_path())
 REFERENCE = tiktoken.Encoding("t", pat_str=P.PATTERN, mergeable_ranks=load_ranks(vocabulary_path()), special_tokens={})

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,30 +12,6 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder that the session names in ``spark.checkpoint.dir``; in local mode only, make one where it is unset."""
-    context = spark.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isEmpty():
-        return
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not context.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        folder = os.path.join(tempfile.gettempdir(), "weftline-checkpoints")
-    context.setCheckpointDir(folder)
-
-
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` with a reliable checkpoint."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def latest_per_key(df: DataFrame, key: str) -> DataFrame:
-    """One row per ``key``; rows delivered twice differ in delivery time only, so any of them will do."""
-    return df.dropDuplicates([key])
-
-
 def map_batches(df: DataFrame, function, schema: str) -> DataFrame:
     """``mapInArrow`` over ``df``: ``function`` turns one record batch into one record batch or a list of them."""
 

@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .budget import token_counts
-from .common import checkpoint, map_batches, raw
-from .ranks import exact_ranks
+from ..functions.checkpoints import checkpoint
+from .common import map_batches, raw
+from ..functions.ranks import exact_ranks
 
 CAPACITY = 4096
 

@@ -14,7 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpoint, column, map_batches, raw, string_column
+from ..functions.checkpoints import checkpoint
+from .common import column, map_batches, raw, string_column
 from .lang import FREQUENT
 from .prose import LETTERS, TERMINAL, visible
 
@@ -243,16 +244,15 @@ def page_deviations(pages: DataFrame, key: str) -> DataFrame:
             F.count("*").alias(f"{mark}n"), *(F.percentile_approx(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 10_000).alias(f"{mark}{c}") for c in measured)
         )
 
-    # At most one row for each language and power of two, and one in all.
-    joined = (
-        curves.join(F.broadcast(medians(["language", "_length"], "a")), ["language", "_length"], "left")
-        .join(F.broadcast(medians(["_length"], "b")), ["_length"], "left")
-        .join(F.broadcast(medians([], "c")))
+    # At most one row for each language and power of two, and one in all, which goes in as constants.
+    overall = medians([], "c").first()
+    joined = curves.join(F.broadcast(medians(["language", "_length"], "a")), ["language", "_length"], "left").join(
+        F.broadcast(medians(["_length"], "b")), ["_length"], "left"
     )
     alike = (F.col("an") >= LEAST_PAGES) & (F.col("language") != "und")
 
     def quartiles(c: str) -> tuple[F.Column, F.Column]:
-        q = F.when(alike, F.col(f"a{c}")).when(F.col("bn") >= LEAST_PAGES, F.col(f"b{c}")).otherwise(F.col(f"c{c}"))
+        q = F.when(alike, F.col(f"a{c}")).when(F.col("bn") >= LEAST_PAGES, F.col(f"b{c}")).otherwise(F.array(*map(F.lit, overall[f"c{c}"] or (0.0, 0.0, 0.0))))
         return q[1], F.greatest((q[2] - q[0]) / 2, F.lit(0.01))
 
     def distance(c: str) -> F.Column:
@@ -267,7 +267,7 @@ def page_deviations(pages: DataFrame, key: str) -> DataFrame:
         return p * F.ln(p / m) + (1 - p) * F.ln((1 - p) / (1 - m))
 
     few = F.when(F.col("_share") < middle, divergence(F.col("_share")) / F.greatest(divergence(middle - spread), F.lit(1e-6))).otherwise(0.0)
-    deviation = F.when(F.col("cn") < LEAST_PAGES, F.lit(float("inf"))).otherwise(F.greatest(distance("slope"), distance("residual"), F.sqrt(few)))
+    deviation = F.greatest(distance("slope"), distance("residual"), F.sqrt(few)) if overall["cn"] >= LEAST_PAGES else F.lit(float("inf"))
     return joined.withColumn("deviation", deviation).select(*curves.drop("_length", "_share").columns, "deviation")
 
 

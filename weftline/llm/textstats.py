@@ -14,10 +14,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, column, map_batches, raw, string_column
+from ..functions.checkpoints import checkpoint
+from .common import column, map_batches, raw, string_column
 from .lang import FREQUENT
 from .prose import TERMINAL, parts
-from .ranks import exact_ranks
+from ..functions.ranks import exact_ranks
 
 GRID = 1000
 #: The statistics: ratios are times GRID; counts are logarithms, GRID being 2**20.
