@@ -153,7 +153,7 @@ def loops(text: str | None, same: int = 8, unique: float = 0.15, window: int = 3
     return False
 
 
-@pandas_udf("boolean")
+@pandas_udf(T.BooleanType())
 def has_loops(texts: pd.Series) -> pd.Series:
     """``loops`` for a column; null and empty texts have none."""
     return texts.map(loops).astype(bool)

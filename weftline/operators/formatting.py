@@ -10,6 +10,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 #: Patterns and stand-ins of e-mail addresses and of IPv4 addresses that are no private or local ones.
@@ -63,13 +64,13 @@ def repaired(text: str | None) -> str | None:
     return unicodedata.normalize("NFC", text)
 
 
-@pandas_udf("string")
+@pandas_udf(T.StringType())
 def repair_text(texts: pd.Series) -> pd.Series:
     """``repaired`` for a column; null stays null."""
     return texts.map(repaired, na_action="ignore")
 
 
-@pandas_udf("string")
+@pandas_udf(T.StringType())
 def nfkc(texts: pd.Series) -> pd.Series:
     """Unicode's compatibility composition; null stays null."""
     return texts.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")
@@ -160,7 +161,7 @@ def main_text(page: str | None, link_share: float = 0.5) -> str | None:
     return "\n".join(kept) or None
 
 
-@pandas_udf("string")
+@pandas_udf(T.StringType())
 def page_text(pages: pd.Series) -> pd.Series:
     """``main_text`` for a column."""
     return pages.map(main_text)
