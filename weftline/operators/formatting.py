@@ -27,18 +27,18 @@ _CONTROLS = re.compile("[\x00-\x08\x0b\x0e-\x1f\x7f​﻿￹-￻]")
 _BROKEN = re.compile("[ÃÂâàð][\u0080-¿€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ]")
 
 
-def _bytes(text: str) -> bytes | None:
-    """The text as bytes of one-byte encodings, or None if a character has none."""
-    out = bytearray()
-    for c in text:
-        if ord(c) < 256:
-            out.append(ord(c))
-        else:
-            try:
-                out += c.encode("cp1252")
-            except UnicodeEncodeError:
-                return None
-    return bytes(out)
+_FOREIGN = re.compile(r"[^\x00-\x7f]+")
+
+
+def _decoded(run: re.Match) -> str:
+    """A run of characters beyond ASCII, decoded once more if it is UTF-8 that was read as a one-byte encoding."""
+    text = run.group()
+    if not _BROKEN.search(text):
+        return text
+    try:
+        return b"".join(bytes([ord(c)]) if ord(c) < 256 else c.encode("cp1252") for c in text).decode("utf-8")
+    except UnicodeError:
+        return text
 
 
 def repaired(text: str | None) -> str | None:
@@ -48,15 +48,10 @@ def repaired(text: str | None) -> str | None:
     if "<" not in text:
         text = html.unescape(text)
     for _ in range(3):
-        if not _BROKEN.search(text):
-            break
-        raw = _bytes(text)
-        if raw is None:
-            break
-        try:
-            text = raw.decode("utf-8")
-        except UnicodeDecodeError:
+        again = _FOREIGN.sub(_decoded, text)
+        if again == text:
             break
+        text = again
     text = _CONTROLS.sub("", text).replace("\r\n", "\n").replace("\r", "\n").replace("\x85", "\n").replace(" ", "\n").replace(" ", "\n")
     for mark, plain in QUOTES.items():
         if mark in text:

@@ -79,6 +79,11 @@ def in_unicode_ranges(text: Column, languages: Iterable[str], threshold: float =
     return F.coalesce(allowed_share(text, languages) >= threshold, F.lit(False))
 
 
+def _hits(tokens: Column, stop_words: list[str]) -> Column:
+    """How many of ``tokens`` are stop words."""
+    return F.size(F.filter(tokens, lambda w: w.isin(*stop_words)))
+
+
 def guessed_language(text: Column) -> Column:
     """The language most of whose stop words a text has, by code, the first in the alphabet among equals; null if it has none.
 
@@ -87,7 +92,7 @@ def guessed_language(text: Column) -> Column:
     tokens = word_tokens(F.lower(text))
     scores = F.array(
         *(
-            F.struct((F.size(F.filter(tokens, lambda w, ws=ws: w.isin(*ws)))).alias("hits"), F.lit(-i).alias("order"), F.lit(code).alias("code"))
+            F.struct(_hits(tokens, ws).alias("hits"), F.lit(-i).alias("order"), F.lit(code).alias("code"))
             for i, (code, ws) in enumerate(sorted(STOP_WORDS.items()))
         )
     )
@@ -116,7 +121,7 @@ def language_filter(df: DataFrame, text: str, languages: Iterable[str], backend:
 def with_language_scores(df: DataFrame, text: str, least: float = 0.01) -> DataFrame:
     """``df`` with ``language_scores``, a map from codes to shares of stop words of at least ``least``; no row is removed."""
     tokens = word_tokens(F.lower(F.col(text)))
-    hits = [F.size(F.filter(tokens, lambda w, ws=ws: w.isin(*ws))) for _, ws in sorted(STOP_WORDS.items())]
+    hits = [_hits(tokens, ws) for _, ws in sorted(STOP_WORDS.items())]
     total = sum(hits[1:], hits[0])
     entries = F.array(*(F.struct(F.lit(c).alias("key"), F.round(h / F.greatest(total, F.lit(1)), 6).alias("value")) for (c, _), h in zip(sorted(STOP_WORDS.items()), hits)))
     return df.withColumn("language_scores", F.map_from_entries(F.filter(entries, lambda e: (e["value"] >= least))))

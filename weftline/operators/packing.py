@@ -47,7 +47,7 @@ def concatenated(df: DataFrame, order: str, block: int, group: str | None = None
     end = F.least((F.col("block") + 1) * block - F.col("_offset"), F.col("_size"))
     cut = pieces.select(*by, "block", (F.col("_offset") + start).alias("_at"), *(F.slice(c, (start + 1).cast("int"), (end - start).cast("int")).alias(c) for c in columns))
     gathered = cut.groupBy(*by, "block").agg(F.sort_array(F.collect_list(F.struct("_at", *columns))).alias("_parts"))
-    whole = gathered.select(*by, "block", *(F.flatten(F.transform("_parts", lambda p, c=c: p[c])).alias(c) for c in columns))
+    whole = gathered.select(*by, "block", *(F.flatten(F.col(f"_parts.{c}")).alias(c) for c in columns))
     return whole.where(F.size(first) == block).withColumn("seq_lengths", F.lit(block))
 
 
