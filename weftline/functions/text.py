@@ -39,12 +39,19 @@ def sentences(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), r"(?U)(?<=[.!?।…])\s+"), lambda x: F.length(strip(x)) > 0)
 
 
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` worked out once, however often and in whatever lambda ``use`` has it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def ngrams(items: Column, n: int, separator: str = " ") -> Column:
     """All runs of ``n`` items, joined; none if there are fewer."""
-    return F.when(
-        F.size(items) >= n,
-        F.transform(F.sequence(F.lit(1), F.size(items) - (n - 1)), lambda i: F.array_join(F.slice(items, i, F.lit(n)), separator)),
-    ).otherwise(F.array().cast("array<string>"))
+    return bound(
+        items,
+        lambda w: F.when(
+            F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.array_join(F.slice(w, i, F.lit(n)), separator))
+        ).otherwise(F.array().cast("array<string>")),
+    )
 
 
 def ratio(part: Column, whole: Column) -> Column:

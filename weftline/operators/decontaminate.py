@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import bound
+
 
 def check_lengths(least: int, most: int, most_exchanged: int) -> None:
     """An error unless 1 <= least <= most and least <= most_exchanged."""
@@ -23,9 +25,9 @@ def reference_sequences(references: DataFrame, ids: str, least: int) -> DataFram
 
 
 def windows(ids: Column, least: int) -> Column:
-    """All runs of ``least`` ids."""
-    return F.when(
-        F.size(ids) >= least, F.transform(F.sequence(F.lit(1), F.size(ids) - (least - 1)), lambda i: F.slice(ids, i, F.lit(least)))
+    """All runs of ``least`` ids; null if there are fewer."""
+    return bound(
+        ids, lambda w: F.when(F.size(w) >= least, F.transform(F.sequence(F.lit(1), F.size(w) - (least - 1)), lambda i: F.slice(w, i, F.lit(least))))
     )
 
 

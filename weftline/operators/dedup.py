@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
 from ..functions.checkpoints import checkpoint
-from ..functions.text import ngrams, words
+from ..functions.text import bound, ngrams, words
 
 BANDS = 14
 ROWS = 8
@@ -40,9 +39,11 @@ def without_exact_duplicates(df: DataFrame, key: str, text: str) -> DataFrame:
 
 def shingle_hashes(text: Column, n: int = SHINGLE_WORDS) -> Column:
     """Distinct 64-bit hashes of runs of ``n`` words in lower case; the whole text's where it has fewer, none where it has none."""
-    w = words(F.lower(text))
-    grams = F.when(F.size(w) >= n, ngrams(w, n)).when(F.size(w) > 0, F.array(F.array_join(w, " ")))
-    return F.array_distinct(F.transform(F.coalesce(grams, F.array().cast("array<string>")), lambda g: F.xxhash64(g)))
+    def hashes(w: Column) -> Column:
+        grams = F.when(F.size(w) >= n, ngrams(w, n)).when(F.size(w) > 0, F.array(F.array_join(w, " ")))
+        return F.array_distinct(F.transform(F.coalesce(grams, F.array().cast("array<string>")), lambda g: F.xxhash64(g)))
+
+    return bound(words(F.lower(text)), hashes)
 
 
 def _coefficients(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -50,32 +51,40 @@ def _coefficients(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     return rng.integers(1, 1 << 61, n, dtype=np.uint64) | np.uint64(1), rng.integers(0, 1 << 61, n, dtype=np.uint64)
 
 
-def band_keys(bands: int = BANDS, rows: int = ROWS, seed: int = SEED):
-    """An Arrow function from an array of hashes to the keys of its MinHash bands; an empty array for none.
+def _band_values(hashes: np.ndarray, a: np.ndarray, b: np.ndarray, weights: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """A value for each band of one text.
 
     Every shingle is hashed once; the permutations are multiplications and additions modulo 2**64 of that hash.
     """
+    base = hashes.astype(np.int64).view(np.uint64)
+    signature = np.full(bands * rows, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for part in range(0, len(base), 4096):
+        mixed = base[part : part + 4096, None] * a + b
+        mixed ^= mixed >> np.uint64(29)
+        signature = np.minimum(signature, mixed.min(axis=0))
+    grid = signature.reshape(bands, rows)
+    return ((grid ^ (grid >> np.uint64(31))) * weights).sum(axis=1).view(np.int64)
+
 
-    @pandas_udf("array<bigint>")
-    def keys(hashes: pd.Series) -> pd.Series:
+def band_rows(df: DataFrame, key: str, text: str, bands: int = BANDS, rows: int = ROWS, seed: int = SEED) -> DataFrame:
+    """``src, band, value``: a row for each MinHash band of each text; texts without words have none."""
+    source = df.select(F.col(key).alias("src"), shingle_hashes(F.col(text)).alias("hashes"))
+
+    def run(batches):
         a, b = _coefficients(bands * rows, seed)
         weights, _ = _coefficients(rows, seed + 1)
-        out = []
-        with np.errstate(over="ignore"):
-            for own in hashes:
-                if own is None or len(own) == 0:
-                    out.append(np.zeros(0, dtype=np.int64))
-                    continue
-                base = np.asarray(own).astype(np.int64).view(np.uint64)
-                signature = np.full(bands * rows, np.iinfo(np.uint64).max, dtype=np.uint64)
-                for part in range(0, len(base), 4096):
-                    mixed = base[part : part + 4096, None] * a + b
-                    mixed ^= mixed >> np.uint64(29)
-                    signature = np.minimum(signature, mixed.min(axis=0))
-                out.append(((signature.reshape(bands, rows) ^ (signature.reshape(bands, rows) >> np.uint64(31))) * weights).sum(axis=1).view(np.int64))
-        return pd.Series(out)
-
-    return keys
+        for batch in batches:
+            lists = batch.column("hashes")
+            ends, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+            with np.errstate(over="ignore"):
+                made = [(i, _band_values(values[ends[i] : ends[i + 1]], a, b, weights, bands, rows)) for i in range(len(lists)) if ends[i + 1] > ends[i]]
+            if made:
+                at = np.repeat([i for i, _ in made], bands)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("src").take(pa.array(at)), pa.array(np.tile(np.arange(bands, dtype=np.int32), len(made))), pa.array(np.concatenate([v for _, v in made]))], names=["src", "band", "value"]
+                )
+
+    return source.mapInArrow(run, f"src {df.schema[key].dataType.simpleString()}, band int, value bigint")
 
 
 def detection_probability(similarity: float, bands: int = BANDS, rows: int = ROWS) -> float:
@@ -88,8 +97,7 @@ def candidate_edges(df: DataFrame, key: str, text: str, bands: int = BANDS, rows
 
     A band's texts are linked as a star, so edges grow as the texts do, whatever the size of a band.
     """
-    signatures = df.select(F.col(key).alias("src"), F.posexplode(band_keys(bands, rows)(shingle_hashes(F.col(text)))).alias("band", "value"))
-    signatures = checkpoint(signatures)
+    signatures = checkpoint(band_rows(df, key, text, bands, rows))
     centers = signatures.groupBy("band", "value").agg(F.min("src").alias("dst"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
     return signatures.join(centers, ["band", "value"]).where("src <> dst").select("src", "dst").distinct()
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from ..functions.text import lines, ratio, sum_of, words
+from ..functions.text import bound, lines, ratio, sum_of, words
 from .language import STOP_WORDS
 
 #: Published default limits of the rules, each of them an argument below.
@@ -148,8 +148,9 @@ def url_reason(url: Column, domains: Iterable[str] = (), words_: Iterable[str] =
     """Why an address is blocked: its domain or a parent of it, a banned word in it, or at least ``least_soft`` soft words; null if not."""
     low = F.lower(url)
     host = F.regexp_replace(F.regexp_extract(low, r"^(?:[a-z][a-z0-9+.\-]*://)?([^/?#:]+)", 1), r"^www\.", "")
-    parts = F.split(host, r"\.")
-    parents = F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts), F.lit(1))), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
+    parents = bound(
+        F.split(host, r"\."), lambda parts: F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts), F.lit(1))), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
+    )
     tokens = F.split(low, r"[^a-z0-9]+")
     blocked = F.arrays_overlap(parents, F.array(*map(F.lit, sorted(domains)))) if domains else F.lit(False)
     banned = F.arrays_overlap(tokens, F.array(*map(F.lit, sorted(words_)))) if words_ else F.lit(False)

@@ -131,6 +131,12 @@ def last_rows(df: DataFrame, key: str, order: str) -> DataFrame:
     return df.groupBy(key).agg(F.max_by(F.struct(*others), F.col(order)).alias("_last")).select(key, *(F.col(f"_last.{c}").alias(c) for c in others))
 
 
+def first_rows(df: DataFrame, key: str, order: str) -> DataFrame:
+    """The first row of each key, by ``order``; equal places fall to any one of them."""
+    others = [c for c in df.columns if c != key]
+    return df.groupBy(key).agg(F.min_by(F.struct(*others), F.col(order)).alias("_first")).select(key, *(F.col(f"_first.{c}").alias(c) for c in others))
+
+
 def emissions(df: DataFrame, nodes: int = 1, run: str = "run_id", order: str = "timestamp") -> DataFrame:
     """``runs, energy, emissions, hours`` over the last row of each run, times ``nodes``; energy and emissions to 6 places, hours to 4."""
     last = last_rows(df, run, order)
