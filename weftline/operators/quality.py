@@ -21,9 +21,9 @@ DUPLICATE_NGRAMS = ((5, 0.15), (6, 0.14), (7, 0.13), (8, 0.12), (9, 0.11), (10,
 LINE_ENDS = (".", "?", "!", '"', "'", "…", "।")
 
 
-def word_statistics(text: Column, stop_words: Iterable[str] = STOP_WORDS["en"]) -> dict[str, Column]:
-    """Columns of the word and line rules of a text."""
-    w, ls = words(text), lines(text)
+def word_statistics(text: Column, stop_words: Iterable[str] = STOP_WORDS["en"], w: Column | None = None, ls: Column | None = None) -> dict[str, Column]:
+    """Columns of the word rules of a text; ``w`` and ``ls`` are its words and lines, where they are at hand."""
+    w, ls = words(text) if w is None else w, lines(text) if ls is None else ls
     n = F.size(w)
     return {
         "n_words": n.cast("bigint"),
@@ -38,10 +38,10 @@ def word_statistics(text: Column, stop_words: Iterable[str] = STOP_WORDS["en"])
 
 def word_reason(
     text: Column, count: tuple[int, int] = WORD_COUNT, length: tuple[float, float] = WORD_LENGTH, symbols: float = 0.1, bullets: float = 0.9, ellipses: float = 0.3,
-    alpha: float = 0.8, least_stop_words: int = 2, stop_words: Iterable[str] = STOP_WORDS["en"],
+    alpha: float = 0.8, least_stop_words: int = 2, stop_words: Iterable[str] = STOP_WORDS["en"], w: Column | None = None, ls: Column | None = None,
 ) -> Column:
     """The first word rule that a text breaks, or null."""
-    s = word_statistics(text, stop_words)
+    s = word_statistics(text, stop_words, w, ls)
     rules = [
         ("few_words", s["n_words"] < count[0]), ("many_words", s["n_words"] > count[1]), ("short_words", s["mean_word_length"] < length[0]), ("long_words", s["mean_word_length"] > length[1]),
         ("symbols", s["symbol_ratio"] > symbols), ("bullets", s["bullet_lines"] > bullets), ("ellipses", s["ellipsis_lines"] > ellipses), ("few_letters", s["alpha_words"] < alpha),
@@ -50,9 +50,9 @@ def word_reason(
     return first_reason(rules)
 
 
-def line_statistics(text: Column, short_line: int = 30) -> dict[str, Column]:
-    """Columns of the line rules of a text."""
-    ls = lines(text)
+def line_statistics(text: Column, short_line: int = 30, w: Column | None = None, ls: Column | None = None) -> dict[str, Column]:
+    """Columns of the line rules of a text; ``w`` and ``ls`` as above."""
+    ls = lines(text) if ls is None else ls
     n = F.size(ls)
     trimmed = F.transform(ls, lambda x: F.regexp_replace(x, r"(?U)\s+$", ""))
     size = sum_of(ls, F.length)
@@ -61,15 +61,17 @@ def line_statistics(text: Column, short_line: int = 30) -> dict[str, Column]:
         "short_lines": ratio(F.size(F.filter(ls, lambda x: F.length(x) <= short_line)), n),
         "duplicate_lines": ratio(n - F.size(F.array_distinct(ls)), n),
         "duplicate_line_chars": ratio(size - sum_of(F.array_distinct(ls), F.length), size),
-        "newline_ratio": ratio(F.regexp_count(text, F.lit("\n")), F.size(words(text))),
+        "newline_ratio": ratio(F.regexp_count(text, F.lit("\n")), F.size(words(text) if w is None else w)),
     }
 
 
-def line_reason(text: Column, ended: float = 0.12, short: float = 999, duplicate_chars: float = 0.1, newlines: float = 0.3) -> Column:
+def line_reason(
+    text: Column, ended: float = 0.12, short: float = 999, duplicate_chars: float = 0.1, newlines: float = 0.3, w: Column | None = None, ls: Column | None = None
+) -> Column:
     """The first line rule that a text breaks, or null; a limit on a share of 1 or more switches its rule off."""
-    s = line_statistics(text)
+    s = line_statistics(text, w=w, ls=ls)
     return first_reason(
-        [("no_lines", F.size(lines(text)) == 0), ("unended_lines", s["ended_lines"] < ended), ("short_lines", s["short_lines"] > short), ("duplicate_characters", s["duplicate_line_chars"] > duplicate_chars), ("newlines", s["newline_ratio"] > newlines)]
+        [("no_lines", F.size(lines(text) if ls is None else ls) == 0), ("unended_lines", s["ended_lines"] < ended), ("short_lines", s["short_lines"] > short), ("duplicate_characters", s["duplicate_line_chars"] > duplicate_chars), ("newlines", s["newline_ratio"] > newlines)]
     )
 
 
@@ -115,10 +117,12 @@ def repetition_shares(top: tuple[tuple[int, float], ...] = TOP_NGRAMS, duplicate
     return shares
 
 
-def repetition_reason(text: Column, duplicate_lines: float = 0.3, top=TOP_NGRAMS, duplicate=DUPLICATE_NGRAMS) -> Column:
-    """The first repetition rule that a text breaks, or null; null texts break none."""
-    shares = repetition_shares(top, duplicate)(text)
-    rules = [("duplicate_lines", line_statistics(text)["duplicate_lines"] > duplicate_lines)]
+def repetition_reason(
+    text: Column, duplicate_lines: float = 0.3, top=TOP_NGRAMS, duplicate=DUPLICATE_NGRAMS, ls: Column | None = None, shares: Column | None = None
+) -> Column:
+    """The first repetition rule that a text breaks, or null; null texts break none. ``shares`` are those of its n-grams, where they are at hand."""
+    shares = repetition_shares(top, duplicate)(text) if shares is None else shares
+    rules = [("duplicate_lines", line_statistics(text, ls=ls)["duplicate_lines"] > duplicate_lines)]
     rules += [(f"top_{n}_gram", shares[f"top_{n}"] > limit) for n, limit in top]
     rules += [(f"duplicate_{n}_grams", shares[f"duplicate_{n}"] > limit) for n, limit in duplicate]
     return first_reason(rules)
@@ -135,8 +139,14 @@ def quality_reasons(df: DataFrame, text: str, repetition: bool = True, **limits)
     The statistics of removed rows need no other pass: they are counts of the reasons.
     """
     column = F.col(text)
-    rules = [line_reason(column), word_reason(column, **limits)]
-    return df.withColumn("reason", F.coalesce(*([repetition_reason(column)] if repetition else []), *rules))
+    # Words, lines and shares are columns of a step of their own, so that no rule works them out again.
+    rows = df.withColumn("_w", words(column)).withColumn("_l", lines(column))
+    if repetition:
+        rows = rows.withColumn("_shares", repetition_shares()(column))
+    w, ls = F.col("_w"), F.col("_l")
+    rules = [repetition_reason(column, ls=ls, shares=F.col("_shares"))] if repetition else []
+    rules += [line_reason(column, w=w, ls=ls), word_reason(column, w=w, ls=ls, **limits)]
+    return rows.withColumn("reason", F.coalesce(*rules)).drop("_w", "_l", "_shares")
 
 
 def reason_counts(df: DataFrame, *by: str, reason: str = "reason") -> DataFrame:

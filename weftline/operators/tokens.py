@@ -36,6 +36,8 @@ def _loaded(path: str):
 
             _LOADED[path] = sentencepiece.SentencePieceProcessor(model_file=path)
         else:
+            # Every task has a core of its own; threads beside it would only get in the way of others.
+            os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
             from tokenizers import Tokenizer
 
             made = Tokenizer.from_file(path)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.partitions import spread
 from ..functions.text import words
 from ..operators import decontaminate, dedup, dialogue, formatting, language, packing, prompts, quality, reports, routing, samples, splits, templates, tokens, verify
 from ..streaming import shards
@@ -22,9 +23,14 @@ def _read(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
+def _texts(spark: SparkSession, root: str, name: str = "documents") -> DataFrame:
+    """A table whose texts take more time than their reading."""
+    return spread(_read(spark, root, name))
+
+
 def _conversations(spark: SparkSession, root: str) -> DataFrame:
     """Each conversation once; a row delivered again differs in its time of delivery alone."""
-    return _read(spark, root, "conversations").dropDuplicates(["conv_id"])
+    return _texts(spark, root, "conversations").dropDuplicates(["conv_id"])
 
 
 def _dataset(spark: SparkSession, root: str) -> DataFrame:
@@ -33,8 +39,8 @@ def _dataset(spark: SparkSession, root: str) -> DataFrame:
 
 def corpus_quality(spark: SparkSession, root: str) -> DataFrame:
     """Documents, characters and removed documents of each language label, after the rules of Unicode ranges, lines and words."""
-    d = _read(spark, root, "documents")
-    s = quality.word_statistics(F.col("text"))
+    d = _texts(spark, root).withColumn("w", words(F.col("text")))
+    s = quality.word_statistics(F.col("text"), w=F.col("w"))
     bad = quality.first_reason(
         [("language", ~language.in_unicode_ranges(F.col("text"), LANGUAGES_KEPT)), ("few_words", s["n_words"] < 20), ("short_words", s["mean_word_length"] < 3), ("long_words", s["mean_word_length"] > 10), ("few_letters", s["alpha_words"] < 0.8)]
     )
@@ -45,15 +51,15 @@ def corpus_quality(spark: SparkSession, root: str) -> DataFrame:
 
 
 def unicode_language_filter(spark: SparkSession, root: str) -> DataFrame:
-    return language.language_filter(_read(spark, root, "documents"), "text", LANGUAGES_KEPT).select("doc_id", F.round(language.allowed_share(F.col("text"), LANGUAGES_KEPT), 6).alias("share"))
+    return language.language_filter(_texts(spark, root), "text", LANGUAGES_KEPT).select("doc_id", F.round(language.allowed_share(F.col("text"), LANGUAGES_KEPT), 6).alias("share"))
 
 
 def unicode_language_filter_excluded(spark: SparkSession, root: str) -> DataFrame:
-    return language.language_filter(_read(spark, root, "documents"), "text", LANGUAGES_KEPT, excluded=True).select("doc_id")
+    return language.language_filter(_texts(spark, root), "text", LANGUAGES_KEPT, excluded=True).select("doc_id")
 
 
 def guessed_languages(spark: SparkSession, root: str) -> DataFrame:
-    return _read(spark, root, "documents").select("doc_id", language.guessed_language(F.col("text")).alias("guess"))
+    return _texts(spark, root).select("doc_id", language.guessed_language(F.col("text")).alias("guess"))
 
 
 def language_score_filter(spark: SparkSession, root: str) -> DataFrame:
@@ -87,21 +93,21 @@ def old_and_new_totals(spark: SparkSession, root: str) -> DataFrame:
 def quality_words(spark: SparkSession, root: str) -> DataFrame:
     s = quality.word_statistics(F.col("text"))
     rounded = {k: F.round(v, 6) if k not in ("n_words", "stop_words") else v for k, v in s.items()}
-    return _read(spark, root, "documents").where("text IS NOT NULL").select("doc_id", *(v.alias(k) for k, v in rounded.items() if k not in ("symbol_ratio",)))
+    return _texts(spark, root).where("text IS NOT NULL").select("doc_id", *(v.alias(k) for k, v in rounded.items() if k not in ("symbol_ratio",)))
 
 
 def quality_lines(spark: SparkSession, root: str) -> DataFrame:
     s = quality.line_statistics(F.col("text"))
-    return _read(spark, root, "documents").where("text IS NOT NULL").select("doc_id", *(F.round(v, 6).alias(k) for k, v in s.items() if k != "newline_ratio"))
+    return _texts(spark, root).where("text IS NOT NULL").select("doc_id", *(F.round(v, 6).alias(k) for k, v in s.items() if k != "newline_ratio"))
 
 
 def quality_reason_counts(spark: SparkSession, root: str) -> DataFrame:
     """The whole chain, repetition with it."""
-    return quality.reason_counts(quality.quality_reasons(_read(spark, root, "documents"), "text"), "lang")
+    return quality.reason_counts(quality.quality_reasons(_texts(spark, root), "text"), "lang")
 
 
 def repetition_shares(spark: SparkSession, root: str) -> DataFrame:
-    return _read(spark, root, "documents").select("doc_id", quality.repetition_shares()(F.col("text")).alias("s")).select("doc_id", "s.*")
+    return _texts(spark, root).select("doc_id", quality.repetition_shares()(F.col("text")).alias("s")).select("doc_id", "s.*")
 
 
 def url_filter(spark: SparkSession, root: str) -> DataFrame:
@@ -110,11 +116,11 @@ def url_filter(spark: SparkSession, root: str) -> DataFrame:
 
 
 def pii_masking(spark: SparkSession, root: str) -> DataFrame:
-    return _read(spark, root, "documents").select("doc_id", formatting.masked(F.col("text")).alias("text"))
+    return _texts(spark, root).select("doc_id", formatting.masked(F.col("text")).alias("text"))
 
 
 def repaired_text(spark: SparkSession, root: str) -> DataFrame:
-    return _read(spark, root, "documents").select("doc_id", formatting.repair_text(F.col("text")).alias("text"))
+    return _texts(spark, root).select("doc_id", formatting.repair_text(F.col("text")).alias("text"))
 
 
 def symbol_lines(spark: SparkSession, root: str) -> DataFrame:
@@ -122,7 +128,7 @@ def symbol_lines(spark: SparkSession, root: str) -> DataFrame:
 
 
 def page_text(spark: SparkSession, root: str) -> DataFrame:
-    return _read(spark, root, "documents").select("doc_id", formatting.page_text(F.col("text")).alias("text"))
+    return _texts(spark, root).select("doc_id", formatting.page_text(F.col("text")).alias("text"))
 
 
 def exact_dedup(spark: SparkSession, root: str) -> DataFrame:
@@ -130,7 +136,7 @@ def exact_dedup(spark: SparkSession, root: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, root: str) -> DataFrame:
-    return dedup.near_duplicates(_read(spark, root, "documents"), "doc_id", "text")
+    return dedup.near_duplicates(_texts(spark, root), "doc_id", "text")
 
 
 def _word_rows(df: DataFrame, key: str) -> DataFrame:
@@ -258,7 +264,7 @@ def pack_best_fit(spark: SparkSession, root: str) -> DataFrame:
 
 
 def tokenized_documents(spark: SparkSession, root: str) -> DataFrame:
-    return tokens.tokenized(_read(spark, root, "documents").select("doc_id", "text"), "text", tokens.tokenizer_path(), bos=50256, eos=50256, most_length=4096).select("doc_id", "seq_lengths")
+    return tokens.tokenized(_texts(spark, root).select("doc_id", "text"), "text", tokens.tokenizer_path(), bos=50256, eos=50256, most_length=4096).select("doc_id", "seq_lengths")
 
 
 def tokenized_chats(spark: SparkSession, root: str) -> DataFrame:
@@ -267,7 +273,7 @@ def tokenized_chats(spark: SparkSession, root: str) -> DataFrame:
 
 
 def token_chunks(spark: SparkSession, root: str) -> DataFrame:
-    return tokens.exploded_chunks(_read(spark, root, "documents").select("doc_id", "text"), "text", tokens.tokenizer_path(), 512).select("doc_id", "chunk", F.length("chunk_text").alias("n"))
+    return tokens.exploded_chunks(_texts(spark, root).select("doc_id", "text"), "text", tokens.tokenizer_path(), 512).select("doc_id", "chunk", F.length("chunk_text").alias("n"))
 
 
 def tokenizer_metrics(spark: SparkSession, root: str) -> DataFrame:
@@ -281,7 +287,7 @@ def prompt_budget(spark: SparkSession, root: str) -> DataFrame:
 
 
 def failure_reasons(spark: SparkSession, root: str) -> DataFrame:
-    return _read(spark, root, "documents").where("text IS NOT NULL").select("doc_id", prompts.failure(F.col("text")).alias("reason"))
+    return _texts(spark, root).where("text IS NOT NULL").select("doc_id", prompts.failure(F.col("text")).alias("reason"))
 
 
 def word_frequencies(spark: SparkSession, root: str) -> DataFrame:
@@ -330,7 +336,7 @@ def answer_rewards(spark: SparkSession, root: str) -> DataFrame:
 
 
 def needles(spark: SparkSession, root: str) -> DataFrame:
-    return samples.haystacks(_read(spark, root, "documents"), "doc_id", "text")
+    return samples.haystacks(_texts(spark, root), "doc_id", "text")
 
 
 def generated_instructions(spark: SparkSession, root: str) -> DataFrame:
