@@ -6,10 +6,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.partitions import spread
+
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Table ``name`` below ``root``, one parquet file or a folder of them."""
-    return spark.read.parquet(f"{root}/{name}.parquet")
+    """Table ``name`` below ``root``, one parquet file or a folder of them; a table of a single small file is spread over all cores."""
+    return spread(spark.read.parquet(f"{root}/{name}.parquet"))
 
 
 def map_batches(df: DataFrame, function, schema: str) -> DataFrame:
