@@ -11,6 +11,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 IGNORED = -100
@@ -28,6 +29,10 @@ def tokenizer_path(name: str = "byte_bpe_50k.json", folder: str | None = None) -
     return os.path.join(folder, name)
 
 
+#: The splitting pattern of the byte-level rank files.
+RANK_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
 def _loaded(path: str):
     """The tokenizer of a file, once for each Python worker."""
     if path not in _LOADED:
@@ -35,6 +40,14 @@ def _loaded(path: str):
             import sentencepiece
 
             _LOADED[path] = sentencepiece.SentencePieceProcessor(model_file=path)
+        elif path.endswith(".tiktoken"):
+            import base64
+
+            import tiktoken
+
+            with open(path, "rb") as lines:
+                ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
+            _LOADED[path] = tiktoken.Encoding(os.path.basename(path), pat_str=RANK_PATTERN, mergeable_ranks=ranks, special_tokens={})
         else:
             # Every task has a core of its own; threads beside it would only get in the way of others.
             os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -50,9 +63,26 @@ def _encode(path: str, texts: list[str]) -> list[list[int]]:
     made = _loaded(path)
     if path.endswith(".model"):
         return made.encode(texts, num_threads=1)
+    if path.endswith(".tiktoken"):
+        return [made.encode_ordinary(t) for t in texts]
     return [e.ids for e in made.encode_batch(texts, add_special_tokens=False)]
 
 
+def with_token_ids(df: DataFrame, text: str, path: str, bos: int | None = None, eos: int | None = None, name: str = "input_ids") -> DataFrame:
+    """``df`` with the ids of its texts, between ``bos`` and ``eos`` where given; null texts count as empty.
+
+    A step of its own in the plan, so that a filter on the ids can't make the texts be encoded twice.
+    """
+    head, tail = ([bos] if bos is not None else []), ([eos] if eos is not None else [])
+
+    def run(batches):
+        for batch in batches:
+            ids = [head + own + tail for own in _encode(path, [t or "" for t in batch.column(text).to_pylist()])]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.list_(pa.int32()))], names=[*batch.schema.names, name])
+
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, T.ArrayType(T.IntegerType()))]))
+
+
 def token_ids(path: str, bos: int | None = None, eos: int | None = None):
     """An Arrow function from texts to their ids, between ``bos`` and ``eos`` where given; null texts count as empty."""
 
@@ -99,7 +129,7 @@ def mask_ids(pad: int | None, eos: int | None, bos: int | None, others: tuple[in
 
 def tokenized(df: DataFrame, text: str, path: str, bos: int | None = None, eos: int | None = None, most_length: int | None = None) -> DataFrame:
     """``df`` with ``input_ids, attention_mask, labels, seq_lengths``; rows longer than ``most_length`` are dropped."""
-    rows = df.withColumn("input_ids", token_ids(path, bos, eos)(F.col(text)))
+    rows = with_token_ids(df, text, path, bos, eos)
     rows = rows.withColumn("attention_mask", attention(F.col("input_ids"))).withColumn("labels", labels(F.col("input_ids"))).withColumn("seq_lengths", F.size("input_ids"))
     return rows if most_length is None else rows.where(F.col("seq_lengths") <= most_length)
 
@@ -134,26 +164,26 @@ def tokenized_chats(df: DataFrame, messages: str, path: str, start: str = "<|im_
     return rows.withColumn("seq_lengths", F.size("input_ids"))
 
 
-def text_chunks(path: str, most: int, once: bool = False):
-    """An Arrow function from texts to their decoded chunks of up to ``most`` ids; with ``once`` the first alone; null and empty texts have none."""
-
-    @pandas_udf("array<string>")
-    def chunks(texts: pd.Series) -> pd.Series:
-        made = _loaded(path)
-        out = []
-        for own in _encode(path, [t or "" for t in texts]):
-            parts = [own[i : i + most] for i in range(0, len(own), most)]
-            out.append([made.decode(p) for p in (parts[:1] if once else parts)])
-        return pd.Series(out)
-
-    return chunks
+def exploded_chunks(df: DataFrame, text: str, path: str, most: int, once: bool = False) -> DataFrame:
+    """A row for each decoded chunk of up to ``most`` ids of a text, ``chunk`` its number from 0, null where a text is a single chunk.
 
+    With ``once`` the first chunk alone is kept; null and empty texts have none.
+    """
 
-def exploded_chunks(df: DataFrame, text: str, path: str, most: int, once: bool = False) -> DataFrame:
-    """A row for each chunk of a text, ``chunk`` its number from 0, null where a text is a single chunk."""
-    rows = df.withColumn("_chunks", text_chunks(path, most, once)(F.col(text)))
-    rows = rows.select(*df.columns, F.size("_chunks").alias("_n"), F.posexplode("_chunks").alias("chunk", "chunk_text"))
-    return rows.withColumn("chunk", F.when(F.col("_n") > 1, F.col("chunk"))).drop("_n")
+    def run(batches):
+        for batch in batches:
+            made = _loaded(path)
+            at, numbers, parts = [], [], []
+            for row, own in enumerate(_encode(path, [t or "" for t in batch.column(text).to_pylist()])):
+                starts = range(0, min(len(own), most) if once else len(own), most)
+                for n, i in enumerate(starts):
+                    at.append(row)
+                    numbers.append(n if len(starts) > 1 else None)
+                    parts.append(made.decode(own[i : i + most]))
+            kept = batch.take(pa.array(at, pa.int32()))
+            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(numbers, pa.int32()), pa.array(parts, pa.string())], names=[*kept.schema.names, "chunk", "chunk_text"])
+
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField("chunk", T.IntegerType()), T.StructField("chunk_text", T.StringType())]))
 
 
 def tokenizer_metrics(df: DataFrame, text: str, paths: dict[str, str], unknown: dict[str, int] | None = None) -> DataFrame:

@@ -264,7 +264,7 @@ def pack_best_fit(spark: SparkSession, root: str) -> DataFrame:
 
 
 def tokenized_documents(spark: SparkSession, root: str) -> DataFrame:
-    return tokens.tokenized(_texts(spark, root).select("doc_id", "text"), "text", tokens.tokenizer_path(), bos=50256, eos=50256, most_length=4096).select("doc_id", "seq_lengths")
+    return tokens.tokenized(_texts(spark, root).select("doc_id", "text"), "text", tokens.tokenizer_path("byte_bpe_50k.tiktoken"), bos=50256, eos=50256, most_length=4096).select("doc_id", "seq_lengths")
 
 
 def tokenized_chats(spark: SparkSession, root: str) -> DataFrame:
@@ -273,7 +273,7 @@ def tokenized_chats(spark: SparkSession, root: str) -> DataFrame:
 
 
 def token_chunks(spark: SparkSession, root: str) -> DataFrame:
-    return tokens.exploded_chunks(_texts(spark, root).select("doc_id", "text"), "text", tokens.tokenizer_path(), 512).select("doc_id", "chunk", F.length("chunk_text").alias("n"))
+    return tokens.exploded_chunks(_texts(spark, root).select("doc_id", "text"), "text", tokens.tokenizer_path("byte_bpe_50k.tiktoken"), 512).select("doc_id", "chunk", F.length("chunk_text").alias("n"))
 
 
 def tokenizer_metrics(spark: SparkSession, root: str) -> DataFrame:
