@@ -157,6 +157,8 @@ def test_prompts(spark):
     assert [m.content for m in pair] == ["a"]
     made = prompts.rollouts(spark.createDataFrame([(1, "p"), (2, None)], "k int, prompt string"), "prompt", lambda ps: [[p + "!", p + "?"] for p in ps], ["k"], 1)
     assert {r.k: r.rollouts for r in made.collect()} == {1: ["p!", "p?"], 2: ["!", "?"]}
+    mixed = spark.createDataFrame([("s", [("a", "first"), ("b", "second")], 5), (None, [], None)], f"s string, m {M}, n int")
+    assert [[r[0] for r in mixed.select(prompts.completion_text(mixed, c)).collect()] for c in ("s", "m", "n")] == [["s", ""], ["first", ""], ["5", ""]]
     assert prompts.one_row_each(made, "rollouts", "r").count() == 4
     assert "Critique" in one(spark, "q", "string", lambda c: prompts.critique_prompt(c, c, "i")) and one(spark, "q", "string", lambda c: prompts.revision_prompt(c, c, c, "i")).endswith("Revision:")
 

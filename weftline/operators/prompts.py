@@ -29,6 +29,14 @@ def filled_template(template: str, text: Column, slot: str = "[[DOCUMENT]]") ->
     return F.replace(F.lit(template), F.lit(slot), F.coalesce(text, F.lit("")))
 
 
+def completion_text(df: DataFrame, column: str) -> Column:
+    """A completion as text, by its schema: a string itself, the first content of messages, else the value as a string; '' for null."""
+    kind = df.schema[column].dataType
+    if kind.typeName() == "array" and kind.elementType.typeName() == "struct" and "content" in kind.elementType.fieldNames():
+        return F.coalesce(F.try_element_at(F.col(column), F.lit(1))["content"], F.lit(""))
+    return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
 def within_budget(text: Column, context: int, most_tokens: int, margin: int = 512, chars_per_token: int = 3) -> Column:
     """Whether a prompt fits into what the answer leaves of the context, at so many characters a token."""
     return F.length(text) <= (context - most_tokens - margin) * chars_per_token

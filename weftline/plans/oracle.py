@@ -183,6 +183,17 @@ ORACLE: dict[str, str] = {
     "rare_words": f"SELECT word, count(*) AS n FROM (SELECT unnest(w) AS word FROM {_DOC_WORDS}) GROUP BY word ORDER BY n, word LIMIT 50",
     "last_deliveries": "SELECT id, max(ingested_at) AS ingested_at, arg_max(token_count, ingested_at) AS token_count FROM dataset GROUP BY id",
     "answer_checks": _answer_checks(),
+    "first_answers": f"SELECT conv_id, coalesce(messages[1].content, '') AS text FROM {_CONVERSATIONS}",
+    "evaluation_results": f"SELECT id AS model, 'task_acc' AS metric, language_score AS value FROM {_DATASET} WHERE language_score IS NOT NULL",
+    "classifier_scores": f"""WITH c AS (SELECT greatest(least(edu_int_score - 1, 4), 0)::INT AS l, greatest(least(round_even(round(language_score * 4, 3), 0), 4), 0)::INT AS p FROM {_DATASET} WHERE edu_int_score IS NOT NULL AND language_score IS NOT NULL),
+        k AS (SELECT l AS k FROM c UNION SELECT p FROM c), m AS (SELECT k, (SELECT count(*) FROM c WHERE l = k AND p = k) AS h, (SELECT count(*) FROM c WHERE l = k) AS n, (SELECT count(*) FROM c WHERE p = k) AS f FROM k),
+        s AS (SELECT h, n, CASE WHEN f > 0 THEN h / f ELSE 0 END AS p, CASE WHEN n > 0 THEN h / n ELSE 0 END AS r FROM m)
+        SELECT round(sum(h) / sum(n), 6) AS accuracy, round(avg(p), 6) AS precision, round(avg(r), 6) AS recall, round(avg(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END), 6) AS f1 FROM s""",
+    "filter_report": f"SELECT sum((NOT {_IN_RANGES})::INT)::BIGINT AS removed, sum({_IN_RANGES}::INT)::BIGINT AS remaining, round(sum((NOT {_IN_RANGES})::INT) * 100.0 / count(*), 2)::DOUBLE AS percent FROM documents",
+    "repeated_texts": """SELECT 'text' AS kind, md5(text) || ':' || length(text) AS value, count(*) AS n FROM documents WHERE text IS NOT NULL GROUP BY text HAVING count(*) > 1
+        UNION ALL SELECT 'url', url, count(*) FROM documents WHERE text IS NOT NULL AND url IS NOT NULL GROUP BY url HAVING count(*) > 1""",
+    "model_rates": """SELECT o_orderkey, round(128 * 4096 / (1.0 + o_orderkey % 7), 4)::DOUBLE AS tokens_per_second,
+        round(128 * 4096 / (1.0 + o_orderkey % 7)::DOUBLE * (6 * 5e7 + 12.0 * 10 * 8 * 64 * 4096) / 300e12, 8) AS mfu FROM orders""",
     "rate_schedule": """SELECT step, round(CASE WHEN step < 50 THEN step / 50.0 ELSE 0.1 + 0.9 * 0.5 * (1 + cos(pi() * least((step - 50) / 950.0, 1))) END, 6)::DOUBLE AS cosine,
         round(CASE WHEN step < 50 THEN step / 50.0 WHEN step < 800 THEN 1 ELSE 0.1 + 0.9 * (1 - sqrt((step - 800) / 200.0)) END, 6)::DOUBLE AS stable,
         CASE WHEN step < 50 THEN 'warmup' WHEN step < 800 THEN 'stable' ELSE 'decay' END AS stage FROM range(1000) t(step)""",

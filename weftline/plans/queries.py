@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.partitions import spread
 from ..functions.text import words
 from ..operators import decontaminate, dedup, dialogue, formatting, language, packing, prompts, quality, reports, routing, samples, splits, templates, tokens, verify
+from ..sources import loaders
 from ..streaming import shards
 
 LANGUAGES_KEPT = ("portuguese", "english", "spanish", "german", "french")
@@ -359,6 +360,39 @@ def generated_tool_calls(spark: SparkSession, root: str) -> DataFrame:
     return samples.generated(spark, 500, samples.tool_call)
 
 
+def first_answers(spark: SparkSession, root: str) -> DataFrame:
+    return _conversations(spark, root).select("conv_id", prompts.completion_text(_read(spark, root, "conversations"), "messages").alias("text"))
+
+
+def evaluation_results(spark: SparkSession, root: str) -> DataFrame:
+    """Scores of the rows as results of runs, in the nested JSON of an evaluation."""
+    d = _dataset(spark, root).where("language_score IS NOT NULL")
+    runs = d.select("id", F.to_json(F.create_map(F.lit("task"), F.create_map(F.lit("acc,none"), F.col("language_score").cast("string"), F.lit("alias"), F.lit("t")))).alias("j"))
+    return reports.evaluation_results(runs, "id", "j")
+
+
+def classifier_scores(spark: SparkSession, root: str) -> DataFrame:
+    made = reports.classifier_report(classifier_confusion(spark, root))
+    return made.select(*(F.round(c, 6).alias(c) for c in ("accuracy", "precision", "recall", "f1")))
+
+
+def filter_report(spark: SparkSession, root: str) -> DataFrame:
+    d = _texts(spark, root)
+    return reports.filter_report(d.withColumn("reason", F.when(~language.in_unicode_ranges(F.col("text"), LANGUAGES_KEPT), F.lit("language"))))
+
+
+def repeated_texts(spark: SparkSession, root: str) -> DataFrame:
+    rows = _read(spark, root, "documents").where("text IS NOT NULL")
+    return loaders.ambiguous(rows, text=dedup.same_text_key(F.col("text")), url=F.col("url")).where("value IS NOT NULL")
+
+
+def model_rates(spark: SparkSession, root: str) -> DataFrame:
+    """Rates of two training runs of known shape, per order as a stand-in for a run's table."""
+    runs = _read(spark, root, "orders").select("o_orderkey", *(F.lit(v).alias(k) for k, v in (("batch", 128), ("length", 4096), ("devices", 1), ("params", 5e7), ("layers", 10), ("heads", 8), ("head_size", 64))))
+    made = reports.with_rates(runs.withColumn("seconds", F.lit(1.0) + F.col("o_orderkey") % 7), reports.PEAK_FLOPS["a100"])
+    return made.select("o_orderkey", F.round("tokens_per_second", 4).alias("tokens_per_second"), F.round("mfu", 8).alias("mfu"))
+
+
 def rate_schedule(spark: SparkSession, root: str) -> DataFrame:
     made = reports.schedule(spark, 1000, 50, 200, 1.0, 0.1)
     return made.select("step", F.round("cosine", 6).alias("cosine"), F.round("stable", 6).alias("stable"), "stage")
@@ -383,6 +417,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         conversation_rules, conversation_code, conversation_reasons, chat_template, chat_template_reasoning, chat_plain, label_mask, token_prefix, array_split_chunks, mirrored_split_chunks,
         greedy_chunks, validation_split, stratified_split, remaining_rows, pack_concat, pack_best_fit, tokenized_documents, tokenized_chats, token_chunks, tokenizer_metrics, prompt_budget,
         failure_reasons, word_frequencies, rare_words, last_deliveries, answer_checks, answer_rewards, needles, generated_instructions, generated_word_lists, generated_arithmetic,
-        generated_emails, generated_tool_calls, rate_schedule, event_windows, event_sessions,
+        generated_emails, generated_tool_calls, first_answers, evaluation_results, classifier_scores, filter_report, repeated_texts, model_rates, rate_schedule, event_windows, event_sessions,
     )
 }
