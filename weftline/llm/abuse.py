@@ -162,6 +162,9 @@ class Lexicon:
         self.words: dict[str, str] = {}
         self.stems: dict[str, str] = {}
         self.by_length: dict[int, list[str]] = {}
+        #: The longest word of each phrase: a clause without any of them has no phrase.
+        self.keys: set[str] = set()
+        self.key_stems: list[str] = []
         for symbol, text in lexicon.items():
             for entry in text.split("|"):
                 self._add(symbol, _fold(" ".join(entry.split())))
@@ -179,9 +182,14 @@ class Lexicon:
             elif symbol not in self.words.get(word, ""):
                 self.words[word] = self.words.get(word, "") + symbol
             return
+        key = max(parts, key=len)
+        if key.endswith("*"):
+            self.key_stems.append(key[:-1])
+        else:
+            self.keys.add(key)
         node = self.trie
         for part in parts:
-            node = node.setdefault(part, {})
+            node = node.setdefault("*", {}).setdefault(part[:-1], {}) if part.endswith("*") else node.setdefault(part, {})
         node[""] = node.get("", "") + symbol
 
     def classes(self, word: str) -> str:
@@ -245,8 +253,8 @@ def classify(clause: str) -> list[str]:
                 j += 1
                 continue
             step = node.get(word)
-            if step is None:
-                step = next((n for k, n in node.items() if k.endswith("*") and len(k) > 1 and word.startswith(k[:-1])), None) if word else None
+            if step is None and word and "*" in node:
+                step = next((n for stem, n in node["*"].items() if word.startswith(stem)), None)
             if step is None:
                 break
             node = step
@@ -306,8 +314,23 @@ def message_score(text: str | None) -> float:
     return max((_clause(c) for c in _CLAUSES.split(text) if c), default=0.0)
 
 
-@lru_cache(maxsize=50_000)
+@lru_cache(maxsize=200_000)
+def _is_quiet(token: str) -> bool:
+    """Whether a token between blanks can't begin to trigger a pattern: neither by its classes nor as the key of a phrase."""
+    folded = _fold(token)
+    if _SPACED.search(folded):
+        return False
+    for part in _TOKEN.findall(folded):
+        word, found = _read(part)
+        if not _TRIGGERS.isdisjoint(found) or word in LEXICAL.keys or any(map(word.startswith, LEXICAL.key_stems)):
+            return False
+    return True
+
+
 def _clause(clause: str) -> float:
+    """Score of a clause; most have no token that could trigger anything, and are done with that."""
+    if all(map(_is_quiet, clause.lower().split())):
+        return 0.0
     return clause_score(classify(_fold(clause)))
 
 
