@@ -134,7 +134,7 @@ ORACLE: dict[str, str] = {
         round({share(total("ls", "length(x)") + " - " + total("list_distinct(ls)", "length(x)"), total("ls", "length(x)"))}, 6) AS duplicate_line_chars FROM a""",
     "url_filter": r"""WITH a AS (SELECT doc_id, regexp_split_to_array(lower(url), '[^a-z0-9]+') AS t, regexp_replace(regexp_extract(lower(url), '^(?:[a-z][a-z0-9+.\-]*://)?([^/?#:]+)', 1), '^www\.', '') AS host FROM documents WHERE url IS NOT NULL)
         SELECT doc_id, CASE WHEN host = 'example' OR ends_with(host, '.example') THEN 'domain' WHEN list_contains(t, 'casino') THEN 'banned_word' WHEN len(list_intersect(list_distinct(t), ['shop', 'online', 'id'])) >= 2 THEN 'soft_words' END AS reason FROM a""",
-    "symbol_lines": r"SELECT doc_id, length(array_to_string(list_filter(string_split(text, chr(10)), lambda x: NOT regexp_matches(x, '^\s*\|[\|\s]*$')), chr(10)))::BIGINT AS characters FROM documents",
+    "symbol_lines": r"SELECT doc_id, length(array_to_string(list_filter(string_split(text, chr(10)), lambda x: NOT regexp_matches(x, '^\s*\|[\|\s]*$')), chr(10)))::BIGINT AS characters FROM documents WHERE text IS NOT NULL",
     "exact_dedup": "SELECT doc_id, CASE WHEN text IS NULL THEN doc_id ELSE min(doc_id) OVER (PARTITION BY text) END AS representative FROM documents",
     "decontam_exact": f"{_GRAMS} SELECT DISTINCT id FROM own o JOIN refs r ON o.g = r.g",
     "decontam_one_exchange": f"""{_GRAMS} SELECT DISTINCT id FROM (SELECT o.id FROM own o JOIN refs r ON o.g[1:{_H}] = r.g[1:{_H}] WHERE {_OFF}
@@ -145,7 +145,7 @@ ORACLE: dict[str, str] = {
     "classifier_confusion": f"""SELECT greatest(least(edu_int_score - 1, 4), 0)::INT AS label, greatest(least(round_even(round(language_score * 4, 3), 0), 4), 0)::INT AS predicted, count(*) AS n
         FROM {_DATASET} WHERE edu_int_score IS NOT NULL AND language_score IS NOT NULL GROUP BY 1, 2""",
     "messages_flattened": f"SELECT conv_id, {_FLAT} AS text FROM {_CONVERSATIONS}",
-    "messages_without_system": f"SELECT conv_id, len(list_filter(messages, lambda m: coalesce(lower(m.role), '') <> 'system'))::BIGINT AS n FROM {_CONVERSATIONS}",
+    "messages_without_system": f"SELECT conv_id, coalesce(len(list_filter(messages, lambda m: coalesce(lower(m.role), '') <> 'system')), 0)::BIGINT AS n FROM {_CONVERSATIONS}",
     "messages_stripped": f"""SELECT conv_id, array_to_string(list_transform(messages, lambda m: {strip("coalesce(m.content, '')")}), '|') AS contents FROM {_CONVERSATIONS} WHERE messages IS NOT NULL""",
     "conversation_rules": rf"""SELECT conv_id, coalesce({_LAST} <> '' AND regexp_matches({_LAST}, '[.!?…$]["''»]*$'), false) AS ends,
         NOT regexp_matches({_FLAT}, '\\u[0-9a-fA-F]{{4}}|\\x[0-9a-fA-F]{{2}}') AS no_escapes, NOT regexp_matches({_FLAT}, '(?m)^#{{3,5}}\s*\d+') AS headings,
@@ -161,7 +161,7 @@ ORACLE: dict[str, str] = {
         ELSE '<|im_start|>' || coalesce(m.role, '') || chr(10) || coalesce(m.content, '') || '<|im_end|>' || chr(10) END), ''), '') || '<|im_start|>assistant' || chr(10) AS text FROM {_CONVERSATIONS}""",
     "chat_plain": f"SELECT conv_id, coalesce(array_to_string(list_filter(list_transform(messages, lambda m: m.content), lambda c: c IS NOT NULL), chr(10) || chr(10)), '') AS text FROM {_CONVERSATIONS}",
     "label_mask": f"SELECT doc_id, len(w)::BIGINT AS n, len(list_filter(w, lambda x: length(x) IN (1, 2, 3)))::BIGINT AS masked FROM {_DOC_WORDS}",
-    "token_prefix": "SELECT doc_id, n_chars FROM (SELECT doc_id, n_chars, sum(coalesce(n_chars, 0)) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING) AS s FROM documents) WHERE s <= 1000000",
+    "token_prefix": "SELECT doc_id, coalesce(n_chars, 0) AS n_chars FROM (SELECT doc_id, n_chars, sum(coalesce(n_chars, 0)) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING) AS s FROM documents) WHERE s <= 1000000",
     "array_split_chunks": f"""SELECT doc_id, (CASE WHEN r < (n % 7) * (n // 7 + 1) THEN r // (n // 7 + 1) ELSE n % 7 + (r - (n % 7) * (n // 7 + 1)) // greatest(n // 7, 1) END)::INT AS chunk FROM ({_numbered("doc_id")})""",
     "mirrored_split_chunks": f"SELECT doc_id, least(r // greatest(n // 7, 1), 6)::INT AS chunk FROM ({_numbered('doc_id')})",
     "greedy_chunks": """WITH RECURSIVE a AS (SELECT coalesce(source, 'none') AS file, doc_id, coalesce(n_chars, 0) AS n, row_number() OVER (PARTITION BY coalesce(source, 'none') ORDER BY doc_id) AS i FROM documents),
@@ -181,7 +181,7 @@ ORACLE: dict[str, str] = {
     "prompt_budget": "SELECT doc_id, (length(coalesce(text, '')) + 20)::BIGINT AS n FROM documents WHERE length(coalesce(text, '')) + 20 <= (2048 - 1024 - 512) * 3",
     "word_frequencies": f"SELECT word, count(*) AS n FROM (SELECT unnest(w) AS word FROM {_DOC_WORDS}) GROUP BY word ORDER BY n DESC, word LIMIT 50",
     "rare_words": f"SELECT word, count(*) AS n FROM (SELECT unnest(w) AS word FROM {_DOC_WORDS}) GROUP BY word ORDER BY n, word LIMIT 50",
-    "last_deliveries": "SELECT id, max(ingested_at) AS ingested_at, arg_max(token_count, ingested_at) AS token_count FROM dataset GROUP BY id",
+    "last_deliveries": "SELECT id, strftime(max(ingested_at), '%Y-%m-%d %H:%M:%S.%f') AS ingested_at, coalesce(arg_max(token_count, ingested_at), 0) AS token_count FROM dataset GROUP BY id",
     "answer_checks": _answer_checks(),
     "first_answers": f"SELECT conv_id, coalesce(messages[1].content, '') AS text FROM {_CONVERSATIONS}",
     "evaluation_results": f"SELECT id AS model, 'task_acc' AS metric, language_score AS value FROM {_DATASET} WHERE language_score IS NOT NULL",

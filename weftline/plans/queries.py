@@ -125,7 +125,7 @@ def repaired_text(spark: SparkSession, root: str) -> DataFrame:
 
 
 def symbol_lines(spark: SparkSession, root: str) -> DataFrame:
-    return _read(spark, root, "documents").select("doc_id", F.length(formatting.without_symbol_lines(F.col("text"))).cast("bigint").alias("characters"))
+    return _read(spark, root, "documents").where("text IS NOT NULL").select("doc_id", F.length(formatting.without_symbol_lines(F.col("text"))).cast("bigint").alias("characters"))
 
 
 def page_text(spark: SparkSession, root: str) -> DataFrame:
@@ -176,7 +176,7 @@ def messages_flattened(spark: SparkSession, root: str) -> DataFrame:
 
 
 def messages_without_system(spark: SparkSession, root: str) -> DataFrame:
-    return _conversations(spark, root).select("conv_id", F.size(dialogue.without_system(F.col("messages"))).cast("bigint").alias("n"))
+    return _conversations(spark, root).select("conv_id", F.coalesce(F.size(dialogue.without_system(F.col("messages"))), F.lit(0)).cast("bigint").alias("n"))
 
 
 def messages_stripped(spark: SparkSession, root: str) -> DataFrame:
@@ -220,7 +220,7 @@ def label_mask(spark: SparkSession, root: str) -> DataFrame:
 
 
 def token_prefix(spark: SparkSession, root: str) -> DataFrame:
-    return splits.token_prefix(_read(spark, root, "documents"), "doc_id", "n_chars", 1_000_000).select("doc_id", "n_chars")
+    return splits.token_prefix(_read(spark, root, "documents"), "doc_id", "n_chars", 1_000_000).select("doc_id", F.coalesce("n_chars", F.lit(0)).alias("n_chars"))
 
 
 def array_split_chunks(spark: SparkSession, root: str) -> DataFrame:
@@ -300,7 +300,8 @@ def rare_words(spark: SparkSession, root: str) -> DataFrame:
 
 
 def last_deliveries(spark: SparkSession, root: str) -> DataFrame:
-    return reports.last_rows(_read(spark, root, "dataset").select("id", "ingested_at", "token_count"), "id", "ingested_at")
+    made = reports.last_rows(_read(spark, root, "dataset").select("id", "ingested_at", "token_count"), "id", "ingested_at")
+    return made.select("id", F.date_format("ingested_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ingested_at"), F.coalesce("token_count", F.lit(0)).alias("token_count"))
 
 
 #: Checks with fixed parameters over all answers of assistants.
