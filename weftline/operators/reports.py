@@ -94,24 +94,25 @@ def classifier_report(counts: DataFrame) -> DataFrame:
     return scored.agg((F.sum("hits") / F.sum("labelled")).alias("accuracy"), F.avg("p").alias("precision"), F.avg("r").alias("recall"), F.avg("f").alias("f1"))
 
 
-def sections(df: DataFrame, order: str, line: str) -> DataFrame:
+def sections(df: DataFrame, order: str, line: str, by: tuple[str, ...] = ()) -> DataFrame:
     """``df`` with ``block`` and ``section`` of each line of a log: blocks end at ``---``, sections begin with ``[name]`` and end with their block.
 
-    Marks themselves, and blank lines, are left out. A log is one stream of lines by its order; a run's log is bounded.
+    Marks themselves, and blank lines, are left out. The lines of each log, by the columns ``by``, are one stream in
+    their order; the log of a run is bounded.
     """
     text = F.trim(F.col(line))
     name = F.nullif(F.regexp_extract(text, r"^\[([^\]]+)\]$", 1), F.lit(""))
-    forward = Window.orderBy(order)
+    forward = Window.partitionBy(*by).orderBy(order)
     marked = df.withColumn("_break", (text == "---").cast("int")).withColumn("_name", name)
     blocks = marked.withColumn("block", F.sum("_break").over(forward))
-    filled = blocks.withColumn("section", F.last("_name", ignorenulls=True).over(Window.partitionBy("block").orderBy(order)))
+    filled = blocks.withColumn("section", F.last("_name", ignorenulls=True).over(Window.partitionBy(*by, "block").orderBy(order)))
     return filled.where((F.col("_break") == 0) & F.col("_name").isNull() & (text != "")).drop("_break", "_name")
 
 
-def log_entries(df: DataFrame, order: str, line: str) -> DataFrame:
-    """``block, section, name, value`` of the ``name: value`` lines of a log with sections."""
+def log_entries(df: DataFrame, order: str, line: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """``by, block, section, name, value`` of the ``name: value`` lines of logs with sections."""
     parts = F.regexp_extract(F.col(line), r"^\s*([^:]+?)\s*:\s*(.*?)\s*$", 1), F.regexp_extract(F.col(line), r"^\s*([^:]+?)\s*:\s*(.*?)\s*$", 2)
-    return sections(df, order, line).select("block", "section", parts[0].alias("name"), parts[1].alias("value")).where("name <> ''")
+    return sections(df, order, line, by).select(*by, "block", "section", parts[0].alias("name"), parts[1].alias("value")).where("name <> ''")
 
 
 def until_last(df: DataFrame, order: str, status: str, value: str = "validation") -> DataFrame:
