@@ -276,6 +276,16 @@ def test_sidecars_and_sinks(spark, tmp_path):
     assert spark.read.text(str(tmp_path / "rollouts")).collect()[0].value == '{"row":1,"chunk":null}'
 
 
+def test_splitting_a_file(spark, tmp_path):
+    path = tmp_path / "pt.jsonl"
+    path.write_text("".join(json.dumps({"i": i, "token_count": n}) + "\n" for i, n in enumerate([5, 5, 1, 20, 1, 9])))
+    assert not sinks.split_file(spark, str(path), 10, 10_000) and path.exists()
+    assert sinks.split_file(spark, str(path), 10, 10) and not path.exists()
+    made = {f.name: [json.loads(x)["i"] for x in f.read_text().splitlines()] for f in tmp_path.iterdir() if f.suffix == ".jsonl"}
+    assert made == {"pt-chunk-00000.jsonl": [0, 1], "pt-chunk-00001.jsonl": [2], "pt-chunk-00002.jsonl": [3], "pt-chunk-00003.jsonl": [4, 5]}
+    assert not sinks.split_file(spark, str(tmp_path / "pt-chunk-00000.jsonl"), 1, 1)
+
+
 def test_streams(spark, tmp_path, data):
     docs = spark.createDataFrame([("pt", 5), ("bn", 7), ("pt", 1)], "language string, token_count int")
     docs.write.parquet(str(tmp_path / "shards"))

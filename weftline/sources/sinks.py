@@ -6,11 +6,13 @@ import glob
 import os
 import shutil
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.checkpoints import checkpoint
+from ..functions.ranks import exact_ranks
 from ..operators.routing import subset_totals
-from ..operators.splits import array_split, chunk_count
+from ..operators.splits import array_split, chunk_count, greedy_chunks
 from .loaders import read_sidecar, write_sidecar
 
 KEPT_KEYS = ("text", "id", "url", "date", "language", "language_score", "source", "file_path", "token_count")
@@ -86,3 +88,33 @@ def size_chunks(size: int, most: int, ratio: float = 1.0) -> int:
 def append_rows(df: DataFrame, folder: str) -> None:
     """Append rows as JSON lines, null fields written too."""
     df.write.mode("append").option("ignoreNullFields", "false").json(folder)
+
+
+def split_file(spark: SparkSession, path: str, most_tokens: int, least_bytes: int, tokens: str = "token_count") -> bool:
+    """Split a file of JSON lines larger than ``least_bytes`` into ``<name>-chunk-00000`` and so on of up to ``most_tokens`` tokens; whether it was.
+
+    Chunks are closed greedily in the order of the lines. The file is removed once all chunks are there; if writing
+    fails, the chunks are, and the file stays. Lines without a count have 0 tokens; files that are chunks stay whole.
+    """
+    stem, ending = os.path.splitext(path)
+    if os.path.getsize(path) <= least_bytes or "-chunk-" in os.path.basename(path):
+        return False
+    hidden = f"{stem}.writing"
+    try:
+        # The start of a block and the place of a row in its task order the lines of a file, as they are read.
+        read = spark.read.text(path).select("value", F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_row"))
+        count = F.coalesce(F.try_variant_get(F.try_parse_json("value"), f"$.{tokens}", "bigint"), F.lit(0).cast("bigint"))
+        lines = checkpoint(read.select("value", F.struct("_block", "_row").alias("_at"), count.alias("_n"), F.lit("f").alias("_file")))
+        numbered = exact_ranks(lines, ["_file"], ["_at"], name="_place")
+        chunks = greedy_chunks(numbered, "_file", "_place", "_n", most_tokens, "_chunk").drop("_file")
+        marked = numbered.join(chunks, "_place").select("value", "_place", "_chunk")
+        n = chunks.agg(F.max("_chunk")).first()[0] + 1
+        marked.repartition(n, "_chunk").sortWithinPartitions("_chunk", "_place").select("value", "_chunk").write.mode("overwrite").partitionBy("_chunk").text(hidden)
+        _rename(hidden, os.path.dirname(path), [f"{os.path.basename(stem)}-chunk-{i:05d}" for i in range(n)], ending.removeprefix("."))
+    except Exception:
+        shutil.rmtree(hidden, ignore_errors=True)
+        for part in glob.glob(f"{glob.escape(stem)}-chunk-*{ending}"):
+            os.remove(part)
+        return False
+    os.remove(path)
+    return True
