@@ -56,9 +56,8 @@ _CLOSERS = re.compile(
     r"|\b(?:d[eé]sol[eé]e?|excus\w+|pardon|malheureusement|regrette|autre chose|autre question|autre sujet|sp[eé]cialiste|expert|professionnel|assistant ia|mod[eè]le de langue|posez)\b"
     r"|माफ़|माफ|क्षमा|खेद|दुर्भाग्य|अफ़सोस|किसी और|कुछ और|विशेषज्ञ|एआई|सहायक के रूप|भाषा मॉडल"
     r"|দুঃখিত|ক্ষমা|দুর্ভাগ্য|মাফ|অন্য কিছু|অন্য কোনো|বিশেষজ্ঞ|এআই|সহকারী হিসেবে|ভাষা মডেল|ভাষার মডেল হিসেবে",
-    re.I,
 )
-_REFUSAL = re.compile("|".join("(?:" + p.replace("\n        ", "") + ")" for p in _REFUSALS.values()), re.I)
+_REFUSAL = re.compile("|".join("(?:" + p.replace("\n        ", "") + ")" for p in _REFUSALS.values()))
 _SENTENCES = re.compile(r"(?<=[.!?।…])[\"'”’»)]*\s+|\n+")
 _SPEAKER = re.compile(r"^\s*(?:>+\s*)*(?:(?:answer|assistant|response|ai|bot|gpt|a|q|question|user|resposta|respuesta|antwort|réponse|pergunta|pregunta|frage|उत्तर|जवाब|প্রশ্ন|উত্তর)\s*[:：]\s*)*", re.I)
 _TRANSLATION = re.compile(
@@ -92,6 +91,9 @@ def is_copied(question: str | None, answer: str) -> bool:
     """The answer says nothing but the question, once or more, with small changes, perhaps behind a speaker's name."""
     if not question:
         return False
+    plain, near = set(question.lower().split()), answer.lower().split()
+    if sum(map(plain.__contains__, near)) < 0.4 * len(near):
+        return False
     asked = folded_words(question)
     said = folded_words(_SPEAKER.sub("", answer))
     if len(said) < 3 or len(asked) < 3 or len(said) < 0.5 * len(asked):
@@ -106,11 +108,12 @@ def is_copied(question: str | None, answer: str) -> bool:
 
 def is_refusal(answer: str) -> bool:
     """Refusing sentences and what goes with them; besides these one remark before the refusal at most."""
-    if len(answer) > 1500 or not _REFUSAL.search(answer.replace("’", "'")):
+    if len(answer) > 1500:
         return False
+    total = len(answer.split())
     refused = helpful = remarks = 0
     last = False
-    for sentence in _SENTENCES.split(answer.replace("’", "'")):
+    for sentence in _SENTENCES.split(answer.lower().replace("’", "'")):
         size = len(sentence.split())
         if not size:
             continue
@@ -121,6 +124,9 @@ def is_refusal(answer: str) -> bool:
             helpful += size
             remarks += 1
             last = False
+            if remarks > 1 and helpful > 0.2 * (total - helpful):
+                # Were all the rest refusing, it would still be too little.
+                return False
     return refused > 0 and (helpful <= 0.2 * refused or last and remarks == 1 and helpful <= 30)
 
 
@@ -135,10 +141,14 @@ class Languages:
         self.model = model
 
     def costs(self, text: str) -> tuple[np.ndarray, int, int]:
-        words = _QUOTED.sub(" ", _URL.sub(" ", _CODE.sub(" ", text))).lower().split()
-        ids = self.model.word_ids(words)
-        grams = sum(len(self.model.grams[i]) for i in ids)
-        return self.model.costs[ids].sum(axis=0) if ids else np.zeros(len(self.model.languages)), max(1, grams), sum(1 for i in ids if i)
+        if "`" in text:
+            text = _CODE.sub(" ", text)
+        if "://" in text or "www." in text:
+            text = _URL.sub(" ", text)
+        text = _QUOTED.sub(" ", text)
+        ids = self.model.word_ids(text.lower().split())
+        grams = sum(map(len, map(self.model.grams.__getitem__, ids)))
+        return self.model.costs[ids].sum(axis=0) if ids else np.zeros(len(self.model.languages)), max(1, grams), len(ids) - ids.count(0)
 
     def differ(self, question: str, answer: str) -> bool:
         asked, grams_asked, words_asked = self.costs(question)
@@ -201,7 +211,7 @@ def defects(question: str | None, answer: str | None, languages: Languages) -> l
         found.append("copied")
     if is_refusal(answer):
         found.append("refusal")
-    if question and not _TRANSLATION.search(question) and languages.differ(question, answer):
+    if question and languages.differ(question, answer) and not _TRANSLATION.search(question):
         found.append("other_language")
     if is_truncated(answer):
         found.append("truncated")
