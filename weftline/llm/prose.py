@@ -94,7 +94,7 @@ def line_kind(line: str) -> str:
         return "-"
     words = text.lower().split()
     n = len(words)
-    ends = TERMINAL.search(text) is not None
+    ends = TERMINAL.search(text[-60:]) is not None
     seen, dirty, clean = 0, 0, []
     if _UNUSUAL.search(text):
         seen = visible(text)
@@ -139,7 +139,7 @@ def line_kind(line: str) -> str:
     if marker:
         body = text[marker.end() - (len(line) - len(line.lstrip())) :].strip()
         m = len(body.split())
-        if TERMINAL.search(body) and m >= 2:
+        if ends and m >= 2:
             return "p"
         if m > 9 and not _running_list(body):
             return "p"

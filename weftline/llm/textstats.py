@@ -8,6 +8,8 @@ exactly by a range-partitioned sort with partition offsets, and the tail probabi
 from __future__ import annotations
 
 import math
+import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +35,12 @@ HIGH_TAIL = ("symbol_ratio", "digit_ratio", "comma_ratio", "sentence_words")
 CUT = 4.0
 #: Stands for all languages together, against which texts of no language are ranked.
 ANY = "*"
-_STOPS = str.maketrans({c: " " for c in ".,;:!?।॥…\"'()[]{}«»“”„‘’¿¡|/*_~<>=+-–—•·◦"})
+_STOPS = re.compile("[" + re.escape(".,;:!?।॥…\"'()[]{}«»“”„‘’¿¡|/*_~<>=+-–—•·◦") + "]+")
+#: The languages of each frequent word.
+_LANGUAGES_OF: dict[str, tuple[str, ...]] = {}
+for _code, _words in FREQUENT.items():
+    for _word in _words:
+        _LANGUAGES_OF[_word] = (*_LANGUAGES_OF.get(_word, ()), _code)
 
 
 def _scaled(value: float) -> int:
@@ -49,12 +56,13 @@ def statistics(text: str) -> tuple[str, list[int]]:
     if n == 0:
         return "und", [0] * len(STATISTICS)
     seen = sum(map(len, words))
-    bare = lowered.translate(_STOPS).split()
-    code, common = "und", 0
-    for language, frequent in FREQUENT.items():
-        hits = sum(map(frequent.__contains__, bare))
-        if hits > common:
-            code, common = language, hits
+    bare = _STOPS.sub(" ", lowered).split()
+    hits = dict.fromkeys(FREQUENT, 0)
+    for languages, n_found in Counter(map(_LANGUAGES_OF.get, bare)).items():
+        for language in languages or ():
+            hits[language] += n_found
+    common = max(hits.values())
+    code = next(c for c, h in hits.items() if h == common) if common else "und"
     lines = [x for x in text.split("\n") if x.strip()]
     ended = sum(1 for x in lines if TERMINAL.search(x[-40:]))
     ends = sum(map(text.count, ".!?।"))
