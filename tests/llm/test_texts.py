@@ -38,6 +38,7 @@ def model(samples):
         ("12:01:02.345 [WARN] 0x42aaf57d a/b.so ret=-2\n12:01:03.345 [INFO] 0x42aaf57e a/b.so ret=0", "junk"),
         ("a3f9e0217744bdce90aa1c2d3e4f5a6b7c8d9e0f1a2b3c4d5e6f708192a3b4c5d6e7f8091a2b3c4d5e6f", "junk"),
         ("— Where is the list?\n— In the old museum, as everybody knows.\n— Then let us go.", None),
+        ("The caravan left the old town with\nthirty bags of salt and came home\nafter eight nights. Nobody knows who\npaid for it. The letters that came\nlater were not answered, all before\nthe year of the flood.", None),
         ("nobody knows if the old guide still reads the long list of names lol\nwe went there twice and the doors were never open :)", None),
     ],
 )

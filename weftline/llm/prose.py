@@ -84,7 +84,8 @@ def _are_cells(cells: list[str], most: float) -> bool:
     if len(cells) < 2 or sum(len(c.split()) for c in cells) > most * len(cells):
         return False
     good = sum(1 for c in cells if not c.strip() or _CELL.match(c.strip()))
-    return good >= 0.7 * len(cells)
+    said = sum(1 for c in cells if any(map(str.isalnum, c)))
+    return good >= 0.7 * len(cells) and said >= 0.4 * len(cells)
 
 
 def line_kind(line: str) -> str:
@@ -164,9 +165,31 @@ def _running_list(text: str) -> bool:
     return sum(sizes) <= 5.5 * len(sizes) and sum(1 for s in sizes if s > 8) <= 0.1 * len(sizes)
 
 
+_SENTENCE_INSIDE = re.compile(r"[.!?।॥…][\"'”’»)]*\s+\S")
+
+
+def _unwrapped(found: list[list]) -> None:
+    """Make short open lines prose where they are wrapped sentences: in a run of lines, some lines have a sentence's end inside.
+
+    A list's items have none, however many there are.
+    """
+    first = 0
+    while first < len(found):
+        last = first
+        while last < len(found) and found[last][0] in "sup":
+            last += 1
+        run = found[first:last]
+        inside = sum(1 for x in run if x[3])
+        if inside and sum(1 for x in run if x[0] == "s") >= 2 and inside >= 0.15 * len(run):
+            for x in run:
+                if x[0] == "s":
+                    x[0] = "p"
+        first = last + 1
+
+
 def parts(text: str) -> dict[str, int]:
     """Visible characters of a text by kind: ``p`` prose, ``l`` list, ``t`` table, ``j`` junk."""
-    found: list[tuple[str, int, int]] = []
+    found: list[list] = []
     for line in text.splitlines():
         if not line.strip():
             continue
@@ -174,11 +197,12 @@ def parts(text: str) -> dict[str, int]:
         if kind in "pu" and len(line) > 60:
             for sentence in _SENTENCES.split(line):
                 own = "l" if _running_list(sentence) else kind
-                found.append((own, visible(sentence), len(sentence.split())))
+                found.append([own, visible(sentence), len(sentence.split()), False])
         else:
-            found.append((kind, visible(line), len(line.split())))
-    kinds = [k for k, _, _ in found]
-    open_ = [n for k, _, n in found if k in "su"]
+            found.append([kind, visible(line), len(line.split()), kind == "s" and _SENTENCE_INSIDE.search(line) is not None])
+    _unwrapped(found)
+    kinds = [x[0] for x in found]
+    open_ = [x[2] for x in found if x[0] in "su"]
     mean_open = sum(open_) / len(open_) if open_ else 0
     prose_lines = kinds.count("p") + kinds.count("u")
     fields = kinds.count("f")
@@ -187,7 +211,7 @@ def parts(text: str) -> dict[str, int]:
     short_open = kinds.count("s")
     total = dict.fromkeys("pltj", 0)
     heading = 0
-    for kind, seen, n in found:
+    for kind, seen, n, _ in found:
         if kind == "u":
             kind = "p"
         elif kind == "f":
