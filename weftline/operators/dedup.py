@@ -24,9 +24,11 @@ def same_text_key(text: Column) -> Column:
 def exact_duplicates(df: DataFrame, key: str, text: str) -> DataFrame:
     """``df`` with ``representative``, the least key of all rows with the same text; rows of null texts represent themselves.
 
-    Only keys and digests are shuffled, and added up before, so that a text with most copies is no burden.
+    Keys and digests are added up before they are shuffled, so that a text with most copies is no burden, and only texts
+    with copies are joined back.
     """
-    digests = df.where(F.col(text).isNotNull()).groupBy(same_text_key(F.col(text)).alias("_digest")).agg(F.min(key).alias("_least"))
+    counted = df.where(F.col(text).isNotNull()).groupBy(same_text_key(F.col(text)).alias("_digest")).agg(F.min(key).alias("_least"), F.count("*").alias("_n"))
+    digests = counted.where("_n > 1").drop("_n")
     marked = df.withColumn("_digest", same_text_key(F.col(text)))
     joined = marked.join(digests, "_digest", "left")
     return joined.withColumn("representative", F.coalesce("_least", key)).drop("_least", "_digest")
