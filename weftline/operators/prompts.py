@@ -2,18 +2,44 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Reasons of failed runs and the patterns in their logs, in the order in which they are tried.
+#: Reasons of failed runs and the patterns in their logs, in the order in which they are tried, in any case.
 FAILURES = (
-    ("oom", r"(?i)out of memory|OutOfMemoryError|CUDA error: out of memory|oom-kill"),
-    ("timeout", r"(?i)timed? ?out|TimeoutError|deadline exceeded"),
-    ("server_fail", r"(?i)server (?:failed|died|error)|connection (?:refused|reset)|EngineDeadError|RuntimeError: Engine"),
+    ("OOM", r"torch\.OutOfMemoryError.*CUDA out of memory"),
+    ("OOM", r"ValueError.*No available memory for the cache blocks"),
+    ("OOM", r"OutOfMemoryError"),
+    ("OOM", r"CUDA out of memory"),
+    ("OOM", r"Failed to load model - not enough GPU memory"),
+    ("timeout", r"DUE TO TIME LIMIT"),
+    ("server_fail", r"Failed to start VLLMServer server"),
+    ("server_fail", r"Server encountered unrecoverable error"),
 )
+#: The texts that ask for a critique and for a revision.
+CRITIQUE = """Review the following response and identify any ways it could be improved to better align with the constitutional principles.
+
+Original user request: {request}
+
+Response to critique:
+{response}
+
+Provide specific suggestions for improvement based on the constitution's guidelines for clarity, helpfulness, safety, and honesty. Be concise."""
+REVISION = """Based on the following critique, provide an improved response to the original user request.
+
+Original user request: {request}
+
+Original response:
+{response}
+
+Critique:
+{critique}
+
+Provide the revised response that addresses the critique while following all constitutional principles:"""
 TAIL_CHARS = 100_000
 
 
@@ -42,16 +68,20 @@ def within_budget(text: Column, context: int, most_tokens: int, margin: int = 51
     return F.length(text) <= (context - most_tokens - margin) * chars_per_token
 
 
-def critique_prompt(request: Column, response: Column, instruction: str) -> Column:
+def _filled(text: str, **values: Column) -> Column:
+    """``text`` with each ``{name}`` replaced by a column, null ones by ''."""
+    parts = re.split(r"\{(\w+)\}", text)
+    return F.concat(*(F.coalesce(values[p], F.lit("")) if i % 2 else F.lit(p) for i, p in enumerate(parts)))
+
+
+def critique_prompt(request: Column, response: Column) -> Column:
     """The prompt for a critique of a response."""
-    return F.concat(F.lit("Request:\n"), request, F.lit("\n\nResponse:\n"), response, F.lit(f"\n\nCritique request:\n{instruction}\n\nCritique:"))
+    return _filled(CRITIQUE, request=request, response=response)
 
 
-def revision_prompt(request: Column, response: Column, critique: Column, instruction: str) -> Column:
+def revision_prompt(request: Column, response: Column, critique: Column) -> Column:
     """The prompt for a revision of a response after its critique."""
-    return F.concat(
-        F.lit("Request:\n"), request, F.lit("\n\nResponse:\n"), response, F.lit("\n\nCritique:\n"), critique, F.lit(f"\n\nRevision request:\n{instruction}\n\nRevision:")
-    )
+    return _filled(REVISION, request=request, response=response, critique=critique)
 
 
 def shared_prompt(chosen: Column, rejected: Column) -> Column:
@@ -66,7 +96,7 @@ def shared_prompt(chosen: Column, rejected: Column) -> Column:
 def failure(log: Column) -> Column:
     """Why a run failed, by its log: the last characters are tried before the first, the first reason that matches wins; null for none."""
     tail, head = F.substring(log, -TAIL_CHARS, TAIL_CHARS), F.substring(log, 1, TAIL_CHARS)
-    return F.coalesce(*(F.when(part.rlike(pattern), F.lit(name)) for part in (tail, head) for name, pattern in FAILURES))
+    return F.coalesce(*(F.when(part.rlike(f"(?i){pattern}"), F.lit(name)) for part in (tail, head) for name, pattern in FAILURES))
 
 
 def next_row(df: DataFrame, row: str = "row", start: int | None = None) -> int:

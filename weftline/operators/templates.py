@@ -7,8 +7,16 @@ from pyspark.sql import functions as F
 
 START, END = "<|im_start|>", "<|im_end|>"
 #: What introduces and closes the tools in the system's turn.
-TOOLS_HEAD = "# Ferramentas\n\nVocê pode chamar uma ou mais funções para ajudar com a consulta do usuário.\n\nAs assinaturas das funções estão dentro das tags XML <tools></tools>:\n<tools>"
-TOOLS_TAIL = '\n</tools>\n\nPara cada chamada de função, retorne um objeto JSON com o nome e os argumentos da função dentro das tags XML <tool_call></tool_call>:\n<tool_call>\n{"name": <function-name>, "arguments": <args-json-object>}\n</tool_call>'
+TOOLS_HEAD = (
+    "# Tools / Ferramentas\n\nVocê pode chamar uma ou mais funções para auxiliar na consulta do usuário.\n\n"
+    "Você recebe assinaturas de funções dentro de tags XML <tools></tools>:\n<tools>"
+)
+TOOLS_TAIL = (
+    "\n</tools>\n\nPara cada chamada de função, retorne um objeto json com o nome da função e os argumentos dentro das tags XML <tool_call></tool_call>:\n"
+    '<tool_call>\n{"name": <function-name>, "arguments": <args-json-object>}\n</tool_call>'
+)
+#: Roles that a template shows; messages of other roles are left out.
+ROLES = ("system", "user", "assistant", "tool")
 
 
 def _turn(role: Column | str, content: Column, newline: bool = True) -> Column:
@@ -23,10 +31,12 @@ def _text(m: Column) -> Column:
 def rendered(messages: Column, generation: bool = False) -> Column:
     """ChatML of a conversation; the assistant's contents lose line breaks at their ends; with ``generation`` its turn is opened.
 
+    Roles are system, user and assistant, as they stand; other messages are left out.
+
     '' for null and empty conversations without ``generation``.
     """
     turns = F.transform(
-        messages, lambda m: F.when(m["role"] == "assistant", _turn("assistant", F.regexp_replace(_text(m), r"^\n+|\n+$", ""))).otherwise(_turn(F.coalesce(m["role"], F.lit("")), _text(m)))
+        F.filter(messages, lambda m: m["role"].isin(*ROLES[:3])), lambda m: F.when(m["role"] == "assistant", _turn("assistant", F.regexp_replace(_text(m), r"^\n+|\n+$", ""))).otherwise(_turn(F.coalesce(m["role"], F.lit("")), _text(m)))
     )
     made = F.coalesce(F.array_join(turns, ""), F.lit(""))
     return F.concat(made, F.lit(f"{START}assistant\n")) if generation else made
@@ -67,6 +77,7 @@ def rendered_with_reasoning(messages: Column, generation: bool = False, enable_t
 
     ``enable_thinking=False`` closes an empty thought in the opened turn; ``keep_thoughts=False`` gives contents as they are.
     """
+    messages = F.filter(messages, lambda m: m["role"].isin(*ROLES))
     last = last_real_turn(messages)
     n = F.size(messages)
 

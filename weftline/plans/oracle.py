@@ -156,7 +156,7 @@ ORACLE: dict[str, str] = {
         SELECT conv_id, NOT regexp_matches(text, '```\s*([a-zA-Z]+)\s*[\r\n]+\s*([a-zA-Z]+)\s*[\r\n]') AND len(list_filter(tags, lambda t: t <> '' AND t NOT IN ({_CODE_OK}))) = 0 AS tags,
             len(list_filter(range(1, len(raw) + 1), lambda i: {strip("lower(raw[i])")} NOT IN ('', {quoted(dialogue.TEXT_TAGS)})
                 AND regexp_matches(code[i], '(?i)(^|[^\p{{L}}\p{{N}}_])({dialogue.TRANSLATED_KEYWORDS})($|[^\p{{L}}\p{{N}}_])'))) = 0 AS code FROM b""",
-    "chat_template": rf"""SELECT conv_id, coalesce(array_to_string(list_transform(messages, lambda m: CASE WHEN m.role = 'assistant'
+    "chat_template": rf"""SELECT conv_id, coalesce(array_to_string(list_transform(list_filter(messages, lambda m: coalesce(m.role IN ('system', 'user', 'assistant'), false)), lambda m: CASE WHEN m.role = 'assistant'
         THEN '<|im_start|>assistant' || chr(10) || regexp_replace(coalesce(m.content, ''), '^\n+|\n+$', '', 'g') || '<|im_end|>' || chr(10)
         ELSE '<|im_start|>' || coalesce(m.role, '') || chr(10) || coalesce(m.content, '') || '<|im_end|>' || chr(10) END), ''), '') || '<|im_start|>assistant' || chr(10) AS text FROM {_CONVERSATIONS}""",
     "chat_plain": f"SELECT conv_id, coalesce(array_to_string(list_filter(list_transform(messages, lambda m: m.content), lambda c: c IS NOT NULL), chr(10) || chr(10)), '') AS text FROM {_CONVERSATIONS}",
