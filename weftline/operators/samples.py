@@ -127,11 +127,11 @@ def word_list(rng: random.Random, length: int = 200, top: int = 3) -> tuple:
         return _sample(f'{listed}Quantas vezes aparece "{word}"?', [("long_context:count_word", {"target_word": word, "expected_count": counts[word]})])
     if kind == "word_at_position":
         place = rng.randrange(length)
-        return _sample(f"{listed}Qual é a palavra de número {place + 1}?", [("long_context:word_at_position", {"expected_word": words[place]})])
+        return _sample(f"{listed}Qual é a palavra de número {place + 1}?", [("long_context:word_at_position", {"position": place + 1, "expected_word": words[place]})])
     a, b = rng.sample(sorted(counts), 2)
     if counts[a] == counts[b]:
         raise Rejected
-    return _sample(f'{listed}Qual aparece mais, "{a}" ou "{b}"?', [("long_context:frequency_comparison", {"expected_word": max((a, b), key=counts.__getitem__)})])
+    return _sample(f'{listed}Qual aparece mais, "{a}" ou "{b}"?', [("long_context:frequency_comparison", {"word_a": a, "word_b": b, "expected_winner": max((a, b), key=counts.__getitem__)})])
 
 
 def _tree(rng: random.Random, depth: int):
@@ -194,7 +194,7 @@ def tool_call(rng: random.Random) -> tuple:
     given = [a for a in tool["parameters"] if a in tool["required"] or rng.random() < 0.4]
     values = {a: {"string": rng.choice(WORDS), "integer": rng.randint(1, 99), "boolean": rng.random() < 0.5}[tool["parameters"][a]] for a in given}
     checks = [
-        ("tool_call:format", {"expect_call": True}), ("tool_call:name", {"expected_name": tool["name"]}), ("tool_call:args_keys", {"expected_arg_keys": tool["required"]}),
+        ("tool_call:format", {"expect_call": True}), ("tool_call:name", {"expected_name": tool["name"]}), ("tool_call:args_keys", {"required_arg_keys": tool["required"]}),
         ("tool_call:args_types", {"expected_arg_types": {a: tool["parameters"][a] for a in tool["required"]}}),
     ]
     return _sample(f"Ferramentas:\n{shown}\n\nUse {tool['name']} com " + ", ".join(f"{k} = {v}" for k, v in values.items()), checks)
@@ -210,12 +210,15 @@ def _needles(rng: random.Random, text: str) -> tuple:
     keys = rng.sample(WORDS, 3)
     if kind == "needle_uuid":
         value = str(hashlib.md5(str(rng.random()).encode()).hexdigest())
-        facts, values, asked = [f"O código de {keys[0]} é {value}"], [value], f"Qual é o código de {keys[0]}?"
+        facts, values, asked = [f"O código de {keys[0]} é {value}"], {keys[0]: [value]}, f"Qual é o código de {keys[0]}?"
     else:
-        values = [str(rng.randint(100_000, 999_999)) for _ in range(1 if kind == "needle_single_number" else 3)]
-        names = keys if kind.endswith("diff_keys") else [keys[0]] * len(values)
-        facts = [f"O número de {k} é {v}" for k, v in zip(names, values)]
-        asked = "Quais são os números de " + ", ".join(dict.fromkeys(names)) + "?"
+        numbers = [str(rng.randint(100_000, 999_999)) for _ in range(1 if kind == "needle_single_number" else 3)]
+        names = keys if kind.endswith("diff_keys") else [keys[0]] * len(numbers)
+        values: dict[str, list[str]] = {}
+        for k, v in zip(names, numbers):
+            values.setdefault(k, []).append(v)
+        facts = [f"O número de {k} é {v}" for k, v in zip(names, numbers)]
+        asked = "Quais são os números de " + ", ".join(values) + "?"
     for fact in facts:
         sentences.insert(rng.randint(0, len(sentences)), fact)
     return _sample(". ".join(sentences) + f".\n\n{asked}", [(f"haystack:{kind}", {"expected_values": values})])
