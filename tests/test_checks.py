@@ -194,15 +194,19 @@ def test_reports(spark):
     results = spark.createDataFrame([("m", '{"task": {"acc,none": 0.5, "alias": "t"}, "other": {}}')], "m string, j string")
     assert [(r.model, r.metric, r.value) for r in reports.evaluation_results(results, "m", "j").collect()] == [("m", "task_acc", 0.5)]
     assert one(spark, "/x/results_m1.json", "string", lambda c: reports.model_name(F.lit(None).cast("string"), c)) == "m1" and one(spark, "org/name/", "string", lambda c: reports.model_name(c, F.lit("f"))) == "name"
-    plan = reports.schedule(spark, 100, 10, 20, 1.0, 0.1).orderBy("step").collect()
-    assert plan[0].cosine == 0 and plan[10].cosine == 1 and plan[50].stable == 1 and plan[99].stage == "decay" and plan[99].stable < 0.2
-    assert reports.training_plan(1000, 64, 8, 2, 3) == {"accumulation": 4, "steps_per_epoch": 16, "steps": 48}
+    plan = reports.schedule(spark, 100, 10, 1.0, 0.1, 0.2).orderBy("step").collect()
+    assert plan[0].cosine == pytest.approx(0.1) and plan[9].cosine == 1 == plan[10].cosine and plan[50].stable == 1 and plan[80].stable_stage == "stable" and plan[99].stable_stage == "linear_decay"
+    assert plan[90].stable == pytest.approx(0.55) and plan[55].cosine == pytest.approx(0.55)
+    assert reports.training_plan(1000, 64, 2, 8, 2, 3) == {"accumulation": 2, "steps_per_epoch": 500, "steps": 1500, "epochs": 3}
+    assert reports.training_plan(1000, 64, 2, 8, 2, 3, 1100)["epochs"] == 2
     with pytest.raises(ValueError):
-        reports.training_plan(10, 7, 2, 2, 1)
+        reports.training_plan(10, 7, 2, 2, 2, 1)
     rate = reports.with_rates(spark.createDataFrame([(128, 4096, 1.451, 1, 5e7, 10, 8, 64)], "batch int, length int, seconds double, devices int, params double, layers int, heads int, head_size int"), 300e12).collect()[0]
     assert rate.tokens_per_second == pytest.approx(361_328, rel=1e-4) and 0 < rate.mfu < 1
-    rows = {r.row: r.input_ids for r in reports.synthetic_rows(spark, 4, 6, 50).collect()}
-    assert all((b - a) % 50 == 1 for a, b in zip(rows[0], rows[0][1:])) and rows[1][0::2] == [rows[1][0]] * 3 and rows[1][1::2] == [rows[1][1]] * 3
+    rows = {r.row: r.input_ids for r in reports.synthetic_rows(spark, 6, 20, 50).collect()}
+    for row, ids in rows.items():
+        steps = [(b - a) % 50 == 1 if row % 2 == 0 else i < 18 and ids[i] == ids[i + 2] for i, (a, b) in enumerate(zip(ids, ids[1:]))]
+        assert len(ids) == 20 and any(all(steps[k : k + (5 if row % 2 == 0 else 4)]) for k in range(len(steps) - 3))
     stage = reports.stage_counts(spark.createDataFrame([("s", "start", 1), ("s", "end", 2), ("s", "start", 3)], "stage string, event string, t int"), "stage", "event", "t").collect()[0]
     assert stage.resumes == 1 and stage.events == ["start", "end", "start"]
     assert reports.schema_card(spark.createDataFrame([], f"a int, b array<int>, m {M}")) == [("a", "value"), ("b", "sequence"), ("m", "list_of_dicts")] and reports.sanity_rows(5) == 1

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -168,32 +170,50 @@ def model_name(pretrained: Column, file: Column) -> Column:
     return F.coalesce(base, stem)
 
 
-def cosine_rate(step: Column, warmup: int, steps: int, peak: float, least: float) -> Column:
-    """Learning rate of a linear warm-up and a cosine down to ``least``."""
-    done = F.least((step - warmup) / max(1, steps - warmup), F.lit(1.0))
-    return F.when(step < warmup, peak * step / max(1, warmup)).otherwise(least + (peak - least) * 0.5 * (1 + F.cos(F.lit(3.141592653589793) * done)))
+def _warmed(step: Column, warmup: int, peak: float, after: Column) -> Column:
+    """A linear warm-up that reaches ``peak`` at its last step, then ``after``."""
+    return F.when(step < warmup, peak * (step + 1) / warmup).otherwise(after) if warmup > 0 else after
+
+
+def cosine_rate(step: Column, warmup: int, steps: int, peak: float, least: float) -> tuple[Column, Column]:
+    """Learning rate and stage of a warm-up and a cosine down to ``least``, which it keeps after the last step."""
+    done = (step - warmup) / max(1, steps - warmup)
+    falling = least + (peak - least) * 0.5 * (1 + F.cos(F.lit(3.141592653589793) * done))
+    rate = _warmed(step, warmup, peak, F.when(step > steps, F.lit(least)).otherwise(falling))
+    return rate, F.when(step < warmup, "warmup").when(step > steps, "stable").otherwise("cosine_decay")
 
 
-def stable_rate(step: Column, warmup: int, decay: int, steps: int, peak: float, least: float) -> tuple[Column, Column]:
-    """Learning rate and stage of a warm-up, a plateau and a last decay of ``1 - sqrt`` form."""
-    begin = steps - decay
-    done = F.least((step - begin) / max(1, decay), F.lit(1.0))
-    rate = F.when(step < warmup, peak * step / max(1, warmup)).when(step < begin, F.lit(peak)).otherwise(least + (peak - least) * (1 - F.sqrt(F.greatest(done, F.lit(0.0)))))
-    return rate, F.when(step < warmup, "warmup").when(step < begin, "stable").otherwise("decay")
+def stable_rate(step: Column, warmup: int, steps: int, peak: float, least: float, decay: float, root: bool = False) -> tuple[Column, Column]:
+    """Learning rate and stage of a warm-up, a plateau and a decay over the last share ``decay`` of the steps, linear or by the root."""
+    falling = steps * decay
+    begin = steps - falling
+    done = (step - begin) / max(falling, 1e-12)
+    done = F.sqrt(F.greatest(done, F.lit(0.0))) if root else done
+    in_decay = (step > begin) & F.lit(falling > 0)
+    rate = _warmed(step, warmup, peak, F.when(in_decay, least + (peak - least) * (1 - done)).otherwise(F.lit(float(peak))))
+    return rate, F.when(step < warmup, "warmup").when(in_decay, "1-sqrt" if root else "linear_decay").otherwise("stable")
 
 
-def schedule(spark: SparkSession, steps: int, warmup: int, decay: int, peak: float, least: float) -> DataFrame:
-    """``step, cosine, stable, stage`` of every step of a run."""
-    rate, stage = stable_rate(F.col("step"), warmup, decay, steps, peak, least)
-    return spark.range(steps).select(F.col("id").alias("step")).select("step", cosine_rate(F.col("step"), warmup, steps, peak, least).alias("cosine"), rate.alias("stable"), stage.alias("stage"))
+def schedule(spark: SparkSession, steps: int, warmup: int, peak: float, least: float, decay: float, root: bool = False) -> DataFrame:
+    """``step, cosine, cosine_stage, stable, stable_stage`` of every step of a run."""
+    (cosine, cosine_stage), (stable, stable_stage) = cosine_rate(F.col("step"), warmup, steps, peak, least), stable_rate(F.col("step"), warmup, steps, peak, least, decay, root)
+    steps_ = spark.range(steps).select(F.col("id").alias("step"))
+    return steps_.select("step", cosine.alias("cosine"), cosine_stage.alias("cosine_stage"), stable.alias("stable"), stable_stage.alias("stable_stage"))
 
 
-def training_plan(samples: int, total_batch: int, micro_batch: int, devices: int, epochs: int) -> dict[str, int]:
-    """Steps of gradient accumulation, steps of an epoch and of the run; an error unless the batch divides."""
-    if total_batch % (micro_batch * devices):
-        raise ValueError("the total batch must be a multiple of the micro batch times the devices")
-    per_epoch = -(-samples // total_batch)
-    return {"accumulation": total_batch // (micro_batch * devices), "steps_per_epoch": per_epoch, "steps": per_epoch * epochs}
+def training_plan(batches: int, total_batch: int, micro_batch: int, length: int, devices: int, epochs: float, most_steps: int | None = None) -> dict[str, float]:
+    """Steps of gradient accumulation, of an epoch and of the run, and the epochs; an error unless the batch, in tokens, divides.
+
+    ``most_steps`` sets the steps of the run, and the epochs to those they fill, one at least.
+    """
+    per_step = micro_batch * length * devices
+    if total_batch % per_step:
+        raise ValueError("the total batch must be a multiple of the micro batch times the length times the devices")
+    accumulation = total_batch // per_step
+    per_epoch = -(-batches // accumulation)
+    if most_steps is None:
+        return {"accumulation": accumulation, "steps_per_epoch": per_epoch, "steps": math.ceil(epochs * per_epoch), "epochs": epochs}
+    return {"accumulation": accumulation, "steps_per_epoch": per_epoch, "steps": most_steps, "epochs": most_steps // per_epoch if most_steps > per_epoch else 1}
 
 
 def flops_per_token(params: Column, layers: Column, heads: Column, head_size: Column, length: Column) -> Column:
@@ -213,16 +233,23 @@ def with_rates(df: DataFrame, peak: float, batch: str = "batch", length: str = "
     return df.withColumn("tokens_per_second", rate).withColumn("mfu", rate * work / peak)
 
 
-def synthetic_rows(spark: SparkSession, rows: int, length: int, vocabulary: int, seed: int = 42) -> DataFrame:
-    """``row, input_ids``: even rows count up from a number by hash, odd rows repeat a pattern of two numbers by turns."""
-    i = F.col("id")
-    start = F.pmod(F.xxhash64(i, F.lit(seed)), F.lit(vocabulary))
-    a, b = F.pmod(F.xxhash64(i, F.lit(seed + 1)), F.lit(vocabulary)), F.pmod(F.xxhash64(i, F.lit(seed + 2)), F.lit(vocabulary))
-    at = F.sequence(F.lit(0), F.lit(length - 1))
-    ids = F.when(i % 2 == 0, F.transform(at, lambda k: F.pmod(start + k, F.lit(vocabulary)).cast("int"))).otherwise(
-        F.transform(at, lambda k: F.when(k % 2 == 0, a).otherwise(b).cast("int"))
-    )
-    return spark.range(rows).select(i.alias("row"), ids.alias("input_ids"))
+def synthetic_rows(spark: SparkSession, rows: int, length: int, vocabulary: int, share: float = 0.3, seed: int = 42) -> DataFrame:
+    """``row, input_ids``: ids by hash, with a pattern over a run of ``share`` of the row.
+
+    Even rows count up by one from an id, odd rows repeat two ids by turns; each row depends on the seed and its number alone.
+    """
+    i, run = F.col("id"), max(2, int(length * share))
+
+    def drawn(most: int, *of) -> Column:
+        return F.pmod(F.xxhash64(F.lit(seed), i, *of), F.lit(most))
+
+    start, first, second = drawn(length - run + 1, F.lit("start")), drawn(vocabulary, F.lit("first")), drawn(vocabulary, F.lit("second"))
+
+    def token(k: Column) -> Column:
+        pattern = F.when(i % 2 == 0, F.pmod(first + k - start, F.lit(vocabulary))).when((k - start) % 2 == 0, first).otherwise(second)
+        return F.when((k >= start) & (k < start + run), pattern).otherwise(drawn(vocabulary, k)).cast("int")
+
+    return spark.range(rows).select(i.alias("row"), F.transform(F.sequence(F.lit(0), F.lit(length - 1)), token).alias("input_ids"))
 
 
 def sanity_rows(rows: int) -> int:

@@ -194,9 +194,9 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'url', url, count(*) FROM documents WHERE text IS NOT NULL AND url IS NOT NULL GROUP BY url HAVING count(*) > 1""",
     "model_rates": """SELECT o_orderkey, round(128 * 4096 / (1.0 + o_orderkey % 7), 4)::DOUBLE AS tokens_per_second,
         round(128 * 4096 / (1.0 + o_orderkey % 7)::DOUBLE * (6 * 5e7 + 12.0 * 10 * 8 * 64 * 4096) / 300e12, 8) AS mfu FROM orders""",
-    "rate_schedule": """SELECT step, round(CASE WHEN step < 50 THEN step / 50.0 ELSE 0.1 + 0.9 * 0.5 * (1 + cos(pi() * least((step - 50) / 950.0, 1))) END, 6)::DOUBLE AS cosine,
-        round(CASE WHEN step < 50 THEN step / 50.0 WHEN step < 800 THEN 1 ELSE 0.1 + 0.9 * (1 - sqrt((step - 800) / 200.0)) END, 6)::DOUBLE AS stable,
-        CASE WHEN step < 50 THEN 'warmup' WHEN step < 800 THEN 'stable' ELSE 'decay' END AS stage FROM range(1000) t(step)""",
+    "rate_schedule": """SELECT step, round(CASE WHEN step < 50 THEN (step + 1) / 50.0 ELSE 0.1 + 0.9 * 0.5 * (1 + cos(pi() * (step - 50) / 950.0)) END, 6)::DOUBLE AS cosine,
+        round(CASE WHEN step < 50 THEN (step + 1) / 50.0 WHEN step <= 800 THEN 1 ELSE 0.1 + 0.9 * (1 - sqrt((step - 800) / 200.0)) END, 6)::DOUBLE AS stable,
+        CASE WHEN step < 50 THEN 'warmup' ELSE 'cosine_decay' END AS cosine_stage, CASE WHEN step < 50 THEN 'warmup' WHEN step <= 800 THEN 'stable' ELSE '1-sqrt' END AS stable_stage FROM range(1000) t(step)""",
     "event_windows": "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS events FROM events GROUP BY 1, 2",
     "event_sessions": """WITH a AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events)
         SELECT user_id, sum(new)::BIGINT AS sessions, count(*) AS events FROM a GROUP BY user_id""",

@@ -395,8 +395,8 @@ def model_rates(spark: SparkSession, root: str) -> DataFrame:
 
 
 def rate_schedule(spark: SparkSession, root: str) -> DataFrame:
-    made = reports.schedule(spark, 1000, 50, 200, 1.0, 0.1)
-    return made.select("step", F.round("cosine", 6).alias("cosine"), F.round("stable", 6).alias("stable"), "stage")
+    made = reports.schedule(spark, 1000, 50, 1.0, 0.1, 0.2, root=True)
+    return made.select("step", F.round("cosine", 6).alias("cosine"), F.round("stable", 6).alias("stable"), "cosine_stage", "stable_stage")
 
 
 def event_windows(spark: SparkSession, root: str) -> DataFrame:
