@@ -81,13 +81,21 @@ class Items:
         words = np.array([get(w, 0) for w in folded_words(text)], dtype=np.int32)
         known = np.concatenate([[0], np.cumsum(words > 0)])
         found: set[int] = set()
+        tried: set[tuple[int, int]] = set()
         for windows in self.by_width.values():
-            pairs = windows.candidates(words, known)
-            seen: set[tuple[int, int]] = set()
-            for item, shift in pairs:
-                if item not in found and (item, shift) not in seen:
-                    seen.add((item, shift))
-                    if contains_piece(words, self.words[item], shift, self.least[item]):
+            for item, shift in windows.candidates(words, known):
+                if item in found:
+                    continue
+                own, least = self.words[item], self.least[item]
+                if on_diagonal(words, own, shift, least):
+                    found.add(item)
+                    continue
+                # Shifts of one stretch share an alignment, whose reach goes beyond the stretch on either side.
+                slack = max(2, len(own) // 16)
+                stretch = (item, shift // slack)
+                if stretch not in tried:
+                    tried.add(stretch)
+                    if off_diagonal(words, own, stretch[1] * slack, slack, least):
                         found.add(item)
         return sorted(found)
 
@@ -178,14 +186,18 @@ def _longest(match: np.ndarray) -> int:
     return int((length * (good & (count > 0))).max())
 
 
-def contains_piece(text: np.ndarray, item: np.ndarray, shift: int, least: int) -> bool:
-    """Whether near ``shift`` the text has a piece of the item of at least ``least`` words with at most one in eight exchanged."""
+def on_diagonal(text: np.ndarray, item: np.ndarray, shift: int, least: int) -> bool:
+    """Whether at ``shift`` the text has a piece of the item of at least ``least`` words with at most one in eight exchanged."""
     low, high = max(0, -shift), min(len(item), len(text) - shift)
-    if high > low and _longest(text[low + shift : high + shift] == item[low:high]) >= least:
-        return True
-    # A word cut in two or two run together shift the rest: an alignment that may move by a few words decides.
-    slack = max(2, len(item) // 16)
-    start, end = max(0, shift - slack), min(len(text), shift + len(item) + slack)
+    if high - low < least:
+        return False
+    match = text[low + shift : high + shift] == item[low:high]
+    return match.sum() >= least - int(least * EXCHANGED) and _longest(match) >= least
+
+
+def off_diagonal(text: np.ndarray, item: np.ndarray, shift: int, slack: int, least: int) -> bool:
+    """Whether the text has such a piece at shifts from ``shift`` to ``shift + slack`` and up to ``slack`` beyond, where words cut in two or run together shift the rest."""
+    start, end = max(0, shift - slack), min(len(text), shift + len(item) + 2 * slack)
     part = text[start:end]
     if len(part) < least or not _has_run(part, item, start - shift, slack, least // (int(least * EXCHANGED) + 1)):
         return False
