@@ -141,16 +141,17 @@ def near_dedup(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _word_rows(df: DataFrame, key: str) -> DataFrame:
-    return df.select(key, words(F.lower("text")).alias("ids"))
+    """Words as 64-bit ids, which are narrower than the words and as good as them: of a billion words two share an id with a chance of one in forty."""
+    return df.select(key, F.transform(words(F.lower("text")), lambda w: F.xxhash64(w)).alias("ids"))
 
 
 def decontam_exact(spark: SparkSession, root: str) -> DataFrame:
-    rows, items = _word_rows(_dataset(spark, root), "id"), _word_rows(_read(spark, root, "benchmark"), "item_id")
+    rows, items = _word_rows(spread(_dataset(spark, root)), "id"), _word_rows(_read(spark, root, "benchmark"), "item_id")
     return decontaminate.contaminated_keys(rows, "id", "ids", items, "ids", LEAST_WORDS_IN_COMMON)
 
 
 def decontam_one_exchange(spark: SparkSession, root: str) -> DataFrame:
-    rows, items = _word_rows(_dataset(spark, root), "id"), _word_rows(_read(spark, root, "benchmark"), "item_id")
+    rows, items = _word_rows(spread(_dataset(spark, root)), "id"), _word_rows(_read(spark, root, "benchmark"), "item_id")
     return decontaminate.contaminated_keys(rows, "id", "ids", items, "ids", LEAST_WORDS_IN_COMMON, exchange=True)
 
 
