@@ -224,3 +224,18 @@ def test_spam_pages_of_odd_rows(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "1 AS words", "'x' AS spectrum")
     assert {r.doc_id for r in spam.spam_pages(df, "doc_id", "text").collect()} == {100, None}
     assert spam.spam_pages(df.limit(0), "doc_id", "text").collect() == []
+
+
+def test_copies_of_spam_are_no_norm(spark):
+    prose_rows = [(i, PROSE + f" Page {i} of the museum has another line, as the guide says.") for i in range(60)]
+    hot = "the best cheap lamp, lamp sale, buy lamp online, " * 3
+    rows = prose_rows + [(1000 + i, hot) for i in range(90)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r.doc_id for r in spam.spam_pages(df, "doc_id", "text").collect()} == {r[0] for r in rows[60:]}
+    for few in (29, 30):
+        assert spam.spam_pages(df.where(f"doc_id >= 1000 AND doc_id < {1000 + few}"), "doc_id", "text").count() == few
+    curves = {r.doc_id: r.deviation for r in spam.page_deviations(spam.page_profiles(df, "doc_id", "text"), "doc_id").collect()}
+    assert len(curves) == 150 and min(curves[r[0]] for r in rows[60:]) >= 2
+    copies = spark.createDataFrame(prose_rows + [(500 + i, PROSE) for i in range(200)], "doc_id bigint, text string")
+    again = {r.doc_id: r.deviation for r in spam.page_deviations(spam.page_profiles(copies, "doc_id", "text"), "doc_id").collect()}
+    assert all(math.isclose(again[i], curves[i], abs_tol=0.1) for i in range(60))

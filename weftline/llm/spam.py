@@ -1,8 +1,8 @@
 """Keyword-stuffed pages, link lists and tag pages.
 
 Every page's words give a rank-frequency curve. Its slope, its residual and the divergence of its frequent words are
-held against those of pages of the same language and comparable length, by medians and median deviations; pages that
-are extreme in one of them are candidates, of which the share of keywords, links and tags decides.
+held against those of prose of the same language and comparable length, by medians and median deviations. Whether a
+page is spam, the share of keywords, links and tags in the page itself decides, whatever the other pages are.
 """
 
 from __future__ import annotations
@@ -19,9 +19,7 @@ from .common import column, map_batches, raw, string_column
 from .lang import FREQUENT
 from .prose import LETTERS, TERMINAL, visible
 
-#: Deviations from the median, in median deviations, from which a page is a candidate.
-EXTREME = 2.0
-#: Pages of a language and length that make a reference of their own; others are held against all of their length.
+#: Different prose pages of a language and length that make a reference of their own; others are held against all of their length.
 LEAST_PAGES = 30
 
 _URL = re.compile(r"(?:https?://|ftp://|www\.)[^\s<>\"')\]]+", re.I)
@@ -166,14 +164,14 @@ def spam_characters(text: str) -> tuple[int, int]:
 
 
 def page_profiles(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``key, language, words, frequent, spectrum, spam, total`` of every page.
+    """``key, language, words, frequent, spectrum, spam, total, text_hash`` of every page.
 
     ``spectrum`` has the numbers of distinct words by their frequency in the page, ``frequent`` the words that bind
-    sentences, ``spam`` and ``total`` visible characters. Null, empty and blank pages have language ``und`` and zeros.
+    sentences, ``spam`` and ``total`` visible characters; copies of a text share their ``text_hash``. Null, empty and blank pages have language ``und`` and zeros.
     Rows of a key are taken as one page delivered again.
     """
     kind = df.schema[key].dataType.simpleString()
-    source = df.select(F.col(f"`{key}`").alias(key), string_column(text).alias("_text"))
+    source = df.select(F.col(f"`{key}`").alias(key), string_column(text).alias("_text"), F.xxhash64(string_column(text)).alias("_hash"))
     pair = pa.struct([("times", pa.int32()), ("n", pa.int32())])
 
     def profile(batch):
@@ -194,11 +192,11 @@ def page_profiles(df: DataFrame, key: str, text: str) -> DataFrame:
             spams.append(spam)
             totals.append(total)
         return pa.RecordBatch.from_arrays(
-            [raw(batch, key), pa.array(codes), pa.array(sizes, pa.int32()), pa.array(frequent, pa.int32()), pa.array(spectra, pa.list_(pair)), pa.array(spams, pa.int64()), pa.array(totals, pa.int64())],
-            names=[key, "language", "words", "frequent", "spectrum", "spam", "total"],
+            [raw(batch, key), pa.array(codes), pa.array(sizes, pa.int32()), pa.array(frequent, pa.int32()), pa.array(spectra, pa.list_(pair)), pa.array(spams, pa.int64()), pa.array(totals, pa.int64()), raw(batch, "_hash")],
+            names=[key, "language", "words", "frequent", "spectrum", "spam", "total", "text_hash"],
         )
 
-    return map_batches(source, profile, f"`{key}` {kind}, language string, words int, frequent int, spectrum array<struct<times:int,n:int>>, spam bigint, total bigint").dropDuplicates([key])
+    return map_batches(source, profile, f"`{key}` {kind}, language string, words int, frequent int, spectrum array<struct<times:int,n:int>>, spam bigint, total bigint, text_hash bigint").dropDuplicates([key])
 
 
 def rank_frequency(pages: DataFrame, key: str) -> DataFrame:
@@ -228,9 +226,10 @@ def rank_frequency(pages: DataFrame, key: str) -> DataFrame:
 def page_deviations(pages: DataFrame, key: str) -> DataFrame:
     """``pages`` with ``deviation``: the largest of slope's, residual's and divergence's distance from the median, in median deviations.
 
-    The medians are those of pages of the language and of lengths up to twice as long; where fewer than ``LEAST_PAGES``
-    share both, or the language is unknown, of the length alone; where these are too few, of all pages. Without so many
-    pages at all the deviation is infinite. The divergence is that of the share of frequent words from the pages'
+    The medians are those of prose: of different texts of which at most half is spam, so that neither copies nor spam
+    become the norm. They are of the page's language and of lengths up to twice as long; where fewer than
+    ``LEAST_PAGES`` share both, or the language is unknown, of the length alone; where these are too few, of all prose.
+    Without any prose the deviation is infinite. The divergence is that of the share of frequent words from the prose's
     median share (Kullback and Leibler), on the side of too few.
     """
     pages = checkpoint(pages)
@@ -238,9 +237,10 @@ def page_deviations(pages: DataFrame, key: str) -> DataFrame:
     length = F.floor(F.log2(F.col("words") + 1)).cast("int")
     curves = checkpoint(rank_frequency(pages, key).drop("spectrum").withColumn("_length", length).withColumn("_share", share))
     measured = ("slope", "residual", "_share")
+    prose = checkpoint(curves.where((F.col("words") > 0) & (F.col("spam") * 2 <= F.col("total"))).dropDuplicates(["text_hash"]).select("language", "_length", *measured))
 
     def medians(by: list[str], mark: str) -> DataFrame:
-        return curves.groupBy(*by).agg(
+        return prose.groupBy(*by).agg(
             F.count("*").alias(f"{mark}n"), *(F.percentile_approx(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 10_000).alias(f"{mark}{c}") for c in measured)
         )
 
@@ -267,14 +267,13 @@ def page_deviations(pages: DataFrame, key: str) -> DataFrame:
         return p * F.ln(p / m) + (1 - p) * F.ln((1 - p) / (1 - m))
 
     few = F.when(F.col("_share") < middle, divergence(F.col("_share")) / F.greatest(divergence(middle - spread), F.lit(1e-6))).otherwise(0.0)
-    deviation = F.greatest(distance("slope"), distance("residual"), F.sqrt(few)) if overall["cn"] >= LEAST_PAGES else F.lit(float("inf"))
-    return joined.withColumn("deviation", deviation).select(*curves.drop("_length", "_share").columns, "deviation")
+    deviation = F.greatest(distance("slope"), distance("residual"), F.sqrt(few)) if overall["cn"] else F.lit(float("inf"))
+    return joined.withColumn("deviation", deviation).select(*curves.drop("_length", "_share", "text_hash").columns, "deviation")
 
 
-def spam_pages(df: DataFrame, key: str, text: str, extreme: float = EXTREME) -> DataFrame:
+def spam_pages(df: DataFrame, key: str, text: str) -> DataFrame:
     """``key`` of the pages of which more than half of the visible characters is keywords, offers, links, captions or tags.
 
-    Only pages that deviate by ``extreme`` or more in their rank-frequency curve are looked at.
+    Every page is judged by itself: how many others are like it, or how many there are, makes no difference.
     """
-    rows = page_deviations(page_profiles(df, key, text), key)
-    return rows.where((F.col("deviation") >= extreme) & (F.col("spam") * 2 > F.col("total"))).select(key)
+    return page_profiles(df, key, text).where(F.col("spam") * 2 > F.col("total")).select(key)
