@@ -239,3 +239,11 @@ def test_copies_of_spam_are_no_norm(spark):
     copies = spark.createDataFrame(prose_rows + [(500 + i, PROSE) for i in range(200)], "doc_id bigint, text string")
     again = {r.doc_id: r.deviation for r in spam.page_deviations(spam.page_profiles(copies, "doc_id", "text"), "doc_id").collect()}
     assert all(math.isclose(again[i], curves[i], abs_tol=0.1) for i in range(60))
+
+
+def test_copies_of_lists_are_no_norm(spark):
+    listed = "- the old lamp\n- the new sofa\n- a bag of beans\n- the bread and salt"
+    rows = [(f"p{i}", PROSE + f" Page {i} has another line.") for i in range(20)] + [(f"l{i}", listed) for i in range(70)]
+    df = spark.createDataFrame(rows, "id string, text string")
+    assert {(r.id, r.kind) for r in textstats.unnatural_texts(df, "id", "text").collect()} == {(f"l{i}", "list") for i in range(70)}
+    assert [(r.id, r.kind) for r in textstats.unnatural_texts(df.where("id = 'l3'"), "id", "text").collect()] == [("l3", "list")]

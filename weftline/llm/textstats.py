@@ -31,8 +31,6 @@ STATISTICS = (
 #: The tail of a statistic in which unnatural texts lie: few ended lines, few common words, short lines; many symbols...
 LOW_TAIL = ("punctuated_lines", "common_words", "line_words")
 HIGH_TAIL = ("symbol_ratio", "digit_ratio", "comma_ratio", "sentence_words")
-#: Outlier score, the sum of -ln of these tail probabilities, from which a row goes on to the exact check.
-CUT = 4.0
 #: Stands for all languages together, against which texts of no language are ranked.
 ANY = "*"
 _STOPS = re.compile("[" + re.escape(".,;:!?।॥…\"'()[]{}«»“”„‘’¿¡|/*_~<>=+-–—•·◦") + "]+")
@@ -167,15 +165,15 @@ def scored_statistics(df: DataFrame, key: str, text: str) -> DataFrame:
     return outlier_scores(checkpoint(text_statistics(df, key, text)))
 
 
-def unnatural_texts(df: DataFrame, key: str, text: str, cut: float = CUT) -> DataFrame:
+def unnatural_texts(df: DataFrame, key: str, text: str, cut: float | None = None) -> DataFrame:
     """``key, kind`` of the texts of which more than half of the visible characters is no natural prose.
 
-    Rows with an outlier score of ``cut`` or more are candidates; of these the parts of the text decide, ``kind``
-    being ``list``, ``table`` or ``junk``, whichever has most characters.
+    The parts of each text decide, ``kind`` being ``list``, ``table`` or ``junk``, whichever has most characters. With
+    ``cut``, only rows with an outlier score of as much are looked at; the score depends on what else is in the table,
+    so there is no such cut by default.
     """
-    rows = scored_statistics(df, key, text).where(F.col("score") >= cut)
+    rows = text_statistics(df, key, text) if cut is None else scored_statistics(df, key, text).where(F.col("score") >= cut)
     other = F.col("list") + F.col("table") + F.col("junk")
     most = F.greatest("list", "table", "junk")
     kind = F.when(F.col("list") == most, "list").when(F.col("table") == most, "table").otherwise("junk")
     return rows.where(other > F.col("prose")).select(key, kind.alias("kind"))
-
