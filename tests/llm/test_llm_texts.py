@@ -247,3 +247,19 @@ def test_copies_of_lists_are_no_norm(spark):
     df = spark.createDataFrame(rows, "id string, text string")
     assert {(r.id, r.kind) for r in textstats.unnatural_texts(df, "id", "text").collect()} == {(f"l{i}", "list") for i in range(70)}
     assert [(r.id, r.kind) for r in textstats.unnatural_texts(df.where("id = 'l3'"), "id", "text").collect()] == [("l3", "list")]
+
+
+@pytest.mark.parametrize(
+    "text", ["All immigrants are parasites.", "Todos los inmigrantes son cucarachas.", "Alle Juden sind Ungeziefer.", "Todos os imigrantes são vermes.", "Tous les immigrés sont des cafards."]
+)
+def test_groups_called_vermin(text):
+    assert abuse.message_score(text) >= abuse.THRESHOLD
+
+
+def test_quiet_clauses_score_nothing():
+    known = [next(w for w in abuse._fold(" ".join(text.split())).split("|") if "*" not in w and " " not in w) for text in abuse.LEXICON.values()]
+    clauses = [f"{a} {b} {c}" for a in known for b in known for c in known] + ["Mice and rats are no parasites", "All the immigrants here are animals", "Ticks are parasites"]
+    for clause in clauses:
+        assert abuse._clause(clause) == abuse.clause_score(abuse.classify(abuse._fold(clause))), clause
+    for pattern, _, weight in abuse.PATTERNS:
+        assert abuse.clause_score(list(pattern)) > 0 or weight <= 0 or "R" in pattern or "N" in pattern, pattern

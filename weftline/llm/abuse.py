@@ -137,7 +137,9 @@ PATTERNS = (
 #: Weight taken back: a report about words, unless someone is cursed or threatened; a negation between target and insult.
 REPORT_PENALTY = 1.2
 NEGATION_PENALTY = 0.9
-_TRIGGERS = frozenset("IWVCcXSsUFDH")
+#: Classes that mean nothing by themselves; every other class triggers, and of a pattern of these alone each class.
+_CONTEXT = frozenset("TPQGEKANR")
+_TRIGGERS = frozenset(c for pattern, _, _ in PATTERNS for c in (set(pattern) - _CONTEXT or pattern))
 
 _LEET = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i", "€": "e", "|": "i"})
 _CLAUSES = re.compile(r"(?<=[.!?।…])[\"'”’»)]*\s+|\n+|;\s")
