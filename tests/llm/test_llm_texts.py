@@ -263,3 +263,19 @@ def test_quiet_clauses_score_nothing():
         assert abuse._clause(clause) == abuse.clause_score(abuse.classify(abuse._fold(clause))), clause
     for pattern, _, weight in abuse.PATTERNS:
         assert abuse.clause_score(list(pattern)) > 0 or weight <= 0 or "R" in pattern or "N" in pattern, pattern
+
+
+def test_halves_of_items_with_exchanges_are_all_found():
+    rng = random.Random(5)
+    own = items()
+    index = leakage.Items(own)
+    missed = 0
+    for _, text in own:
+        words = text.split()
+        for _ in range(100):
+            start = rng.randint(0, 30)
+            piece = words[start : start + 30]
+            for j in rng.sample(range(30), 3):
+                piece[j] = rng.choice(["exchanged", rng.choice(words)])
+            missed += index.find("lorem ipsum " + " ".join(piece) + " dolor sit") == []
+    assert missed == 0

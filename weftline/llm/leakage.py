@@ -25,11 +25,12 @@ LEAST_SHARE = 0.5
 EXCHANGED = 1 / 8
 #: Items that go to the tasks at once.
 BLOCK_ITEMS = 2_000
-#: Steps of the walk per word, sampled positions of a key, and repetitions. A pair of windows with one word in eight
-#: exchanged differs in about a third of its walk: a key of 4 meets with probability 0.2, one of 48 keys with 0.9999.
+#: Steps of a walk per word, sampled positions of a key, repetitions, and walks that these share alike. A walk that
+#: loses step loses all its keys, so each has its own bits.
 WALK = 2
 SAMPLED = 4
 REPETITIONS = 48
+WALKS = 4
 SEED = 20_240_229
 
 _MARKUP = re.compile(r"<[a-zA-Z/!][^<>]{0,200}>")
@@ -74,6 +75,12 @@ class Items:
             self.by_width.setdefault(width, _Windows(width, len(vocabulary))).add(n, self.words[n])
         for windows in self.by_width.values():
             windows.close()
+        self.by_run: dict[int, _Runs] = {}
+        for n, least in enumerate(self.least):
+            run = shared_run(least, len(self.words[n]))
+            self.by_run.setdefault(run, _Runs(run)).add(n, self.words[n])
+        for runs in self.by_run.values():
+            runs.close()
 
     def find(self, text: str) -> list[int]:
         """Numbers of the items of which the text contains a piece."""
@@ -82,8 +89,8 @@ class Items:
         known = np.concatenate([[0], np.cumsum(words > 0)])
         found: set[int] = set()
         tried: set[tuple[int, int]] = set()
-        for windows in self.by_width.values():
-            for item, shift in windows.candidates(words, known):
+        for source in (*self.by_width.values(), *self.by_run.values()):
+            for item, shift in source.candidates(words, known):
                 if item in found:
                     continue
                 own, least = self.words[item], self.least[item]
@@ -107,14 +114,14 @@ class _Windows:
         rng = np.random.default_rng(SEED + width)
         self.width = width
         self.steps = WALK * width
-        self.bits = rng.integers(0, 2, (self.steps, vocabulary + 1), dtype=np.int8)
+        self.bits = rng.integers(0, 2, (WALKS, self.steps, vocabulary + 1), dtype=np.int8)
         sampled = min(SAMPLED, self.steps)
         self.positions = np.stack([rng.choice(self.steps, sampled, replace=False) for _ in range(REPETITIONS)])
         self.factors = rng.integers(1, 1 << 62, (REPETITIONS, sampled), dtype=np.int64) | 1
         self.made: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
-    def embed(self, windows: np.ndarray) -> np.ndarray:
-        """The walk of each row: at each step the word under the pointer, which a random bit of step and word moves on."""
+    def embed(self, windows: np.ndarray, bits: np.ndarray) -> np.ndarray:
+        """A walk of each row: at each step the word under the pointer, which a random bit of step and word moves on."""
         n, width = windows.shape
         padded = np.concatenate([windows, np.zeros((n, 1), dtype=windows.dtype)], axis=1)
         out = np.empty((n, self.steps), dtype=np.int64)
@@ -123,13 +130,16 @@ class _Windows:
         for step in range(self.steps):
             symbol = padded[rows, at]
             out[:, step] = symbol
-            at = np.minimum(at + self.bits[step][symbol], width)
+            at = np.minimum(at + bits[step][symbol], width)
         return out
 
     def hashes(self, windows: np.ndarray) -> np.ndarray:
-        walk = self.embed(windows)
-        with np.errstate(over="ignore"):
-            return ((walk[:, self.positions] + 1) * self.factors).sum(axis=2)
+        out = np.empty((len(windows), REPETITIONS), dtype=np.int64)
+        for n, bits in enumerate(self.bits):
+            walk = self.embed(windows, bits)
+            with np.errstate(over="ignore"):
+                out[:, n::WALKS] = ((walk[:, self.positions[n::WALKS]] + 1) * self.factors[n::WALKS]).sum(axis=2)
+        return out
 
     def add(self, item: int, words: np.ndarray) -> None:
         windows = np.lib.stride_tricks.sliding_window_view(words, self.width)
@@ -159,19 +169,74 @@ class _Windows:
             return []
         hashes = self.hashes(np.lib.stride_tricks.sliding_window_view(words, width)[starts])
         met = []
-        for r, (keys, items, offsets) in enumerate(self.tables):
-            first = np.searchsorted(keys, hashes[:, r], side="left")
-            times = np.searchsorted(keys, hashes[:, r], side="right") - first
-            hit = np.flatnonzero(times)
-            if len(hit):
-                times = times[hit]
-                at = np.arange(times.sum()) + np.repeat(first[hit] - np.cumsum(times) + times, times)
-                met.append((items[at] << 32) + np.repeat(starts[hit], times) - offsets[at] + (1 << 31))
+        for r, table in enumerate(self.tables):
+            found = _meetings(table, hashes[:, r], starts)
+            if found is not None:
+                met.append(found)
         if not met:
             return []
-        pairs, times = np.unique(np.concatenate(met), return_counts=True)
-        ordered = pairs[np.argsort(-times, kind="stable")]
-        return list(zip((ordered >> 32).tolist(), ((ordered & 0xFFFFFFFF) - (1 << 31)).tolist()))
+        return _by_meetings(np.concatenate(met))
+
+
+class _Runs:
+    """Runs of one number of words, hashed; the text's are looked up whole, so none is missed."""
+
+    def __init__(self, size: int):
+        self.size = size
+        self.factors = np.random.default_rng(SEED - size).integers(1, 1 << 62, size, dtype=np.int64) | 1
+        self.made: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def hashes(self, words: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return sum(words[starts + k] * factor for k, factor in enumerate(self.factors))
+
+    def add(self, item: int, words: np.ndarray) -> None:
+        starts = np.arange(len(words) - self.size + 1)
+        self.made.append((self.hashes(words, starts), np.full(len(starts), item), starts))
+
+    def close(self) -> None:
+        keys, items, offsets = (np.concatenate(x) for x in zip(*self.made))
+        order = np.argsort(keys, kind="stable")
+        self.table = (keys[order], items[order], offsets[order])
+        self.made = []
+
+    def candidates(self, words: np.ndarray, known: np.ndarray) -> list[tuple[int, int]]:
+        """(item, shift) of the runs that the text shares."""
+        if len(words) < self.size:
+            return []
+        starts = np.flatnonzero(known[self.size :] - known[: -self.size] == self.size)
+        if len(starts) == 0:
+            return []
+        met = _meetings(self.table, self.hashes(words, starts), starts)
+        return [] if met is None else _by_meetings(met)
+
+
+def _meetings(table: tuple[np.ndarray, np.ndarray, np.ndarray], hashes: np.ndarray, starts: np.ndarray) -> np.ndarray | None:
+    """Item and shift, in one number, of every meeting of a hash with the table."""
+    keys, items, offsets = table
+    first = np.searchsorted(keys, hashes, side="left")
+    times = np.searchsorted(keys, hashes, side="right") - first
+    hit = np.flatnonzero(times)
+    if len(hit) == 0:
+        return None
+    times = times[hit]
+    at = np.arange(times.sum()) + np.repeat(first[hit] - np.cumsum(times) + times, times)
+    return (items[at] << 32) + np.repeat(starts[hit], times) - offsets[at] + (1 << 31)
+
+
+def _by_meetings(met: np.ndarray) -> list[tuple[int, int]]:
+    """(item, shift) by falling number of meetings."""
+    pairs, times = np.unique(met, return_counts=True)
+    ordered = pairs[np.argsort(-times, kind="stable")]
+    return list(zip((ordered >> 32).tolist(), ((ordered & 0xFFFFFFFF) - (1 << 31)).tolist()))
+
+
+def shared_run(least: int, size: int) -> int:
+    """Words in a row that any piece of at least ``least`` of ``size`` words has unchanged, with at most one word in eight exchanged.
+
+    Of the stretches between k exchanged words of n, one has n / (k + 1) words or more, rounded down.
+    """
+    return min(n // (int(n * EXCHANGED) + 1) for n in range(least, size + 1))
 
 
 def _longest(match: np.ndarray) -> int:
