@@ -279,3 +279,13 @@ def test_halves_of_items_with_exchanges_are_all_found():
                 piece[j] = rng.choice(["exchanged", rng.choice(words)])
             missed += index.find("lorem ipsum " + " ".join(piece) + " dolor sit") == []
     assert missed == 0
+
+
+def test_long_tags_are_no_words():
+    words = items()[0][1].split()
+    index = leakage.Items(items())
+    address = "https://a.example/" + "/".join(f"part{i}-of-way" for i in range(60))
+    for tag in (f'<a href="{address}" class="x">', f"<span style='{'color: red; ' * 40}' hidden>", f"<img alt=lamp src={address} />", f'<p title="{"1 > 0 " * 50}">', f"<!-- {'seen by nobody ' * 30} -->"):
+        assert len(tag) > 200 and leakage.folded_words(f"one {tag}two") == ["one", "two"]
+        assert index.find(" ".join(words[:15]) + f" {tag}" + " ".join(words[15:30])) == [0]
+    assert index.find("if a <b then " + " ".join(words[:30]) + " c> d") == [0]

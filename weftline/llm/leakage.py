@@ -33,7 +33,11 @@ REPETITIONS = 48
 WALKS = 4
 SEED = 20_240_229
 
-_MARKUP = re.compile(r"<[a-zA-Z/!][^<>]{0,200}>")
+#: Tags by their attributes and comments by their marks, however long; else what stands between two signs close by, as
+#: signs far apart may have a passage between them.
+_MARKUP = re.compile(
+    r"""<[a-zA-Z][\w:-]*(?=[^<>]*=)(?:\s+[\w:@.-]++(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'<>]++))?)++\s*/?>|<!--[^<>]*-->|<[a-zA-Z/!][^<>]{0,200}>"""
+)
 _LINK = re.compile(r"\]\([^()\s]*\)")
 _BROKEN = re.compile(r"(?<=\w)[-­‐]\s*\n\s*(?=\w)")
 _HIDDEN = re.compile(r"[­​-‏⁠-⁤﻿̀-ͯ]")
