@@ -289,3 +289,18 @@ def test_long_tags_are_no_words():
         assert len(tag) > 200 and leakage.folded_words(f"one {tag}two") == ["one", "two"]
         assert index.find(" ".join(words[:15]) + f" {tag}" + " ".join(words[15:30])) == [0]
     assert index.find("if a <b then " + " ".join(words[:30]) + " c> d") == [0]
+
+
+@pytest.mark.parametrize(
+    "question, answer, differs",
+    [
+        (QUESTION, "Музей был закрыт весной.", True), (QUESTION, "博物馆每天都开放。", True), (QUESTION, "المتحف القديم مفتوح كل يوم.", True),
+        (QUESTION, "यह बहुत पुराना है।", True), (QUESTION, "এটি পুরোনো।", True), ("এই জাদুঘর কখন খোলে?", "It opens at nine.", True), ("यह किसने लिखा?", "Nobody knows.", True),
+        ("मैंने हिन्दी की किताब पढ़ी, यह संग्रहालय कब खुलता है?", "The old museum opens every day, as everybody knows.", True),
+        ("আমি ইংরেজি বই পড়ি, এই জাদুঘর কখন খোলে?", "The old museum opens every day, as everybody knows.", True),
+        ("इस वाक्य का अंग्रेज़ी में अनुवाद कीजिए: यह संग्रहालय पुराना है।", "This museum is old, as everybody knows.", False), ("এটি ইংরেজিতে লেখো: জাদুঘরটি পুরোনো।", "The museum is old.", False),
+        ("How do I say good day in Russian?", "Добрый день.", False), ("यह कितनी दूर है?", "42 km", False), ("यह किसने बनाया?", "NASA", False), ("What is the angle?", "α = 2β", False), (QUESTION, "It is called „музей“ there, as everybody knows.", False),
+    ],
+)
+def test_scripts_of_pairs(question, answer, differs, model):
+    assert ("other_language" in pairs.defects(question, answer, pairs.Languages(model))) is differs

@@ -8,6 +8,9 @@ order; the first is the pair's defect.
 from __future__ import annotations
 
 import re
+import unicodedata
+from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -61,7 +64,26 @@ _REFUSAL = re.compile("|".join("(?:" + p.replace("\n        ", "") + ")" for p i
 _SENTENCES = re.compile(r"(?<=[.!?।…])[\"'”’»)]*\s+|\n+")
 _SPEAKER = re.compile(r"^\s*(?:>+\s*)*(?:(?:answer|assistant|response|ai|bot|gpt|a|q|question|user|resposta|respuesta|antwort|réponse|pergunta|pregunta|frage|उत्तर|जवाब|প্রশ্ন|উত্তর)\s*[:：]\s*)*", re.I)
 _TRANSLATION = re.compile(
-    r"\b(?:translat\w+|traduz\w*|tradu[cz]\w+|traduis\w*|traduire|übersetz\w+|in (?:english|german|french|spanish|portuguese|hindi|bengali)|auf (?:deutsch|englisch|französisch|spanisch|portugiesisch)|en (?:español|inglés|francés|alemán|portugués|anglais|espagnol|allemand|portugais|français)|em (?:inglês|espanhol|francês|alemão|português)|au? (?:inglés|francés|alemán|portugués|español))\b|अनुवाद (?:कर|की)|में अनुवाद|का अनुवाद|(?:अंग्रेज़ी|हिन्दी|हिंदी|बांग्ला|जर्मन|स्पेनिश|पुर्तगाली|फ़्रेंच|फ़्रांसीसी)|অনুবাদ (?:কর|ক)|(?:ইংরেজি|হিন্দি|বাংলা|জার্মান|স্প্যানিশ|পর্তুগিজ|ফরাসি)",
+    r"\b(?:translat\w+|traduz\w*|tradu[cz]\w+|traduis\w*|traduire|übersetz\w+|in (?:english|german|french|spanish|portuguese|hindi|bengali)|auf (?:deutsch|englisch|französisch|spanisch|portugiesisch)|en (?:español|inglés|francés|alemán|portugués|anglais|espagnol|allemand|portugais|français)|em (?:inglês|espanhol|francês|alemão|português)|au? (?:inglés|francés|alemán|portugués|español))\b",
+    re.I,
+)
+#: The same in Hindi and Bengali: a request by its verb, or "in" a language; a language or a translator
+#: that is merely named asks for nothing.
+_TRANSLATION_INDIC = re.compile(
+    unicodedata.normalize(
+        "NFC",
+        r"अनुवाद\s*(?:कीजिए|कीजिये|कीजिएगा|करें|करो|करिए|करिये|करना|करके|कर\s*(?:के|दें|दो|दीजिए|दीजिये|सक\w*)|क्या|बता\w*|दें|दीजिए|चाहिए)|में अनुवाद"
+        r"|(?:अंग्रेज़ी|अंग्रेजी|हिन्दी|हिंदी|बांग्ला|बंगाली|जर्मन|स्पेनिश|स्पैनिश|पुर्तगाली|फ़्रेंच|फ्रेंच|फ़्रांसीसी|फ्रांसीसी|रूसी|चीनी|अरबी|जापानी|उर्दू|तमिल|यूनानी|कोरियाई)\s*(?:भाषा\s*)?में"
+        r"|অনুবাদ\s*(?:করুন|করো|কর(?=\s*[।!?]|\s*$)|করে\s*(?:দিন|দাও|দেবেন|দেবে)|করতে\s*(?:পার\w*|হবে)|কী|দিন|দাও|চাই)"
+        r"|(?:ইংরেজি|ইংরেজী|হিন্দি|বাংলা|জার্মান|স্প্যানিশ|পর্তুগিজ|ফরাসি|রুশ|চীনা|আরবি|জাপানি|উর্দু|তামিল|গ্রিক|কোরীয়)(?:তে|য়|ে|\s*ভাষায়|\s*ভাষাতে)",
+    )
+)
+#: Requests for languages of other scripts.
+_OTHER_LANGUAGES = re.compile(
+    r"\b(?:in|to|into) (?:russian|ukrainian|bulgarian|serbian|greek|hebrew|arabic|persian|farsi|urdu|chinese|mandarin|cantonese|japanese|korean|thai|tamil|telugu|marathi|gujarati|punjabi|nepali|sanskrit|georgian|armenian|bangla|cyrillic|devanagari|kanji)\b"
+    r"|\b(?:english|german|french|spanish|portuguese|hindi|bengali|bangla|russian|greek|hebrew|arabic|persian|urdu|chinese|japanese|korean|thai|tamil|sanskrit) (?:word|words|name|term|phrase|translation|spelling|script|alphabet|letters?|version)\b"
+    r"|\b(?:em|para o|para) (?:hindi|bengali|russo|grego|hebraico|árabe|chinês|mandarim|japonês|coreano)\b|\b(?:en|al) (?:hindi|bengalí|ruso|griego|hebreo|árabe|chino|mandarín|japonés|coreano)\b"
+    r"|\b(?:auf|ins?) (?:hindi|bengalische?|bengali|russische?|griechische?|hebräische?|arabische?|chinesische?|japanische?|koreanische?)\b|\b(?:en|au) (?:hindi|bengali|russe|grec|hébreu|arabe|chinois|mandarin|japonais|coréen)\b",
     re.I,
 )
 _CODE = re.compile(r"```.*?(?:```|$)|`[^`\n]*`", re.S)
@@ -130,8 +152,48 @@ def is_refusal(answer: str) -> bool:
     return refused > 0 and (helpful <= 0.2 * refused or last and remarks == 1 and helpful <= 30)
 
 
+def asks_for_language(question: str) -> bool:
+    """The question asks for a translation, or for an answer in some language."""
+    if _TRANSLATION.search(question) or _OTHER_LANGUAGES.search(question):
+        return True
+    return not question.isascii() and _TRANSLATION_INDIC.search(unicodedata.normalize("NFC", question)) is not None
+
+
+@lru_cache(maxsize=50_000)
+def _script_of(character: str) -> str:
+    """Script of a letter; empty for what is none."""
+    if not character.isalpha():
+        return ""
+    name = unicodedata.name(character, "").split(" ")[0]
+    return "CJK" if name in ("HIRAGANA", "KATAKANA", "KATAKANA-HIRAGANA") else name
+
+
+def script_of(text: str) -> str:
+    """Script of more than half of the letters, by the first word of their names; empty if there is none."""
+    if text.isascii():
+        return "LATIN" if any(map(str.isalpha, text)) else ""
+    counts: Counter = Counter()
+    for character, times in Counter(unicodedata.normalize("NFKC", text)).items():
+        counts[_script_of(character)] += times
+    del counts[""]
+    script, most = max(counts.items(), key=lambda x: x[1], default=("", 0))
+    return script if most * 2 > counts.total() else ""
+
+
+def _beyond_scripts(answer: str, script: str) -> bool:
+    """What is written alike in every language: figures with units, code, names and abbreviations in Latin, formulas in Greek letters."""
+    if script == "GREEK":
+        return not re.search(r"[Ͱ-Ͽἀ-῿]{3}", answer)
+    if script != "LATIN":
+        return False
+    if _FIGURE.match(answer.strip()) or re.search(r"[=<>{}]|\w\(|\w_\w|[\w-]@\w", answer):
+        return True
+    words = re.findall(rf"[{LETTERS}0-9'’.+#&-]*[{LETTERS}][{LETTERS}0-9'’.+#&-]*", answer)
+    return all(any(map(str.isdigit, w)) or not w[0].islower() for w in words) and not any(w.lower().strip(".'’-") in own for w in words for own in FREQUENT.values())
+
+
 class Languages:
-    """Languages of questions and answers; words in code, links and quotations don't count."""
+    """Scripts and languages of questions and answers; words in code, links and quotations don't count."""
 
     LEAST_WORDS = 4
     #: Lead per n-gram of the answer's language over the question's, and of the question's over the answer's.
@@ -140,17 +202,26 @@ class Languages:
     def __init__(self, model: Profiles):
         self.model = model
 
-    def costs(self, text: str) -> tuple[np.ndarray, int, int]:
+    @staticmethod
+    def own_words(text: str) -> str:
+        """``text`` without code, links and quotations."""
         if "`" in text:
             text = _CODE.sub(" ", text)
         if "://" in text or "www." in text:
             text = _URL.sub(" ", text)
-        text = _QUOTED.sub(" ", text)
+        return _QUOTED.sub(" ", text)
+
+    def costs(self, text: str) -> tuple[np.ndarray, int, int]:
         ids = self.model.word_ids(text.lower().split())
         grams = sum(map(len, map(self.model.grams.__getitem__, ids)))
         return self.model.costs[ids].sum(axis=0) if ids else np.zeros(len(self.model.languages)), max(1, grams), len(ids) - ids.count(0)
 
     def differ(self, question: str, answer: str) -> bool:
+        """Whether the scripts differ, of however few words, or the languages by their n-grams."""
+        question, answer = self.own_words(question), self.own_words(answer)
+        script_asked, script_said = script_of(question), script_of(answer)
+        if script_asked and script_said and script_asked != script_said and not _beyond_scripts(answer, script_said):
+            return True
         asked, grams_asked, words_asked = self.costs(question)
         said, grams_said, words_said = self.costs(answer)
         if min(words_asked, words_said) < self.LEAST_WORDS or not self.model.languages:
@@ -211,7 +282,7 @@ def defects(question: str | None, answer: str | None, languages: Languages) -> l
         found.append("copied")
     if is_refusal(answer):
         found.append("refusal")
-    if question and languages.differ(question, answer) and not _TRANSLATION.search(question):
+    if question and languages.differ(question, answer) and not asks_for_language(question):
         found.append("other_language")
     if is_truncated(answer):
         found.append("truncated")
