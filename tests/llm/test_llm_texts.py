@@ -304,3 +304,15 @@ def test_long_tags_are_no_words():
 )
 def test_scripts_of_pairs(question, answer, differs, model):
     assert ("other_language" in pairs.defects(question, answer, pairs.Languages(model))) is differs
+
+
+@pytest.mark.parametrize(
+    "answer, expected",
+    [
+        ("I'm sorry, but I can't help with that request. " * 40, "refusal"), ("N/A" + " " * 60, "empty"), ("*" * 70 + "no answer" + "-" * 70, "empty"), ("[" + "\n" * 80 + "N/A]", "empty"),
+        ("I'm sorry, but I can't help with that request. " + PROSE * 20, None), ("N/A " * 30 + ".", None),
+    ],
+)
+def test_long_refusals_and_padded_placeholders(answer, expected, model):
+    found = pairs.defects(QUESTION, answer, pairs.Languages(model))
+    assert (found[0] if found else None) == expected

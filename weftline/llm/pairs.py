@@ -33,7 +33,9 @@ PLACEHOLDERS = frozenset(
     |no content|sem resposta|vazio|resposta|sin respuesta|vacío|respuesta|keine antwort|leer|antwort|pas de réponse|vide|réponse|sans réponse
     |कोई उत्तर नहीं|उत्तर नहीं|उत्तर|खाली|কোনো উত্তর নেই|উত্তর নেই|উত্তর|খালি""".replace("\n    ", "").split("|")
 )
-_PLACEHOLDER_TRIM = re.compile(r"^[\s<>\[\](){}\"'`*_#.\-:…​]+|[\s<>\[\](){}\"'`*_#.\-:…​]+$")
+_PLACEHOLDER_MARK = re.compile(r"[\s<>\[\](){}\"'`*_#.\-:…​]")
+#: Blanks and marks around a placeholder.
+_PLACEHOLDER_EDGE = "".join(filter(_PLACEHOLDER_MARK.match, map(chr, range(0x3001))))
 _ANY_LETTER = re.compile(rf"[{LETTERS}0-9٠-٩०-९০-৯]")
 
 _REFUSALS = {
@@ -104,9 +106,8 @@ def is_empty(answer: str | None) -> bool:
         return True
     if not _ANY_LETTER.search(answer):
         return not re.search(r"[\U0001f300-\U0001faff]", answer)
-    if len(answer) > 60:
-        return False
-    return _PLACEHOLDER_TRIM.sub("", answer).lower() in PLACEHOLDERS
+    held = answer.strip(_PLACEHOLDER_EDGE)
+    return len(held) <= 60 and held.lower() in PLACEHOLDERS
 
 
 def is_copied(question: str | None, answer: str) -> bool:
@@ -130,8 +131,6 @@ def is_copied(question: str | None, answer: str) -> bool:
 
 def is_refusal(answer: str) -> bool:
     """Refusing sentences and what goes with them; besides these one remark before the refusal at most."""
-    if len(answer) > 1500:
-        return False
     total = len(answer.split())
     refused = helpful = remarks = 0
     last = False
