@@ -316,3 +316,19 @@ def test_scripts_of_pairs(question, answer, differs, model):
 def test_long_refusals_and_padded_placeholders(answer, expected, model):
     found = pairs.defects(QUESTION, answer, pairs.Languages(model))
     assert (found[0] if found else None) == expected
+
+
+def test_eight_foreign_words_wherever_they_stand(samples):
+    rows = sorted((r.language, r.text) for r in samples.collect())
+    model, held = langid.Profiles(langid.make_profiles(rows[::2])), rows[1::2]
+    own = {code: [w.strip(".,;:!?।") for c, t in held if c == code for w in t.split()] for code in {c for c, _ in held}}
+
+    def reported(foreign, size, at):
+        around = own["hi" if at % 2 and foreign != "hi" else "en"][:30]
+        start = at * 5
+        text = " ".join(around[:at] + own[foreign][start : start + size] + around[at:])
+        return any(language == foreign and words >= langid.RUN_WORDS for _, words, language, _ in langid.segment(text, model))
+
+    places = [(code, at) for code in own if code != "en" for at in range(31)]
+    assert sum(reported(code, 8, at) for code, at in places) >= 0.75 * len(places)
+    assert sum(reported(code, 6, at) for code, at in places) <= 0.05 * len(places)

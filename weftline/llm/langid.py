@@ -3,7 +3,7 @@
 A profile ranks a language's n-grams by frequency. A text is compared to a profile by the out-of-place distance: the
 sum, over the text's most frequent n-grams, of how far their rank is from that in the profile (Cavnar and Trenkle).
 Segments are found with the same ranks: every word adds up how far out its n-grams lie in each profile, and a shortest
-path over small pieces of the text, where a change of language has a price, gives runs of one language.
+path over the words of the text, where a change of language has a price, gives runs of one language.
 """
 
 from __future__ import annotations
@@ -28,14 +28,14 @@ TEXT_RANKS = 300
 LONGEST_GRAM = 4
 #: Price of a change of language, in n-grams that are missing from a profile.
 SWITCH = 7.0
-PIECE_WORDS = 6
+#: Words between two runs of one language that are names or terms in it, at most.
+NAME_WORDS = 3
 #: Words in a row that make a language part of a text, and words of a text worth a finding.
 RUN_WORDS = 8
 LEAST_WORDS = 20
 MEMO_WORDS = 150_000
 
 _STRIP = re.compile(r"[\s\d!-&(-/:-@\[-`{-~¡-¿×÷‐-‖“-⁯₠-⯿।॥०-९০-৯\U0001f000-\U0001faff]+")
-_UNITS = re.compile(r"[^\n.!?।…\"“”„«»]+[.!?।…\"“”„«»]*|[\n.!?।…\"“”„«»]+")
 
 
 def _plain(word: str) -> str:
@@ -143,60 +143,59 @@ def profiles(ranked: dict[str, list[str]], key: int) -> Profiles:
     return _PROFILES[key]
 
 
-def pieces_of(text: str) -> list[list[str]]:
-    """The blank-separated words of the text, in pieces of up to ``PIECE_WORDS`` that don't reach over a sentence's end."""
-    found: list[list[str]] = []
-    for unit in _UNITS.findall(text):
-        words = unit.split()
-        if len(words) <= 2 * PIECE_WORDS - 1:
-            if words:
-                found.append(words)
-        else:
-            n = len(words) // PIECE_WORDS
-            found += [words[i * PIECE_WORDS : (i + 1) * PIECE_WORDS if i < n - 1 else None] for i in range(n)]
-    return found
+def _may_change(costs: np.ndarray, main: int) -> bool:
+    """Whether the cheapest path can have a change at all: some run of words gains at least half a change's price on the language that is best for all."""
+    gains = np.cumsum(costs[:, main : main + 1] - costs, axis=0, dtype=np.float64)
+    lowest = np.minimum(np.minimum.accumulate(gains, axis=0), 0.0)
+    return bool((gains[0] > SWITCH / 2).any() or (gains[1:] - lowest[:-1] > SWITCH / 2).any())
 
 
 def _path(costs: np.ndarray) -> list[int]:
-    """The cheapest language of each piece where a change costs ``SWITCH``."""
-    best = costs[0].copy()
-    back = np.zeros(costs.shape, dtype=np.int32)
-    for i in range(1, len(costs)):
-        least = int(best.argmin())
-        change = best[least] + SWITCH
-        back[i] = np.where(best <= change, np.arange(len(best)), least)
-        best = np.minimum(best, change) + costs[i]
-    at = int(best.argmin())
+    """The cheapest language of each word where a change costs ``SWITCH``."""
+    rows = costs.tolist()
+    best = rows[0]
+    before = [best]
+    for row in rows[1:]:
+        change = min(best) + SWITCH
+        best = [(b if b <= change else change) + c for b, c in zip(best, row)]
+        before.append(best)
+    at = best.index(min(best))
     path = [at]
-    for i in range(len(costs) - 1, 0, -1):
-        at = int(back[i][at])
+    for best in before[-2::-1]:
+        least = min(best)
+        if best[at] > least + SWITCH:
+            at = best.index(least)
         path.append(at)
     return path[::-1]
 
 
+def _runs(path: list[int]) -> list[list[int]]:
+    """[first word, past the last, language] of each run; a name within a language belongs to it."""
+    runs: list[list[int]] = []
+    first = 0
+    for i in range(1, len(path) + 1):
+        if i < len(path) and path[i] == path[first]:
+            continue
+        if len(runs) > 1 and runs[-2][2] == path[first] and runs[-1][1] - runs[-1][0] <= NAME_WORDS:
+            runs.pop()
+            runs[-1][1] = i
+        else:
+            runs.append([first, i, path[first]])
+        first = i
+    return runs
+
+
 def segment(text: str, model: Profiles) -> list[tuple[int, int, str, float]]:
     """(first word, words, language, confidence) of each run of one language; none for a text without words, or without profiles."""
-    pieces = pieces_of(text.lower())
-    if not pieces or not model.languages:
+    words = text.lower().split()
+    if not words or not model.languages:
         return []
-    ids = model.word_ids([w for p in pieces for w in p])
-    sizes = [len(p) for p in pieces]
-    starts = np.concatenate([[0], np.cumsum(sizes)])
-    costs = np.add.reduceat(model.costs[ids], starts[:-1], axis=0)
-    least = costs.argmin(axis=1)
-    if (least == least[0]).all():
-        path = [int(least[0])] * len(sizes)
-    else:
-        path = _path(costs)
-    runs: list[list[int]] = []
-    for i, language in enumerate(path):
-        if runs and runs[-1][2] == language:
-            runs[-1][1] = i + 1
-        else:
-            runs.append([i, i + 1, language])
+    ids = model.word_ids(words)
+    costs = model.costs[ids]
+    main = int(costs.sum(axis=0).argmin())
+    runs = _runs(_path(costs)) if _may_change(costs, main) else [[0, len(words), main]]
     found = []
-    for first, last, language in runs:
-        a, b = int(starts[first]), int(starts[last])
+    for a, b, language in runs:
         away = model.distances(ids[a:b])
         nearest = int(away.argmin())
         if b - a < RUN_WORDS or away[language] <= away[nearest] * 1.02:
