@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .common import column, map_batches, raw, string_column
 from .lang import LANGUAGES, code_of
-from .prose import kind_of, parts
+from .prose import kind_of, shapes
 
 #: Samples of each language that a profile is made of, at most; ranks kept; n-grams of a text that are compared.
 SAMPLES_PER_LANGUAGE = 400
@@ -284,7 +284,7 @@ def mislabelled(df: DataFrame, key: str, text: str, label: str, samples: DataFra
                 labels[given] = code_of(given)
             found = segment(value, model)
             present = sorted({language for _, words, language, _ in found if words >= RUN_WORDS})
-            if not present or present == [labels[given]] or kind_of(parts(value)) is not None:
+            if not present or present == [labels[given]] or kind_of(shapes(value)) is not None:
                 continue
             at += [i] * len(present)
             languages += present

@@ -21,7 +21,7 @@ from .common import map_batches, raw
 from .lang import FREQUENT
 from .langid import Profiles, profiles, profiles_of
 from .leakage import folded_words
-from .prose import LETTERS, TERMINAL
+from .prose import LETTERS, ended
 
 DEFECTS = ("empty", "copied", "refusal", "other_language", "truncated")
 ROLES = {"human": "user", "gpt": "assistant"}
@@ -253,7 +253,7 @@ def is_truncated(answer: str) -> bool:
             opener, closer = "„", "“"
         if last.count(opener) > last.count(closer) and last.rfind(opener) > last.rfind(closer):
             return True
-    if TERMINAL.search(last):
+    if ended(last):
         return False
     if last.count('"') % 2:
         return True

@@ -10,10 +10,13 @@ import re
 
 from .lang import FREQUENT
 
-#: Letters and the marks that belong to them, as the inside of a character class.
+#: Letters and the marks that belong to them, as the inside of a character class.
 LETTERS = "A-Za-zªºÀ-ÖØ-öø-\u02af\u0300-\u036f\u0370-\u05c7\u05d0-\u065f\u066e-\u06d3\u06d5-\u0963\u0971-\u09e5\u09f0-\u0a65\u0a70-\u1fff\u200c\u200d\u3040-\ud7ff\U00010300-\U0001034f\U00020000-\U0002ffff"
-#: Ends of sentences, and what may close after them.
-TERMINAL = re.compile(r"[.!?।॥。！？…]+[\"'”’»«“)\]*_\s\u200b]*(?:[\U0001f000-\U0001faff\u2600-\u27bf\ufe0f\u200d]|[:;]-?[)D(]|\blol\b|\bhaha\w*|\s)*$|(?:[\U0001f300-\U0001faff]\ufe0f?|[:;]-?[)D])\s*$")
+#: Marks that end a sentence, and what may close after them: quotes, brackets, emphasis, white space.
+_ENDS = frozenset(".!?।॥。！？…")
+_CLOSERS = frozenset("\"'”’»«“)]*_\u200b \t\n\r\xa0\u3000")
+_EMOTICONS = (":)", ";)", ":-)", ";-)", ":D", ";D", ":-D", ";-D", ":(", ";(", ":-(", ";-(")
+_LAUGHTER = re.compile(r"lol|haha\w*")
 _SENTENCES = re.compile(r"(?<=[.!?।॥…])[\"'”’»)]*\s+(?=\S)")
 _CLEAN = re.compile(
     rf"(?<!\S)[\"'“”„«»‘’(\[¿¡*_—–-]*[{LETTERS}]+(?:['’.\-][{LETTERS}]+)*[.,;:!?…।॥)\]\"“”'’»*_]*(?!\S)"
@@ -34,7 +37,7 @@ _CELL = re.compile(rf"[+\-$€£#]?\d[\d.,:/\-]*\s?[%\w]{{0,3}}$|[{LETTERS}][{LE
 _UNUSUAL = re.compile(r"[|\t;<>=\[\]{}#@^~\\*/»·•§¬¦°\ufffd\x80-\x9fÃÂàâð_\d]|  |([^\s\d])\1{4,}|\S{30,}")
 _NUMBERISH = re.compile(r"^[#$€£+\-~(]?(?:ID|v)?\d[\d.,:/\-%]*\)?$")
 
-#: Captions of menus and buttons.
+#: Captions of menus and buttons in the seven languages.
 MENU_WORDS = frozenset(
     """home menu login logout register search share print next previous back top cart privacy contact about help settings
     download upload subscribe cookies accept sitemap faq terms account signup faqs news blog
@@ -48,6 +51,32 @@ MENU_WORDS = frozenset(
 )
 
 
+def ended(text: str) -> bool:
+    """Whether a line ends in sentence punctuation, whatever closes after it (quotes, emoji, laughter), or in an emoji or emoticon.
+
+    Reads from the end as far as closing marks go, however long the line is.
+    """
+    at = last = len(text.rstrip())
+    smiled = False
+    while at:
+        c = text[at - 1]
+        if c in _ENDS:
+            return True
+        if c in ")D(" and (mark := next((e for e in _EMOTICONS if text.endswith(e, 0, at)), None)):
+            smiled |= at == last and c != "("
+            at -= len(mark)
+        elif c in _CLOSERS:
+            at -= 1
+        elif "\U0001f000" <= c <= "\U0001faff" or "\u2600" <= c <= "\u27bf" or c in "\ufe0f\u200d":
+            smiled |= at == last and (c >= "\U0001f300" or c == "\ufe0f" and text[at - 2 : at - 1] >= "\U0001f300")
+            at -= 1
+        elif c.isalpha() and (space := text.rfind(" ", max(0, at - 64), at)) >= 0 and _LAUGHTER.fullmatch(text, space + 1, at):
+            at = space
+        else:
+            break
+    return smiled
+
+
 def visible(text: str) -> int:
     """Characters that are not white space."""
     return len(text) - sum(map(text.count, (" ", "\n", "\t", "\r", "\xa0"))) if text else 0
@@ -89,13 +118,13 @@ def _are_cells(cells: list[str], most: float) -> bool:
 
 
 def line_kind(line: str) -> str:
-    """One of ``p`` prose, ``l`` list, ``t`` table, ``j`` junk, ``f`` named field, ``h`` heading, ``-`` ruler, ``s`` short and open, ``u`` long and open."""
+    """``p`` prose, ``l`` list, ``t`` table, ``j`` junk, ``x`` random letters, ``m`` captions, ``f`` named field, ``h`` heading, ``-`` ruler, ``s`` short and open, ``u`` long and open."""
     text = line.strip()
     if _RULER.match(text):
         return "-"
     words = text.lower().split()
     n = len(words)
-    ends = TERMINAL.search(text[-60:]) is not None
+    ends = ended(text)
     seen, dirty, clean = 0, 0, []
     if _UNUSUAL.search(text):
         seen = visible(text)
@@ -108,7 +137,7 @@ def line_kind(line: str) -> str:
         if text.count("|") >= 2:
             cells = [c.strip() for c in text.strip("|").split("|")]
             if _is_menu(cells):
-                return "j"
+                return "m"
             if _are_cells(cells, 4):
                 return "t"
         if not ends or n < 8:
@@ -120,14 +149,14 @@ def line_kind(line: str) -> str:
                     return "t"
         broken = _MENU_BREAK.split(text)
         if len(broken) >= 4 and _is_menu(broken):
-            return "j"
+            return "m"
         clean = _CLEAN.findall(text)
         dirty = seen - sum(map(len, clean)) + sum(len(m.group()) for m in _REPEATED.finditer(text) if _CLEAN.match(m.group()))
     elif text.count(",") >= 2 and not ends and ", " not in text and _are_cells(text.split(","), 2.5):
         return "t"
     if not ends and not MENU_WORDS.isdisjoint(words):
         if n <= 3 and _is_menu(words * 3) or n >= 4 and sum(map(MENU_WORDS.__contains__, words)) >= 0.5 * n:
-            return "j"
+            return "m"
     marker = _MARKER.match(line)
     if _QUANTITY.match(text) and n <= 8 and not ends:
         return "l"
@@ -136,7 +165,7 @@ def line_kind(line: str) -> str:
             return "f"
         return "j"
     if n >= 4 and _random_letters(words):
-        return "j"
+        return "x"
     if marker:
         body = text[marker.end() - (len(line) - len(line.lstrip())) :].strip()
         m = len(body.split())
@@ -187,8 +216,20 @@ def _unwrapped(found: list[list]) -> None:
         first = last + 1
 
 
-def parts(text: str) -> dict[str, int]:
-    """Visible characters of a text by kind: ``p`` prose, ``l`` list, ``t`` table, ``j`` junk."""
+#: Shapes that are no prose, by the kind of text they make: what ``shapes`` counts beside ``prose``.
+SHAPES = {
+    "marked": "list", "running": "list", "short": "list",
+    "cells": "table", "fields": "table",
+    "codes": "junk", "letters": "junk", "captions": "junk",
+}
+_SHAPE_OF = {"p": "prose", "u": "prose", "l": "marked", "r": "running", "t": "cells", "j": "codes", "x": "letters", "m": "captions"}
+
+
+def shapes(text: str) -> dict[str, int]:
+    """Visible characters of a text in ``prose`` and in each of the ``SHAPES``.
+
+    Headings and rulers belong to the shape with most characters. A text of nothing but a heading or two is prose.
+    """
     found: list[list] = []
     for line in text.splitlines():
         if not line.strip():
@@ -196,7 +237,7 @@ def parts(text: str) -> dict[str, int]:
         kind = line_kind(line)
         if kind in "pu" and len(line) > 60:
             for sentence in _SENTENCES.split(line):
-                own = "l" if _running_list(sentence) else kind
+                own = "r" if _running_list(sentence) else kind
                 found.append([own, visible(sentence), len(sentence.split()), False])
         else:
             found.append([kind, visible(line), len(line.split()), kind == "s" and _SENTENCE_INSIDE.search(line) is not None])
@@ -204,51 +245,41 @@ def parts(text: str) -> dict[str, int]:
     kinds = [x[0] for x in found]
     open_ = [x[2] for x in found if x[0] in "su"]
     mean_open = sum(open_) / len(open_) if open_ else 0
-    prose_lines = kinds.count("p") + kinds.count("u")
     fields = kinds.count("f")
-    listed = kinds.count("l")
+    listed = kinds.count("l") + kinds.count("r")
     tables = kinds.count("t")
     short_open = kinds.count("s")
-    total = dict.fromkeys("pltj", 0)
+    total = dict.fromkeys(("prose", *SHAPES), 0)
     heading = 0
     for kind, seen, n, _ in found:
-        if kind == "u":
-            kind = "p"
-        elif kind == "f":
-            kind = "t" if fields >= 3 or tables else "h"
+        shape = _SHAPE_OF.get(kind)
+        if kind == "f":
+            shape = "fields" if fields >= 3 or tables else None
         elif kind == "s":
             if mean_open >= 7.2 and n >= 3:
-                kind = "p"
+                shape = "prose"
             elif short_open >= 3:
-                kind = "l"
-            elif listed or tables or n <= 6:
-                kind = "h"
-            else:
-                kind = "p"
-        elif kind == "-":
-            kind = "t" if tables else "h"
-        if kind == "h":
+                shape = "short"
+            elif not (listed or tables or n <= 6):
+                shape = "prose"
+        elif kind == "-" and tables:
+            shape = "cells"
+        if shape is None:
             heading += seen
         else:
-            total[kind] += seen
-    if not any(total.values()):
-        # Nothing but a heading or two: a text of one short line counts as prose unless it is no more than names.
-        total["p"] = heading
-        heading = 0
-    most = max(total, key=total.get)
-    if most != "p":
-        total[most] += heading
-    else:
-        total["p"] += heading
+            total[shape] += seen
+    total[max(total, key=total.get) if any(total.values()) else "prose"] += heading
     return total
 
 
-KINDS = {"l": "list", "t": "table", "j": "junk"}
+KINDS = ("list", "table", "junk")
 
 
 def kind_of(total: dict[str, int]) -> str | None:
     """``list``, ``table`` or ``junk`` if more than half of the visible characters is no prose; the largest of the three."""
-    other = total["l"] + total["t"] + total["j"]
-    if other * 2 <= other + total["p"]:
+    kinds = dict.fromkeys(KINDS, 0)
+    for shape, kind in SHAPES.items():
+        kinds[kind] += total[shape]
+    if sum(kinds.values()) <= total["prose"]:
         return None
-    return KINDS[max("ltj", key=total.get)]
+    return max(kinds, key=kinds.get)

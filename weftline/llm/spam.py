@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.checkpoints import checkpoint
 from .common import column, map_batches, raw, string_column
 from .lang import FREQUENT
-from .prose import LETTERS, TERMINAL, visible
+from .prose import LETTERS, ended, visible
 
 #: Different prose pages of a language and length that make a reference of their own; others are held against all of their length.
 LEAST_PAGES = 30
@@ -56,7 +56,7 @@ _FREQUENT = frozenset().union(*FREQUENT.values()) - OFFER_WORDS
 
 def _prose_like(text: str, words: list[str]) -> bool:
     """A sentence: ended, with some length and some frequent words."""
-    return len(words) >= 4 and TERMINAL.search(text) is not None and sum(map(_FREQUENT.__contains__, words)) >= 0.12 * len(words)
+    return len(words) >= 4 and ended(text) and sum(map(_FREQUENT.__contains__, words)) >= 0.12 * len(words)
 
 
 #: Words of which each offer phrase has one, and marks and words of which each price has one.
@@ -158,7 +158,7 @@ def spam_characters(text: str) -> tuple[int, int]:
             all_items[" ".join(words)] += 1
     # A short line right before a line of nothing but links is the link's caption.
     for i, kind in enumerate(kinds[:-1]):
-        if kind == "text" and kinds[i + 1] == "link" and len(lines[i].split()) <= 6 and not TERMINAL.search(lines[i].strip()):
+        if kind == "text" and kinds[i + 1] == "link" and len(lines[i].split()) <= 6 and not ended(lines[i]):
             spam += weights[i]
     return spam, total
 

@@ -1,8 +1,11 @@
 """Per-document text statistics, their exact ranks within the language, and outlier scores from the tails.
 
-The statistics live on a fixed grid of ``GRID`` steps, so that a corpus of any size has at most
-languages x statistics x (GRID + 1) distinct values. Their counts are added up before anything is shuffled, ranked
-exactly by a range-partitioned sort with partition offsets, and the tail probabilities fit into every task.
+Every text has plain statistics (words, lines, symbols, common words...) and the shares of its visible characters in
+shapes that are no prose. The reference are the different texts of a language that are prose but for less than half. Of
+the scored statistics, all of them shares, the values among the reference are added up on ``GRID`` steps, ranked by a
+range-partitioned sort with partition offsets, and give the probability of a value as extreme among prose. A text's
+score is the sum of the surprises (-ln) of its tails; only the score decides, and the statistics whose tails weigh most
+give the kind. As copies count once, and lists, tables and junk not at all, no text becomes natural by being frequent.
 """
 
 from __future__ import annotations
@@ -17,20 +20,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.checkpoints import checkpoint
+from ..functions.ranks import exact_ranks
 from .common import column, map_batches, raw, string_column
 from .lang import FREQUENT
-from .prose import TERMINAL, parts
-from ..functions.ranks import exact_ranks
+from .prose import KINDS, SHAPES, ended, shapes
 
+#: Steps of a share; at most languages x scored statistics x (GRID + 1) values are ranked, whatever the corpus.
 GRID = 1000
-#: The statistics: ratios are times GRID; counts are logarithms, GRID being 2**20.
-STATISTICS = (
+PLAIN = (
     "words", "word_length", "symbol_ratio", "digit_ratio", "punctuated_lines", "common_words", "line_words",
     "sentence_words", "distinct_words", "comma_ratio",
 )
-#: The tail of a statistic in which unnatural texts lie: few ended lines, few common words, short lines; many symbols...
-LOW_TAIL = ("punctuated_lines", "common_words", "line_words")
-HIGH_TAIL = ("symbol_ratio", "digit_ratio", "comma_ratio", "sentence_words")
+#: The tail of a scored statistic in which unnatural texts lie: few ended lines and common words; many symbols and digits, much of any shape.
+LOW_TAIL = ("punctuated_lines", "common_words")
+HIGH_TAIL = ("symbol_ratio", "digit_ratio", *SHAPES)
+SCORED = (*LOW_TAIL, *HIGH_TAIL)
+#: Score from which a text is no natural prose: as improbable among prose as e ** -CUT.
+CUT = 26.0
+#: The tails stand on ``PRIOR_TEXTS`` texts beside the corpus, so that small tables and rare languages have some too. Among
+#: these the share of a shape falls exponentially, such that half a text of it reaches the cut; they say nothing on plain statistics.
+PRIOR_TEXTS = 20
+PRIOR_FALL = 2 * CUT
 #: Stands for all languages together, against which texts of no language are ranked.
 ANY = "*"
 _STOPS = re.compile("[" + re.escape(".,;:!?।॥…\"'()[]{}«»“”„‘’¿¡|/*_~<>=+-–—•·◦") + "]+")
@@ -41,18 +51,13 @@ for _code, _words in FREQUENT.items():
         _LANGUAGES_OF[_word] = (*_LANGUAGES_OF.get(_word, ()), _code)
 
 
-def _scaled(value: float) -> int:
-    """A count on the grid."""
-    return min(GRID, round(GRID * math.log2(1 + value) / 20))
-
-
-def statistics(text: str) -> tuple[str, list[int]]:
-    """Language by frequent words (``und`` if no word is one), and the statistics on the grid."""
+def statistics(text: str) -> tuple[str, list[float]]:
+    """Language by frequent words (``und`` if no word is one), and the ``PLAIN`` statistics."""
     lowered = text.lower()
     words = lowered.split()
     n = len(words)
     if n == 0:
-        return "und", [0] * len(STATISTICS)
+        return "und", [0.0] * len(PLAIN)
     seen = sum(map(len, words))
     bare = _STOPS.sub(" ", lowered).split()
     hits = dict.fromkeys(FREQUENT, 0)
@@ -62,60 +67,57 @@ def statistics(text: str) -> tuple[str, list[int]]:
     common = max(hits.values())
     code = next(c for c, h in hits.items() if h == common) if common else "und"
     lines = [x for x in text.split("\n") if x.strip()]
-    ended = sum(1 for x in lines if TERMINAL.search(x[-40:]))
     ends = sum(map(text.count, ".!?।"))
     digits = sum(map(lowered.count, "0123456789"))
     kept = sum(map(len, bare))
     m = max(1, len(bare))
     return code, [
-        _scaled(n),
-        _scaled(seen / n),
-        round(GRID * min(1, (seen - kept) / seen)),
-        round(GRID * min(1, digits / seen)),
-        round(GRID * ended / len(lines)),
-        round(GRID * common / m),
-        _scaled(n / len(lines)),
-        _scaled(n / (1 + ends)),
-        round(GRID * len(set(bare)) / m),
-        round(GRID * min(1, text.count(",") / n)),
+        n,
+        seen / n,
+        (seen - kept) / seen,
+        digits / seen,
+        sum(map(ended, lines)) / len(lines),
+        common / m,
+        n / len(lines),
+        n / (1 + ends),
+        len(set(bare)) / m,
+        text.count(",") / n,
     ]
 
 
 def text_statistics(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``key, language``, the ``STATISTICS`` and ``prose, list, table, junk`` characters, one row for each key.
+    """``key, language, text_hash``, the ``PLAIN`` statistics and the share of each of the ``SHAPES``, one row for each key.
 
-    Rows of a key are taken as one row delivered again. Null, empty and blank texts have language ``und`` and zeros.
-    Columns of the table beside the two are ignored.
+    Of several rows of a key, the one with the greatest hash of its text stands for it. Null, empty and blank texts have
+    language ``und`` and zeros. Columns of the table beside the two are ignored.
     """
     kind = df.schema[key].dataType.simpleString()
-    source = df.select(F.col(f"`{key}`").alias(key), string_column(text).alias("_text"))
-    classes = ("prose", "list", "table", "junk")
-    schema = ", ".join([f"`{key}` {kind}", "language string", *(f"{s} int" for s in STATISTICS), *(f"{c} bigint" for c in classes)])
+    source = df.select(F.col(f"`{key}`").alias(key), string_column(text).alias("_text"), F.coalesce(F.xxhash64(string_column(text)), F.lit(0)).alias("text_hash"))
+    values = (*PLAIN, *SHAPES)
+    schema = ", ".join([f"`{key}` {kind}", "text_hash bigint", "language string", *(f"{v} double" for v in values)])
 
     def measure(batch):
-        codes, values, shares = [], [], []
+        codes, rows = [], []
         for value in column(batch, "_text"):
             code, own = statistics(value or "")
+            total = shapes(value) if value else {}
+            seen = max(1, sum(total.values()))
             codes.append(code)
-            values.append(own)
-            total = parts(value) if value else {}
-            shares.append([total.get(c, 0) for c in "pltj"])
-        columns = np.array(values, dtype=np.int32).reshape(-1, len(STATISTICS)).T
-        counts = np.array(shares, dtype=np.int64).reshape(-1, 4).T
-        return pa.RecordBatch.from_arrays(
-            [raw(batch, key), pa.array(codes), *map(pa.array, columns), *map(pa.array, counts)], names=[key, "language", *STATISTICS, *classes]
-        )
+            rows.append(own + [total.get(s, 0) / seen for s in SHAPES])
+        columns = np.array(rows, dtype=np.float64).reshape(-1, len(values)).T
+        return pa.RecordBatch.from_arrays([raw(batch, key), raw(batch, "text_hash"), pa.array(codes), *map(pa.array, columns)], names=[key, "text_hash", "language", *values])
 
-    return map_batches(source, measure, schema).dropDuplicates([key])
+    rest = F.struct("text_hash", "language", *values)
+    return map_batches(source, measure, schema).groupBy(key).agg(F.max(rest).alias("_row")).select(key, "_row.*")
 
 
-def tail_probabilities(stats: DataFrame) -> DataFrame:
-    """``language, statistic, value, n, left, right``: empirical probabilities of a value as low, and as high, in its language.
+def tail_counts(stats: DataFrame) -> DataFrame:
+    """``language, statistic, value, n, left, right, texts``: how many rows of a language have a value, one as low, one as high, and how many rows it has.
 
-    ``stats`` has ``language`` and the ``STATISTICS``. Ties share their probabilities: ``left`` counts the values up to
-    this one, ``right`` those from it on. Language ``*`` has those among all rows.
+    ``stats`` has ``language`` and the ``SCORED`` statistics; values are steps of the grid. Ties count on both sides.
+    Language ``*`` has those of all rows.
     """
-    pairs = F.array(*(F.struct(F.lit(s).alias("statistic"), F.col(s).alias("value")) for s in STATISTICS))
+    pairs = F.array(*(F.struct(F.lit(s).alias("statistic"), F.round(F.col(s) * GRID).cast("int").alias("value")) for s in SCORED))
     at = ("statistic", "value")
     own = (
         stats.select("language", F.explode(pairs).alias("at"))
@@ -125,55 +127,71 @@ def tail_probabilities(stats: DataFrame) -> DataFrame:
     both = own.select(F.explode(F.array("language", F.lit(ANY))).alias("language"), *at, "n")
     counts = both.groupBy("language", *at).agg(F.sum("n").alias("n"))
     ranked = exact_ranks(counts, ["language", "statistic"], ["value"], weight="n", name="below")
-    totals = ranked.groupBy("language", "statistic").agg(F.sum("n").alias("_all"))
+    totals = ranked.groupBy("language", "statistic").agg(F.sum("n").alias("texts"))
     return ranked.join(totals, ["language", "statistic"]).select(
-        "language", "statistic", "value", "n",
-        ((F.col("below") + F.col("n")) / F.col("_all")).alias("left"),
-        ((F.col("_all") - F.col("below")) / F.col("_all")).alias("right"),
-    )
-
+        "language", "statistic", "value", "n", (F.col("below") + F.col("n")).alias("left"), (F.col("texts") - F.col("below")).alias("right"), "texts"
+    )
 
-def outlier_scores(stats: DataFrame) -> DataFrame:
-    """``stats`` with ``score``, the sum of the surprises (-ln) of the tails of ``LOW_TAIL`` and ``HIGH_TAIL``.
 
-    Texts of language ``und`` are ranked among all. The table of tails has at most one row for each language, statistic
-    and step of the grid, whatever the corpus.
+def reference(stats: DataFrame) -> DataFrame:
+    """The prose that texts are held against: different texts, by their hash, that are prose but for less than half."""
+    other = sum((F.col(s) for s in SHAPES), F.lit(0.0))
+    return stats.where((F.col("words") > 0) & (other < 0.5)).dropDuplicates(["text_hash"])
+
+
+def surprises(counts) -> dict[str, np.ndarray]:
+    """language -> -ln of the tail of each step (columns) of each scored statistic (rows), from the rows of ``tail_counts``."""
+    steps = np.arange(GRID + 1)
+    prior = {s: np.exp(-PRIOR_FALL * steps / GRID) if s in SHAPES else np.ones(GRID + 1) for s in SCORED}
+    beyond = {ANY: np.zeros((len(SCORED), GRID + 1))}
+    texts = {ANY: 0}
+    for row in counts:
+        table = beyond.setdefault(row["language"], np.zeros((len(SCORED), GRID + 1)))
+        low = row["statistic"] in LOW_TAIL
+        table[SCORED.index(row["statistic"]), row["value"]] = row["left"] if low else row["right"]
+        texts[row["language"]] = row["texts"]
+    for code, table in beyond.items():
+        for i, s in enumerate(SCORED):
+            # A step that no text has is as far out as the next one within.
+            table[i] = np.maximum.accumulate(table[i]) if s in LOW_TAIL else np.maximum.accumulate(table[i][::-1])[::-1]
+            table[i] = -np.log((table[i] + PRIOR_TEXTS * prior[s]) / (texts[code] + PRIOR_TEXTS))
+    return beyond
+
+
+def outlier_scores(stats: DataFrame, scored: tuple[str, ...] = SCORED) -> DataFrame:
+    """``stats`` with ``score``, the sum of the surprises of the ``scored`` tails, and ``kind``, whose tails weigh most.
+
+    ``kind`` is ``list``, ``table`` or ``junk``; a text that is improbable without any of their shapes is ``junk``. Texts
+    without any frequent word, and those of languages that no prose has, are ranked among all. The table of tails has at
+    most one row for each language, statistic and step of the grid, whatever the corpus.
     """
-    low, high = ([STATISTICS.index(s) for s in names] for names in (LOW_TAIL, HIGH_TAIL))
-    tails: dict[str, np.ndarray] = {}
-    for row in tail_probabilities(stats).toLocalIterator():
-        table = tails.setdefault(row["language"], np.zeros((2, len(STATISTICS), GRID + 1)))
-        table[:, STATISTICS.index(row["statistic"]), row["value"]] = -math.log(row["left"]), -math.log(row["right"])
+    tails = surprises(tail_counts(reference(stats)).toLocalIterator())
+    used = [SCORED.index(s) for s in scored]
+    of_kind = {k: [SCORED.index(s) for s in SHAPES if SHAPES[s] == k and s in scored] for k in KINDS}
 
     def score(batch):
-        values = np.stack([raw(batch, s).to_numpy(zero_copy_only=False) for s in STATISTICS])
+        values = np.stack([np.rint(raw(batch, s).to_numpy(zero_copy_only=False) * GRID).astype(np.int64) for s in SCORED])
         codes = np.array(column(batch, "language"), dtype=object)
-        out = np.zeros(batch.num_rows)
+        own = np.zeros(values.shape)
         for code in set(codes):
             rows = np.flatnonzero(codes == code)
-            table = tails[ANY if code == "und" else code]
-            out[rows] = sum(table[0, i, values[i, rows]] for i in low) + sum(table[1, i, values[i, rows]] for i in high)
-        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], names=[*batch.schema.names, "score"])
+            table = tails[ANY if code == "und" or code not in tails else code]
+            own[:, rows] = np.take_along_axis(table, values[:, rows], axis=1)
+        weights = np.stack([own[of_kind[k]].sum(axis=0) for k in KINDS])
+        heaviest = np.where(weights.max(axis=0) > 0, weights.argmax(axis=0), KINDS.index("junk"))
+        kinds = np.array(KINDS, dtype=object)[heaviest]
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(own[used].sum(axis=0)), pa.array(kinds, pa.string())], names=[*batch.schema.names, "score", "kind"])
 
     names = stats.columns
     fields = ", ".join(f"`{c}` {stats.schema[c].dataType.simpleString()}" for c in names)
-    return map_batches(stats.select(*names), score, f"{fields}, score double")
+    return map_batches(stats.select(*names), score, f"{fields}, score double, kind string")
 
 
 def scored_statistics(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Statistics of every row with its outlier score."""
+    """Statistics of every row with its outlier score and the kind that the score speaks for."""
     return outlier_scores(checkpoint(text_statistics(df, key, text)))
 
 
-def unnatural_texts(df: DataFrame, key: str, text: str, cut: float | None = None) -> DataFrame:
-    """``key, kind`` of the texts of which more than half of the visible characters is no natural prose.
-
-    The parts of each text decide, ``kind`` being ``list``, ``table`` or ``junk``, whichever has most characters. With
-    ``cut``, only rows with an outlier score of as much are looked at; the score depends on what else is in the table,
-    so there is no such cut by default.
-    """
-    rows = text_statistics(df, key, text) if cut is None else scored_statistics(df, key, text).where(F.col("score") >= cut)
-    other = F.col("list") + F.col("table") + F.col("junk")
-    most = F.greatest("list", "table", "junk")
-    kind = F.when(F.col("list") == most, "list").when(F.col("table") == most, "table").otherwise("junk")
-    return rows.where(other > F.col("prose")).select(key, kind.alias("kind"))
+def unnatural_texts(df: DataFrame, key: str, text: str, cut: float = CUT, scored: tuple[str, ...] = SCORED) -> DataFrame:
+    """``key, kind`` of the texts whose outlier score among the prose of their language reaches ``cut``."""
+    return outlier_scores(checkpoint(text_statistics(df, key, text)), scored).where((F.col("score") >= cut) & (F.col("words") > 0)).select(key, "kind")
