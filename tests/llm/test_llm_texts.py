@@ -43,7 +43,7 @@ def model(samples):
     ],
 )
 def test_parts_of_texts(text, kind):
-    assert prose.kind_of(prose.parts(text)) == kind
+    assert prose.kind_of(prose.shapes(text)) == kind
 
 
 TABLE = [
@@ -56,21 +56,48 @@ def test_statistics_of_odd_rows(spark):
     df = spark.createDataFrame(TABLE, "id string, text string, words string")
     got = {r.id: r for r in textstats.scored_statistics(df, "id", "text").collect()}
     assert len(got) == 7 and got["b"].language == "und" and got["a"].language == "en"
-    assert {r.id: r.kind for r in textstats.unnatural_texts(df, "id", "text", cut=0.0).collect()} == {None: "list", "f": "table"}
+    assert got["a"].words == 24 and got["a"].kind is None and got["f"].kind == "table" and got["a"].punctuated_lines == 1.0 and got["f"].cells == 1.0 and got["e"].words > 9_000
+    assert {r.id: r.kind for r in textstats.unnatural_texts(df, "id", "text").collect()} == {None: "list", "f": "table"}
     assert textstats.unnatural_texts(df.limit(0), "id", "text").collect() == []
 
 
 def test_tails_are_those_of_brute_force(spark):
     rng = random.Random(4)
-    rows = [(rng.choice(["pt", "pt", "pt", "en"]), *(rng.randint(0, 9) for _ in textstats.STATISTICS)) for _ in range(300)]
-    df = spark.createDataFrame(rows, ", ".join(["language string", *(f"{s} int" for s in textstats.STATISTICS)]))
-    got = {(r.language, r.statistic, r.value): (r.left, r.right) for r in textstats.tail_probabilities(df).collect()}
+    rows = [(rng.choice(["pt", "pt", "pt", "en"]), *(rng.randint(0, 9) / 10 for _ in textstats.SCORED)) for _ in range(300)]
+    df = spark.createDataFrame(rows, ", ".join(["language string", *(f"{s} double" for s in textstats.SCORED)]))
+    counts = textstats.tail_counts(df).collect()
+    got = {(r.language, r.statistic, r.value): (r.left, r.right) for r in counts}
+    tails = textstats.surprises(counts)
     for language in ("pt", "en", "*"):
-        for i, name in enumerate(textstats.STATISTICS, 1):
+        for i, name in enumerate(textstats.SCORED, 1):
             own = [r[i] for r in rows if language in (r[0], "*")]
-            for v in set(own):
-                left, right = got[(language, name, v)]
-                assert math.isclose(left, sum(x <= v for x in own) / len(own)) and math.isclose(right, sum(x >= v for x in own) / len(own))
+            for v in range(10):
+                low, high = sum(x <= v / 10 for x in own), sum(x >= v / 10 for x in own)
+                if v / 10 in own:
+                    assert got[(language, name, v * 100)] == (low, high)
+                # A value that the reference lacks lies where the next one within does.
+                step = v * 100 + 50
+                beyond = sum(x <= step / 1000 for x in own) if name in textstats.LOW_TAIL else sum(x >= step / 1000 for x in own)
+                prior = textstats.PRIOR_TEXTS * (math.exp(-textstats.PRIOR_FALL * step / 1000) if name in textstats.SHAPES else 1)
+                assert math.isclose(tails[language][textstats.SCORED.index(name), step], -math.log((beyond + prior) / (len(own) + textstats.PRIOR_TEXTS)), rel_tol=1e-9, abs_tol=1e-12)
+
+
+@pytest.mark.parametrize(
+    "line", ["It is over." + " " * 200, 'He said: "' + "no " * 200 + '."', "so it ends!" + "!" * 500, "we laughed. lol", "we laughed. hahaha", "good night :)", "good night 🎉", "a long way\u200b.\u200b" + "”" * 90, "यह पुराना है।"]
+)
+def test_ends_of_lines(line):
+    assert prose.ended(line) and not prose.ended(line.rstrip("! ”\u200b.।🎉:)\"lolha") + " and")
+
+
+def test_only_the_tails_decide_what_is_natural(spark, data):
+    """Without the shapes of lines most cases still come out by the tails of plain statistics; without the tails none does."""
+    df = spark.read.parquet("/root/testdata/sf0.01/dataset.parquet")
+    found = {(r.id, r.kind) for r in textstats.unnatural_texts(df, "id", "text").collect()}
+    ids = {i for i, _ in found}
+    plain = {r.id for r in textstats.unnatural_texts(df, "id", "text", 7.0, textstats.PLAIN_SCORED).collect()}
+    assert len(ids) > 250 and len(plain & ids) >= 0.9 * len(ids) and len(plain & ids) >= 0.75 * len(plain)
+    shapes_only = {r.id for r in textstats.unnatural_texts(df, "id", "text", scored=tuple(textstats.SHAPES)).collect()}
+    assert len(shapes_only & ids) >= 0.99 * max(len(ids), len(shapes_only))
 
 
 def test_languages_of_held_out_samples(samples):
@@ -81,6 +108,25 @@ def test_languages_of_held_out_samples(samples):
     assert right >= 0.97 * len(held)
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "Il vecchio museo conserva una lunga lista di nomi e nessuno sa se la guida la legge ancora, ma le porte sono aperte ogni giorno. La biblioteca del villaggio prepara il pane con la farina di castagne lungo il canale perché il vecchio metodo non funzionava più.",
+        "Het oude museum bewaart een lange lijst met namen en niemand weet of de gids die nog leest, maar de deuren zijn elke dag open. De bibliotheek van het dorp bakt brood met kastanjemeel langs het kanaal omdat de oude methode niet meer werkte.",
+        "Stare muzeum przechowuje długą listę nazwisk i nikt nie wie, czy przewodnik wciąż ją czyta, ale drzwi są otwarte codziennie. Wiejska biblioteka piecze chleb z mąki kasztanowej wzdłuż kanału, ponieważ stara metoda zawiodła.",
+        "Старый музей хранит длинный список имен и никто не знает, читает ли его еще гид.", "المتحف القديم مفتوح كل يوم ولا أحد يعرف من كتب القائمة الطويلة للأسماء.",
+    ],
+)
+def test_other_languages_are_none_of_the_seven(text, model):
+    assert {s[2] for s in langid.segment(text, model)} == {"und"}
+
+
+def test_the_distance_names_every_segment(model, monkeypatch):
+    text = PROSE + " O museu antigo guarda uma longa lista de nomes e ninguém sabe se o guia ainda lê essa lista. " + PROSE
+    monkeypatch.setattr(langid.Profiles, "distances", lambda self, ids: 1 - 0.1 * (langid.np.arange(len(self.languages)) == 0) - 0.6)
+    assert {s[2] for s in langid.segment(text, model)} <= {model.languages[0], "und"}
+
+
 def test_segments_of_a_mixed_text(model):
     text = PROSE + " O museu antigo guarda uma longa lista de nomes e ninguém sabe se o guia ainda lê essa lista. " + PROSE
     assert [s[2] for s in langid.segment(text, model)] == ["en", "pt", "en"]
@@ -145,7 +191,7 @@ QUESTION = "What should I know about the old museum of the town?"
         (None, "empty"), ("  ", "empty"), ("...", "empty"), ("N/A", "empty"), ("[no response]", "empty"), ("<no answer>", "empty"),
         (PROSE, None), ("42 km", None), ("- one list\n- a second list", None), ("See https://a.example/x", None), ("```python\nreturn 1\n```", None),
         ("It was built by the river and the", "truncated"), ("It is old. Nobody knows why the guide (", "truncated"), ("Some steps:\n1. Open it\n2.", "truncated"), ("```python\nreturn 1", "truncated"),
-        ("I'm sorry, but I can't help with that request.", "refusal"), ("Infelizmente não posso falar sobre esse assunto.", "refusal"), ("Ich kann dabei leider nicht helfen.", "refusal"),
+        ("I'm sorry, but I can't help with that request.", "refusal"), ("Infelizmente não posso falar sobre esse assunto.", "refusal"), ("That's not something I'm going to do.", "refusal"), ("No. Find someone else.", "refusal"), ("I shall pass on that one, thanks.", "refusal"), ("Ich kann dabei leider nicht helfen.", "refusal"),
         ("I cannot stress enough how simple this is. " + PROSE, None), ("Sorry about the trouble, let me explain. " + PROSE, None),
         (QUESTION, "copied"), ("Answer: " + QUESTION.lower(), "copied"), (QUESTION + " " + PROSE, None),
         ("O museu antigo guarda uma longa lista de nomes e ninguém sabe se o guia ainda lê essa lista.", "other_language"),
@@ -201,9 +247,26 @@ def test_messages_and_rates(spark):
         (PROSE + " https://a.example/x\n" + PROSE + " https://b.example/x", False), (PROSE + "\n" + PROSE + "\nTags: lamp, sofa", False), ("def f(x):\n    return x + 1\n", False),
     ],
 )
-def test_spam(text, is_spam):
-    hit, total = spam.spam_characters(text)
-    assert (hit * 2 > total) is is_spam
+def test_spam(spark, text, is_spam):
+    df = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    assert (spam.spam_pages(df, "doc_id", "text").count() == 1) is is_spam
+
+
+def test_long_captions_are_captions():
+    caption = "a lamp of the old town that was made by hand " * 6
+    for line in (f"[{caption}](https://a.example/x)", f'<a href="https://a.example/x">{caption}</a>'):
+        assert len(line) > 270 and spam.token_classes(line)[1]["link"] == spam.visible(line)
+
+
+def test_curve_and_divergence_find_spam_without_rules_for_lines(spark):
+    """Links, tags and offer words as tokens are enough for nine of ten pages; without the divergence or without the curve the scores part less."""
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = {r.doc_id for r in spam.spam_pages(df, "doc_id", "text").collect()}
+    plain = {r.doc_id for r in spam.spam_pages(df, "doc_id", "text", by_line=False).collect()}
+    assert len(found) >= 50 and len(found & plain) >= 0.9 * max(len(found), len(plain))
+    rows = spam.page_deviations(spam.page_profiles(df, "doc_id", "text"), "doc_id").collect()
+    curves = {r.doc_id for r in rows if max(abs(r.slope_deviation), r.residual_deviation) >= 9}
+    assert len(curves & found) >= 0.65 * len(found) and len(curves & found) >= 0.9 * len(curves)
 
 
 def test_curves_are_those_of_brute_force(spark):
@@ -217,6 +280,8 @@ def test_curves_are_those_of_brute_force(spark):
     assert math.isclose(got[1].slope, slope, rel_tol=1e-9)
     assert math.isclose(got[1].residual, np.sqrt(((y - slope * x - intercept) ** 2).mean()), rel_tol=1e-6)
     assert got[2].slope == 0 and got[3].slope == 0 and len(got) == 4
+    links = spam.token_classes("see https://a.example/x and https://b.example/y")[0]
+    assert links[spam.LINK] == 2 and "https" not in links
 
 
 def test_spam_pages_of_odd_rows(spark):
@@ -234,10 +299,10 @@ def test_copies_of_spam_are_no_norm(spark):
     assert {r.doc_id for r in spam.spam_pages(df, "doc_id", "text").collect()} == {r[0] for r in rows[60:]}
     for few in (29, 30):
         assert spam.spam_pages(df.where(f"doc_id >= 1000 AND doc_id < {1000 + few}"), "doc_id", "text").count() == few
-    curves = {r.doc_id: r.deviation for r in spam.page_deviations(spam.page_profiles(df, "doc_id", "text"), "doc_id").collect()}
-    assert len(curves) == 150 and min(curves[r[0]] for r in rows[60:]) >= 2
+    curves = {r.doc_id: r.score for r in spam.page_deviations(spam.page_profiles(df, "doc_id", "text"), "doc_id").collect()}
+    assert len(curves) == 150 and min(curves[r[0]] for r in rows[60:]) >= 1
     copies = spark.createDataFrame(prose_rows + [(500 + i, PROSE) for i in range(200)], "doc_id bigint, text string")
-    again = {r.doc_id: r.deviation for r in spam.page_deviations(spam.page_profiles(copies, "doc_id", "text"), "doc_id").collect()}
+    again = {r.doc_id: r.score for r in spam.page_deviations(spam.page_profiles(copies, "doc_id", "text"), "doc_id").collect()}
     assert all(math.isclose(again[i], curves[i], abs_tol=0.1) for i in range(60))
 
 

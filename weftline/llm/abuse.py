@@ -22,7 +22,7 @@ from .common import map_batches, raw
 
 THRESHOLD = 1.0
 
-#: Words and phrases by class, over all languages, between bars; ``*`` at the end stands for any ending.
+#: Words and phrases by class, over all languages, between bars; ``*`` at the end stands for any ending.
 #: I insult, W weak insult, T addressed person, V dehumanising, v dehumanising of beasts, H hatred, D death or expulsion,
 #: E deserving, Q all of a group, G group of people, P they, C curse, c dismissal, X violence announced, K wish,
 #: S explicit, s sexual or naked, A soliciting, U undressing, F crude verb, N negation, R report about words.

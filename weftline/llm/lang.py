@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 #: The languages that the operators tell apart.
 LANGUAGES = ("pt", "en", "hi", "bn", "es", "de", "fr")
 
-#: Names and three-letter codes of languages, with the two-letter code of each.
+#: Names and three-letter codes of languages, with the two-letter code of each.
 LANGUAGE_NAMES = {
     "por": "pt", "portuguese": "pt", "português": "pt", "portugues": "pt", "portugais": "pt", "portugiesisch": "pt", "portugués": "pt",
     "eng": "en", "english": "en", "inglês": "en", "ingles": "en", "inglés": "en", "anglais": "en", "englisch": "en",
@@ -18,10 +18,10 @@ LANGUAGE_NAMES = {
     "fra": "fr", "fre": "fr", "french": "fr", "français": "fr", "francais": "fr", "francês": "fr", "francés": "fr", "französisch": "fr",
 }
 
-#: Labels that name no language.
+#: Labels that name no language.
 NO_LANGUAGE = ("", "und", "unknown", "unk", "none", "null", "nan", "n/a", "na", "xx", "xxx", "zxx", "mul", "mis", "multi", "other", "?", "-")
 
-#: Frequent words of each language (articles, pronouns, prepositions, conjunctions, auxiliaries, adverbs).
+#: Frequent words of each language (articles, pronouns, prepositions, conjunctions, auxiliaries, adverbs).
 FREQUENT_WORDS = {
     "pt": """o a os as um uma uns umas de do da dos das em no na nos nas num numa por pelo pela pelos pelas para com sem sob sobre entre até desde
         e ou mas que se como quando porque embora enquanto então também não nem já ainda muito mais menos bem só tudo todo todos toda todas cada

@@ -2,8 +2,9 @@
 
 A profile ranks a language's n-grams by frequency. A text is compared to a profile by the out-of-place distance: the
 sum, over the text's most frequent n-grams, of how far their rank is from that in the profile (Cavnar and Trenkle).
-Segments are found with the same ranks: every word adds up how far out its n-grams lie in each profile, and a shortest
-path over the words of the text, where a change of language has a price, gives runs of one language.
+Every word has such a distance to each profile too, its n-grams all being of the first rank in it; the path through the
+languages with the least sum of distances, where a change has a price, cuts the text. The nearest profile names each
+piece, and ``und`` is the name of one that is far from all.
 """
 
 from __future__ import annotations
@@ -27,7 +28,13 @@ PROFILE_RANKS = 1500
 TEXT_RANKS = 300
 LONGEST_GRAM = 4
 #: Price of a change of language, in n-grams that are missing from a profile.
-SWITCH = 7.0
+SWITCH = 13.0
+#: Distance from the nearest profile beyond which a piece of at least ``RUN_WORDS`` is in none of the languages; and the
+#: distance and lead over the next profile of a piece of ``LONG_RUN`` words that stands between the languages, in none of them.
+FARTHEST = 0.37
+BETWEEN = (0.29, 0.16)
+LONG_RUN = 30
+UNKNOWN = "und"
 #: Words between two runs of one language that are names or terms in it, at most.
 NAME_WORDS = 3
 #: Words in a row that make a language part of a text, and words of a text worth a finding.
@@ -114,8 +121,8 @@ class Profiles:
         n = len(self.grams)
         if n == len(self.costs):
             self.costs = np.concatenate([self.costs, np.zeros_like(self.costs)])
-        # How far out the word's n-grams lie, on a scale of logarithms so that the first ranks aren't all alike.
-        self.costs[n] = np.log2(1 + self.ranks[ids]).sum(axis=0) / np.log2(1 + self.worst)
+        # Each occurs once in the word, so all are of its first rank.
+        self.costs[n] = self.ranks[ids].sum(axis=0) / self.worst
         self.grams.append(ids[ids > 0])
         return n
 
@@ -197,13 +204,14 @@ def segment(text: str, model: Profiles) -> list[tuple[int, int, str, float]]:
     found = []
     for a, b, language in runs:
         away = model.distances(ids[a:b])
-        nearest = int(away.argmin())
-        if b - a < RUN_WORDS or away[language] <= away[nearest] * 1.02:
-            nearest = language
+        nearest = language if b - a < RUN_WORDS else int(away.argmin())
         others = np.delete(away, nearest)
         second = float(others.min()) if len(others) else 1.0
         sure = max(0.0, min(1.0, (second - float(away[nearest])) / second)) if second else 0.0
         name = model.languages[nearest]
+        far = float(away[nearest])
+        if far > FARTHEST and b - a >= RUN_WORDS or b - a >= LONG_RUN and far > BETWEEN[0] and sure < BETWEEN[1]:
+            name, sure = UNKNOWN, min(1.0, far)
         if found and found[-1][2] == name:
             f = found[-1]
             found[-1] = (f[0], f[1] + b - a, name, (f[3] * f[1] + sure * (b - a)) / (f[1] + b - a))
@@ -225,8 +233,8 @@ def profiles_of(samples: DataFrame, language: str = "language", text: str = "tex
 def language_segments(df: DataFrame, key: str, text: str, samples: DataFrame) -> DataFrame:
     """``key, segment, first_word, words, language, confidence``: the runs of one language of every text.
 
-    ``confidence`` is how much nearer the text's profile is to this language than to the next one, from 0 to 1. A null,
-    empty or wordless text has one row with language ``und``, no words and confidence 0. Rows are handled one by one:
+    ``confidence`` is how much nearer the text's profile is to this language than to the next one, from 0 to 1. A run
+    far from every profile has language ``und``, and this distance as its confidence. A null, empty or wordless text has one row with language ``und``, no words and confidence 0. Rows are handled one by one:
     equal rows give equal segments.
     """
     ranked = profiles_of(samples)
@@ -264,7 +272,7 @@ def document_languages(df: DataFrame, key: str, text: str, samples: DataFrame) -
 def mislabelled(df: DataFrame, key: str, text: str, label: str, samples: DataFrame) -> DataFrame:
     """``key, language``: the true languages of texts whose label is missing or wrong, or which are in several languages.
 
-    One row for each language with at least ``RUN_WORDS`` words in a row. Texts of fewer than ``LEAST_WORDS``
+    One row for each language with at least ``RUN_WORDS`` words in a row; what is in none of the languages has none. Texts of fewer than ``LEAST_WORDS``
     blank-separated words and texts that are no natural prose are left out. Other notations of the right language are
     right. Distinct rows come out once.
     """
@@ -283,7 +291,7 @@ def mislabelled(df: DataFrame, key: str, text: str, label: str, samples: DataFra
             if given not in labels:
                 labels[given] = code_of(given)
             found = segment(value, model)
-            present = sorted({language for _, words, language, _ in found if words >= RUN_WORDS})
+            present = sorted({language for _, words, language, _ in found if words >= RUN_WORDS and language != UNKNOWN})
             if not present or present == [labels[given]] or kind_of(shapes(value)) is not None:
                 continue
             at += [i] * len(present)

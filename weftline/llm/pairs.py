@@ -26,7 +26,7 @@ from .prose import LETTERS, ended
 DEFECTS = ("empty", "copied", "refusal", "other_language", "truncated")
 ROLES = {"human": "user", "gpt": "assistant"}
 
-#: Stand-ins for an answer that isn't there.
+#: Stand-ins for an answer that isn't there.
 PLACEHOLDERS = frozenset(
     """none|null|nil|nan|n/a|na|n.a|n.a.|empty|blank|undefined|void|todo|tbd|tba|xxx|test|placeholder|answer|response|output|noanswer
     |no answer|no response|no output|not available|no data|answer here|your answer|your answer here|insert answer|insert answer here|lorem ipsum
@@ -40,7 +40,7 @@ _ANY_LETTER = re.compile(rf"[{LETTERS}0-9٠-٩०-९০-৯]")
 
 _REFUSALS = {
     "en": r"""\b(?:can(?:'|no)?t|can not|cannot|could not|couldn't|won't|will not|am not able|unable|not able|not allowed|not permitted|don't feel comfortable|do not feel comfortable|not comfortable|would rather not|i'd rather not|prefer not|must decline|have to decline|decline to|have to refuse|must refuse|refuse to|have to pass|not going to|not in a position|not willing)\b[^.!?]{0,60}\b(?:help|assist|answer|answering|respond|write|discuss|talk|provide|comply|fulfil|fulfill|do|support|share|request|question|topic|pass on|offer|engage|generate|produce|cover)
-        |\b(?:outside|beyond) (?:of )?(?:what|the scope|my)|\bgoes? against (?:what|my)|\b(?:guidelines?|polic(?:y|ies)|rules|programming)\b[^.!?]{0,20}\b(?:do(?:es)? not|don't|doesn't|prohibit|forbid|prevent|won't)|\bi (?:must|have to|need to) (?:decline|refuse|pass)|\bi (?:decline|refuse)\b|\b(?:rather|prefer) not (?:to )?(?:discuss|talk|answer|say)|\bnot something i (?:can|am)|\bi am (?:sorry|afraid),? (?:but )?i (?:can'?no?t|can not)|\bhave to pass on this""",
+        |\b(?:outside|beyond) (?:of )?(?:what|the scope|my)|\bgoes? against (?:what|my)|\b(?:guidelines?|polic(?:y|ies)|rules|programming)\b[^.!?]{0,20}\b(?:do(?:es)? not|don't|doesn't|prohibit|forbid|prevent|won't)|\bi (?:must|have to|need to) (?:decline|refuse|pass)|\bi (?:decline|refuse)\b|\b(?:rather|prefer) not (?:to )?(?:discuss|talk|answer|say)|\bnot something i(?:'m| (?:can|am|will|would|do))\b|\bi(?:'ll| will| shall| would)(?: have to)? pass\b(?! (?:the|it|you|them|your|along)\b)|\b(?:find|ask) (?:someone|somebody) else\b|\bi am (?:sorry|afraid),? (?:but )?i (?:can'?no?t|can not)|\bhave to pass on this""",
     "pt": r"""\b(?:n[aã]o|nunca)\b[^.!?]{0,25}\b(?:posso|podemos|poderei|poderia|consigo|vou|irei|sou capaz|estou autorizad\w*|tenho permiss[aã]o|me sinto|me [ée] permitido|farei|atenderei|responderei)\b[^.!?]{0,60}\b(?:ajudar|auxiliar|responder|escrever|falar|discutir|tratar|atender|fornecer|comentar|cumprir|fazer|farei|pedido|assunto|tema|isso|opinar|oferecer|gerar)
         |\b(?:preciso|devo|tenho (?:de|que)|vou|terei (?:de|que)) (?:recusar|declinar|me recusar|negar|passar)|\brecuso(?:-me)?\b|\bprefiro n[aã]o\b|\bfora do que (?:posso|me)|\bvai contra (?:o que|as|minhas)|\bdiretrizes\b[^.!?]{0,15}\bn[aã]o|\b(?:al[ée]m|fora) d[aoe]\b[^.!?]{0,20}\b(?:posso|alcance|permitido)|\bn[aã]o (?:est[aá] ao meu alcance|tenho permiss[aã]o|posso ajudar|vou atender)|\bminhas (?:regras|pol[ií]ticas|normas)[^.!?]{0,15}n[aã]o""",
     "es": r"""\bno\b[^.!?]{0,25}\b(?:puedo|podemos|podr[eé]|podr[ií]a|voy a|soy capaz|estoy autorizad\w*|tengo permiso|tengo permitido|me siento|se me permite|me est[aá] permitido|atender[eé]|responder[eé])\b[^.!?]{0,60}\b(?:ayudar|asistir|responder|escribir|hablar|discutir|tratar|atender|proporcionar|comentar|cumplir|hacer|petici[oó]n|asunto|tema|esto|eso|ofrecer|c[oó]mod\w+|poder)
@@ -52,7 +52,7 @@ _REFUSALS = {
     "hi": r"""(?:नहीं|न)\s*(?:कर|दे|लिख|बता|बोल|कह|ब‍ात)?\s*(?:सकता|सकती|सकते|पाऊँगा|पाऊंगा|पाऊँगी|पाएँगे|करूँगा|करूंगा|दूँगा|दूंगा|लिखूँगा|चाहता|चाहूँगा)|सक(?:ता|ती|ते) नहीं|(?:मदद|सहायता|बात|उत्तर|जवाब|अनुरोध)[^।!?]{0,30}नहीं[^।!?]{0,12}(?:सक|पा|कर|दे)|इनकार|इन्कार|मना करना|अनुमति[^।!?]{0,12}नहीं|नहीं[^।!?]{0,10}अनुमति|दायरे (?:से|के) बाहर|के बाहर है|के ख़?िलाफ़|के विरुद्ध|न करना ही (?:बेहतर|उचित|ठीक)|न देना ही|सहज (?:नहीं|महसूस नहीं)|असमर्थ|बात न कर""",
     "bn": r"""(?:করতে|দিতে|লিখতে|বলতে|পারব|করা|সাহায্য)[^।!?]{0,12}(?:পারব না|পারছি না|পারি না|পারবো না|পারলাম না|চাই না)|পারব না|পারি না|পারছি না|ফিরিয়ে দিতে হচ্ছে|প্রত্যাখ্যান|অস্বীকার|অনুমতি[^।!?]{0,15}(?:নেই|দেয় না|নাই)|বিরুদ্ধে|(?:সীমার|আওতার|ক্ষমতার|এর|তার) বাইরে|না বলাই ভালো|না করাই ভালো|না দেওয়াই|স্বস্তি (?:বোধ করি না|পাই না)|স্বচ্ছন্দ[^।!?]{0,12}না|অক্ষম|অপারগ|রাজি নই|দিচ্ছি না|দেব না|করব না""",
 }
-#: What goes with a refusal without helping: apologies, offers of something else, referrals, reasons.
+#: What goes with a refusal without helping: apologies, offers of something else, referrals, reasons.
 _CLOSERS = re.compile(
     r"\b(?:sorry|apolog\w+|unfortunately|regret|something else|anything else|another (?:question|topic)|else (?:to|i can)|specialist|professional|expert|as an ai|as a language model|different (?:question|topic)|please (?:ask|try)|contact|understand)\b"
     r"|\b(?:desculp\w+|perd[aã]o|infelizmente|lamento|sinto muito|outra coisa|outro assunto|algo diferente|mais alguma coisa|especialista|profissional|assistente de ia|como uma ia|modelo de linguagem|pergunte)\b"
@@ -69,7 +69,7 @@ _TRANSLATION = re.compile(
     r"\b(?:translat\w+|traduz\w*|tradu[cz]\w+|traduis\w*|traduire|übersetz\w+|in (?:english|german|french|spanish|portuguese|hindi|bengali)|auf (?:deutsch|englisch|französisch|spanisch|portugiesisch)|en (?:español|inglés|francés|alemán|portugués|anglais|espagnol|allemand|portugais|français)|em (?:inglês|espanhol|francês|alemão|português)|au? (?:inglés|francés|alemán|portugués|español))\b",
     re.I,
 )
-#: The same in Hindi and Bengali: a request by its verb, or "in" a language; a language or a translator
+#: The same in Hindi and Bengali: a request by its verb, or "in" a language; a language or a translator
 #: that is merely named asks for nothing.
 _TRANSLATION_INDIC = re.compile(
     unicodedata.normalize(
@@ -80,7 +80,7 @@ _TRANSLATION_INDIC = re.compile(
         r"|(?:ইংরেজি|ইংরেজী|হিন্দি|বাংলা|জার্মান|স্প্যানিশ|পর্তুগিজ|ফরাসি|রুশ|চীনা|আরবি|জাপানি|উর্দু|তামিল|গ্রিক|কোরীয়)(?:তে|য়|ে|\s*ভাষায়|\s*ভাষাতে)",
     )
 )
-#: Requests for languages of other scripts.
+#: Requests for languages of other scripts.
 _OTHER_LANGUAGES = re.compile(
     r"\b(?:in|to|into) (?:russian|ukrainian|bulgarian|serbian|greek|hebrew|arabic|persian|farsi|urdu|chinese|mandarin|cantonese|japanese|korean|thai|tamil|telugu|marathi|gujarati|punjabi|nepali|sanskrit|georgian|armenian|bangla|cyrillic|devanagari|kanji)\b"
     r"|\b(?:english|german|french|spanish|portuguese|hindi|bengali|bangla|russian|greek|hebrew|arabic|persian|urdu|chinese|japanese|korean|thai|tamil|sanskrit) (?:word|words|name|term|phrase|translation|spelling|script|alphabet|letters?|version)\b"
@@ -247,7 +247,6 @@ def is_truncated(answer: str) -> bool:
         return True
     if _URL.search(last.split()[-1]) or _FIGURE.match(last) or _EMOJI_END.search(last):
         return False
-    tail = text[-400:]
     for opener, closer in _OPENERS.items():
         if opener == "“" and "„" in last:
             opener, closer = "„", "“"
@@ -269,7 +268,7 @@ def is_truncated(answer: str) -> bool:
     if re.search(r"[=<>{};]|^\s*(?:SELECT|FROM|return|def|class|import)\b", last):
         return False
     # Prose without its end: other sentences of the answer do end, or it breaks off at a linking word, or is long.
-    return linking or bool(re.search(r"[.!?।…](?:\s|$)", tail[: -len(last)] + last[:-1])) or len(words) >= 5
+    return linking or bool(re.search(r"[.!?।…](?:\s|$)", text[: -len(last)] + last[:-1])) or len(words) >= 5
 
 
 def defects(question: str | None, answer: str | None, languages: Languages) -> list[str]:

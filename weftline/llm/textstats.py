@@ -35,6 +35,8 @@ PLAIN = (
 LOW_TAIL = ("punctuated_lines", "common_words")
 HIGH_TAIL = ("symbol_ratio", "digit_ratio", *SHAPES)
 SCORED = (*LOW_TAIL, *HIGH_TAIL)
+#: The scored statistics that know nothing of the shapes of lines.
+PLAIN_SCORED = tuple(s for s in SCORED if s not in SHAPES)
 #: Score from which a text is no natural prose: as improbable among prose as e ** -CUT.
 CUT = 26.0
 #: The tails stand on ``PRIOR_TEXTS`` texts beside the corpus, so that small tables and rare languages have some too. Among
@@ -188,8 +190,8 @@ def outlier_scores(stats: DataFrame, scored: tuple[str, ...] = SCORED) -> DataFr
 
 
 def scored_statistics(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Statistics of every row with its outlier score and the kind that the score speaks for."""
-    return outlier_scores(checkpoint(text_statistics(df, key, text)))
+    """Statistics of every row with its outlier score, and the kind of those whose score reaches ``CUT``."""
+    return outlier_scores(checkpoint(text_statistics(df, key, text))).withColumn("kind", F.when(F.col("score") >= CUT, F.col("kind")))
 
 
 def unnatural_texts(df: DataFrame, key: str, text: str, cut: float = CUT, scored: tuple[str, ...] = SCORED) -> DataFrame:
