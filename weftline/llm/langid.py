@@ -151,10 +151,18 @@ def profiles(ranked: dict[str, list[str]], key: int) -> Profiles:
 
 
 def _may_change(costs: np.ndarray, main: int) -> bool:
-    """Whether the cheapest path can have a change at all: some run of words gains at least half a change's price on the language that is best for all."""
-    gains = np.cumsum(costs[:, main : main + 1] - costs, axis=0, dtype=np.float64)
-    lowest = np.minimum(np.minimum.accumulate(gains, axis=0), 0.0)
-    return bool((gains[0] > SWITCH / 2).any() or (gains[1:] - lowest[:-1] > SWITCH / 2).any())
+    """Whether the cheapest path can have a change at all, ``main`` being the language that is best for all words.
+
+    A stretch between words of ``main``, or at one end, has as many changes as runs at least, so that one of its runs
+    gains more than the price of a change on ``main``. A path without ``main`` gains one price in all.
+    """
+    gains = costs[:, main : main + 1] - costs
+    sums = np.cumsum(gains, axis=0, dtype=np.float64)
+    lowest = np.minimum(np.minimum.accumulate(sums, axis=0), 0.0)
+    if (sums[0] > SWITCH).any() or (sums[1:] - lowest[:-1] > SWITCH).any():
+        return True
+    gains[:, main] = -np.inf
+    return len(costs) > 1 and bool(gains.max(axis=1).sum() > SWITCH)
 
 
 def _path(costs: np.ndarray) -> list[int]:
