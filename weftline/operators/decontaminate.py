@@ -26,34 +26,55 @@ def reference_sequences(references: DataFrame, ids: str, least: int) -> DataFram
 
 def windows(ids: Column, least: int) -> Column:
     """All runs of ``least`` ids; null if there are fewer."""
-    return bound(
-        ids, lambda w: F.when(F.size(w) >= least, F.transform(F.sequence(F.lit(1), F.size(w) - (least - 1)), lambda i: F.slice(w, i, F.lit(least))))
-    )
+    return _at_each(ids, least, lambda w, i: F.slice(w, i, F.lit(least)))
+
+
+def _at_each(ids: Column, least: int, made) -> Column:
+    """``made(ids, i)`` for the place ``i``, from 1, of every run of ``least`` ids; null if there are fewer."""
+    return bound(ids, lambda w: F.when(F.size(w) >= least, F.transform(F.sequence(F.lit(1), F.size(w) - (least - 1)), lambda i: made(w, i))))
+
+
+def _run_keys(ids: Column, least: int) -> Column:
+    """A key of 128 bits for every run, so that no two runs of a corpus meet by chance."""
+    return _at_each(ids, least, lambda w, i: bound(F.slice(w, i, F.lit(least)), lambda r: F.struct(F.xxhash64(r).alias("a"), F.xxhash64(r, F.lit(1)).alias("b"))))
+
+
+def _half_keys(ids: Column, least: int) -> Column:
+    """For every run its place and the hashes of its two halves, each with its side."""
+    half = least // 2
+    return F.flatten(
+        _at_each(
+            ids, least,
+            lambda w, i: F.array(
+                F.struct(i.alias("place"), F.xxhash64(F.slice(w, i, F.lit(half)), F.lit(0)).alias("h")),
+                F.struct(i.alias("place"), F.xxhash64(F.slice(w, i + half, F.lit(least - half)), F.lit(1)).alias("h")),
+            ),
+        )
+    )
 
 
 def contaminated_keys(df: DataFrame, key: str, ids: str, references: DataFrame, reference_ids: str, least: int, exchange: bool = False) -> DataFrame:
     """``key`` of the sequences that have a run of ``least`` ids in common with a reference, with ``exchange`` also with one id exchanged.
 
-    Longer runs need no look: a sequence with a longer run in common has one of ``least`` ids in common. Two runs with
-    one exchange agree in their left or in their right half, so halves are joined and the rest is compared. Sequences
-    of fewer ids are clean, and without references all are. The references' runs are joined by their hashes; whether
-    they are broadcast is left to their measured size.
+    Longer runs need no look: a sequence with a longer run in common has one of ``least`` ids in common. Only keys,
+    places and hashes are joined, never the runs themselves. Two runs with one exchange agree in their left or in their
+    right half, so halves are looked up, and the few places that are left are compared in the sequences themselves.
+    Sequences of fewer ids are clean, and without references all are. Whether the references' hashes are broadcast is
+    left to their measured size. Rows that share a key are one as to the result.
     """
-    own = df.select(F.col(key), F.explode(windows(F.col(ids), least)).alias("w"))
-    other = reference_sequences(references, reference_ids, least).select(F.explode(windows(F.col("ids"), least)).alias("r")).distinct()
-    exact = own.select(key, F.xxhash64("w").alias("h"), "w").join(other.select(F.xxhash64("r").alias("h"), "r"), "h")
-    found = exact.where("w = r").select(key)
-    if exchange and least >= 2:
-        half = least // 2
-        sides = ((1, half), (half + 1, least - half))
-        for start, size in sides:
-            left = own.withColumn("h", F.xxhash64(F.slice("w", start, size)))
-            right = other.withColumn("h", F.xxhash64(F.slice("r", start, size)))
-            off = F.aggregate(F.zip_with("w", "r", lambda a, b: (a != b).cast("int")), F.lit(0), lambda s, x: s + x)
-            found = found.unionByName(left.join(right, "h").where(off <= 1).select(key))
-    elif exchange:
-        found = own.select(key) if not other.isEmpty() else found
-    return found.distinct()
+    refs = reference_sequences(references, reference_ids, least)
+    if not exchange:
+        own = df.select(F.col(key), F.explode(_run_keys(F.col(ids), least)).alias("k")).select(key, "k.a", "k.b")
+        other = refs.select(F.explode(_run_keys(F.col("ids"), least)).alias("k")).select("k.a", "k.b").distinct()
+        return own.join(other, ["a", "b"], "left_semi").select(key).distinct()
+    if least == 1:
+        return df.where(F.size(ids) > 0).select(key).distinct() if not refs.isEmpty() else df.select(key).limit(0)
+    own = df.select(F.col(key), F.explode(_half_keys(F.col(ids), least)).alias("k")).select(key, "k.place", "k.h")
+    runs = refs.select(F.explode(windows(F.col("ids"), least)).alias("r")).distinct()
+    other = runs.select("r", F.explode(_half_keys(F.col("r"), least)).alias("k")).select("k.h", "r")
+    places = own.join(other, "h").select(F.col(key).alias("_key"), "place", "r").distinct()
+    off = F.aggregate(F.zip_with(F.slice(F.col(ids), F.col("place"), F.lit(least)), "r", lambda a, b: (~a.eqNullSafe(b)).cast("int")), F.lit(0), lambda s, x: s + x)
+    return df.select(key, ids).join(places, F.col(key).eqNullSafe(F.col("_key"))).where(off <= 1).select(key).distinct()
 
 
 def decontaminated(df: DataFrame, key: str, ids: str, references: DataFrame, reference_ids: str, least: int, exchange: bool = False, removed: bool = False) -> DataFrame:

@@ -8,8 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.checkpoints import checkpoint
-from ..functions.ranks import exact_ranks
+from .splits import first_in_order, ranked_keys
 from .tokens import IGNORED
 
 #: Columns that are packed, where present, and what fills up each.
@@ -23,8 +22,8 @@ def packed_columns(df: DataFrame) -> list[str]:
 
 def with_groups(df: DataFrame, order: str, rows: int = GROUP_ROWS) -> DataFrame:
     """``df`` with ``pack_group``: which run of ``rows`` rows, in ``order``, a row lies in. ``order`` must tell rows apart."""
-    ranked = exact_ranks(df.withColumn("_all", F.lit(0)), ["_all"], [order], name="_place")
-    return ranked.withColumn("pack_group", F.floor(F.col("_place") / rows).cast("bigint")).drop("_place", "_all")
+    ranked = ranked_keys(df, [order]).select(F.col(order).alias("_key"), F.floor(F.col("_before") / rows).cast("bigint").alias("pack_group"))
+    return df.join(ranked, F.col(order).eqNullSafe(F.col("_key"))).drop("_key")
 
 
 def concatenated(df: DataFrame, order: str, block: int, group: str | None = None) -> DataFrame:
@@ -37,9 +36,11 @@ def concatenated(df: DataFrame, order: str, block: int, group: str | None = None
     first = columns[0]
     by = [group] if group else []
     sized = df.select(*by, order, *columns, F.size(first).cast("bigint").alias("_size")).where("_size > 0")
-    if not group:
-        sized = sized.withColumn("_all", F.lit(0))
-    placed = exact_ranks(sized, by or ["_all"], [order], weight="_size", name="_offset")
+    offsets = ranked_keys(sized, [order], by, F.col("_size")).select(*(F.col(c).alias(f"_{c}") for c in by), F.col(order).alias("_key"), F.col("_before").alias("_offset"))
+    same = F.col(order).eqNullSafe(F.col("_key"))
+    for c in by:
+        same &= F.col(c).eqNullSafe(F.col(f"_{c}"))
+    placed = sized.join(offsets, same)
     pieces = placed.select(
         *by, "_offset", "_size", *columns, F.explode(F.sequence(F.floor(F.col("_offset") / block), F.floor((F.col("_offset") + F.col("_size") - 1) / block))).alias("block")
     )
@@ -109,13 +110,13 @@ def best_fit_packed(df: DataFrame, order: str, block: int, group: str = "pack_gr
 
 
 def capped(df: DataFrame, order: list[str], tokens: int, block: int) -> DataFrame:
-    """The first rows, in ``order``, of a budget of ``tokens``: a top-n report of ``tokens // block`` blocks."""
-    return df.orderBy(*order).limit(tokens // block)
+    """The first rows, in ``order``, of a budget of ``tokens``: ``tokens // block`` blocks; ``order`` must tell rows apart."""
+    return first_in_order(df, order, tokens // block)
 
 
 def packed_in_groups(df: DataFrame, order: str, block: int, how: str = "best_fit", rows: int = GROUP_ROWS) -> DataFrame:
     """Packing per run of ``rows`` rows: each group stands alone, so the result doesn't depend on the partitions."""
     if how not in ("best_fit", "concatenate"):
         raise ValueError("how must be best_fit or concatenate")
-    grouped = checkpoint(with_groups(df, order, rows))
+    grouped = with_groups(df, order, rows)
     return best_fit_packed(grouped, order, block) if how == "best_fit" else concatenated(grouped, order, block, "pack_group")

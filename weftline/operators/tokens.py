@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
+from .splits import first_in_order
+
 IGNORED = -100
 _LOADED: dict[str, object] = {}
 
@@ -216,6 +218,10 @@ def tokenizer_metrics(df: DataFrame, text: str, paths: dict[str, str], unknown:
 
 
 def training_sample(df: DataFrame, text: str, n: int, seed: int = 42, normalize: Callable[[Column], Column] | None = None) -> DataFrame:
-    """``n`` texts in an order by hash, the same on any cluster, optionally normalized: the sample a tokenizer is trained on elsewhere."""
+    """``n`` texts in an order by hash, the same on any cluster, optionally normalized: the sample a tokenizer is trained on elsewhere.
+
+    Hashes alone are ranked. Copies of a text that would stand on both sides of the border are left out.
+    """
     column = F.col(text) if normalize is None else normalize(F.col(text))
-    return df.where(F.col(text).isNotNull()).orderBy(F.xxhash64(F.col(text), F.lit(seed)), text).limit(n).select(column.alias(text))
+    hashed = df.where(F.col(text).isNotNull()).select(text, F.xxhash64(F.col(text), F.lit(seed)).alias("_hash"))
+    return first_in_order(hashed, ["_hash"], n).select(column.alias(text))
