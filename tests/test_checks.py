@@ -270,7 +270,7 @@ def test_sidecars_and_sinks(spark, tmp_path):
     assert sinks.save_chunks(rows.limit(0), str(tmp_path / "none"), "json", "id", 0, 10) == 0
     docs = spark.createDataFrame([("1", "pt", 5), ("2", "bn", 7)], "id string, subset string, token_count int")
     sinks.write_routed(docs, str(tmp_path / "routed"), dropped=1)
-    assert loaders.read_sidecar(str(tmp_path / "routed" / "subset=pt" / ".metadata")) == {"documents": 1, "tokens": 5, "filtered": 1}
+    assert loaders.read_sidecar(str(tmp_path / "routed" / "pt" / ".metadata")) == {"documents": 1, "tokens": 5, "filtered": 1}
     for _ in range(2):
         sinks.append_with_totals(docs.withColumnRenamed("subset", "language"), str(tmp_path / "appended"), "language")
     assert loaders.read_sidecar(str(tmp_path / "appended" / "language=bn" / ".metadata")) == {"documents": 2, "tokens": 14}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from ..functions.text import strip
+from .templates import rendered
 
 #: Tags that a fenced block of code may have, by kind.
 CODE_TAGS = """
@@ -192,3 +194,14 @@ def conversation_reasons(
 def ends_with_assistant(messages: Column) -> Column:
     """Whether there are messages and the last one is the assistant's."""
     return F.coalesce(F.try_element_at(messages, F.lit(-1))["role"] == "assistant", F.lit(False))
+
+
+def valid_rows(df: DataFrame, messages: str, most_tokens: int, tokens: Callable[[Column], Column], template: Callable[[Column], Column] = rendered) -> DataFrame:
+    """Conversations that end with the assistant and, in their template, have at most ``most_tokens`` tokens; what can't be rendered is dropped."""
+    return df.where(ends_with_assistant(F.col(messages)) & F.coalesce(tokens(template(F.col(messages))) <= most_tokens, F.lit(False)))
+
+
+def is_conversational(df: DataFrame, fields: tuple[str, ...] = ("prompt", "chosen", "rejected")) -> bool:
+    """Whether any of ``fields`` holds messages with a role and a content, by the table's schema."""
+    kinds = {f.name: f.dataType for f in df.schema.fields if f.name in fields}
+    return any(k.typeName() == "array" and k.elementType.typeName() == "struct" and {"role", "content"} <= set(k.elementType.fieldNames()) for k in kinds.values())

@@ -68,6 +68,11 @@ def within_budget(text: Column, context: int, most_tokens: int, margin: int = 51
     return F.length(text) <= (context - most_tokens - margin) * chars_per_token
 
 
+def within_chunk(df: DataFrame, prompt: str, most_tokens: int, tokens: Callable[[Column], Column]) -> DataFrame:
+    """Rows whose prompt, by itself, has at most ``most_tokens`` tokens; longer ones are passed over."""
+    return df.where(tokens(F.col(prompt)) <= most_tokens)
+
+
 def _filled(text: str, **values: Column) -> Column:
     """``text`` with each ``{name}`` replaced by a column, null ones by ''."""
     parts = re.split(r"\{(\w+)\}", text)

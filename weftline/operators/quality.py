@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from ..functions.text import bound, lines, ratio, sum_of, words
-from .language import STOP_WORDS
+from .formatting import masked, repair_text, without_symbol_lines
+from .language import STOP_WORDS, in_guessed_language, with_language_scores
 
 #: Published default limits of the rules, each of them an argument below.
 WORD_COUNT = (50, 100_000)
@@ -149,6 +150,29 @@ def quality_reasons(df: DataFrame, text: str, repetition: bool = True, **limits)
     return rows.withColumn("reason", F.coalesce(*rules)).drop("_w", "_l", "_shares")
 
 
+def quality_chain(
+    df: DataFrame, text: str, languages: Iterable[str], score: str = "language_score", least_score: float = 0.65, detect: Callable[[Column, Iterable[str]], Column] = in_guessed_language,
+    tokens: Callable[[Column], Column] | None = None, symbols: tuple[str, ...] = ("|",), **limits,
+) -> DataFrame:
+    """``df`` with ``language_scores``, ``reason``, the cleaned text and ``token_count``: the whole chain of web pages in one pass.
+
+    In this order: language by ``detect``, labels with their scores, least score, repetition, lines, words; then, for the
+    rows that broke no rule, repair, masking, lines of symbols, and the number of tokens by ``tokens``. ``reason`` is the
+    first rule that a row breaks, null for rows to keep; these are ``where("reason IS NULL")``, the others are rejected
+    as they came. What a row breaks early spares it the dearer steps.
+    """
+    column = F.col(text)
+    early = first_reason([("language", ~detect(column, languages)), ("language_score", ~F.coalesce(F.col(score) >= least_score, F.lit(False)))])
+    labelled = with_language_scores(df, text).withColumn("_early", early).withColumn("_text", F.when(early.isNull(), column))
+    judged = quality_reasons(labelled, "_text", **limits)
+    reason = F.coalesce(F.col("_early"), F.col("reason"))
+    cleaned = without_symbol_lines(masked(repair_text(F.when(reason.isNull(), column))), symbols)
+    made = judged.withColumn("reason", reason).withColumn("_text", cleaned)
+    count = tokens(F.col("_text")) if tokens else F.size(words(F.col("_text"))).cast("bigint")
+    made = made.withColumn("token_count", F.when(F.col("reason").isNull(), count))
+    return made.withColumn(text, F.coalesce(F.col("_text"), column)).drop("_early", "_text")
+
+
 def reason_counts(df: DataFrame, *by: str, reason: str = "reason") -> DataFrame:
     """Rows and share of each reason, of the kept too, in each group."""
     return df.groupBy(*by, reason).agg(F.count("*").alias("rows"))

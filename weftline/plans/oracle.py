@@ -4,31 +4,14 @@ from __future__ import annotations
 
 from ..operators import dialogue, language
 from ..operators.quality import LINE_ENDS
+from . import answers, folders
+from .sql import CONVERSATIONS as _CONVERSATIONS
+from .sql import DATASET as _DATASET
+from .sql import WS as _WS
+from .sql import guess, line_list, quoted, strip, token_list, word_list
 from .queries import ANSWER_CHECKS, BLOCK, LANGUAGES_KEPT, LEAST_WORDS_IN_COMMON
 
 _ALLOWED = language.allowed_class(LANGUAGES_KEPT)
-#: White space as the first engine sees it, in the second one's patterns.
-_WS = r"[\s\x0b\x85\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-
-
-def strip(x: str) -> str:
-    return f"regexp_replace(regexp_replace({x}, '^{_WS}+', ''), '{_WS}+$', '')"
-
-
-def word_list(x: str) -> str:
-    return f"list_filter(regexp_split_to_array({x}, '{_WS}+'), lambda w: w <> '')"
-
-
-def line_list(x: str) -> str:
-    return f"list_filter(string_split({x}, chr(10)), lambda l: length({strip('l')}) > 0)"
-
-
-def token_list(x: str) -> str:
-    return f"regexp_extract_all({x}, '[\\p{{L}}\\p{{M}}\\p{{N}}_]+')"
-
-
-_ONCE = "(SELECT * FROM {0} QUALIFY row_number() OVER (PARTITION BY {1} ORDER BY ingested_at) = 1)"
-_DATASET, _CONVERSATIONS = _ONCE.format("dataset", "id"), _ONCE.format("conversations", "conv_id")
 _N = "coalesce(token_count, 0)"
 
 
@@ -40,10 +23,6 @@ def total(items: str, value: str) -> str:
     return f"coalesce(list_sum(list_transform({items}, lambda x: {value})), 0)"
 
 
-def quoted(items) -> str:
-    return ", ".join("'" + x.replace("'", "''") + "'" for x in items)
-
-
 _STATS = "length(regexp_replace(text, '" + _ALLOWED + "', '', 'g'))"
 _SHARE = f"CASE WHEN length(text) > 0 THEN (length(text) - {_STATS})::DOUBLE / length(text) END"
 _IN_RANGES = f"coalesce({_SHARE} >= 0.85, false)"
@@ -56,12 +35,7 @@ _LAST = strip("messages[len(messages)].content")
 
 
 def _guess() -> str:
-    scores = ", ".join(
-        f"{{'hits': len(list_filter(t, lambda w: w IN ({quoted(ws)}))), 'place': {-i}, 'code': '{code}'}}" for i, (code, ws) in enumerate(sorted(language.STOP_WORDS.items()))
-    )
-    return f"""WITH a AS (SELECT doc_id, text, {token_list("lower(coalesce(text, ''))")} AS t FROM documents),
-    b AS (SELECT doc_id, text, list_max([{scores}]) AS best FROM a)
-    SELECT doc_id, CASE WHEN length({strip("text")}) >= 10 AND best.hits > 0 THEN best.code END AS guess FROM b"""
+    return f"""WITH a AS (SELECT doc_id, text, {token_list("lower(coalesce(text, ''))")} AS t FROM documents) SELECT doc_id, {guess("text", "t")} AS guess FROM a"""
 
 
 def _answer_checks() -> str:
@@ -135,6 +109,7 @@ ORACLE: dict[str, str] = {
     "url_filter": r"""WITH a AS (SELECT doc_id, regexp_split_to_array(lower(url), '[^a-z0-9]+') AS t, regexp_replace(regexp_extract(lower(url), '^(?:[a-z][a-z0-9+.\-]*://)?([^/?#:]+)', 1), '^www\.', '') AS host FROM documents WHERE url IS NOT NULL)
         SELECT doc_id, CASE WHEN host = 'example' OR ends_with(host, '.example') THEN 'domain' WHEN list_contains(t, 'casino') THEN 'banned_word' WHEN len(list_intersect(list_distinct(t), ['shop', 'online', 'id'])) >= 2 THEN 'soft_words' END AS reason FROM a""",
     "symbol_lines": r"SELECT doc_id, length(array_to_string(list_filter(string_split(text, chr(10)), lambda x: NOT regexp_matches(x, '^\s*\|[\|\s]*$')), chr(10)))::BIGINT AS characters FROM documents WHERE text IS NOT NULL",
+    "page_text": f"""WITH a AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '({_WS}|[\\x1c-\\x1f])+', ' ', 'g') AS t FROM documents) SELECT doc_id, nullif(trim(t), '') AS text FROM a""",
     "exact_dedup": "SELECT doc_id, CASE WHEN text IS NULL THEN doc_id ELSE min(doc_id) OVER (PARTITION BY text) END AS representative FROM documents",
     "decontam_exact": f"{_GRAMS} SELECT DISTINCT id FROM own o JOIN refs r ON o.g = r.g",
     "decontam_one_exchange": f"""{_GRAMS} SELECT DISTINCT id FROM (SELECT o.id FROM own o JOIN refs r ON o.g[1:{_H}] = r.g[1:{_H}] WHERE {_OFF}
@@ -183,7 +158,7 @@ ORACLE: dict[str, str] = {
     "rare_words": f"SELECT word, count(*) AS n FROM (SELECT unnest(w) AS word FROM {_DOC_WORDS}) GROUP BY word ORDER BY n, word LIMIT 50",
     "last_deliveries": "SELECT id, strftime(max(ingested_at), '%Y-%m-%d %H:%M:%S.%f') AS ingested_at, coalesce(arg_max(token_count, ingested_at), 0) AS token_count FROM dataset GROUP BY id",
     "answer_checks": _answer_checks(),
-    "first_answers": f"SELECT conv_id, coalesce(messages[1].content, '') AS text FROM {_CONVERSATIONS}",
+    "first_contents": f"SELECT conv_id, coalesce(messages[1].content, '') AS text FROM {_CONVERSATIONS}",
     "evaluation_results": f"SELECT id AS model, 'task_acc' AS metric, language_score AS value FROM {_DATASET} WHERE language_score IS NOT NULL",
     "classifier_scores": f"""WITH c AS (SELECT greatest(least(edu_int_score - 1, 4), 0)::INT AS l, greatest(least(round_even(round(language_score * 4, 3), 0), 4), 0)::INT AS p FROM {_DATASET} WHERE edu_int_score IS NOT NULL AND language_score IS NOT NULL),
         k AS (SELECT l AS k FROM c UNION SELECT p FROM c), m AS (SELECT k, (SELECT count(*) FROM c WHERE l = k AND p = k) AS h, (SELECT count(*) FROM c WHERE l = k) AS n, (SELECT count(*) FROM c WHERE p = k) AS f FROM k),
@@ -201,3 +176,4 @@ ORACLE: dict[str, str] = {
     "event_sessions": """WITH a AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events)
         SELECT user_id, sum(new)::BIGINT AS sessions, count(*) AS events FROM a GROUP BY user_id""",
 }
+ORACLE |= answers.ORACLE | folders.ORACLE

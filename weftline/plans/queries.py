@@ -7,11 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.partitions import spread
 from ..functions.text import words
 from ..operators import decontaminate, dedup, dialogue, formatting, language, packing, prompts, quality, reports, routing, samples, splits, templates, tokens, verify
 from ..sources import loaders
 from ..streaming import shards
+from . import answers, folders
+from .tables import answers as _answers
+from .tables import conversations as _conversations
+from .tables import dataset as _dataset
+from .tables import read as _read
+from .tables import texts as _texts
 
 LANGUAGES_KEPT = ("portuguese", "english", "spanish", "german", "french")
 LABELS = {"en": "english", "pt": "portuguese"}
@@ -20,24 +25,6 @@ BLOCK = 256
 SPAM_DOMAINS = ("example",)
 
 
-def _read(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{name}.parquet")
-
-
-def _texts(spark: SparkSession, root: str, name: str = "documents") -> DataFrame:
-    """A table whose texts take more time than their reading."""
-    return spread(_read(spark, root, name))
-
-
-def _conversations(spark: SparkSession, root: str) -> DataFrame:
-    """Each conversation once; a row delivered again differs in its time of delivery alone."""
-    return _texts(spark, root, "conversations").dropDuplicates(["conv_id"])
-
-
-def _dataset(spark: SparkSession, root: str) -> DataFrame:
-    return _read(spark, root, "dataset").dropDuplicates(["id"])
-
-
 def corpus_quality(spark: SparkSession, root: str) -> DataFrame:
     """Documents, characters and removed documents of each language label, after the rules of Unicode ranges, lines and words."""
     d = _texts(spark, root).withColumn("w", words(F.col("text")))
@@ -129,11 +116,15 @@ def symbol_lines(spark: SparkSession, root: str) -> DataFrame:
 
 
 def page_text(spark: SparkSession, root: str) -> DataFrame:
-    return _texts(spark, root).select("doc_id", formatting.page_text(F.col("text")).alias("text"))
+    """The main text of pages made around the documents: navigation, a list of links and scripts go."""
+    escaped = F.replace(F.replace(F.coalesce("text", F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    before = '<html><head><title>t</title><script>var x = "<p>no</p>";</script></head><body><nav><a href="/">Home</a></nav><ul><li><a href="/a">One link</a></li></ul><p>'
+    page = F.concat(F.lit(before), escaped, F.lit("</p><footer>Imprint</footer></body></html>"))
+    return _texts(spark, root).select("doc_id", formatting.page_text(page).alias("text"))
 
 
 def exact_dedup(spark: SparkSession, root: str) -> DataFrame:
-    return dedup.exact_duplicates(_read(spark, root, "documents").select("doc_id", "text"), "doc_id", "text").select("doc_id", "representative")
+    return dedup.representatives(_read(spark, root, "documents"), "doc_id", "text")
 
 
 def near_dedup(spark: SparkSession, root: str) -> DataFrame:
@@ -146,12 +137,12 @@ def _word_rows(df: DataFrame, key: str) -> DataFrame:
 
 
 def decontam_exact(spark: SparkSession, root: str) -> DataFrame:
-    rows, items = _word_rows(spread(_dataset(spark, root)), "id"), _word_rows(_read(spark, root, "benchmark"), "item_id")
+    rows, items = _word_rows(_texts(spark, root, "dataset"), "id"), _word_rows(_read(spark, root, "benchmark"), "item_id")
     return decontaminate.contaminated_keys(rows, "id", "ids", items, "ids", LEAST_WORDS_IN_COMMON)
 
 
 def decontam_one_exchange(spark: SparkSession, root: str) -> DataFrame:
-    rows, items = _word_rows(spread(_dataset(spark, root)), "id"), _word_rows(_read(spark, root, "benchmark"), "item_id")
+    rows, items = _word_rows(_texts(spark, root, "dataset"), "id"), _word_rows(_read(spark, root, "benchmark"), "item_id")
     return decontaminate.contaminated_keys(rows, "id", "ids", items, "ids", LEAST_WORDS_IN_COMMON, exchange=True)
 
 
@@ -177,7 +168,8 @@ def messages_flattened(spark: SparkSession, root: str) -> DataFrame:
 
 
 def messages_without_system(spark: SparkSession, root: str) -> DataFrame:
-    return _conversations(spark, root).select("conv_id", F.coalesce(F.size(dialogue.without_system(F.col("messages"))), F.lit(0)).cast("bigint").alias("n"))
+    rows = _texts(spark, root, "conversations").select("conv_id", F.coalesce(F.size(dialogue.without_system(F.col("messages"))), F.lit(0)).cast("bigint").alias("n"))
+    return rows.dropDuplicates(["conv_id"])
 
 
 def messages_stripped(spark: SparkSession, root: str) -> DataFrame:
@@ -186,30 +178,28 @@ def messages_stripped(spark: SparkSession, root: str) -> DataFrame:
 
 def conversation_rules(spark: SparkSession, root: str) -> DataFrame:
     text = dialogue.flattened(F.col("messages"))
-    return _conversations(spark, root).select(
+    return _texts(spark, root, "conversations").select(
         "conv_id", dialogue.ends_sentence(F.col("messages")).alias("ends"), dialogue.has_no_escapes(text).alias("no_escapes"), dialogue.has_sound_headings(text).alias("headings"),
         dialogue.ends_with_assistant(F.col("messages")).alias("assistant_last"), dialogue.score_at_least(F.col("quality_score"), 5.0).alias("scored"),
-    )
+    ).dropDuplicates(["conv_id"])
 
 
 def conversation_code(spark: SparkSession, root: str) -> DataFrame:
     text = dialogue.flattened(F.col("messages"))
-    return _conversations(spark, root).select("conv_id", dialogue.has_valid_code_tags(text).alias("tags"), dialogue.has_sound_code(text).alias("code"))
+    rows = _texts(spark, root, "conversations").select("conv_id", dialogue.has_valid_code_tags(text).alias("tags"), dialogue.has_sound_code(text).alias("code"))
+    return rows.dropDuplicates(["conv_id"])
 
 
 def conversation_reasons(spark: SparkSession, root: str) -> DataFrame:
-    made = dialogue.conversation_reasons(_conversations(spark, root), score="quality_score", least_score=3.0, tokens="token_count", least_tokens=10, most_tokens=4000)
-    return made.groupBy("reason").agg(F.count("*").alias("rows"))
+    rows = _texts(spark, root, "conversations")
+    made = dialogue.conversation_reasons(rows, score="quality_score", least_score=3.0, tokens="token_count", least_tokens=10, most_tokens=4000)
+    return made.select("conv_id", "reason").dropDuplicates(["conv_id"]).groupBy("reason").agg(F.count("*").alias("rows"))
 
 
 def chat_template(spark: SparkSession, root: str) -> DataFrame:
     return _conversations(spark, root).select("conv_id", templates.rendered(F.col("messages"), generation=True).alias("text"))
 
 
-def chat_template_reasoning(spark: SparkSession, root: str) -> DataFrame:
-    return _conversations(spark, root).select("conv_id", templates.rendered_with_reasoning(F.col("messages")).alias("text"))
-
-
 def chat_plain(spark: SparkSession, root: str) -> DataFrame:
     return _conversations(spark, root).select("conv_id", templates.plain(F.col("messages")).alias("text"))
 
@@ -288,10 +278,6 @@ def prompt_budget(spark: SparkSession, root: str) -> DataFrame:
     return d.where(prompts.within_budget(F.col("prompt"), 2048, 1024)).select("doc_id", F.length("prompt").cast("bigint").alias("n"))
 
 
-def failure_reasons(spark: SparkSession, root: str) -> DataFrame:
-    return _texts(spark, root).where("text IS NOT NULL").select("doc_id", prompts.failure(F.col("text")).alias("reason"))
-
-
 def word_frequencies(spark: SparkSession, root: str) -> DataFrame:
     return reports.word_frequencies(_read(spark, root, "documents").select(words(F.col("text")).alias("w")), "w", 50)
 
@@ -322,20 +308,9 @@ ANSWER_CHECKS = {
 }
 
 
-def _answers(spark: SparkSession, root: str) -> DataFrame:
-    rows = _conversations(spark, root).select("conv_id", F.posexplode("messages").alias("turn", "m"))
-    return rows.where(F.lower(F.trim(F.col("m.role"))).isin("assistant", "gpt") & F.col("m.content").isNotNull()).select("conv_id", "turn", F.col("m.content").alias("text"))
-
-
 def answer_checks(spark: SparkSession, root: str) -> DataFrame:
-    return _answers(spark, root).select("conv_id", "turn", *(verify.check(n, F.col("text"), F.lit(p)).alias(k) for k, (n, p) in ANSWER_CHECKS.items()))
-
-
-def answer_rewards(spark: SparkSession, root: str) -> DataFrame:
-    checks = list(ANSWER_CHECKS.values()) + [("detectable_format:json_format", "{}"), ("tool_call:refusal", "{}")]
-    rows = _answers(spark, root).withColumn("key", F.concat_ws("-", "conv_id", "turn"))
-    rows = rows.withColumn("ids", F.array(*(F.lit(n) for n, _ in checks))).withColumn("kwargs", F.array(*(F.lit(p) for _, p in checks)))
-    return verify.verified(rows, "key", "text", "ids", "kwargs").select("key", "reward")
+    rows = _answers(spark, root).select("conv_id", "turn", *(verify.check(n, F.col("text"), F.lit(p)).alias(k) for k, (n, p) in ANSWER_CHECKS.items()))
+    return rows.dropDuplicates(["conv_id", "turn"])
 
 
 def needles(spark: SparkSession, root: str) -> DataFrame:
@@ -362,8 +337,10 @@ def generated_tool_calls(spark: SparkSession, root: str) -> DataFrame:
     return samples.generated(spark, 500, samples.tool_call)
 
 
-def first_answers(spark: SparkSession, root: str) -> DataFrame:
-    return _conversations(spark, root).select("conv_id", prompts.completion_text(_read(spark, root, "conversations"), "messages").alias("text"))
+def first_contents(spark: SparkSession, root: str) -> DataFrame:
+    """The first message's content of each conversation, whatever its role."""
+    rows = _conversations(spark, root)
+    return rows.select("conv_id", prompts.completion_text(rows, "messages").alias("text"))
 
 
 def evaluation_results(spark: SparkSession, root: str) -> DataFrame:
@@ -416,9 +393,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         corpus_quality, unicode_language_filter, unicode_language_filter_excluded, guessed_languages, language_score_filter, corpus_totals, token_report_rollup, token_histogram, token_summary,
         old_and_new_totals, quality_words, quality_lines, quality_reason_counts, repetition_shares, url_filter, pii_masking, repaired_text, symbol_lines, page_text, exact_dedup, near_dedup,
         decontam_exact, decontam_one_exchange, score_threshold, stratified_routes, distinct_sources, classifier_confusion, messages_flattened, messages_without_system, messages_stripped,
-        conversation_rules, conversation_code, conversation_reasons, chat_template, chat_template_reasoning, chat_plain, label_mask, token_prefix, array_split_chunks, mirrored_split_chunks,
+        conversation_rules, conversation_code, conversation_reasons, chat_template, chat_plain, label_mask, token_prefix, array_split_chunks, mirrored_split_chunks,
         greedy_chunks, validation_split, stratified_split, remaining_rows, pack_concat, pack_best_fit, tokenized_documents, tokenized_chats, token_chunks, tokenizer_metrics, prompt_budget,
-        failure_reasons, word_frequencies, rare_words, last_deliveries, answer_checks, answer_rewards, needles, generated_instructions, generated_word_lists, generated_arithmetic,
-        generated_emails, generated_tool_calls, first_answers, evaluation_results, classifier_scores, filter_report, repeated_texts, model_rates, rate_schedule, event_windows, event_sessions,
+        word_frequencies, rare_words, last_deliveries, answer_checks, needles, generated_instructions, generated_word_lists, generated_arithmetic,
+        generated_emails, generated_tool_calls, first_contents, evaluation_results, classifier_scores, filter_report, repeated_texts, model_rates, rate_schedule, event_windows, event_sessions,
     )
 }
+QUERIES |= answers.QUERIES | folders.QUERIES

@@ -2,30 +2,41 @@
 
 from __future__ import annotations
 
-import glob
+import logging
 import os
-import shutil
+import uuid
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import files
 from ..functions.checkpoints import checkpoint
 from ..functions.ranks import exact_ranks
 from ..operators.routing import subset_totals
 from ..operators.splits import array_split, chunk_count, greedy_chunks
 from .loaders import read_sidecar, write_sidecar
 
+_LOG = logging.getLogger(__name__)
 KEPT_KEYS = ("text", "id", "url", "date", "language", "language_score", "source", "file_path", "token_count")
 
 
 def _rename(folder: str, into: str, names: list[str], ending: str) -> None:
     """Move the one file of each chunk's folder to its name."""
     for number, name in enumerate(names):
-        parts = glob.glob(os.path.join(folder, f"_chunk={number}", "part-*"))
+        parts = files.listing(files.join(folder, f"_chunk={number}"), "part-*")
         if len(parts) != 1:
             raise RuntimeError(f"chunk {number} has {len(parts)} files")
-        shutil.move(parts[0], os.path.join(into, f"{name}.{ending}"))
-    shutil.rmtree(folder)
+        files.move(parts[0], files.join(into, f"{name}.{ending}"))
+    files.remove(folder)
+
+
+def _staged(df: DataFrame, folder: str, by: str, kind: str) -> str:
+    """Write ``df`` once, by the values of ``by``, into a folder of its own beside the others; its path."""
+    hidden = files.join(folder, f"_writing-{uuid.uuid4().hex}")
+    writer = df.write.mode("error").partitionBy(by)
+    (writer.parquet if kind == "parquet" else writer.option("ignoreNullFields", "false").json)(hidden)
+    return hidden
 
 
 def save_chunks(df: DataFrame, folder: str, kind: str, order: str, tokens: int, per_chunk: int, chunks: int | None = None, single: str | None = None) -> int:
@@ -38,9 +49,9 @@ def save_chunks(df: DataFrame, folder: str, kind: str, order: str, tokens: int,
     if rows == 0:
         return 0
     n = min(rows, chunks or chunk_count(tokens, per_chunk))
-    os.makedirs(folder, exist_ok=True)
+    files.make_folder(folder)
     marked = array_split(df, order, n, "_chunk").repartition(n, "_chunk").sortWithinPartitions("_chunk", order)
-    hidden = os.path.join(folder, "_writing")
+    hidden = files.join(folder, "_writing")
     writer = marked.write.mode("overwrite").partitionBy("_chunk")
     (writer.parquet if kind == "parquet" else writer.json)(hidden)
     names = [single] if single and n == 1 else [f"train-{i:05d}-of-{n:05d}" for i in range(n)]
@@ -49,20 +60,38 @@ def save_chunks(df: DataFrame, folder: str, kind: str, order: str, tokens: int,
 
 
 def write_routed(df: DataFrame, folder: str, kind: str = "parquet", tokens: str | None = "token_count", dropped: int | None = None) -> DataFrame:
-    """Write each subset into its folder, with a sidecar of its totals; the totals. One schema holds for all subsets."""
-    writer = df.write.mode("append").partitionBy("subset")
-    (writer.parquet if kind == "parquet" else writer.json)(folder)
-    totals = subset_totals(df, tokens)
+    """Write each subset into the folder of its name, with a sidecar of its totals; the totals. One schema holds for all subsets.
+
+    The table is worked out once: it is written aside, counted as it was written, and its files are moved into place.
+    """
+    spark = df.sparkSession
+    hidden = _staged(df, folder, "subset", kind)
+    written = (spark.read.parquet if kind == "parquet" else spark.read.schema(df.schema).json)(hidden).withColumn("subset", F.col("subset").cast("string"))
+    totals = checkpoint(subset_totals(written, tokens))
     for row in totals.toLocalIterator():
-        write_sidecar(os.path.join(folder, f"subset={row['subset']}", ".metadata"), {"documents": row["documents"], "tokens": row["tokens"], **({"filtered": dropped} if dropped is not None else {})})
+        name = row["subset"]
+        target = files.join(folder, str(name))
+        files.make_folder(target)
+        for part in files.listing(files.join(hidden, f"subset={name}"), "part-*"):
+            files.move(part, files.join(target, os.path.basename(part)))
+        write_sidecar(files.join(target, ".metadata"), {"documents": row["documents"], "tokens": row["tokens"], **({"filtered": dropped} if dropped is not None else {})})
+    files.remove(hidden)
     return totals
 
 
 def write_kept_and_rejected(df: DataFrame, keep: str, kept: str, rejected: str) -> None:
-    """Write rows to keep and all others, those of a null mark among them, into two folders."""
-    good = F.coalesce(F.col(keep), F.lit(False))
-    df.where(good).drop(keep).write.mode("overwrite").parquet(kept)
-    df.where(~good).drop(keep).write.mode("overwrite").parquet(rejected)
+    """Write rows to keep and all others, those of a null mark among them, into two folders; the rows are worked out once."""
+    good = F.coalesce(F.col(keep), F.lit(False)).cast("int").alias("_kept")
+    parent = os.path.dirname(kept.rstrip("/"))
+    hidden = _staged(df.select(*(c for c in df.columns if c != keep), good), parent, "_kept", "parquet")
+    for mark, target in ((1, kept), (0, rejected)):
+        files.remove(target)
+        files.make_folder(target)
+        for part in files.listing(files.join(hidden, f"_kept={mark}"), "part-*"):
+            files.move(part, files.join(target, os.path.basename(part)))
+        if not files.listing(target, "part-*"):
+            df.sparkSession.createDataFrame([], df.drop(keep).schema).write.mode("overwrite").parquet(target)
+    files.remove(hidden)
 
 
 def known_keys(df: DataFrame, keys: tuple[str, ...] = KEPT_KEYS) -> DataFrame:
@@ -71,13 +100,22 @@ def known_keys(df: DataFrame, keys: tuple[str, ...] = KEPT_KEYS) -> DataFrame:
 
 
 def append_with_totals(df: DataFrame, folder: str, by: str, tokens: str = "token_count") -> None:
-    """Append the rows of each value of ``by`` to its folder as JSON, and add them to the totals in its sidecar; values without rows get none."""
-    df.write.mode("append").partitionBy(by).json(folder)
+    """Append the rows of each value of ``by`` to its folder as JSON, and add them to the totals in its sidecar; values without rows get none.
+
+    The table is worked out once; what was written is what is counted.
+    """
+    hidden = _staged(df, folder, by, "json")
     count = F.sum(F.coalesce(F.col(tokens).cast("bigint"), F.lit(0).cast("bigint")))
-    for row in df.groupBy(by).agg(F.count("*").alias("n"), count.alias("t")).toLocalIterator():
-        path = os.path.join(folder, f"{by}={row[by]}", ".metadata")
+    written = df.sparkSession.read.schema(df.schema).json(hidden)
+    for row in checkpoint(written.groupBy(F.col(by).cast("string").alias(by)).agg(F.count("*").alias("n"), count.alias("t"))).toLocalIterator():
+        target = files.join(folder, f"{by}={row[by]}")
+        files.make_folder(target)
+        for part in files.listing(files.join(hidden, f"{by}={row[by]}"), "part-*"):
+            files.move(part, files.join(target, os.path.basename(part)))
+        path = files.join(target, ".metadata")
         old = read_sidecar(path) or {}
         write_sidecar(path, {"documents": old.get("documents", 0) + row["n"], "tokens": old.get("tokens", 0) + row["t"]})
+    files.remove(hidden)
 
 
 def size_chunks(size: int, most: int, ratio: float = 1.0) -> int:
@@ -85,6 +123,24 @@ def size_chunks(size: int, most: int, ratio: float = 1.0) -> int:
     return max(1, -(-int(size * ratio) // most))
 
 
+def convert_to_parquet(spark: SparkSession, paths: list[str], folder: str, most_bytes: int, ratio: float = 0.25) -> int:
+    """Write files of JSON lines as Parquet files ``train-00000-of-00003`` and so on, as many as their size asks for; the number of files.
+
+    ``ratio`` is what their bytes shrink to. Rows keep the files' order by name; one broken line is a null row's worth and is left out.
+    """
+    n = size_chunks(sum(map(files.size_of, paths)), most_bytes, ratio)
+    read = spark.read.json(sorted(paths), mode="DROPMALFORMED")
+    ordered = read.select("*", F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i")).alias("_order"))
+    hidden = files.join(folder, "_writing")
+    files.make_folder(folder)
+    ordered.repartitionByRange(n, "_order").sortWithinPartitions("_order").drop("_order").write.mode("overwrite").parquet(hidden)
+    parts = files.listing(hidden, "part-*")
+    for i, part in enumerate(parts):
+        files.move(part, files.join(folder, f"train-{i:05d}-of-{len(parts):05d}.parquet"))
+    files.remove(hidden)
+    return len(parts)
+
+
 def append_rows(df: DataFrame, folder: str) -> None:
     """Append rows as JSON lines, null fields written too."""
     df.write.mode("append").option("ignoreNullFields", "false").json(folder)
@@ -97,7 +153,7 @@ def split_file(spark: SparkSession, path: str, most_tokens: int, least_bytes: in
     fails, the chunks are, and the file stays. Lines without a count have 0 tokens; files that are chunks stay whole.
     """
     stem, ending = os.path.splitext(path)
-    if os.path.getsize(path) <= least_bytes or "-chunk-" in os.path.basename(path):
+    if files.size_of(path) <= least_bytes or "-chunk-" in os.path.basename(path):
         return False
     hidden = f"{stem}.writing"
     try:
@@ -111,10 +167,11 @@ def split_file(spark: SparkSession, path: str, most_tokens: int, least_bytes: in
         n = chunks.agg(F.max("_chunk")).first()[0] + 1
         marked.repartition(n, "_chunk").sortWithinPartitions("_chunk", "_place").select("value", "_chunk").write.mode("overwrite").partitionBy("_chunk").text(hidden)
         _rename(hidden, os.path.dirname(path), [f"{os.path.basename(stem)}-chunk-{i:05d}" for i in range(n)], ending.removeprefix("."))
-    except Exception:
-        shutil.rmtree(hidden, ignore_errors=True)
-        for part in glob.glob(f"{glob.escape(stem)}-chunk-*{ending}"):
-            os.remove(part)
+    except (OSError, RuntimeError, PySparkException) as error:
+        _LOG.warning("%s stays whole: %s", path, error)
+        files.remove(hidden)
+        for part in files.listing(os.path.dirname(path), f"{os.path.basename(stem)}-chunk-*{ending}"):
+            files.remove(part)
         return False
-    os.remove(path)
+    files.remove(path)
     return True
