@@ -346,6 +346,47 @@ def test_halves_of_items_with_exchanges_are_all_found():
     assert missed == 0
 
 
+def test_many_items_in_blocks_against_brute_force(spark):
+    """Ten thousand items; half items with one word in eight exchanged, and with a word cut in two, among like texts."""
+    rng = random.Random(12)
+    vocabulary = ["".join(rng.choice("bcdfgklmnprst") + rng.choice("aeiou") for _ in range(3)) for _ in range(3000)]
+    many = [(i, " ".join(rng.choices(vocabulary, k=48))) for i in range(10_000)]
+    rows, want = [], set()
+    for n in range(600):
+        i, text = many[rng.randrange(len(many))]
+        words = text.split()
+        start = rng.randint(0, 24)
+        piece = words[start : start + 24]
+        for j in rng.sample(range(24), 3):
+            piece[j] = rng.choice(vocabulary)
+        if n % 3 == 0:
+            piece[12] = piece[12][:3] + " " + piece[12][3:]
+        else:
+            want.add((f"r{n}", i))
+        rows.append((f"r{n}", " ".join(rng.choices(vocabulary, k=60)) + " " + " ".join(piece) + " " + " ".join(rng.choices(vocabulary, k=60))))
+    rows += [(f"none{n}", " ".join(rng.choices(vocabulary, k=200))) for n in range(300)] + [("short", " ".join(many[5][1].split()[:16]))]
+    df = spark.createDataFrame(rows, "id string, text string").repartition(4)
+    bench = spark.createDataFrame(many, "item_id bigint, text string").repartition(4)
+    got = {(r.id, r.item_id) for r in leakage.leaked_items(df, "id", "text", bench, "item_id", "text").collect()}
+    assert len(want - got) <= 0.01 * len(want) and not any(k.startswith("none") or k == "short" for k, _ in got)
+    texts = dict(rows)
+    assert all(k in {w for w, _ in want} or brute_force(texts[k], many[i][1]) or int(k[1:]) % 3 == 0 for k, i in got)
+
+
+def test_filter_of_runs_loses_none():
+    own = leakage.RunFilter(5)
+    rng = random.Random(8)
+    runs = [leakage.word_ids([f"w{rng.randrange(500)}" for _ in range(40)]) for _ in range(200)]
+    for ids in runs:
+        own.add(ids)
+    for ids in runs:
+        text = leakage.np.concatenate([leakage.word_ids([f"x{i}" for i in range(500)]), ids, leakage.word_ids([f"y{i}" for i in range(500)])])
+        assert set(range(500, 536)) <= set(own.hits(text).tolist())
+        assert any(a <= 500 and b >= 540 for a, b in own.stretches(text, 60)) and sum(b - a for a, b in own.stretches(text, 60)) < 400
+    again = leakage.RunFilter(5, own.bits.tobytes())
+    assert again.hits(runs[0]).tolist() == own.hits(runs[0]).tolist() and own.hits(runs[0][:3]).tolist() == []
+
+
 def test_long_tags_are_no_words():
     words = items()[0][1].split()
     index = leakage.Items(items())

@@ -1,9 +1,11 @@
 """Items of a benchmark inside the texts of a corpus.
 
-Texts and items are compared as sequences of folded words. Every item-sized window of a text whose words could make up
-a leaked piece is embedded by a random walk that turns edit distance into Hamming distance (CGK), hashed by sampled
-positions of the walk in many repetitions, and looked up among the windows of the items; what meets is verified
-exactly. The items are the stated query set: they go to every task in blocks of a fixed size, so no text is shuffled.
+Texts and items are compared as sequences of folded words. Every text is folded once; a filter of fixed size, made of
+all items, leaves the stretches that could hold a piece of any of them. Every item-sized window of such a stretch is
+embedded by a random walk that turns edit distance into Hamming distance (CGK), hashed by sampled positions of the walk
+in many repetitions, and looked up among the windows of the items; what meets is verified exactly. The items are the
+stated query set: they lie in the shared folder in blocks of a bounded number, and tasks read a block at a time against
+the stretches, so neither items nor texts go to the driver or through a shuffle.
 """
 
 from __future__ import annotations
@@ -11,20 +13,30 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+import zlib
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
+from ..functions import files
+from ..functions.checkpoints import checkpoint, scratch_folder
 from .common import column, map_batches, raw, string_column
 
 #: Of an item's words, the share that a piece must have, and of the piece's words the share that may be exchanged.
 LEAST_SHARE = 0.5
 EXCHANGED = 1 / 8
-#: Items that go to the tasks at once.
+#: Items that a task holds at once.
 BLOCK_ITEMS = 2_000
+#: Bits of the filter of the items' runs of words, whatever their number, and bits set for each run.
+FILTER_BITS = 1 << 26
+PROBES = 3
+MEMO_WORDS = 200_000
 #: Steps of a walk per word, sampled positions of a key, repetitions, and walks that these share alike. A walk that
 #: loses step loses all its keys, so each has its own bits.
 WALK = 2
@@ -61,17 +73,96 @@ def folded_words(text: str) -> list[str]:
     return _WORDS.findall(text)
 
 
+_WORD_IDS: dict[str, int] = {}
+
+
+def word_ids(words: list[str]) -> np.ndarray:
+    """64-bit ids of words, the same in every worker; of a billion words two share an id with a chance of one in forty."""
+    known = _WORD_IDS
+    try:
+        return np.array([known[w] for w in words], dtype=np.int64)
+    except KeyError:
+        if len(known) > MEMO_WORDS:
+            known.clear()
+        for w in words:
+            if w not in known:
+                known[w] = xxhash.xxh3_64_intdigest(w) - (1 << 63)
+        return np.array([known[w] for w in words], dtype=np.int64)
+
+
+def _mixed(values: np.ndarray) -> np.ndarray:
+    """Well-spread 64-bit hashes of 64-bit values."""
+    x = values.astype(np.int64).view(np.uint64).copy()
+    x ^= x >> np.uint64(32)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(32)
+    return x
+
+
+def run_hashes(ids: np.ndarray, size: int) -> np.ndarray:
+    """A hash of each run of ``size`` ids."""
+    n = len(ids) - size + 1
+    if n <= 0:
+        return np.zeros(0, dtype=np.uint64)
+    total = np.zeros(n, dtype=np.uint64)
+    mixed = _mixed(ids)
+    for k in range(size):
+        total = total * np.uint64(0x9E3779B97F4A7C15) + mixed[k : k + n]
+    return _mixed(total.view(np.int64))
+
+
+class RunFilter:
+    """A Bloom filter of fixed size over the runs of ``size`` words of all items; it may take a run for one of them, never the reverse."""
+
+    def __init__(self, size: int, bits: bytes | None = None):
+        self.size = size
+        self.bits = np.frombuffer(bits, dtype=np.uint8) if bits else np.zeros(FILTER_BITS // 8, dtype=np.uint8)
+
+    def _places(self, hashes: np.ndarray):
+        for k in range(PROBES):
+            yield ((hashes >> np.uint64(1 + k * 19)) ^ (hashes << np.uint64(k))) & np.uint64(FILTER_BITS - 1)
+
+    def add(self, ids: np.ndarray) -> None:
+        for at in self._places(run_hashes(ids, self.size)):
+            np.bitwise_or.at(self.bits, (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
+
+    def hits(self, ids: np.ndarray) -> np.ndarray:
+        """Where runs begin that may be an item's."""
+        left = np.arange(max(0, len(ids) - self.size + 1))
+        hashes = run_hashes(ids, self.size)
+        for at in self._places(hashes):
+            at = at[left]
+            left = left[(self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0]
+            if len(left) == 0:
+                break
+        return left
+
+    def stretches(self, ids: np.ndarray, reach: int) -> list[tuple[int, int]]:
+        """First and past-the-last word of the parts of a text within ``reach`` words of a hit."""
+        found = self.hits(ids)
+        if len(found) == 0:
+            return []
+        cuts = np.flatnonzero(np.diff(found) > 2 * reach + self.size)
+        firsts, lasts = found[np.concatenate([[0], cuts + 1])], found[np.concatenate([cuts, [len(found) - 1]])]
+        return [(max(0, int(f) - reach), min(len(ids), int(t) + self.size + reach)) for f, t in zip(firsts, lasts)]
+
+
+def least_words(size: int) -> int:
+    """Words of an item of ``size`` words that a piece has at least."""
+    return int(np.ceil(size * LEAST_SHARE))
+
+
 class Items:
-    """Index of a block of items."""
+    """Index of a block of items, of texts or of the ids of their folded words."""
 
-    def __init__(self, items: list[tuple[object, str]]):
-        sequences = [(key, folded_words(text or "")) for key, text in items]
-        sequences = [(key, words) for key, words in sequences if words]
-        vocabulary = sorted({w for _, words in sequences for w in words})
-        self.ids = {w: i + 1 for i, w in enumerate(vocabulary)}
+    def __init__(self, items: list[tuple[object, str | np.ndarray]]):
+        sequences = [(key, word_ids(folded_words(own or "")) if own is None or isinstance(own, str) else own) for key, own in items]
+        sequences = [(key, ids) for key, ids in sequences if len(ids)]
+        self.vocabulary = np.unique(np.concatenate([ids for _, ids in sequences])) if sequences else np.zeros(0, dtype=np.int64)
+        vocabulary = self.vocabulary
         self.keys = [key for key, _ in sequences]
-        self.words = [np.array([self.ids[w] for w in words], dtype=np.int32) for _, words in sequences]
-        self.least = [int(np.ceil(len(w) * LEAST_SHARE)) for w in self.words]
+        self.words = [self._numbers(ids) for _, ids in sequences]
+        self.least = [least_words(len(w)) for w in self.words]
         self.by_width: dict[int, _Windows] = {}
         # Windows of a few widths: an item takes the largest that is no longer than its shortest piece.
         for n, least in enumerate(self.least):
@@ -86,10 +177,15 @@ class Items:
         for runs in self.by_run.values():
             runs.close()
 
-    def find(self, text: str) -> list[int]:
-        """Numbers of the items of which the text contains a piece."""
-        get = self.ids.get
-        words = np.array([get(w, 0) for w in folded_words(text)], dtype=np.int32)
+    def _numbers(self, ids: np.ndarray) -> np.ndarray:
+        """Numbers of words in the vocabulary, from 1; 0 for others."""
+        at = np.minimum(np.searchsorted(self.vocabulary, ids), max(0, len(self.vocabulary) - 1))
+        known = self.vocabulary[at] == ids if len(self.vocabulary) else np.zeros(len(ids), dtype=bool)
+        return np.where(known, at + 1, 0).astype(np.int32)
+
+    def find(self, text: str | np.ndarray) -> list[int]:
+        """Numbers of the items of which the text, or the sequence of its words' ids, contains a piece."""
+        words = self._numbers(word_ids(folded_words(text)) if isinstance(text, str) else text)
         known = np.concatenate([[0], np.cumsum(words > 0)])
         found: set[int] = set()
         tried: set[tuple[int, int]] = set()
@@ -147,10 +243,11 @@ class _Windows:
 
     def add(self, item: int, words: np.ndarray) -> None:
         windows = np.lib.stride_tricks.sliding_window_view(words, self.width)
-        self.made.append((self.hashes(windows), np.full(len(windows), item), np.arange(len(windows))))
+        self.made.append((windows, np.full(len(windows), item), np.arange(len(windows))))
 
     def close(self) -> None:
-        keys = np.concatenate([m[0] for m in self.made])
+        windows = np.concatenate([m[0] for m in self.made])
+        keys = np.concatenate([self.hashes(windows[i : i + 4096]) for i in range(0, len(windows), 4096)])
         items = np.concatenate([m[1] for m in self.made])
         offsets = np.concatenate([m[2] for m in self.made])
         self.tables = []
@@ -310,37 +407,116 @@ def _aligned(part: np.ndarray, item: np.ndarray, least: int) -> bool:
     return False
 
 
-_INDEX: dict[int, Items] = {}
+_INDEX: dict[str, Items] = {}
+
+
+def _block(folder: str) -> Items:
+    """The index of the items in a folder; a worker holds one."""
+    if folder not in _INDEX:
+        _INDEX.clear()
+        tables = []
+        for file in files.listing(folder, "*.parquet"):
+            system, inner = files.filesystem(file)
+            with system.open_input_file(inner) as opened:
+                tables.append(pq.read_table(opened))
+        rows = [(k, np.array(w, dtype=np.int64)) for t in tables for k, w in zip(t.column("_key").to_pylist(), t.column("_words").to_pylist())]
+        _INDEX[folder] = Items(rows)
+    return _INDEX[folder]
+
+
+def folded_items(items: DataFrame, key: str, text: str) -> DataFrame:
+    """``_key, _words, _size, _run``: ids of the folded words of each item that has some, and the words in a row that any piece has unchanged."""
+    kind = items.schema[key].dataType.simpleString()
+
+    def fold(batch):
+        made = [word_ids(folded_words(t)) if t else np.zeros(0, dtype=np.int64) for t in column(batch, "_text")]
+        full = [i for i, ids in enumerate(made) if len(ids)]
+        sizes = [len(made[i]) for i in full]
+        return pa.RecordBatch.from_arrays(
+            [raw(batch, "_key").take(pa.array(full, pa.int32())), pa.array([made[i] for i in full], pa.list_(pa.int64())), pa.array(sizes, pa.int32()), pa.array([shared_run(least_words(n), n) for n in sizes], pa.int32())],
+            names=["_key", "_words", "_size", "_run"],
+        )
+
+    source = items.select(F.col(f"`{key}`").alias("_key"), string_column(text).alias("_text"))
+    return map_batches(source, fold, f"_key {kind}, _words array<bigint>, _size int, _run int")
+
+
+def run_filter(folded: DataFrame, size: int) -> bytes:
+    """The bits of the filter over the runs of all items. Each task gives one of the same fixed size; they come to the driver one by one."""
 
+    def build(batches):
+        made = RunFilter(size)
+        for batch in batches:
+            for words in column(batch, "_words"):
+                made.add(np.array(words, dtype=np.int64))
+        yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(made.bits.tobytes(), 1)], pa.binary())], names=["bits"])
 
-def leaked_items(df: DataFrame, key: str, text: str, items: DataFrame, item_key: str, item_text: str) -> DataFrame:
+    total = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
+    for row in folded.select("_words").mapInArrow(build, "bits binary").toLocalIterator():
+        total |= np.frombuffer(zlib.decompress(bytes(row[0])), dtype=np.uint8)
+    return total.tobytes()
+
+
+_FILTERS: dict[int, RunFilter] = {}
+
+
+def suspect_stretches(df: DataFrame, key: str, text: str, packed: bytes, size: int, reach: int) -> DataFrame:
+    """``key, _words``: ids of the words of the parts of texts within ``reach`` words of a run that the filter ``packed`` lets through."""
+    kind = df.schema[key].dataType.simpleString()
+    source = df.select(F.col(f"`{key}`").alias(key), string_column(text).alias("_text"))
+    token = zlib.crc32(packed)
+
+    def cut(batch):
+        if token not in _FILTERS:
+            _FILTERS.clear()
+            _FILTERS[token] = RunFilter(size, zlib.decompress(packed))
+        own = _FILTERS[token]
+        at, parts = [], []
+        for i, value in enumerate(column(batch, "_text")):
+            if value:
+                ids = word_ids(folded_words(value))
+                for first, last in own.stretches(ids, reach):
+                    at.append(i)
+                    parts.append(ids[first:last])
+        return pa.RecordBatch.from_arrays([raw(batch, key).take(pa.array(at, pa.int32())), pa.array(parts, pa.list_(pa.int64()))], names=[key, "_words"])
+
+    return map_batches(source, cut, f"`{key}` {kind}, _words array<bigint>")
+
+
+def leaked_items(df: DataFrame, key: str, text: str, items: DataFrame, item_key: str, item_text: str, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """``key, item_key``: the texts that contain a piece of an item, at least half of its words in order in one stretch.
 
-    Null and empty texts and items contain and are nothing. Pairs come out once, also for rows delivered twice.
+    Null and empty texts and items contain and are nothing. Pairs come out once, also for rows delivered twice. Texts are
+    read and folded once, whatever the number of items; the blocks of items, of ``block_items`` at most on average, are
+    held against the stretches that are left.
     """
+    spark = df.sparkSession
     kind = df.schema[key].dataType.simpleString()
     item_kind = items.schema[item_key].dataType.simpleString()
-    source = df.select(F.col(f"`{key}`").alias(key), string_column(text).alias("_text"))
-    rows = [(r[0], r[1]) for r in items.select(F.col(f"`{item_key}`"), string_column(item_text)).toLocalIterator() if r[1]]
-    item_type = pa.Table.from_pandas(items.select(item_key).limit(0).toPandas()).schema.field(0).type if not rows else pa.array([rows[0][0]]).type
-
-    def search(block):
-        token = hash(tuple(block))
+    folded = checkpoint(folded_items(items, item_key, item_text))
+    count, run, longest = folded.agg(F.count("*"), F.min("_run"), F.max("_size")).first()
+    if not count:
+        return spark.createDataFrame([], f"`{key}` {kind}, `{item_key}` {item_kind}")
+    blocks = -(-count // block_items)
+    folder = scratch_folder(spark)
+    folded.select("_key", "_words", F.pmod(F.xxhash64("_words"), F.lit(blocks)).alias("_block")).repartition("_block").write.partitionBy("_block").parquet(folder)
+    item_type = to_arrow_type(folded.schema["_key"].dataType)
+    parts = checkpoint(suspect_stretches(df, key, text, zlib.compress(run_filter(folded, run), 1), run, longest + longest // 4 + 8))
+
+    def search(number: int) -> DataFrame:
+        own = files.join(folder, f"_block={number}")
 
         def find(batch):
-            if token not in _INDEX:
-                _INDEX.clear()
-                _INDEX[token] = Items(block)
-            index = _INDEX[token]
+            index = _block(own)
             at, found = [], []
-            for i, value in enumerate(column(batch, "_text")):
-                if value:
-                    for item in index.find(value):
-                        at.append(i)
-                        found.append(index.keys[item])
+            lists = raw(batch, "_words")
+            ends, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+            for i in range(batch.num_rows):
+                for item in index.find(values[ends[i] : ends[i + 1]]):
+                    at.append(i)
+                    found.append(index.keys[item])
             return pa.RecordBatch.from_arrays([raw(batch, key).take(pa.array(at, pa.int32())), pa.array(found, item_type)], names=[key, item_key])
 
-        return map_batches(source, find, f"`{key}` {kind}, `{item_key}` {item_kind}")
+        return map_batches(parts, find, f"`{key}` {kind}, `{item_key}` {item_kind}")
 
-    blocks = [rows[i : i + BLOCK_ITEMS] for i in range(0, len(rows), BLOCK_ITEMS)] or [[]]
-    return reduce(DataFrame.unionByName, map(search, blocks)).distinct()
+    return reduce(DataFrame.unionByName, map(search, range(blocks))).distinct()
