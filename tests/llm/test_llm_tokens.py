@@ -7,6 +7,7 @@ from collections import Counter
 
 import public_tokenizers as P
 import pytest
+from pyspark.sql import functions as F
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -169,3 +170,16 @@ def test_exact_ranks_are_those_of_a_window(spark):
     for g in {r[0] for r in rows}:
         own = sorted((v, k) for h, v, k in rows if h == g)
         assert [got[k] for _, k in own] == list(range(len(own)))
+
+
+def test_large_and_small_texts_of_a_key_in_one_pass(spark):
+    from weftline.llm import budget
+
+    small, large = "one two three", "word and another, " * 900
+    rows = [("a", small, "x"), ("a", large, "y"), ("a", large, "z"), ("b", large, None), ("b", small, "y"), ("c", None, "y"), (None, large, "y"), (None, large, "y"), ("d", "", None)]
+    df = spark.createDataFrame(rows, "id string, text string, s string")
+    plain = {r.id: (r.tokens, r.s) for r in budget.token_counts(df, "id", "text", carry={"s": F.col("s")}).collect()}
+    cut = {r.id: (r.tokens, r.s) for r in budget.token_counts(df, "id", "text", chunk_chars=1000, carry={"s": F.col("s")}).collect()}
+    assert plain == cut and plain["a"][1] == "x" and plain["b"][1] == "y" and plain["a"][0] == plain["b"][0] == plain[None][0] > 2000 and plain["c"][0] == plain["d"][0] == 0
+    scans = budget.token_counts(df, "id", "text")._jdf.queryExecution().optimizedPlan().toString()
+    assert scans.count("LogicalRDD") + scans.count("LocalRelation") == 1

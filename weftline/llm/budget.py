@@ -12,6 +12,8 @@ from .lang import language_code
 
 #: Texts of more characters are cut at independent boundaries and their chunks spread over the workers.
 CHUNK_CHARS = 1 << 16
+#: Characters of pieces that a batch holds.
+HELD_CHARS = 1 << 24
 
 
 def token_counts(
@@ -19,36 +21,48 @@ def token_counts(
 ) -> DataFrame:
     """``key, tokens`` with one row for each key: the exact number of tokens of its text.
 
-    Texts of up to ``chunk_chars`` characters are counted where they lie. Larger ones are cut where the tokenizer
-    provably starts anew, salted over the workers and added up. Null and empty texts have 0 tokens. Rows that share a
-    key are taken as one row delivered again; of differing texts the one with most tokens counts. A null key is a key.
-    ``carry`` names string columns to add, the least value of a key's rows.
+    Texts of up to ``chunk_chars`` characters are counted where they lie. Larger ones are cut, in the same pass, where
+    the tokenizer provably starts anew; the pieces are salted over the workers, counted and added up. Null and empty
+    texts have 0 tokens. Rows that share a key are taken as one row delivered again; of differing texts the one with
+    most tokens counts, whatever its length. A null key is a key. ``carry`` names string columns to add, the least value
+    of a key's rows.
     """
     path = vocabulary or vocabulary_path(DEFAULT_VOCABULARY)
     carry = carry or {}
     kind = df.schema[key].dataType.simpleString()
-    kept = [key, *carry]
-    fields = ", ".join([f"`{key}` {kind}", *(f"`{c}` string" for c in carry)])
-    source = df.select(F.col(f"`{key}`").alias(key), *(c.cast("string").alias(n) for n, c in carry.items()), string_column(text).alias("_text"))
-    large = F.coalesce(F.length("_text") > chunk_chars, F.lit(False))
+    kept = [key, *carry, "_hash"]
+    fields = ", ".join([f"`{key}` {kind}", *(f"`{c}` string" for c in carry), "_hash bigint", "_salt int"])
+    source = df.select(F.col(f"`{key}`").alias(key), *(c.cast("string").alias(n) for n, c in carry.items()), F.xxhash64(string_column(text)).alias("_hash"), string_column(text).alias("_text"))
+
+    def made(batch, at, salts, texts, tokens):
+        rows = pa.array(at, pa.int32())
+        return pa.RecordBatch.from_arrays([*(raw(batch, c).take(rows) for c in kept), pa.array(salts, pa.int32()), pa.array(texts, pa.string()), pa.array(tokens, pa.int64())], names=[*kept, "_salt", "_text", "tokens"])
 
     def count(batch):
         tokens = encoder(path).count
-        counted = pa.array([tokens(x) if x else 0 for x in column(batch, "_text")], pa.int64())
-        return pa.RecordBatch.from_arrays([*(raw(batch, c) for c in kept), counted], names=[*kept, "tokens"])
-
-    def cut(batch):
+        at, salts, texts, counted, held = [], [], [], [], 0
         for row, value in enumerate(column(batch, "_text")):
-            chunks = independent_chunks(value, chunk_chars)
-            same = [pa.array([raw(batch, c)[row].as_py()] * len(chunks), raw(batch, c).type) for c in kept]
-            salts = pa.array(range(len(chunks)), pa.int32())
-            yield pa.RecordBatch.from_arrays([*same, salts, pa.array(chunks, pa.string())], names=[*kept, "_salt", "_text"])
-
-    small = map_batches(source.where(~large), count, f"{fields}, tokens bigint")
-    pieces = map_batches(source.where(large).dropDuplicates([key]), cut, f"{fields}, _salt int, _text string")
-    spread = pieces.repartition(F.col(key), F.col("_salt")).select(*kept, "_text")
-    summed = map_batches(spread, count, f"{fields}, tokens bigint").groupBy(*kept).agg(F.sum("tokens").alias("tokens"))
-    return small.unionByName(summed).groupBy(key).agg(F.max("tokens").alias("tokens"), *(F.min(c).alias(c) for c in carry))
+            if value is None or len(value) <= chunk_chars:
+                at.append(row), salts.append(0), texts.append(None), counted.append(tokens(value) if value else 0)
+                continue
+            for salt, chunk in enumerate(independent_chunks(value, chunk_chars)):
+                at.append(row), salts.append(salt), texts.append(chunk), counted.append(None)
+                held += len(chunk)
+                if held > HELD_CHARS:
+                    yield made(batch, at, salts, texts, counted)
+                    at, salts, texts, counted, held = [], [], [], [], 0
+        yield made(batch, at, salts, texts, counted)
+
+    def count_pieces(batch):
+        tokens = encoder(path).count
+        counted = [n if t is None else tokens(t) for t, n in zip(column(batch, "_text"), column(batch, "tokens"))]
+        return pa.RecordBatch.from_arrays([*(raw(batch, c) for c in kept), raw(batch, "_salt"), pa.array(counted, pa.int64())], names=[*kept, "_salt", "tokens"])
+
+    least = [F.min(c).alias(c) for c in carry]
+    spread = map_batches(source, count, f"{fields}, _text string, tokens bigint").repartition(F.col(key), F.col("_salt"))
+    pieces = map_batches(spread, count_pieces, f"{fields}, tokens bigint").groupBy(key, "_hash", "_salt").agg(F.max("tokens").alias("tokens"), *least)
+    whole = pieces.repartition(F.col(key)).groupBy(key, "_hash").agg(F.sum("tokens").alias("tokens"), *least)
+    return whole.groupBy(key).agg(F.max("tokens").alias("tokens"), *least)
 
 
 def slice_value(name: str, domain: bool = False) -> F.Column:
