@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterable
+from itertools import chain
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 from ..functions.text import strip, word_tokens
 
@@ -106,6 +111,73 @@ def in_guessed_language(text: Column, languages: Iterable[str], guess: Callable[
     return F.coalesce(guess(text).isin(*codes), F.lit(False))
 
 
+#: Longest n-grams of the detector, texts of each language that it is fitted on at most, n-grams kept of each, and the n-grams
+#: that its scores are those of: the posterior of a stretch of so many, whatever the text's length.
+LONGEST_GRAM, SAMPLES_PER_LANGUAGE, GRAMS_KEPT, SCORED_GRAMS = 3, 400, 20_000, 60
+
+
+def _grams(text: str) -> chain:
+    """N-grams of a text in lower case, white space as one blank and digits left out."""
+    plain = " " + " ".join("".join(c for c in text.lower() if not c.isdigit()).split()) + " "
+    return chain.from_iterable(map("".join, zip(*(plain[i:] for i in range(n)))) for n in range(1, LONGEST_GRAM + 1))
+
+
+class NgramModel:
+    """Naive Bayes over character n-grams, with equal chances of all languages beforehand."""
+
+    def __init__(self, texts: list[tuple[str, str]], kept: int = GRAMS_KEPT):
+        counts: dict[str, Counter] = {}
+        for language, text in texts:
+            counts.setdefault(language, Counter()).update(_grams(text))
+        self.languages = sorted(counts)
+        known = sorted({g for c in counts.values() for g, _ in sorted(c.items(), key=lambda x: (-x[1], x[0]))[:kept]})
+        self.ids = {g: i for i, g in enumerate(known)}
+        table = np.array([[counts[code][g] for code in self.languages] for g in known], dtype=np.float64).reshape(len(known), len(self.languages)) + 0.5
+        #: Logarithms of the chance of each n-gram in each language; the last row stands for all others.
+        self.logs = np.log(np.concatenate([table, np.full((1, len(self.languages)), 0.5)]) / (table.sum(axis=0) + 0.5))
+
+    def scores(self, text: str | None) -> dict[str, float]:
+        """language -> its posterior; none for a text without letters."""
+        if not text or not self.languages or not any(map(str.isalpha, text)):
+            return {}
+        counts = Counter(map(self.ids.get, _grams(text)))
+        unknown = counts.pop(None, 0)
+        at, n = np.fromiter(counts, dtype=np.int64, count=len(counts)), np.fromiter(counts.values(), dtype=np.float64, count=len(counts))
+        total = self.logs[at].T @ n + self.logs[-1] * unknown
+        mean = total / (n.sum() + unknown) * min(SCORED_GRAMS, n.sum() + unknown)
+        made = np.exp(mean - mean.max())
+        return dict(zip(self.languages, (made / made.sum()).tolist()))
+
+
+def fitted_model(samples: DataFrame, language: str = "language", text: str = "text", per_language: int = SAMPLES_PER_LANGUAGE) -> NgramModel:
+    """A model of labelled samples, of up to ``per_language`` texts of each language, by a hash of the text: the sample is bounded."""
+    rows = samples.where(F.col(language).isNotNull() & F.col(text).isNotNull()).select(F.col(language).alias("l"), F.col(text).cast("string").alias("t"))
+    place = F.row_number().over(Window.partitionBy("l").orderBy(F.xxhash64("t"), "t"))
+    return NgramModel([(r["l"], r["t"]) for r in rows.withColumn("n", place).where(F.col("n") <= per_language).toLocalIterator()])
+
+
+def ngram_label(model: NgramModel, least: float = 0.01):
+    """An Arrow function from texts to ``label, score, scores``: the likeliest language, and all of a posterior of at least ``least``; nulls for texts without letters."""
+
+    @pandas_udf("label string, score double, scores map<string,double>")
+    def label(texts: pd.Series) -> pd.DataFrame:
+        rows = []
+        for value in texts:
+            found = model.scores(value)
+            best = max(found, key=found.get) if found else None
+            rows.append((best, found.get(best), {k: round(v, 6) for k, v in found.items() if v >= least} if found else None))
+        return pd.DataFrame(rows, columns=["label", "score", "scores"])
+
+    return label
+
+
+def ngram_filter(df: DataFrame, text: str, model: NgramModel, languages: Iterable[str], least_score: float = 0.65, label_only: bool = False) -> DataFrame:
+    """``df`` with ``language, language_score, language_scores`` by the model; unless ``label_only``, only rows in ``languages``, by code, with at least ``least_score``."""
+    labelled = df.withColumn("_l", ngram_label(model)(F.col(text)))
+    made = labelled.select(*(c for c in df.columns if c not in ("language", "language_score", "language_scores")), F.col("_l.label").alias("language"), F.col("_l.score").alias("language_score"), F.col("_l.scores").alias("language_scores"))
+    return made if label_only else made.where(F.col("language").isin(*languages) & (F.col("language_score") >= least_score))
+
+
 #: Detectors by name: (text, languages) -> keep.
 BACKENDS: dict[str, Callable[..., Column]] = {"unicode": in_unicode_ranges, "words": in_guessed_language}
 
