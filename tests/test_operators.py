@@ -155,3 +155,36 @@ def test_routing(spark):
         routing.require_columns(df, "missing")
     assert routing.load_config('{"a": 1}') == {"a": 1} and routing.load_config(None) == {}
     assert routing.least_score(df, "token_count", 5).count() == 2
+
+
+def test_ngram_detector_on_held_out_samples(spark, data):
+    from weftline.operators import language
+
+    rows = sorted((r.language, r.text) for r in spark.read.parquet(f"{data}/lang_samples.parquet").collect())
+    model = language.NgramModel(rows[::2])
+    held = spark.createDataFrame([(i, l, t) for i, (l, t) in enumerate(rows[1::2])] + [(900, None, None), (901, None, ""), (902, None, "12 34 !!")], "id int, l string, text string")
+    made = {r.id: r for r in language.ngram_filter(held, "text", model, (), label_only=True).collect()}
+    assert sum(r.language == r.l for r in made.values() if r.l) >= 0.98 * len(rows[1::2]) and len(made) == len(rows[1::2]) + 3
+    assert all(made[i].language is None and made[i].language_scores is None for i in (900, 901, 902))
+    kept = language.ngram_filter(held, "text", model, ["pt", "en"], least_score=0.65).collect()
+    assert {r.l for r in kept} == {"pt", "en"} and all(r.language_score >= 0.65 for r in kept)
+    assert language.NgramModel([]).scores("text") == {} and language.fitted_model(held.limit(0), "l").languages == []
+
+
+def test_generated_instructions_have_every_check(spark):
+    from weftline.operators import samples, verify
+
+    rows = samples.generated(spark, 600, samples.instruction).collect()
+    assert {n for r in rows for n in r.verifier_id_list} == set(verify.INSTRUCTION_CHECKS) and len(samples.TASKS) == 30
+    assert samples.sample_report(samples.generated(spark, 200, samples.instruction)).first().with_conflicts == 0
+    n = samples.calibrated(lambda rng, k: samples.word_list(rng, length=k), 3000)
+    lengths = [len(m[1]) for i in range(30) if (m := samples._attempt(lambda rng: samples.word_list(rng, length=n), 9, i))]
+    assert 0.85 < sum(lengths) / len(lengths) / 3000 < 1.15
+
+
+def test_needles_in_a_part_of_a_document(spark):
+    from weftline.operators import samples
+
+    text = ". ".join(f"Sentence {i} of the long document stands here" for i in range(400))
+    row = samples.haystacks(spark.createDataFrame([(1, text)], "k int, text string"), "k", "text", characters=2000).first()
+    assert len(row.prompt) < 2600 and all(v in row.prompt for v in sum(__import__("json").loads(row.kwargs[0])["expected_values"].values(), []))

@@ -150,3 +150,31 @@ def test_lines_to_parquet(spark, tmp_path):
     assert n > 1 and loaders.with_default_ids(df, "f").select("id").distinct().count() == 80
     with pytest.raises(FileNotFoundError):
         loaders.with_file_count(spark, str(tmp_path / "none"))
+
+
+def test_cards_paragraphs_and_addresses(spark):
+    from weftline.operators import decontaminate, reports
+
+    card = reports.card_text([{"name": "pt", "files": 2, "rows": 1200, "bytes": 3 << 30, "tokens": 5000, "columns": [("text", "value", "string"), ("ids", "sequence", "int32"), ("messages", "list_of_dicts", [("role", "string")])]}, {"name": "en", "files": 1, "rows": 1, "bytes": 10, "tokens": 0, "columns": []}], default="pt")
+    assert card.startswith("---\ndataset_info:\n- config_name: pt\n  features:\n  - name: text\n    dtype: string\n  - name: ids\n    sequence: int32\n  - name: messages\n    list:\n      - name: role\n        dtype: string\n")
+    assert "  default: true\n  data_files:\n  - split: train\n    path: pt/train-*\n- config_name: en\n  data_files:" in card and "| pt | 2 | 1,200 | 3.00 GB |\n" in card and "**Total tokens across all subsets**: 5,000 tokens" in card
+    rows = [(1, "a b\n\na b\n\nc d e"), (2, "x\n\ny"), (3, None), (4, "")]
+    df = spark.createDataFrame(rows, "id int, text string")
+    s = quality.paragraph_statistics(F.col("text"))
+    made = {r.id: (r.p, r.c) for r in df.select("id", s["duplicate_paragraphs"].alias("p"), s["duplicate_paragraph_chars"].alias("c")).collect()}
+    assert made[1] == (pytest.approx(1 / 3), pytest.approx(3 / 11)) and made[2] == made[3] == made[4] == (0.0, 0.0)
+    reasons = {r.id: (r.a, r.b) for r in df.select("id", quality.paragraph_reason(F.col("text"), 0.3).alias("a"), quality.paragraph_reason(F.col("text")).alias("b")).collect()}
+    assert reasons[1] == ("duplicate_paragraphs", None) and reasons[2] == (None, None)
+    urls = spark.createDataFrame([(1, "https://www.a.spam.example/x"), (2, "https://spam.example.org"), (3, None), (4, "http://fine.example/casinonight")], "id int, url string")
+    blocked = spark.createDataFrame([("Spam.Example",), ("other",)], "domain string")
+    assert {r.id for r in quality.with_blocked_domains(urls, "id", "url", blocked).where("blocked").collect()} == {1}
+    assert {r.id: r.r for r in urls.select("id", quality.url_reason(F.col("url"), subwords=["casino"]).alias("r")).collect()} == {1: None, 2: None, 3: None, 4: "subword"}
+    totals = decontaminate.decontamination_totals(df.withColumn("n", F.col("id")), df.where("id < 3").withColumn("n", F.col("id")), "n").first()
+    assert tuple(totals) == (4, 2, 3)
+
+
+def test_parameters_as_decimals(spark):
+    df = spark.createDataFrame([(1, '{"n": 3, "b": true, "s": "x", "f": 0.5, "l": [1]}'), (2, None), (3, "[1]"), (4, "{bad")], "id int, k string")
+    got = {r.id: r.k for r in df.select("id", verify.with_float_parameters("k").alias("k")).collect()}
+    assert json.loads(got[1]) == {"n": 3.0, "b": 1.0, "s": "x", "f": 0.5, "l": [1]} and got[2] is None and got[3] == "[1]" and got[4] == "{bad"
+    assert isinstance(json.loads(got[1])["b"], float)

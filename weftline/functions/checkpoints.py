@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -18,7 +20,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if folder is None:
         if not context.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        folder = os.path.join(tempfile.gettempdir(), "weftline-checkpoints")
+        folder = tempfile.mkdtemp(prefix="weftline-checkpoints-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     context.setCheckpointDir(folder)
 
 

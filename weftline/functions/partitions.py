@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """``df`` in as many partitions as there are cores, if it has fewer than half as many.
+    """``df``, just read, over as many partitions as there are cores if it is a single file.
 
-    A file of one row group is read by one task, however dear the work on its rows; tables of many files stay as they are.
+    A file of one row group is read by one task, however dear the work on its rows. Tables of several files are read by
+    as many tasks and stay where they are, however many cores there are.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() * 2 <= cores else df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if len(df.inputFiles()) == 1 else df

@@ -81,3 +81,10 @@ def decontaminated(df: DataFrame, key: str, ids: str, references: DataFrame, ref
     """Rows of ``df`` that aren't contaminated, or with ``removed`` those that are."""
     bad = contaminated_keys(df, key, ids, references, reference_ids, least, exchange)
     return df.join(bad, key, "left_semi" if removed else "left_anti")
+
+
+def decontamination_totals(df: DataFrame, kept: DataFrame, tokens: str) -> DataFrame:
+    """``original, removed, tokens``: rows before, rows taken out, and the tokens of what is left; null counts are 0."""
+    before = df.agg(F.count("*").alias("original"))
+    after = kept.agg(F.count("*").alias("_kept"), F.coalesce(F.sum(F.coalesce(F.col(tokens).cast("bigint"), F.lit(0))), F.lit(0)).cast("bigint").alias("tokens"))
+    return before.join(after).select("original", (F.col("original") - F.col("_kept")).alias("removed"), "tokens")

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -110,49 +110,72 @@ def has_sound_headings(text: Column) -> Column:
     return F.coalesce(~text.rlike(NUMBERED_HEADING), F.lit(True))
 
 
+def _longest_run(same: np.ndarray) -> int:
+    """Length of the longest run of true values."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], same, [False]])))
+    return int((edges[1::2] - edges[::2]).max()) if len(edges) else 0
+
+
+def narrow_windows(codes: np.ndarray, window: int, unique: float) -> int:
+    """How many windows of ``window`` words have a share of different words below ``unique``.
+
+    A word counts in the windows that hold it but not its last occurrence before, which are a range of windows.
+    """
+    n = len(codes)
+    if n < window:
+        return 0
+    order = np.argsort(codes, kind="stable")
+    before = np.full(n, -1)
+    again = codes[order[1:]] == codes[order[:-1]]
+    before[order[1:][again]] = order[:-1][again]
+    at = np.arange(n)
+    steps = np.bincount(np.maximum(before, at - window) + 1, minlength=n + 1) - np.bincount(at + 1, minlength=n + 1)
+    different = np.cumsum(steps)[: n - window + 1]
+    return int((different / window < unique).sum())
+
+
+def ending_run(found: list[str], endings: tuple[str, ...]) -> int:
+    """The longest run of words of one ending with more than three letters before it."""
+    return max((_longest_run(np.array([w.endswith(e) and len(w) > len(e) + 3 for w in found], dtype=bool)) for e in endings), default=0)
+
+
+def phrase_count(codes: np.ndarray, binding: np.ndarray, sizes: tuple[int, ...] = (4, 5, 6)) -> int:
+    """How often the most frequent phrase of one of ``sizes`` words occurs, of those at least half of whose words bind nothing."""
+    most = 0
+    for size in sizes:
+        if len(codes) < size:
+            continue
+        places = len(codes) - size + 1
+        total = np.concatenate([[0], np.cumsum(binding)])
+        keys = np.zeros(places, dtype=np.uint64)
+        for k in range(size):
+            # Phrases as 64-bit numbers, of which two of a text are the same by chance only once in a million million texts.
+            keys = keys * np.uint64(0x9E3779B97F4A7C15) + codes[k : k + places].astype(np.uint64) + np.uint64(1)
+        keys = np.sort(keys[size - (total[size:] - total[:places]) >= size // 2])
+        if len(keys):
+            most = max(most, int(np.diff(np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]]))).max()))
+    return most
+
+
 def loops(text: str | None, same: int = 8, unique: float = 0.15, window: int = 30, windows: int = 5, suffix_run: int = 12, repeats: int = 10) -> bool:
     """Whether a text is caught in a loop: windows of few distinct words, runs of one ending, repeated phrases, or one word over and over.
 
-    A run of the same word that is the very end of the text isn't seen, as in the rule's first definition.
+    Texts of fewer than ``window`` words are in none, and phrases count from 50 words on. A run of the same word that is
+    the very end of the text isn't seen, as in the rule's first definition.
     """
-    if not text:
-        return False
-    found = _LOOP_WORD.findall(text.lower())
+    found = _LOOP_WORD.findall(text.lower()) if text else []
     n = len(found)
     if n < window:
         return False
-    content = [w for w in found if w not in LOOP_STOP_WORDS and len(w) > 2]
-    if len(content) >= window:
-        counts, few = Counter(content[:window]), 0
-        for i in range(len(content) - window + 1):
-            if i:
-                gone = content[i - 1]
-                counts[gone] -= 1
-                if not counts[gone]:
-                    del counts[gone]
-                counts[content[i + window - 1]] += 1
-            few += len(counts) / window < unique
-            if few >= windows:
-                return True
-    for ending in LOOP_SUFFIXES:
-        run = 0
-        for w in found:
-            run = run + 1 if w.endswith(ending) and len(w) > len(ending) + 3 else 0
-            if run >= suffix_run:
-                return True
-    if n >= 50:
-        limit = int(repeats * (0.7 + 0.3 * max(1, n / 500)))
-        binding = [w in LOOP_STOP_WORDS for w in found]
-        for size in (4, 5, 6):
-            grams = Counter(tuple(found[i : i + size]) for i in range(n - size + 1) if size - sum(binding[i : i + size]) >= size // 2)
-            if grams and max(grams.values()) >= limit:
-                return True
-    run = 1
-    for i in range(1, n - 1):
-        run = run + 1 if found[i] == found[i - 1] else 1
-        if run >= same:
-            return True
-    return False
+    numbers: dict[str, int] = {}
+    codes = np.array([numbers.setdefault(w, len(numbers)) for w in found])
+    binding = np.array([w in LOOP_STOP_WORDS for w in found], dtype=int)
+    content = (binding == 0) & np.array([len(w) > 2 for w in found])
+    if _longest_run(codes[1 : n - 1] == codes[: n - 2]) + 1 >= same or narrow_windows(codes[content], window, unique) >= windows:
+        return True
+    if ending_run(found, LOOP_SUFFIXES) >= suffix_run:
+        return True
+    return n >= 50 and phrase_count(codes, binding) >= int(repeats * (0.7 + 0.3 * max(1, n / 500)))
 
 
 @pandas_udf(T.BooleanType())

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from ..functions.text import bound, lines, ratio, sum_of, words
+from ..functions.text import bound, lines, ratio, strip, sum_of, words
 from .formatting import masked, repair_text, without_symbol_lines
 from .language import STOP_WORDS, in_guessed_language, with_language_scores
 
@@ -129,6 +129,22 @@ def repetition_reason(
     return first_reason(rules)
 
 
+def paragraph_statistics(text: Column) -> dict[str, Column]:
+    """Shares of paragraphs, and of their characters, that are copies of another one in the text; paragraphs stand between blank lines."""
+    found = F.filter(F.split(F.coalesce(text, F.lit("")), r"\n{2,}"), lambda x: F.length(strip(x)) > 0)
+    return {
+        "duplicate_paragraphs": bound(found, lambda ps: ratio(F.size(ps) - F.size(F.array_distinct(ps)), F.size(ps))),
+        "duplicate_paragraph_chars": bound(found, lambda ps: ratio(sum_of(ps, F.length) - sum_of(F.array_distinct(ps), F.length), sum_of(ps, F.length))),
+    }
+
+
+def paragraph_reason(text: Column, paragraphs: float = 0.0, characters: float = 0.0) -> Column:
+    """The first paragraph rule that a text breaks, or null; a limit of 0 switches its rule off."""
+    s = paragraph_statistics(text)
+    rules = [(name, s[name] > limit) for name, limit in (("duplicate_paragraphs", paragraphs), ("duplicate_paragraph_chars", characters)) if limit]
+    return first_reason(rules) if rules else F.lit(None).cast("string")
+
+
 def first_reason(rules: list[tuple[str, Column]]) -> Column:
     """The name of the first rule that holds, or null; a null condition doesn't hold."""
     return F.coalesce(*(F.when(F.coalesce(broken, F.lit(False)), F.lit(name)) for name, broken in rules))
@@ -178,18 +194,37 @@ def reason_counts(df: DataFrame, *by: str, reason: str = "reason") -> DataFrame:
     return df.groupBy(*by, reason).agg(F.count("*").alias("rows"))
 
 
-def url_reason(url: Column, domains: Iterable[str] = (), words_: Iterable[str] = (), soft_words: Iterable[str] = (), least_soft: int = 2) -> Column:
-    """Why an address is blocked: its domain or a parent of it, a banned word in it, or at least ``least_soft`` soft words; null if not."""
+def _host_and_parents(url: Column) -> Column:
+    """The host of an address and the domains above it."""
+    host = F.regexp_replace(F.regexp_extract(F.lower(url), r"^(?:[a-z][a-z0-9+.\-]*://)?([^/?#:]+)", 1), r"^www\.", "")
+    return bound(F.split(host, r"\."), lambda parts: F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts), F.lit(1))), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), ".")))
+
+
+def url_reason(
+    url: Column, domains: Iterable[str] = (), words_: Iterable[str] = (), soft_words: Iterable[str] = (), least_soft: int = 2, subwords: Iterable[str] = ()
+) -> Column:
+    """Why an address is blocked: its domain or a parent of it, a banned word in it, at least ``least_soft`` soft words, or a banned part of a word; null if not.
+
+    The lists stand in the plan; long ones of domains are tables, for ``with_blocked_domains``.
+    """
     low = F.lower(url)
-    host = F.regexp_replace(F.regexp_extract(low, r"^(?:[a-z][a-z0-9+.\-]*://)?([^/?#:]+)", 1), r"^www\.", "")
-    parents = bound(
-        F.split(host, r"\."), lambda parts: F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts), F.lit(1))), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
-    )
     tokens = F.split(low, r"[^a-z0-9]+")
-    blocked = F.arrays_overlap(parents, F.array(*map(F.lit, sorted(domains)))) if domains else F.lit(False)
+    blocked = F.arrays_overlap(_host_and_parents(url), F.array(*map(F.lit, sorted(domains)))) if domains else F.lit(False)
     banned = F.arrays_overlap(tokens, F.array(*map(F.lit, sorted(words_)))) if words_ else F.lit(False)
     soft = F.size(F.array_intersect(tokens, F.array(*map(F.lit, sorted(soft_words))))) >= least_soft if soft_words else F.lit(False)
-    return first_reason([("domain", blocked), ("banned_word", banned), ("soft_words", soft)])
+    part = F.regexp_like(low, F.lit("|".join(rf"\Q{w}\E" for w in sorted(subwords)))) if subwords else F.lit(False)
+    return first_reason([("domain", blocked), ("banned_word", banned), ("soft_words", soft), ("subword", part)])
+
+
+def with_blocked_domains(df: DataFrame, key: str, url: str, blocked: DataFrame, domain: str = "domain", name: str = "blocked") -> DataFrame:
+    """``df`` with whether the host of its address, or a domain above it, is in the table ``blocked``, of any size; null addresses aren't.
+
+    Keys and domains alone are joined; Spark leaves the table where it is or broadcasts it, by its measured size.
+    """
+    hosts = df.where(F.col(url).isNotNull()).select(F.col(key).alias("_key"), F.explode(_host_and_parents(F.col(url))).alias("_domain"))
+    found = hosts.join(blocked.select(F.lower(F.col(domain)).alias("_domain")).distinct(), "_domain", "left_semi").select("_key").distinct()
+    marked = found.withColumn("_found", F.lit(True))
+    return df.join(marked, F.col(key) == F.col("_key"), "left").withColumn(name, F.coalesce("_found", F.lit(False))).drop("_key", "_found")
 
 
 def with_domain_config(df: DataFrame, config: DataFrame, key: str) -> DataFrame:

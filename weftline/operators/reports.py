@@ -266,3 +266,34 @@ def schema_card(df: DataFrame) -> list[tuple[str, str]]:
     """Name and kind of each column: value, sequence, or list_of_dicts."""
     kinds = {"array": lambda t: "list_of_dicts" if t.elementType.typeName() == "struct" else "sequence"}
     return [(f.name, kinds.get(f.dataType.typeName(), lambda t: "value")(f.dataType)) for f in df.schema.fields]
+
+
+def card_text(stats: list[dict], default: str | None = None) -> str:
+    """The text of a dataset's card: its configuration as YAML, and a table of its subsets.
+
+    ``stats`` has for each subset its ``name, files, rows, bytes, tokens`` and ``columns``, as ``(name, kind, type)`` with kind
+    ``value``, ``sequence`` or ``list_of_dicts``, whose type is a list of (field, type).
+    """
+    out = ["---", "dataset_info:"]
+    for s in stats:
+        out += [f"- config_name: {s['name']}", "  features:"]
+        for name, kind, inner in s["columns"]:
+            out.append(f"  - name: {name}")
+            if kind == "list_of_dicts":
+                out += ["    list:", *(line for field, of in inner for line in (f"      - name: {field}", f"        dtype: {of}"))]
+            else:
+                out.append(f"    {'sequence' if kind == 'sequence' else 'dtype'}: {inner}")
+        size = s["bytes"]
+        out += ["  splits:", "  - name: train", f"    num_bytes: {size}", f"    num_examples: {s['rows']}", f"  download_size: {size}", f"  dataset_size: {size}"]
+    out.append("configs:")
+    for s in stats:
+        out += [f"- config_name: {s['name']}", *(["  default: true"] if s["name"] == default else []), "  data_files:", "  - split: train", f"    path: {s['name']}/train-*"]
+    out += ["---", "", "# Dataset Card", ""]
+    counted = [s for s in stats if s["tokens"]]
+    if counted:
+        out += ["", "## Token Counts per Subset", "", *(f"- **{s['name']}**: {s['tokens']:,} tokens" for s in counted), "", f"**Total tokens across all subsets**: {sum(s['tokens'] for s in counted):,} tokens"]
+    out += ["", "## Dataset Statistics", "", "| Subset | Files | Rows | Size |", "|--------|-------|------|------|"]
+    out += [f"| {s['name']} | {s['files']} | {s['rows']:,} | {s['bytes'] / 1024**3:.2f} GB |" for s in stats]
+    files, rows, size = (sum(s[k] for s in stats) for k in ("files", "rows", "bytes"))
+    out.append(f"| **Total** | **{files}** | **{rows:,}** | **{size / 1024**3:.2f} GB** |")
+    return "\n".join(out) + "\n"

@@ -21,10 +21,21 @@ from .verify import INSTRUCTION_CHECKS, conflict_pairs
 
 SCHEMA = "row bigint, id string, prompt string, verifier_id_list array<string>, kwargs array<string>"
 ATTEMPTS = 20
-#: Plain words for generated texts.
+#: Plain words for generated texts.
 WORDS = "casa livro rio ponte mesa porta janela campo cidade noite tarde vento chuva pedra folha barco estrada jardim escola mercado relógio espelho cadeira caminho montanha praia música carta chave lâmpada".split()
-#: Tasks that instructions are attached to.
-TASKS = ("Escreva um parágrafo sobre {}.", "Explique a uma criança o que é {}.", "Descreva {} em detalhes.", "Faça um resumo do que se sabe sobre {}.", "Escreva uma história curta em que aparece {}.")
+#: Tasks that instructions are attached to, by what they ask for; ``{}`` stands for a word.
+TASKS = tuple(
+    f"{verb} {what}."
+    for verb, objects in (
+        ("Escreva", ("um parágrafo sobre {}", "uma história curta em que aparece {}", "um anúncio para {}", "uma carta a um amigo sobre {}", "um diálogo entre duas pessoas sobre {}", "um poema sobre {}")),
+        ("Explique", ("a uma criança o que é {}", "por que {} é importante", "como se cuida de {}", "a diferença entre {} e o seu contrário", "em que situações se usa {}")),
+        ("Descreva", ("{} em detalhes", "um dia em que {} muda tudo", "o cheiro e o som de {}", "{} como se fosse a primeira vez", "um lugar onde há {}")),
+        ("Faça", ("um resumo do que se sabe sobre {}", "uma comparação entre {} e outra coisa", "um roteiro de visita a {}", "um plano de aula sobre {}", "um elogio a {}")),
+        ("Dê", ("três razões para gostar de {}", "um conselho a quem procura {}", "exemplos de {} na vida diária", "um nome a um projeto sobre {}", "um título a um livro sobre {}")),
+        ("Conte", ("uma lembrança ligada a {}", "o que aconteceu com {}", "a origem de {}", "um sonho com {}")),
+    )
+    for what in objects
+)
 
 
 class Rejected(Exception):
@@ -71,15 +82,28 @@ def _parameters(name: str, rng: random.Random) -> tuple[dict, str]:
         "keywords:existence": ({"keywords": [word]}, f"Use a palavra {word}."),
         "keywords:forbidden_words": ({"forbidden_words": [word]}, f"Não use a palavra {word}."),
         "keywords:frequency": ({"keyword": word, "frequency": n, "relation": "at least"}, f"Use a palavra {word} pelo menos {n} vezes."),
+        "keywords:letter_frequency": ({"letter": word[0], "let_frequency": n * 3, "let_relation": "at least"}, f"A letra {word[0]} deve aparecer {n * 3} vezes ou mais."),
+        "language:response_language": ({"language": "pt"}, "Responda em português."),
         "length_constraints:number_words": ({"num_words": n * 50, "relation": "at least"}, f"Use pelo menos {n * 50} palavras."),
         "length_constraints:number_sentences": ({"num_sentences": n, "relation": "at least"}, f"Escreva pelo menos {n} frases."),
+        "length_constraints:number_paragraphs": ({"num_paragraphs": n}, f"Divida a resposta em {n} partes, com três asteriscos entre elas."),
+        "length_constraints:nth_paragraph_first_word": ({"num_paragraphs": n, "nth_paragraph": 1, "first_word": word}, f"Escreva {n} parágrafos com uma linha vazia entre eles; o primeiro começa com {word}."),
         "detectable_content:number_placeholders": ({"num_placeholders": n}, f"Inclua pelo menos {n} campos entre colchetes."),
+        "detectable_content:postscript": ({"postscript_marker": "P.S."}, "Termine com uma nota que começa com P.S."),
         "detectable_format:number_bullet_lists": ({"num_bullets": n}, f"Use exatamente {n} itens com asterisco."),
+        "detectable_format:constrained_response": ({}, "Responda apenas com sim, não ou talvez, na frase combinada."),
+        "detectable_format:number_highlighted_sections": ({"num_highlights": n}, f"Destaque {n} trechos entre asteriscos."),
+        "detectable_format:multiple_sections": ({"section_spliter": "Parte", "num_sections": n}, f"Organize o texto em {n} seções, de Parte 1 a Parte {n}."),
         "detectable_format:title": ({}, "Dê um título entre << e >>."),
+        "detectable_format:json_format": ({}, "Responda em JSON."),
+        "combination:two_responses": ({}, "Dê duas respostas diferentes, com seis asteriscos entre elas."),
+        "combination:repeat_prompt": ({"prompt_to_repeat": f"Sobre {word}:"}, f"Comece repetindo exatamente: Sobre {word}:"),
         "punctuation:no_comma": ({}, "Não use vírgulas."),
         "startend:quotation": ({}, "Ponha toda a resposta entre aspas duplas."),
+        "startend:end_checker": ({"end_phrase": "É tudo por hoje."}, "Termine com a frase: É tudo por hoje."),
+        "change_case:capital_word_frequency": ({"capital_frequency": n, "capital_relation": "at least"}, f"Escreva {n} palavras ou mais em maiúsculas."),
+        "change_case:portuguese_capital": ({}, "Escreva só com letras maiúsculas."),
         "change_case:portuguese_lowercase": ({}, "Escreva só com letras minúsculas."),
-        "detectable_format:json_format": ({}, "Responda em JSON."),
     }
     if name not in table:
         raise Rejected
@@ -121,17 +145,17 @@ def word_list(rng: random.Random, length: int = 200, top: int = 3) -> tuple:
         if len(side) <= top or side[top - 1][1] == side[top][1]:
             raise Rejected
         which = "mais" if kind == "common_words" else "menos"
-        return _sample(f"{listed}Quais são as {top} palavras {which} frequentes?", [(f"long_context:{kind}", {"expected_words": [w for w, _ in side[:top]]})])
+        return _sample(f"{listed}Diga as {top} palavras que a lista tem {which} vezes.", [(f"long_context:{kind}", {"expected_words": [w for w, _ in side[:top]]})])
     if kind == "count_word":
         word = rng.choice(pool)
-        return _sample(f'{listed}Quantas vezes aparece "{word}"?', [("long_context:count_word", {"target_word": word, "expected_count": counts[word]})])
+        return _sample(f'{listed}Conte quantas vezes a lista tem "{word}".', [("long_context:count_word", {"target_word": word, "expected_count": counts[word]})])
     if kind == "word_at_position":
         place = rng.randrange(length)
-        return _sample(f"{listed}Qual é a palavra de número {place + 1}?", [("long_context:word_at_position", {"position": place + 1, "expected_word": words[place]})])
+        return _sample(f"{listed}Diga que palavra está no lugar {place + 1}.", [("long_context:word_at_position", {"position": place + 1, "expected_word": words[place]})])
     a, b = rng.sample(sorted(counts), 2)
     if counts[a] == counts[b]:
         raise Rejected
-    return _sample(f'{listed}Qual aparece mais, "{a}" ou "{b}"?', [("long_context:frequency_comparison", {"word_a": a, "word_b": b, "expected_winner": max((a, b), key=counts.__getitem__)})])
+    return _sample(f'{listed}De "{a}" e "{b}", diga a que a lista tem mais vezes.', [("long_context:frequency_comparison", {"word_a": a, "word_b": b, "expected_winner": max((a, b), key=counts.__getitem__)})])
 
 
 def _tree(rng: random.Random, depth: int):
@@ -203,9 +227,38 @@ def tool_call(rng: random.Random) -> tuple:
 GENERATORS: dict[str, Callable[[random.Random], tuple]] = {"instructions": instruction, "word_lists": word_list, "math": arithmetic, "emails": email, "tool_calls": tool_call}
 
 
-def _needles(rng: random.Random, text: str) -> tuple:
-    """A document with needles between its sentences and a question about them."""
+def calibrated(make: Callable[[random.Random, int], tuple], characters: int, probes: int = 20, seed: int = 42) -> int:
+    """The size with which ``make`` gives prompts of about so many characters, by its prompts of two sizes over a few seeds."""
+
+    def mean(size: int) -> float:
+        made = [_attempt(lambda rng: make(rng, size), seed, row) for row in range(probes)]
+        lengths = [len(m[1]) for m in made if m]
+        if not lengths:
+            raise ValueError(f"no sample of size {size}")
+        return sum(lengths) / len(lengths)
+
+    low, high = mean(50), mean(200)
+    per_item = max(1e-9, (high - low) / 150)
+    return max(1, round(50 + (characters - low) / per_item))
+
+
+def _chunk(sentences: list[str], characters: int, rng: random.Random) -> list[str]:
+    """A run of sentences of at most so many characters, from a place by chance; one sentence at least."""
+    if sum(map(len, sentences)) + 2 * len(sentences) <= characters:
+        return sentences
+    first = rng.randrange(len(sentences))
+    held, last = 0, first
+    while last < len(sentences) and (last == first or held + len(sentences[last]) + 2 <= characters):
+        held += len(sentences[last]) + 2
+        last += 1
+    return sentences[first:last]
+
+
+def _needles(rng: random.Random, text: str, characters: int | None = None) -> tuple:
+    """A document, or a run of its sentences of at most ``characters``, with needles between and a question about them."""
     sentences = [s for s in text.replace("\n", " ").split(". ") if s]
+    if characters is not None:
+        sentences = _chunk(sentences, characters, rng)
     kind = rng.choice(("needle_single_number", "needle_multi_number_same_key", "needle_multi_number_diff_keys", "needle_uuid"))
     keys = rng.sample(WORDS, 3)
     if kind == "needle_uuid":
@@ -224,14 +277,14 @@ def _needles(rng: random.Random, text: str) -> tuple:
     return _sample(". ".join(sentences) + f".\n\n{asked}", [(f"haystack:{kind}", {"expected_values": values})])
 
 
-def haystacks(df: DataFrame, key: str, text: str, seed: int = 42) -> DataFrame:
-    """A sample with needles for each document that isn't blank, by a seed from its key."""
+def haystacks(df: DataFrame, key: str, text: str, seed: int = 42, characters: int | None = None) -> DataFrame:
+    """A sample with needles for each document that isn't blank, by a seed from its key; with ``characters`` in a part of it no longer than that."""
 
     def run(batches):
         for batch in batches:
             rows = []
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                rows.append((k, *_needles(random.Random(f"{seed}:{k}"), t)))
+                rows.append((k, *_needles(random.Random(f"{seed}:{k}"), t, characters)))
             if rows:
                 cols = list(zip(*rows))
                 lists = pa.list_(pa.string())

@@ -50,6 +50,13 @@ def guessed_languages(spark: SparkSession, root: str) -> DataFrame:
     return _texts(spark, root).select("doc_id", language.guessed_language(F.col("text")).alias("guess"))
 
 
+def ngram_languages(spark: SparkSession, root: str) -> DataFrame:
+    """Labels and scores of a detector fitted on the labelled samples."""
+    model = language.fitted_model(_read(spark, root, "lang_samples"))
+    made = language.ngram_filter(_texts(spark, root).select("doc_id", "text"), "text", model, (), label_only=True)
+    return made.select("doc_id", "language", F.round("language_score", 4).alias("language_score"))
+
+
 def language_score_filter(spark: SparkSession, root: str) -> DataFrame:
     return language.language_score_filter(_dataset(spark, root)).select("id", "language_score")
 
@@ -390,7 +397,7 @@ FLAGSHIP = corpus_quality
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        corpus_quality, unicode_language_filter, unicode_language_filter_excluded, guessed_languages, language_score_filter, corpus_totals, token_report_rollup, token_histogram, token_summary,
+        corpus_quality, unicode_language_filter, unicode_language_filter_excluded, guessed_languages, ngram_languages, language_score_filter, corpus_totals, token_report_rollup, token_histogram, token_summary,
         old_and_new_totals, quality_words, quality_lines, quality_reason_counts, repetition_shares, url_filter, pii_masking, repaired_text, symbol_lines, page_text, exact_dedup, near_dedup,
         decontam_exact, decontam_one_exchange, score_threshold, stratified_routes, distinct_sources, classifier_confusion, messages_flattened, messages_without_system, messages_stripped,
         conversation_rules, conversation_code, conversation_reasons, chat_template, chat_plain, label_mask, token_prefix, array_split_chunks, mirrored_split_chunks,
