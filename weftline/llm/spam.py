@@ -280,9 +280,9 @@ def page_deviations(pages: DataFrame, key: str) -> DataFrame:
     prose = curves.where((F.col("binding") * 10 >= total) & (spam * 2 <= total) & (total > 0)).dropDuplicates(["text_hash"])
     quarters = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
     measures = [F.count("*").alias("n"), *(F.avg(share[c]).alias(c) for c in CLASSES), *(F.percentile_approx(c, quarters, 10_000).alias(c) for c in PRIOR_QUARTILES)]
-    # At most one row for each language and power of two.
-    by_both = prose.groupBy("language", "_length").agg(*measures)
-    by_length = prose.groupBy("_length").agg(*measures)
+    # At most one row for each language and power of two, those of all languages beside, from one pass.
+    norms = checkpoint(prose.rollup("_length", "language").agg(F.grouping("language").alias("_any"), F.grouping("_length").alias("_every"), *measures).where("_every = 0"))
+    by_both, by_length = norms.where("_any = 0"), norms.where("_any = 1")
 
     def drawn(n, own, to):
         """A mean of ``n`` pages, drawn to ``to`` as by ``PRIOR_PAGES`` pages; ``to`` where there is none."""
