@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .abuse import offence_rates, offending_messages, scored_messages
 from .budget import token_budget, token_counts
@@ -15,7 +16,7 @@ from .leakage import leaked_items
 from .packing import pack_documents
 from .pairs import defective_pairs, first_defects
 from .spam import page_deviations, page_profiles, spam_pages
-from .textstats import scored_statistics, unnatural_texts
+from .textstats import scored_statistics, text_statistics, unnatural_texts
 
 
 def p1_found(spark: SparkSession, root: str) -> DataFrame:
@@ -26,6 +27,12 @@ def p1_statistics(spark: SparkSession, root: str) -> DataFrame:
     return scored_statistics(read_table(spark, root, "dataset"), "id", "text")
 
 
+def p1_counts(spark: SparkSession, root: str) -> DataFrame:
+    """Plain statistics of every row, without ranks."""
+    rows = text_statistics(read_table(spark, root, "dataset"), "id", "text")
+    return rows.select("id", F.col("words").cast("bigint").alias("words"), *(F.round(c, 6).alias(c) for c in ("word_length", "line_words", "comma_ratio", "digit_ratio")))
+
+
 def p2_found(spark: SparkSession, root: str) -> DataFrame:
     return first_defects(read_table(spark, root, "conversations"), "conv_id", "messages", read_table(spark, root, "lang_samples"))
 
@@ -42,6 +49,11 @@ def p3_slices(spark: SparkSession, root: str) -> DataFrame:
     return token_budget(read_table(spark, root, "dataset"), "id", "text")
 
 
+def p3_documents(spark: SparkSession, root: str) -> DataFrame:
+    """Documents of each slice."""
+    return token_budget(read_table(spark, root, "dataset"), "id", "text").select("slice", "value", "documents")
+
+
 def p4_found(spark: SparkSession, root: str) -> DataFrame:
     return leaked_items(read_table(spark, root, "dataset"), "id", "text", read_table(spark, root, "benchmark"), "item_id", "text")
 
@@ -84,9 +96,11 @@ def p9_curves(spark: SparkSession, root: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
+    "p1_counts": p1_counts,
     "p1_statistics": p1_statistics,
     "p2_found": p2_found,
     "p2_defects": p2_defects,
+    "p3_documents": p3_documents,
     "p3_slices": p3_slices,
     "p3_tokens": p3_tokens,
     "p4_found": p4_found,
