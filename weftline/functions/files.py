@@ -10,6 +10,8 @@ from pyarrow import fs as _fs
 
 def filesystem(path: str) -> tuple[_fs.FileSystem, str]:
     """The file system of ``path``, local for a plain path, and the path within it."""
+    if path.startswith(("s3a://", "s3n://")):
+        path = "s3" + path[3:]
     if "://" in path or path.startswith("file:"):
         return _fs.FileSystem.from_uri(path)
     return _fs.LocalFileSystem(), os.path.abspath(path)
