@@ -42,7 +42,8 @@ def test_findings_follow_from_what_is_measured(spark, data):
     assert all((r.kind is None) == (r.score < textstats.CUT) and 0 <= r.common_words <= 1 and r.words >= 0 for r in scored)
     assert {r.doc_id for r in rows_of(spark, data, "p9_curves") if r.score >= 1 and r.words} == {r.doc_id for r in rows_of(spark, data, "p9_found")}
     first = {(r.conv_id, r.turn): r.defect for r in rows_of(spark, data, "p2_found")}
-    assert {(r.conv_id, r.turn) for r in rows_of(spark, data, "p2_defects")} == set(first) and {(*k, d) for k, d in first.items()} <= {tuple(r)[:3] for r in rows_of(spark, data, "p2_defects")}
+    defects = {(r.conv_id, r.turn, r.defect) for r in rows_of(spark, data, "p2_defects")}
+    assert {d[:2] for d in defects} == set(first) and {(*k, d) for k, d in first.items()} <= defects
     scores = rows_of(spark, data, "p5_scores")
     offending = {(r.conv_id, r.turn) for r in scores if r.score >= 1}
     assert offending == {tuple(r) for r in rows_of(spark, data, "p5_found")}
