@@ -85,6 +85,6 @@ def decontaminated(df: DataFrame, key: str, ids: str, references: DataFrame, ref
 
 def decontamination_totals(df: DataFrame, kept: DataFrame, tokens: str) -> DataFrame:
     """``original, removed, tokens``: rows before, rows taken out, and the tokens of what is left; null counts are 0."""
-    before = df.agg(F.count("*").alias("original"))
-    after = kept.agg(F.count("*").alias("_kept"), F.coalesce(F.sum(F.coalesce(F.col(tokens).cast("bigint"), F.lit(0))), F.lit(0)).cast("bigint").alias("tokens"))
-    return before.join(after).select("original", (F.col("original") - F.col("_kept")).alias("removed"), "tokens")
+    sides = df.select(F.lit(True).alias("_before"), F.lit(0).cast("bigint").alias("_n")).unionByName(kept.select(F.lit(False).alias("_before"), F.coalesce(F.col(tokens).cast("bigint"), F.lit(0)).alias("_n")))
+    made = sides.agg(F.count_if("_before").alias("original"), F.count_if(~F.col("_before")).alias("_kept"), F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("tokens"))
+    return made.select("original", (F.col("original") - F.col("_kept")).alias("removed"), "tokens")

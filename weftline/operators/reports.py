@@ -119,8 +119,8 @@ def log_entries(df: DataFrame, order: str, line: str, by: tuple[str, ...] = ())
 
 def until_last(df: DataFrame, order: str, status: str, value: str = "validation") -> DataFrame:
     """Rows up to the last one with this status; none if there is none."""
-    last = df.where(F.col(status) == value).agg(F.max(order).alias("_last"))
-    return df.join(last, F.col(order) <= F.col("_last")).drop("_last")
+    last = df.where(F.col(status) == value).agg(F.max(order)).first()[0]
+    return df.where(F.lit(False)) if last is None else df.where(F.col(order) <= F.lit(last))
 
 
 def validated_steps(df: DataFrame, log: DataFrame, step: str, status: str, value: str = "validation") -> DataFrame:

@@ -11,8 +11,8 @@ from ..functions.ranks import exact_ranks
 
 
 def hash_order(key: Column, seed: int = 42) -> Column:
-    """A sort key that shuffles rows the same way on any cluster."""
-    return F.xxhash64(key, F.lit(seed))
+    """A sort key that shuffles rows the same way on any cluster and in any engine: the first 60 bits of an MD5 of seed and key."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), key.cast("string"))), 1, 15), 16, 10).cast("bigint")
 
 
 def shuffled(df: DataFrame, key: str, seed: int = 42) -> DataFrame:

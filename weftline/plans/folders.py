@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions import files
 from ..functions.checkpoints import scratch_folder
-from ..operators import dedup, formatting, quality, reports, routing, splits, tokens, verify
+from ..functions.text import words
+from ..operators import decontaminate, dedup, dialogue, formatting, language, quality, reports, routing, splits, tokens, verify
 from ..sources import loaders, sinks
 from . import sql
 from .tables import dataset, read, texts
@@ -204,7 +205,8 @@ def near_filter(spark: SparkSession, root: str) -> DataFrame:
     """Numbers of rows that near-duplicate removal keeps and removes; what equal texts alone remove is the least."""
     rows = texts(spark, root).select("doc_id", "text")
     kept, removed = dedup.without_near_duplicates(rows, "doc_id", "text")
-    return kept.agg(F.count("*").alias("kept")).crossJoin(removed.agg(F.count("*").alias("removed")))
+    both = kept.select(F.lit(True).alias("k")).unionByName(removed.select(F.lit(False).alias("k")))
+    return both.agg(F.count_if("k").alias("kept"), F.count_if(~F.col("k")).alias("removed"))
 
 
 def web_quality_chain(spark: SparkSession, root: str) -> DataFrame:
@@ -214,11 +216,130 @@ def web_quality_chain(spark: SparkSession, root: str) -> DataFrame:
     return made.select("id", "reason", "token_count").dropDuplicates(["id"]).groupBy("reason").agg(F.count("*").alias("rows"), F.sum("token_count").alias("tokens"))
 
 
+def hash_samples(spark: SparkSession, root: str) -> DataFrame:
+    """A hundred documents by hash order, and the test side of a split by hash."""
+    rows = read(spark, root, "documents").select("doc_id")
+    sides = [splits.hash_sample(rows, "doc_id", 100).withColumn("of", F.lit("sample")), splits.split_by_hash(rows, "doc_id", 0.25)[1].withColumn("of", F.lit("test"))]
+    return sides[0].unionByName(sides[1])
+
+
+def seeded_order(spark: SparkSession, root: str) -> DataFrame:
+    """Documents with their places in a seeded order of a table that is loaded."""
+    rows = read(spark, root, "documents").select("doc_id", splits.hash_order(F.col("doc_id"), 7).alias("h"))
+    return splits.ranked_keys(rows, ["h", "doc_id"]).select("doc_id", F.col("_before").alias("place"))
+
+
+def chosen_files(spark: SparkSession, root: str) -> DataFrame:
+    """Five of the sources' names, as files, by their hashes."""
+    names = [r[0] for r in read(spark, root, "sources").select("source").distinct().collect()]
+    return spark.createDataFrame([(f,) for f in splits.picked_files(names, 5)], "file string")
+
+
+def band_probabilities(spark: SparkSession, root: str) -> DataFrame:
+    """How likely bands find pairs of each similarity."""
+    cases = [(s / 20, b, r) for s in range(21) for b, r in ((14, 8), (20, 5))]
+    return spark.createDataFrame([(s, b, r, round(dedup.detection_probability(s, b, r), 6)) for s, b, r in cases], "similarity double, bands int, rows int, probability double")
+
+
+def training_plans(spark: SparkSession, root: str) -> DataFrame:
+    """Plans of runs over as many batches as there are documents, with and without a number of steps."""
+    batches = read(spark, root, "documents").count()
+    made = [(most or 0, reports.training_plan(batches, 1 << 16, 4, 1024, 2, 2.5, most)) for most in (None, 10, 5_000)]
+    return spark.createDataFrame([(m, p["accumulation"], p["steps_per_epoch"], p["steps"], float(p["epochs"])) for m, p in made], "most long, accumulation long, steps_per_epoch long, steps long, epochs double")
+
+
+def appended_rows(spark: SparkSession, root: str) -> DataFrame:
+    """Rows with null fields, appended twice and read again."""
+    folder = files.join(scratch_folder(spark), "rows")
+    rows = read(spark, root, "documents").select("doc_id", "domain")
+    for side in (rows.where("doc_id % 2 = 0"), rows.where("doc_id % 2 = 1")):
+        sinks.append_rows(side, folder)
+    lines = spark.read.text(folder)
+    return lines.agg(F.count("*").alias("lines"), F.count_if(F.contains("value", F.lit('"domain":null'))).alias("nulls"))
+
+
+def text_lines(spark: SparkSession, root: str) -> DataFrame:
+    """Lines of text files with their places, and the files as documents."""
+    folder = files.join(scratch_folder(spark), "texts")
+    read(spark, root, "documents").select(F.coalesce("domain", F.lit("none"))).repartition(3).write.text(folder)
+    lines = loaders.numbered_lines(spark, folder).where("line <> ''")
+    whole = loaders.documents_folder(spark, folder)
+    n = whole.agg(F.sum(F.size(F.split("text", "\n")))).first()[0]
+    return lines.agg(F.count("*").alias("lines"), F.sum(F.length("line")).alias("characters"), F.countDistinct("file", "number").alias("places"), F.lit(n).cast("bigint").alias("lines_of_documents"))
+
+
+def sound_lines(spark: SparkSession, root: str) -> DataFrame:
+    """JSON lines that must all be sound, and questions and answers of them that aren't blank."""
+    folder = files.join(scratch_folder(spark), "sound")
+    rows = read(spark, root, "conversations").select("conv_id", F.get("messages", 0)["content"].alias("q"), F.get("messages", 1)["content"].alias("a")).dropDuplicates(["conv_id"])
+    rows.write.json(folder)
+    made = loaders.strict_json_lines(spark, folder, "conv_id bigint, q string, a string", "conv_id")
+    return loaders.question_answers(made, "q", "a").select("conv_id")
+
+
+def json_folder(spark: SparkSession, root: str) -> DataFrame:
+    """The JSON files of a folder tree, one for each source; those that are none are left out."""
+    folder = scratch_folder(spark)
+    for i, r in enumerate(read(spark, root, "sources").orderBy("source").collect()):
+        files.write_text(files.join(folder, f"d{i % 3}", f"{i}.json"), f'{{"source": "{r["source"]}"}}' if i % 4 else "{broken")
+    return loaders.json_documents(spark, folder).select(F.get_json_object("text", "$.source").alias("source"))
+
+
+def table_checks(spark: SparkSession, root: str) -> DataFrame:
+    """What the schemas of tables say: messages, pairs of preferences, columns that are asked for, known codes."""
+    talks = read(spark, root, "conversations")
+
+    def fails(function, *of) -> bool:
+        try:
+            function(*of)
+        except ValueError:
+            return True
+        return False
+
+    made = [
+        ("messages", dialogue.is_messages(talks, "messages")), ("no messages", dialogue.is_messages(talks, "source")), ("pairs", dialogue.is_conversational(talks.withColumnRenamed("messages", "chosen"))),
+        ("no pairs", dialogue.is_conversational(talks)), ("columns", not fails(routing.require_columns, talks, "conv_id", "messages")), ("missing column", fails(routing.require_columns, talks, "prompt")),
+        ("codes", not fails(language.check_codes, ["pt", "en"], ["pt", "en", "de"])), ("unknown code", fails(language.check_codes, ["pt", "xx"], ["pt"], ["xx"])),
+    ]
+    return spark.createDataFrame(made, "of string, holds boolean")
+
+
+def decimal_parameters(spark: SparkSession, root: str) -> DataFrame:
+    """Parameters of checks with whole numbers as decimals."""
+    raw = F.concat(F.lit('{"n": '), F.col("o_orderkey").cast("string"), F.lit(', "b": '), (F.col("o_orderkey") % 2 == 0).cast("string"), F.lit("}"))
+    made = read(spark, root, "orders").select("o_orderkey", verify.with_float_parameters(raw).alias("k"))
+    return made.select("o_orderkey", F.get_json_object("k", "$.n").alias("n"), F.get_json_object("k", "$.b").alias("b"))
+
+
+def paragraph_shares(spark: SparkSession, root: str) -> DataFrame:
+    doubled = F.concat_ws("\n\n", F.coalesce("domain", F.lit("a")), F.coalesce("source", F.lit("a")), F.coalesce("domain", F.lit("a")))
+    s = quality.paragraph_statistics(doubled)
+    return read(spark, root, "documents").select("doc_id", *(F.round(v, 6).alias(k) for k, v in s.items()))
+
+
+def blocked_domains(spark: SparkSession, root: str) -> DataFrame:
+    """Documents whose address lies in a domain that a table blocks: those of late documents."""
+    d = read(spark, root, "documents")
+    blocked = d.where("doc_id % 17 = 0").select(F.regexp_replace(F.lower("domain"), r"^www\.", "").alias("domain")).where("domain IS NOT NULL")
+    return quality.with_blocked_domains(d.select("doc_id", "url"), "doc_id", "url", blocked).select("doc_id", "blocked")
+
+
+def decontaminated_totals(spark: SparkSession, root: str) -> DataFrame:
+    """Rows before, removed rows and tokens left, of the rows whose words share a run with a benchmark's."""
+    rows = texts(spark, root, "dataset").select("id", "token_count", F.transform(words(F.lower("text")), lambda w: F.xxhash64(w)).alias("ids"))
+    items = read(spark, root, "benchmark").select(F.transform(words(F.lower("text")), lambda w: F.xxhash64(w)).alias("ids"))
+    bad = decontaminate.contaminated_keys(rows, "id", "ids", items, "ids", 8)
+    once = dataset(spark, root).select("id", "token_count")
+    return decontaminate.decontamination_totals(once, once.join(bad, "id", "left_anti"), "token_count")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         saved_chunks, routed_folders, kept_and_rejected, appended_totals, tolerant_lines, converted_files, split_lines, read_limit, known_columns, document_rows, parsed_routes, card_totals, domain_limits,
         run_emissions, log_sections, validated_prefix, validated_rows, stage_resumes, score_targets, next_rows, quota_rows, masked_ids, composed_text, answers_without_thoughts, near_filter, web_quality_chain,
+        hash_samples, seeded_order, chosen_files, band_probabilities, training_plans, appended_rows, text_lines, sound_lines, json_folder, table_checks, decimal_parameters, paragraph_shares, blocked_domains,
+        decontaminated_totals,
     )
 }
 _LENGTHS = "(SELECT doc_id, coalesce(source, 'none') AS source, coalesce(n_chars, 0) AS token_count FROM documents)"
@@ -259,4 +380,25 @@ ORACLE: dict[str, str] = {
     "masked_ids": "SELECT doc_id, array_to_string(list_transform(string_split(coalesce(domain, 'a'), '.'), lambda w: CASE WHEN length(w) IN (1, 2, 4) THEN -100 ELSE length(w) END), ',') AS labels FROM documents",
     "composed_text": "SELECT doc_id, 'fine 1' || coalesce(domain, '') || ' 2' AS text FROM documents",
     "answers_without_thoughts": "SELECT doc_id, coalesce(domain, '') AS text FROM documents",
+    "hash_samples": f"""(SELECT doc_id, 'sample' AS "of" FROM documents ORDER BY {sql.hash_order('doc_id')}, doc_id LIMIT 100) UNION ALL SELECT doc_id, 'test' FROM documents WHERE {sql.hash_order('doc_id')} % 1000000 < 250000""",
+    "seeded_order": f"SELECT doc_id, row_number() OVER (ORDER BY {sql.hash_order('doc_id', 7)}, doc_id) - 1 AS place FROM documents",
+    "chosen_files": "SELECT DISTINCT source AS file FROM (SELECT DISTINCT source FROM sources ORDER BY md5('42:' || source) LIMIT 5)",
+    "band_probabilities": "SELECT s / 20.0::DOUBLE AS similarity, bands, rows, round(1 - pow(1 - pow(s / 20.0::DOUBLE, rows), bands), 6) AS probability FROM range(21) t(s), (VALUES (14, 8), (20, 5)) v(bands, rows)",
+    "training_plans": """WITH a AS (SELECT count(*) AS n, 65536 // (4 * 1024 * 2) AS acc FROM documents), b AS (SELECT acc, ceil(n / acc)::BIGINT AS per FROM a)
+        SELECT most, acc AS accumulation, per AS steps_per_epoch, CASE WHEN most = 0 THEN ceil(2.5 * per)::BIGINT ELSE most END AS steps, CASE WHEN most = 0 THEN 2.5 WHEN most > per THEN most // per ELSE 1 END::DOUBLE AS epochs FROM b, (VALUES (0), (10), (5000)) m(most)""",
+    "appended_rows": "SELECT count(*) AS lines, count(*) - count(domain) AS nulls FROM documents",
+    "text_lines": "SELECT count(*) AS lines, sum(length(coalesce(domain, 'none')))::BIGINT AS characters, count(*) AS places, count(*) AS lines_of_documents FROM documents",
+    "sound_lines": f"SELECT conv_id FROM {sql.CONVERSATIONS} WHERE length({sql.strip("coalesce(messages[1].content, '')")}) > 0 AND length({sql.strip("coalesce(messages[2].content, '')")}) > 0",
+    "json_folder": "SELECT source FROM (SELECT source, row_number() OVER (ORDER BY source) - 1 AS i FROM sources) WHERE i % 4 > 0",
+    "table_checks": """SELECT unnest(['messages', 'no messages', 'pairs', 'no pairs', 'columns', 'missing column', 'codes', 'unknown code']) AS "of", unnest([true, false, true, false, true, true, true, true]) AS holds""",
+    "decimal_parameters": "SELECT o_orderkey, o_orderkey || '.0' AS n, CASE WHEN o_orderkey % 2 = 0 THEN '1.0' ELSE '0.0' END AS b FROM orders",
+    "paragraph_shares": """WITH a AS (SELECT doc_id, coalesce(domain, 'a') AS d, coalesce(source, 'a') AS s FROM documents)
+        SELECT doc_id, round(CASE WHEN d = s THEN 2 ELSE 1 END / 3.0, 6)::DOUBLE AS duplicate_paragraphs, round(CASE WHEN d = s THEN 2.0 * length(d) ELSE length(d) END::DOUBLE / (2 * length(d) + length(s)), 6) AS duplicate_paragraph_chars FROM a""",
+    "blocked_domains": r"""WITH b AS (SELECT DISTINCT regexp_replace(lower(domain), '^www\.', '') AS d FROM documents WHERE doc_id % 17 = 0 AND domain IS NOT NULL),
+        h AS (SELECT doc_id, regexp_replace(regexp_extract(lower(url), '^(?:[a-z][a-z0-9+.\-]*://)?([^/?#:]+)', 1), '^www\.', '') AS host FROM documents)
+        SELECT doc_id, coalesce(EXISTS (SELECT 1 FROM b WHERE host = d OR ends_with(host, '.' || d)), false) AS blocked FROM h""",
+    "decontaminated_totals": f"""WITH d AS (SELECT id, coalesce(token_count, 0) AS n, {sql.word_list("lower(coalesce(text, ''))")} AS w FROM {sql.DATASET}), b AS (SELECT {sql.word_list("lower(coalesce(text, ''))")} AS w FROM benchmark),
+        own AS (SELECT id, w[i:i + 7] AS g FROM (SELECT id, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8)), inside AS (SELECT w[2:len(w) - 1] AS w FROM b WHERE len(w) > 9),
+        refs AS (SELECT DISTINCT w[i:i + 7] AS g FROM (SELECT w, unnest(range(1, len(w) - 6)) AS i FROM inside WHERE len(w) >= 8)), bad AS (SELECT DISTINCT id FROM own JOIN refs USING (g))
+        SELECT count(*) AS original, count(*) FILTER (id IN (SELECT id FROM bad)) AS removed, sum(n) FILTER (id NOT IN (SELECT id FROM bad))::BIGINT AS tokens FROM d""",
 }

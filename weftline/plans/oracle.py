@@ -8,7 +8,7 @@ from . import answers, folders
 from .sql import CONVERSATIONS as _CONVERSATIONS
 from .sql import DATASET as _DATASET
 from .sql import WS as _WS
-from .sql import guess, line_list, quoted, strip, token_list, word_list
+from .sql import guess, hash_order, line_list, quoted, strip, token_list, word_list
 from .queries import ANSWER_CHECKS, BLOCK, LANGUAGES_KEPT, LEAST_WORDS_IN_COMMON
 
 _ALLOWED = language.allowed_class(LANGUAGES_KEPT)
@@ -149,6 +149,8 @@ ORACLE: dict[str, str] = {
         t AS (SELECT file, CASE WHEN final THEN least(l, greatest(0, 100 - (SELECT sum(f) FROM q WHERE NOT final))) ELSE f END AS quota FROM q),
         r AS (SELECT doc_id, coalesce(source, 'none') AS file, row_number() OVER (PARTITION BY coalesce(source, 'none') ORDER BY doc_id) AS i FROM documents)
         SELECT r.doc_id, r.file FROM r JOIN t USING (file) WHERE i <= quota""",
+    "stratified_split": f"""WITH a AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY {hash_order('doc_id')}, doc_id) AS i, count(*) OVER (PARTITION BY lang) AS n FROM documents)
+        SELECT doc_id, lang FROM a WHERE i <= floor(n * 0.1)""",
     "remaining_rows": "SELECT doc_id, lang FROM documents WHERE coalesce(lang, '') <> 'pt'",
     "pack_concat": f"""WITH a AS (SELECT doc_id, unnest(w) AS x, unnest(range(len(w))) AS p FROM {_DOC_WORDS}),
         b AS (SELECT length(x)::BIGINT AS v, row_number() OVER (ORDER BY doc_id, p) - 1 AS i FROM a)

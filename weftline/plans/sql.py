@@ -36,3 +36,8 @@ def guess(text: str, tokens: str) -> str:
     """The language most of whose stop words are among ``tokens``, null for none."""
     scores = ", ".join(f"{{'hits': len(list_filter({tokens}, lambda w: w IN ({quoted(ws)}))), 'place': {-i}, 'code': '{code}'}}" for i, (code, ws) in enumerate(sorted(language.STOP_WORDS.items())))
     return f"CASE WHEN length({strip(text)}) >= 10 AND list_max([{scores}]).hits > 0 THEN list_max([{scores}]).code END"
+
+
+def hash_order(key: str, seed: int = 42) -> str:
+    """The sort key of a seeded order."""
+    return f"('0x' || substr(md5('{seed}:' || {key}), 1, 15))::BIGINT"
