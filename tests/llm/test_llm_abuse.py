@@ -49,7 +49,7 @@ def test_one_pass_accepts_what_each_pattern_does():
     [
         ("You are a complete nitwit.", True), ("I will stab you tonight.", True), ("Voy a estrangularte.", True), ("Je vais t'étrangler.", True), ("Your ugly rat face!", True),
         ("The novel's villain says: I will kill you all, and the hero laughs.", False), ("The rat in your lab is ugly.", False), ("I will beat you at chess.", False), ("Je vais casser ton record.", False),
-        ("Tu perro es un animal inteligente.", False), ("I will kill the process on your server.", False), ("I will kill you!", True), ("तू अपदार्थ नहीं, निकम्मा है।", False),
+        ("Tu perro es un animal inteligente.", False), ("I will kill the process on your server.", False), ("I will kill you!", True), ("Je VAIS te f**r* mal.", True), ("Eres tonto, cáll@te la b*c*.", True), ("vou te m*ch*c*r", True), ("They should be dr*v*n out, those s*vages.", True), ("**Note**: 3 * 4 = 12, a*b*c", False), ("तू अपदार्थ नहीं, निकम्मा है।", False),
     ],
 )
 def test_open_classes_and_contexts(text, offends):

@@ -212,6 +212,17 @@ class Lexicon:
                 self._add(symbol, _fold(" ".join(entry.split())))
         for word in self.words:
             self.by_length.setdefault(len(word), []).append(word)
+        #: Words of phrases, for those of which letters are starred.
+        self.phrase_words: dict[int, set[str]] = {}
+        nodes = [self.trie]
+        while nodes:
+            node = nodes.pop()
+            for word, below in node.items():
+                if word == "*":
+                    nodes += below.values()
+                elif word:
+                    self.phrase_words.setdefault(len(word), set()).add(word)
+                    nodes.append(below)
 
     def _add(self, symbol: str, entry: str) -> None:
         parts = [p.strip(",") for p in entry.split()]
@@ -251,11 +262,21 @@ class Lexicon:
                 found += self.stems.get(word[:size], "")
         return found
 
-    def starred(self, word: str) -> tuple[str, str]:
-        """A word that a starred one may stand for, and the classes of all such words."""
-        pattern = re.compile("".join("." if c == "*" else re.escape(c) for c in word) + "$")
-        known = [k for k in self.by_length.get(len(word), ()) if pattern.match(k)]
-        return (known[0], "".join(self.words[k] for k in known)) if known else ("", "")
+    def starred(self, word: str) -> tuple[bool, str]:
+        """Whether a starred word may stand for one of the lists, alone or in a phrase, and the classes of all such words."""
+        pattern = _starred_pattern(word)
+        known = [k for k in self.by_length.get(len(word), ()) if pattern.fullmatch(k)]
+        found = "".join(self.words[k] for k in known)
+        if not found:
+            for stem, classes in self.stems.items():
+                if 5 <= len(stem) <= len(word) and "*" in word[: len(stem)] and _starred_pattern(word[: len(stem)]).fullmatch(stem):
+                    found += classes
+        return bool(found) or any(map(pattern.fullmatch, self.phrase_words.get(len(word), ()))), found
+
+
+@lru_cache(maxsize=10_000)
+def _starred_pattern(word: str) -> re.Pattern:
+    return re.compile("".join("." if c == "*" else re.escape(c) for c in word))
 
 
 LEXICAL = Lexicon(LEXICON)
@@ -270,9 +291,11 @@ def _read(token: str) -> tuple[str, str]:
         return word, found
     stars = token.strip("'’‘!¡¿-–—_#&%")
     if "*" in stars and any(c.isalpha() for c in stars):
-        known, found = LEXICAL.starred(stars.translate(_LEET))
+        plain = stars.translate(_LEET)
+        known, found = LEXICAL.starred(plain)
         if known:
-            return known, found
+            # Stars stay, so that a phrase may be read from them.
+            return plain, found
     tries = [token.strip("'’‘¡¿*-–—_#&%").rstrip("!").translate(_LEET), word.translate(_LEET).replace("-", "").replace("_", "")]
     for plain in tries:
         found = LEXICAL.classes(plain)
@@ -302,6 +325,9 @@ def classify(clause: str) -> list[str]:
                 j += 1
                 continue
             step = node.get(word)
+            if step is None and "*" in word:
+                pattern = _starred_pattern(word)
+                step = next((n for k, n in node.items() if k not in ("", "*") and pattern.fullmatch(k)), None)
             if step is None and word and "*" in node:
                 step = next((n for stem, n in node["*"].items() if word.startswith(stem)), None)
             if step is None:
@@ -378,7 +404,7 @@ def clause_score(positions: list[str]) -> float:
         score -= REPORT_PENALTY
     elif "B" in present and CONTEXTS["fiction"].accepted(positions):
         score -= FICTION_PENALTY
-    if "M" in present and not present & set("ICSVHGP"):
+    if "M" in present and not present & set("ICSVHGPc"):
         score -= MILD_PENALTY
     if "N" in present and "C" not in present and CONTEXTS["negation"].accepted(positions):
         score -= NEGATION_PENALTY
@@ -402,7 +428,7 @@ def _is_quiet(token: str) -> bool:
         return False
     for part in _TOKEN.findall(folded):
         word, found = _read(part)
-        if not _TRIGGERS.isdisjoint(found) or word in LEXICAL.keys or any(map(word.startswith, LEXICAL.key_stems)):
+        if not _TRIGGERS.isdisjoint(found) or "*" in word or word in LEXICAL.keys or any(map(word.startswith, LEXICAL.key_stems)):
             return False
     return True
 
