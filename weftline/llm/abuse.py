@@ -162,7 +162,7 @@ LEXICON = {
 PATTERNS = (
     (("T", "I"), 5, 1.1), (("t", "I"), 5, 1.1), (("P", "I"), 4, 1.1), (("G", "I"), 4, 1.1), (("I", "T"), 4, 1.1), (("T", "W"), 5, 0.6), (("t", "W"), 1, 0.6), (("t", "W", "W"), 1, 0.5), (("t", "W", "D"), 4, 0.5), (("W", "T"), 2, 0.6), (("W", "W"), 1, 0.3), (("T", "W", "W"), 5, 0.5),
     (("I", "W"), 0, 1.0), (("W", "I"), 0, 1.0), (("I", "I"), 1, 0.6), (("C",), 0, 1.0), (("c",), 0, 0.6), (("c", "c"), 12, 0.4), (("c", "I"), 6, 0.6),
-    (("C", "I"), 6, 0.3), (("c", "X"), 6, 0.6), (("c", "W"), 6, 0.4), (("X",), 0, 0.8), (("T", "X"), 4, 0.4), (("X", "T"), 3, 0.4), (("X", "t"), 3, 0.4), (("t", "X"), 4, 0.4), (("X", "b"), 4, 0.3), (("J", "y"), 2, 1.1), (("J", "h", "T"), 2, 1.1), (("J", "h", "t", "b"), 2, 1.1), (("J", "T", "h"), 5, 1.1), (("J", "T", "b", "h"), 4, 1.1), (("J", "t", "b", "h"), 3, 1.1), (("X", "I"), 8, 0.4),
+    (("C", "I"), 6, 0.3), (("c", "X"), 6, 0.6), (("c", "W"), 6, 0.4), (("X",), 0, 0.8), (("T", "X"), 4, 0.4), (("X", "T"), 3, 0.4), (("X", "t"), 3, 0.4), (("t", "X"), 4, 0.4), (("X", "b"), 4, 0.3), (("J", "y"), 2, 1.1), (("J", "X"), 3, 0.3), (("J", "h", "T"), 2, 1.1), (("J", "h", "t", "b"), 2, 1.1), (("J", "T", "h"), 5, 1.1), (("J", "T", "b", "h"), 4, 1.1), (("J", "t", "b", "h"), 3, 1.1), (("X", "I"), 8, 0.4),
     (("Q", "V"), 5, 1.1), (("G", "V"), 5, 1.1), (("E", "D"), 3, 1.0), (("V", "E", "D"), 4, 0.6), (("V",), 0, 0.4), (("V", "E"), 2, 0.6), (("V", "P"), 5, 0.7), (("T", "E", "D"), 4, 0.4),
     (("E", "D", "T"), 4, 0.3), (("D", "E"), 2, 1.0), (("Q", "v"), 4, 0.5), (("P", "v"), 4, 0.6), (("P", "E", "D"), 5, 0.4), (("P", "D"), 4, 0.6), (("G", "E", "D"), 5, 0.4), (("G", "v"), 4, 0.9), (("v", "D"), 6, 0.5), (("D", "Q", "v"), 9, 0.6), (("D", "v"), 12, 0.5), (("T", "W", "D"), 4, 0.5),
     (("v", "E", "D"), 6, 0.4), (("H", "P", "v"), 6, 1.1), (("H", "P", "V"), 6, 1.1), (("H", "G"), 3, 1.1), (("H", "V"), 6, 1.0), (("H", "v"), 6, 0.6), (("H", "T"), 2, 0.8), (("T", "H"), 3, 0.5), (("K", "T", "D"), 4, 1.1), (("K", "D"), 4, 0.5),
