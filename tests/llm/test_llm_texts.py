@@ -438,3 +438,29 @@ def test_eight_foreign_words_wherever_they_stand(samples):
     places = [(code, at) for code in own if code != "en" for at in range(31)]
     assert sum(reported(code, 8, at) for code, at in places) >= 0.75 * len(places)
     assert sum(reported(code, 6, at) for code, at in places) <= 0.05 * len(places)
+
+
+@pytest.mark.parametrize(
+    "pattern, literals",
+    [
+        ("abc", {"abc"}), ("ab|cd", {"ab", "cd"}), (r"\bno\b[^.]{0,9}\b(?:help|assist)", {"help", "assist"}), ("(?:ab)?c*d+", {"d"}), ("a*", set()), ("[ab]x?", set()), ("(?:ab|[cd])ef", {"ef"}), ("a(?:bc|)", {"a"}), ("(?:xy){2,}z", {"xy"}),
+    ],
+)
+def test_needed_literals(pattern, literals):
+    from weftline.llm import literals as own
+
+    assert own.needed_literals(pattern) == literals
+    gated = own.GatedPattern(pattern)
+    rng = random.Random(3)
+    for _ in range(300):
+        text = "".join(rng.choice("abcdefxyz. helpassistno") for _ in range(12))
+        assert (gated.search(text) is None) == (gated.pattern.search(text) is None)
+
+
+def test_gates_let_every_refusal_through(spark):
+    import re
+
+    texts = [m.content.lower() for r in spark.read.parquet("/root/testdata/sf0.01/conversations.parquet").select("messages").collect() for m in r.messages or () if m and m.content]
+    for gated in (pairs._REFUSAL, pairs._CLOSERS):
+        plain = re.compile(gated.pattern.pattern)
+        assert [plain.search(t) is None for t in texts] == [gated.search(t) is None for t in texts]

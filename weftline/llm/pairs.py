@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from .common import map_batches, raw
 from .lang import FREQUENT
+from .literals import GatedPattern
 from .langid import Profiles, profiles, profiles_of
 from .leakage import folded_words
 from .prose import LETTERS, ended
@@ -53,7 +54,7 @@ _REFUSALS = {
     "bn": r"""(?:করতে|দিতে|লিখতে|বলতে|পারব|করা|সাহায্য)[^।!?]{0,12}(?:পারব না|পারছি না|পারি না|পারবো না|পারলাম না|চাই না)|পারব না|পারি না|পারছি না|ফিরিয়ে দিতে হচ্ছে|প্রত্যাখ্যান|অস্বীকার|অনুমতি[^।!?]{0,15}(?:নেই|দেয় না|নাই)|বিরুদ্ধে|(?:সীমার|আওতার|ক্ষমতার|এর|তার) বাইরে|না বলাই ভালো|না করাই ভালো|না দেওয়াই|স্বস্তি (?:বোধ করি না|পাই না)|স্বচ্ছন্দ[^।!?]{0,12}না|অক্ষম|অপারগ|রাজি নই|দিচ্ছি না|দেব না|করব না""",
 }
 #: What goes with a refusal without helping: apologies, offers of something else, referrals, reasons.
-_CLOSERS = re.compile(
+_CLOSERS = GatedPattern(
     r"\b(?:sorry|apolog\w+|unfortunately|regret|something else|anything else|another (?:question|topic)|else (?:to|i can)|specialist|professional|expert|as an ai|as a language model|different (?:question|topic)|please (?:ask|try)|contact|understand)\b"
     r"|\b(?:desculp\w+|perd[aã]o|infelizmente|lamento|sinto muito|outra coisa|outro assunto|algo diferente|mais alguma coisa|especialista|profissional|assistente de ia|como uma ia|modelo de linguagem|pergunte)\b"
     r"|\b(?:lo siento|perdon\w*|disculp\w*|lamentablemente|por desgracia|otra cosa|otro tema|algo distinto|algo m[aá]s|especialista|profesional|asistente de ia|modelo de lenguaje|pregunt[ae])\b"
@@ -62,7 +63,7 @@ _CLOSERS = re.compile(
     r"|माफ़|माफ|क्षमा|खेद|दुर्भाग्य|अफ़सोस|किसी और|कुछ और|विशेषज्ञ|एआई|सहायक के रूप|भाषा मॉडल"
     r"|দুঃখিত|ক্ষমা|দুর্ভাগ্য|মাফ|অন্য কিছু|অন্য কোনো|বিশেষজ্ঞ|এআই|সহকারী হিসেবে|ভাষা মডেল|ভাষার মডেল হিসেবে",
 )
-_REFUSAL = re.compile("|".join("(?:" + p.replace("\n        ", "") + ")" for p in _REFUSALS.values()))
+_REFUSAL = GatedPattern("|".join("(?:" + p.replace("\n        ", "") + ")" for p in _REFUSALS.values()))
 _SENTENCES = re.compile(r"(?<=[.!?।…])[\"'”’»)]*\s+|\n+")
 _SPEAKER = re.compile(r"^\s*(?:>+\s*)*(?:(?:answer|assistant|response|ai|bot|gpt|a|q|question|user|resposta|respuesta|antwort|réponse|pergunta|pregunta|frage|उत्तर|जवाब|প্রশ্ন|উত্তর)\s*[:：]\s*)*", re.I)
 _TRANSLATION = re.compile(
