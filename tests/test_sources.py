@@ -178,3 +178,24 @@ def test_parameters_as_decimals(spark):
     got = {r.id: r.k for r in df.select("id", verify.with_float_parameters("k").alias("k")).collect()}
     assert json.loads(got[1]) == {"n": 3.0, "b": 1.0, "s": "x", "f": 0.5, "l": [1]} and got[2] is None and got[3] == "[1]" and got[4] == "{bad"
     assert isinstance(json.loads(got[1])["b"], float)
+
+
+def test_chunks_are_filled_as_row_by_row(spark):
+    import random
+
+    rng = random.Random(4)
+    rows = [(rng.choice(["a", "a", "b", None]), i, rng.choice([None, 0, 1, 3, 8, 30])) for i in range(3000)]
+    df = spark.createDataFrame(rows, "file string, i int, n int").repartition(5)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = {r.i: r.chunk for r in splits.greedy_chunks(df, "file", "i", "n", 20).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    state = {}
+    for file, i, n in rows:
+        number, total = state.get(file, (0, None))
+        if total is not None and total + (n or 0) > 20:
+            number, total = number + 1, None
+        state[file] = number, (total or 0) + (n or 0)
+        assert got[i] == number
+    assert len(got) == len(rows) and splits.greedy_chunks(df.limit(0), "file", "i", "n", 20).count() == 0

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -79,26 +81,59 @@ def chunk_count(tokens: int, per_chunk: int) -> int:
     return max(1, -(-tokens // per_chunk))
 
 
+class _Filling:
+    """The chunk that is being filled: its number, what it holds, and whether it holds any row."""
+
+    def __init__(self, most: int):
+        self.most, self.number, self.total, self.filled = most, 0, 0, False
+
+    def take(self, sizes: np.ndarray) -> np.ndarray:
+        """Numbers of the chunks that the next rows come into; looks up each chunk's end in the running sums."""
+        sums = np.cumsum(sizes)
+        numbers = np.empty(len(sizes), dtype=np.int64)
+        first = before = 0
+        while first < len(sizes):
+            last = max(first, int(np.searchsorted(sums, self.most - self.total + before, side="right")))
+            if last == first and not self.filled:
+                # A row that is too large has a chunk of its own.
+                last = first + 1
+            numbers[first:last] = self.number
+            if last == len(sizes):
+                self.total, self.filled = self.total + int(sums[-1] - before), True
+            else:
+                self.number, self.total, self.filled = self.number + 1, 0, False
+                before = int(sums[last - 1]) if last else 0
+            first = last
+        return numbers
+
+
 def greedy_chunks(df: DataFrame, by: str, order: str, tokens: str, most: int, name: str = "chunk") -> DataFrame:
     """``by, order, chunk``: a new chunk begins where the running sum would pass ``most`` and the chunk has rows.
 
-    The sum starts anew with each chunk, so a group is read in order by one task; it holds lengths alone, of one file.
+    The sum starts anew with each chunk, so the lengths of one file, and these alone, are read in order by one task:
+    sorted as Spark sorts, on disk where they are many, and streamed batch by batch, with no more than a batch held.
     """
 
-    def chunk(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(order, kind="stable")
-        numbers, number, total, filled = [], 0, 0, False
-        for n in frame["_tokens"]:
-            if filled and total + n > most:
-                number, total = number + 1, 0
-            total += n
-            filled = True
-            numbers.append(number)
-        return frame[[by, order]].assign(**{name: numbers})
-
-    rows = df.select(by, order, F.coalesce(F.col(tokens).cast("bigint"), F.lit(0).cast("bigint")).alias("_tokens"))
+    def chunk(batches):
+        current, filling = None, _Filling(most)
+        for batch in batches:
+            keys, sizes = batch.column(0), batch.column(2).to_numpy(zero_copy_only=False)
+            codes = pc.dictionary_encode(keys, null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+            edges = np.concatenate([[0], np.flatnonzero(np.diff(codes)) + 1, [len(codes)]])
+            numbers = []
+            for first, last in zip(edges[:-1], edges[1:]):
+                if last == first:
+                    continue
+                key = (keys[int(first)].as_py(),)
+                if key != current:
+                    current, filling = key, _Filling(most)
+                numbers.append(filling.take(sizes[first:last]))
+            if numbers:
+                yield pa.RecordBatch.from_arrays([keys, batch.column(1), pa.array(np.concatenate(numbers))], names=[by, order, name])
+
+    rows = df.select(by, order, F.greatest(F.coalesce(F.col(tokens).cast("bigint"), F.lit(0).cast("bigint")), F.lit(0).cast("bigint")).alias("_tokens"))
     kinds = {c: df.schema[c].dataType.simpleString() for c in (by, order)}
-    return rows.groupBy(by).applyInPandas(chunk, f"`{by}` {kinds[by]}, `{order}` {kinds[order]}, {name} bigint")
+    return rows.repartition(by).sortWithinPartitions(by, order).mapInArrow(chunk, f"`{by}` {kinds[by]}, `{order}` {kinds[order]}, {name} bigint")
 
 
 def quotas(counts: list[int], n: int, redistribute: bool = False) -> list[int]:
