@@ -199,3 +199,52 @@ def test_chunks_are_filled_as_row_by_row(spark):
         state[file] = number, (total or 0) + (n or 0)
         assert got[i] == number
     assert len(got) == len(rows) and splits.greedy_chunks(df.limit(0), "file", "i", "n", 20).count() == 0
+
+
+def test_runs_against_brute_force(spark):
+    """Sequences of numbers, of texts, with nulls, across rows and batches; a part of a run alone is no run."""
+    import random
+
+    from weftline.operators import decontaminate
+
+    rng = random.Random(11)
+    refs = [[rng.randrange(60) for _ in range(20)] for _ in range(12)]
+    rows = []
+    for n in range(400):
+        own = [rng.randrange(60) if rng.random() > 0.02 else None for _ in range(rng.choice([0, 3, 5, 6, 12, 40]))]
+        if n % 3 == 0:
+            start = rng.randint(1, 12)
+            piece = refs[n % 12][start : start + 6]
+            if n % 2:
+                piece[rng.randrange(6)] = 99
+            own[len(own) // 2 : len(own) // 2] = piece if n % 5 else piece[:3]
+        rows.append((n, own))
+    rows += [(900, None), (900, refs[0][1:8]), (None, refs[1][1:8])]
+
+    def truth(exchange):
+        runs = [r[1:-1][i : i + 6] for r in refs for i in range(13)]
+        return {k for k, own in rows for i in range(len(own or ()) - 5) if any(sum(a != b for a, b in zip(own[i : i + 6], r)) <= exchange for r in runs)}
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "13")
+    try:
+        for kind, made in (("int", lambda x: x), ("string", lambda x: None if x is None else f"w{x}")):
+            df = spark.createDataFrame([(k, None if own is None else [made(x) for x in own]) for k, own in rows], f"k int, ids array<{kind}>").repartition(3)
+            bench = spark.createDataFrame([([made(x) for x in r],) for r in refs], f"ids array<{kind}>")
+            for exchange in (False, True):
+                assert {r.k for r in decontaminate.contaminated_keys(df, "k", "ids", bench, "ids", 6, exchange).collect()} == truth(int(exchange))
+            assert decontaminate.contaminated_keys(df, "k", "ids", bench.limit(0), "ids", 6).count() == 0 and decontaminate.contaminated_keys(df.limit(0), "k", "ids", bench, "ids", 6, True).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_filter_keeps_what_was_added():
+    import numpy as np
+
+    from weftline.functions import bloom
+
+    own, others = bloom.mixed(np.arange(50_000)), bloom.mixed(np.arange(10**9, 10**9 + 50_000))
+    made = bloom.Bloom()
+    made.add(own)
+    again = bloom.Bloom(made.packed())
+    assert again.contains(own).all() and again.contains(others).mean() < 0.001
+    assert len(bloom.run_hashes(own[:3], 4)) == 0 and len(set(bloom.run_hashes(own, 4).tolist())) == len(own) - 3

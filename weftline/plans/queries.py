@@ -119,7 +119,7 @@ def repaired_text(spark: SparkSession, root: str) -> DataFrame:
 
 
 def symbol_lines(spark: SparkSession, root: str) -> DataFrame:
-    return _read(spark, root, "documents").where("text IS NOT NULL").select("doc_id", F.length(formatting.without_symbol_lines(F.col("text"))).cast("bigint").alias("characters"))
+    return _texts(spark, root).where("text IS NOT NULL").select("doc_id", F.length(formatting.without_symbol_lines(F.col("text"))).cast("bigint").alias("characters"))
 
 
 def page_text(spark: SparkSession, root: str) -> DataFrame:
@@ -131,7 +131,7 @@ def page_text(spark: SparkSession, root: str) -> DataFrame:
 
 
 def exact_dedup(spark: SparkSession, root: str) -> DataFrame:
-    return dedup.representatives(_read(spark, root, "documents"), "doc_id", "text")
+    return dedup.representatives(_texts(spark, root), "doc_id", "text")
 
 
 def near_dedup(spark: SparkSession, root: str) -> DataFrame:
@@ -213,7 +213,7 @@ def chat_plain(spark: SparkSession, root: str) -> DataFrame:
 
 def label_mask(spark: SparkSession, root: str) -> DataFrame:
     ids = F.transform(words(F.col("text")), lambda w: F.length(w))
-    rows = _read(spark, root, "documents").select("doc_id", tokens.masked_labels(ids, [1, 2, 3]).alias("labels"))
+    rows = _texts(spark, root).select("doc_id", tokens.masked_labels(ids, [1, 2, 3]).alias("labels"))
     return rows.select("doc_id", F.size("labels").cast("bigint").alias("n"), F.size(F.filter("labels", lambda x: x == -100)).cast("bigint").alias("masked"))
 
 
@@ -250,7 +250,7 @@ def remaining_rows(spark: SparkSession, root: str) -> DataFrame:
 
 def _length_rows(spark: SparkSession, root: str) -> DataFrame:
     """The lengths of a document's words as its ids: rows of integers that SQL can make too."""
-    return _read(spark, root, "documents").select("doc_id", F.transform(words(F.col("text")), lambda w: F.length(w)).alias("input_ids"))
+    return _texts(spark, root).select("doc_id", F.transform(words(F.col("text")), lambda w: F.length(w)).alias("input_ids"))
 
 
 def pack_concat(spark: SparkSession, root: str) -> DataFrame:
@@ -286,11 +286,11 @@ def prompt_budget(spark: SparkSession, root: str) -> DataFrame:
 
 
 def word_frequencies(spark: SparkSession, root: str) -> DataFrame:
-    return reports.word_frequencies(_read(spark, root, "documents").select(words(F.col("text")).alias("w")), "w", 50)
+    return reports.word_frequencies(_texts(spark, root).select(words(F.col("text")).alias("w")), "w", 50)
 
 
 def rare_words(spark: SparkSession, root: str) -> DataFrame:
-    return reports.word_frequencies(_read(spark, root, "documents").select(words(F.col("text")).alias("w")), "w", 50, rare=True)
+    return reports.word_frequencies(_texts(spark, root).select(words(F.col("text")).alias("w")), "w", 50, rare=True)
 
 
 def last_deliveries(spark: SparkSession, root: str) -> DataFrame:
