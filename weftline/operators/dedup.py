@@ -157,7 +157,7 @@ def near_duplicates(df: DataFrame, key: str, text: str, bands: int = BANDS, rows
     with these. Equal texts are put together by their digest first and share the class of their least key.
     """
     read = checkpoint(signatures(df, key, text, bands, rows))
-    single = read.where("digest IS NOT NULL").groupBy("digest").agg(F.min(F.struct("src", "bands")).alias("_first")).select("digest", "_first.*")
+    single = checkpoint(read.where("digest IS NOT NULL").groupBy("digest").agg(F.min(F.struct("src", "bands")).alias("_first")).select("digest", "_first.*"))
     found = components(star_edges(single.where("bands IS NOT NULL")))
     classes = single.join(found, F.col("src") == F.col("node"), "left").select("digest", F.coalesce("component", "src").alias("_class"))
     return read.join(classes, "digest", "left").select(F.col("src").alias(key), F.coalesce("_class", "src").alias("component"))
